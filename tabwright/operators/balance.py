@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.columns import is_missing, number, quoted
+from tabwright.functions.columns import any_missing, number_sql, quoted, ticked
 from tabwright.functions.keys import key_hash, text_hash, unit
 from tabwright.functions.stage import materialise
 from tabwright.operators.neighbours import nearest_points
@@ -79,7 +79,7 @@ def smote(
     missing, the original rows come back alone.
     """
     original = df.select(
-        *[number(df, c).alias(c) for c in features],
+        *[F.expr(f"{number_sql(df, c)} AS {ticked(c)}") for c in features],
         quoted(label),
         F.concat_ws(":", *[quoted(k).cast("string") for k in key]).alias("row_key"),
         F.lit(False).alias("is_synthetic"),
@@ -92,32 +92,35 @@ def smote(
     if small:
         log.warning("classes %s have too few rows for %d neighbours, nothing added", small, neighbours)
         return original
-    holes = df.agg(F.count_if(sum((is_missing(df, c).cast("int") for c in features), F.lit(0)) > 0).alias("n")).first().n
+    holes = df.agg(F.count_if(any_missing(df, features)).alias("n")).first().n
     if holes:
         log.warning("%d rows miss a feature, nothing added", holes)
         return original
 
     cuts = fit_cuts(df, label, key, seed, {c: [d % counts[c]] for c, d in missing.items()})
-    extra = (cuts.slice_number() == 0).cast("bigint")
     places = [f"x{i}" for i in range(len(features))]
-    out = original
-    for c, lack in missing.items():
-        rows = df.where(quoted(label) == F.lit(c)).select(
+    group, least = F.lit(None).cast("int"), F.lit(0)
+    for i, (c, lack) in enumerate(missing.items()):
+        group = F.when(quoted(label) == F.lit(c), F.lit(i)).otherwise(group)
+        least = F.when(quoted(label) == F.lit(c), F.lit(lack // counts[c])).otherwise(least)
+    rows = materialise(
+        df.where(quoted(label).isin(list(missing))).select(
+            group.alias("grp"),
             _row_id(df, key, seed).alias("id"),
-            (F.lit(lack // counts[c]).cast("bigint") + extra).alias("copies"),
-            *[(number(df, f) + F.lit(0.0)).alias(x) for f, x in zip(features, places)],
+            (least + (cuts.slice_number() == 0).cast("int")).cast("bigint").alias("copies"),
+            *[F.expr(f"{number_sql(df, f)} + 0.0D AS {x}") for f, x in zip(features, places)],
         )
-        rows = materialise(rows)
-        made = _beside_copies(rows, places, neighbours).unionByName(
-            _between_points(rows, places, neighbours, seed, lack // counts[c] + 1)
-        )
-        vector = [F.element_at("vector", i + 1).alias(f) for i, f in enumerate(features)]
-        tag = F.concat_ws(":", F.lit("new"), F.lit(c).cast("string"), F.col("origin"))
-        kind = df.schema[label].dataType
-        out = out.unionByName(
-            made.select(*vector, F.lit(c).cast(kind).alias(label), tag.alias("row_key"), F.lit(True).alias("is_synthetic"))
-        )
-    return out
+    )
+    most = max(lack // counts[c] + 1 for c, lack in missing.items())
+    made = _beside_copies(rows, places, neighbours).unionByName(_between_points(rows, places, neighbours, seed, most))
+    back = F.element_at(F.array(*[F.lit(c) for c in missing]), F.col("grp") + 1).cast(df.schema[label].dataType)
+    new = made.select(
+        *[F.expr(f"vector[{i}] AS {ticked(f)}") for i, f in enumerate(features)],
+        back.alias(label),
+        F.concat_ws(":", F.lit("new"), "grp", "origin").alias("row_key"),
+        F.lit(True).alias("is_synthetic"),
+    )
+    return original.unionByName(new)
 
 
 def _row_id(df: DataFrame, key: Sequence[str], seed: int) -> Column:
@@ -139,22 +142,23 @@ def _copied(df: DataFrame, count: str, most: int | None, key: Sequence[str]) ->
 def _beside_copies(rows: DataFrame, places: Sequence[str], k: int) -> DataFrame:
     """New rows for places that hold more than ``k`` equal rows: all neighbours are copies, so they equal the place."""
     hot = (
-        rows.groupBy(*places)
+        rows.groupBy("grp", *places)
         .agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("made"), F.min("id").alias("id"))
         .where(F.col("n") > k)
     )
     made = _copied(hot, "made", None, ["id"])
-    return made.select(F.array(*places).alias("vector"), F.concat_ws(":", F.lit("c"), "id", "copy").alias("origin"))
+    return made.select("grp", F.array(*places).alias("vector"), F.concat_ws(":", F.lit("c"), "id", "copy").alias("origin"))
 
 
 def _between_points(rows: DataFrame, places: Sequence[str], k: int, seed: int, most: int) -> DataFrame:
     """New rows for places with at most ``k`` equal rows."""
     # k + 1 rows tell whether a place is crowded; the rank limit drops the rest of a crowd before the shuffle
-    ranked = rows.withColumn("__rn", F.row_number().over(W.partitionBy(*places).orderBy("id"))).where(F.col("__rn") <= k + 1)
+    ranked = rows.withColumn("__rn", F.row_number().over(W.partitionBy("grp", *places).orderBy("id"))).where(F.col("__rn") <= k + 1)
     points = materialise(
-        ranked.groupBy(*places)
+        ranked.groupBy("grp", *places)
         .agg(F.sort_array(F.collect_list(F.struct("id", "copies"))).alias("rows"))
         .select(
+            "grp",
             F.col("rows")[0]["id"].alias("point"),
             F.array(*places).alias("vector"),
             F.col("rows")["id"].alias("ids"),
@@ -163,7 +167,7 @@ def _between_points(rows: DataFrame, places: Sequence[str], k: int, seed: int, m
         )
     )
     near = nearest_points(points, k).groupBy("point").agg(F.collect_list(F.struct("dist", "near_ids", "near_vector")).alias("near"))
-    own = points.where("asked").join(near, "point", "left").select("vector", "ids", "near", F.explode("rows").alias("r"))
+    own = points.where("asked").join(near, "point", "left").select("grp", "vector", "ids", "near", F.explode("rows").alias("r"))
     beside = F.transform(
         F.filter("ids", lambda i: i != F.col("r.id")), lambda i: F.struct(F.lit(0.0).alias("dist"), i.alias("id"), F.col("vector").alias("vector"))
     )
@@ -175,10 +179,10 @@ def _between_points(rows: DataFrame, places: Sequence[str], k: int, seed: int, m
             ),
         )
     )
-    based = own.select("vector", F.col("r.id").alias("id"), F.col("r.copies").alias("copies"), F.slice(F.array_sort(F.concat(beside, around)), 1, k).alias("near"))
+    based = own.select("grp", "vector", F.col("r.id").alias("id"), F.col("r.copies").alias("copies"), F.slice(F.array_sort(F.concat(beside, around)), 1, k).alias("near"))
     made = _copied(based, "copies", most, ["id"])
     pick = F.pmod(text_hash(F.col("id"), F.col("copy"), F.lit(seed), F.lit("pick")), F.size("near")).cast("int")
     share = unit(text_hash(F.col("id"), F.col("copy"), F.lit(seed), F.lit("share")))
-    placed = made.select("id", "copy", "vector", F.get("near", pick)["vector"].alias("other"), share.alias("share"))
+    placed = made.select("grp", "id", "copy", "vector", F.get("near", pick)["vector"].alias("other"), share.alias("share"))
     moved = F.zip_with("vector", "other", lambda x, y: x + F.col("share") * (y - x))
-    return placed.select(moved.alias("vector"), F.concat_ws(":", F.lit("r"), "id", "copy").alias("origin"))
+    return placed.select("grp", moved.alias("vector"), F.concat_ws(":", F.lit("r"), "id", "copy").alias("origin"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tabwright.functions.columns import number, quoted
+from tabwright.functions.columns import number_sql, quoted
 from tabwright.operators.split import SEED, class_counts
 
 log = logging.getLogger(__name__)
@@ -134,7 +134,8 @@ def spark_params(model_type: str, params: dict | None, n: int) -> dict:
 def assembled(df: DataFrame, features: Sequence[str], missing: str, keep: Sequence[str] = ()) -> DataFrame:
     """``df`` (or its ``keep`` columns) with the feature vector ``__x``; one projection and one assembler."""
     names = [f"__f{i}" for i in range(len(features))]
-    wide = df.select(*([quoted(c) for c in keep] or ["*"]), *[number(df, c).alias(n) for c, n in zip(features, names)])
+    numbers = [F.expr(f"{number_sql(df, c)} AS {n}") for c, n in zip(features, names)]
+    wide = df.select(*([quoted(c) for c in keep] or ["*"]), *numbers)
     vector = VectorAssembler(inputCols=names, outputCol="__x", handleInvalid=missing)
     return vector.transform(wide).drop(*names)
 

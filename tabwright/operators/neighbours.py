@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -122,73 +122,82 @@ def _nearest(asked: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
     )
 
 
+def _numbers(count: str) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.col(count).cast("bigint") - 1)
+
+
+POINT = "point bigint, vector array<double>"
+FOUND = "point bigint, near bigint, dist double, near_ids array<bigint>, near_vector array<double>"
+
+
 def nearest_points(points: DataFrame, k: int) -> DataFrame:
-    """Rows ``point, near, dist, near_ids, near_vector``: the ``k`` nearest other points, exactly.
+    """Rows ``point, near, dist, near_ids, near_vector``: the ``k`` nearest other points of the same group, exactly.
 
-    ``points`` holds the points of one class: ``point`` (bigint, identifies it), ``vector`` (array of doubles, distinct),
+    ``points`` has ``grp`` (int), ``point`` (bigint, unique), ``vector`` (array of doubles, distinct in its group),
     ``ids`` (rows at this place, carried along) and ``asked`` (whether its neighbours are wanted).
     """
-    spark = points.sparkSession
-    size = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
-    boxes = int(min(MAX_BOXES, size.n // BOX_POINTS, SAMPLE_VALUES // (SAMPLE_PER_BOX * max(1, size.d or 1))))
-    if boxes > 1:
-        # the hash picks the same bounded sample on every retry
-        every = max(1, size.n // (boxes * SAMPLE_PER_BOX))
-        picked = points.where(F.pmod(F.xxhash64("point"), F.lit(every)) == 0).select("vector")
-        tree = BoxTree.fit(_matrix(picked.toPandas()["vector"]), boxes)
-    else:
-        tree = BoxTree.fit(np.zeros((0, max(1, size.d or 1))), 1)
+    sizes = points.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).collect()
+    if all(g.n <= BLOCK_POINTS for g in sizes):
+        # one block holds the whole group
+        return points.groupBy("grp").applyInPandas(lambda pdf: _nearest(pdf[pdf["asked"]], pdf, k), FOUND)
+    trees = {g.grp: _fit_tree(points, g.grp, g.n, g.d) for g in sizes}
 
     def to_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                yield pdf.assign(box=tree.home(_matrix(pdf["vector"])))
+            for grp, part in pdf.groupby("grp"):
+                yield part.assign(box=trees[grp].home(_matrix(part["vector"])))
 
-    row = "point bigint, vector array<double>, ids array<bigint>, asked boolean"
-    housed = materialise(points.select("point", "vector", "ids", "asked").mapInPandas(to_home, f"{row}, box bigint"))
-    counted = [(r["box"], -(-r["count"] // BLOCK_POINTS)) for r in housed.groupBy("box").count().collect()]
-    blocks = F.broadcast(spark.createDataFrame(counted, "box bigint, blocks int"))
-    stored = housed.join(blocks, "box").withColumn("block", F.pmod(F.xxhash64("point"), "blocks").cast("bigint"))
+    columns = f"grp int, {POINT}, ids array<bigint>, asked boolean"
+    housed = materialise(
+        points.select("grp", "point", "vector", "ids", "asked").mapInPandas(to_home, f"{columns}, box bigint")
+    )
+    blocks = F.broadcast(
+        housed.groupBy("grp", "box").agg(F.ceil(F.count(F.lit(1)) / BLOCK_POINTS).cast("int").alias("blocks"))
+    )
+    stored = housed.join(blocks, ["grp", "box"]).withColumn(
+        "block", F.pmod(F.xxhash64("point"), F.col("blocks").cast("bigint"))
+    )
 
     def first_look(pdf: pd.DataFrame) -> pd.DataFrame:
         mine = pdf[pdf["asked"]]
         near = _nearest(mine, pdf, k).groupby("point")["dist"].agg(["max", "size"])
         radius2 = near["max"].where(near["size"] >= k, np.inf)
-        return pd.DataFrame(
-            {"point": mine["point"], "vector": mine["vector"], "radius2": mine["point"].map(radius2).fillna(np.inf)}
-        )
+        return mine[["grp", "point", "vector"]].assign(radius2=mine["point"].map(radius2).fillna(np.inf).astype(float))
 
-    looked = stored.groupBy("box", "block").applyInPandas(
-        first_look, "point bigint, vector array<double>, radius2 double"
-    )
+    looked = stored.groupBy("grp", "box", "block").applyInPandas(first_look, f"grp int, {POINT}, radius2 double")
 
     def to_touched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), TOUCH_ROWS):
-                part = pdf.iloc[at : at + TOUCH_ROWS]
-                who, box = tree.touched(_matrix(part["vector"]), part["radius2"].to_numpy())
-                near = part.iloc[who]
-                yield pd.DataFrame({"point": near["point"].to_numpy(), "vector": near["vector"].to_numpy(), "box": box})
-
-    sent = looked.mapInPandas(to_touched, "point bigint, vector array<double>, box bigint")
-    visits = materialise(
-        sent.join(blocks, "box").select("point", "vector", "box", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("bigint").alias("block"))
-    )
+            for grp, mine in pdf.groupby("grp"):
+                for at in range(0, len(mine), TOUCH_ROWS):
+                    part = mine.iloc[at : at + TOUCH_ROWS]
+                    who, box = trees[grp].touched(_matrix(part["vector"]), part["radius2"].to_numpy())
+                    yield part.iloc[who][["grp", "point", "vector"]].assign(box=box)
+
+    sent = looked.mapInPandas(to_touched, f"grp int, {POINT}, box bigint").join(blocks, ["grp", "box"])
+    visits = materialise(sent.select("grp", "box", "point", "vector", F.explode(_numbers("blocks")).alias("block")))
 
     # a block asked by very many points is copied, and its visitors are spread over the copies
-    place = ["box", "block", "copy"]
-    copies = visits.groupBy("box", "block").agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_COPY).cast("int").alias("copies"))
-    left = visits.join(copies, ["box", "block"]).withColumn("copy", F.pmod(F.xxhash64("point"), "copies").cast("bigint"))
-    right = stored.join(copies, ["box", "block"]).withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).cast("bigint")
-    )
+    home = ["grp", "box", "block"]
+    copies = visits.groupBy(*home).agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_COPY).cast("bigint").alias("copies"))
+    left = visits.join(copies, home).withColumn("copy", F.pmod(F.xxhash64("point"), "copies"))
+    right = stored.join(copies, home).withColumn("copy", F.explode(_numbers("copies")))
 
     def look(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         return _nearest(asked, block, k)
 
+    place = [*home, "copy"]
     grouped = left.select("point", "vector", *place).groupBy(*place)
-    found = grouped.cogroup(right.select("point", "vector", "ids", *place).groupBy(*place)).applyInPandas(
-        look, "point bigint, near bigint, dist double, near_ids array<bigint>, near_vector array<double>"
-    )
+    found = grouped.cogroup(right.select("point", "vector", "ids", *place).groupBy(*place)).applyInPandas(look, FOUND)
     best = W.partitionBy("point").orderBy("dist", "near")
     return found.withColumn("__rn", F.row_number().over(best)).where(F.col("__rn") <= k).drop("__rn")
+
+
+def _fit_tree(points: DataFrame, grp: int, n: int, width: int) -> BoxTree:
+    boxes = int(min(MAX_BOXES, n // BOX_POINTS, SAMPLE_VALUES // (SAMPLE_PER_BOX * width)))
+    if boxes <= 1:
+        return BoxTree.fit(np.zeros((0, width)), 1)
+    # the hash picks the same bounded sample on every retry; it places the boxes and decides no result
+    every = max(1, n // (boxes * SAMPLE_PER_BOX))
+    picked = points.where((F.col("grp") == grp) & (F.pmod(F.xxhash64("point"), F.lit(every)) == 0)).select("vector")
+    return BoxTree.fit(_matrix(picked.toPandas()["vector"]), boxes)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.columns import is_missing, quoted
+from tabwright.functions.columns import is_missing, missing_sql, quoted
 from tabwright.functions.names import clashes, clean_name
 
 log = logging.getLogger(__name__)
@@ -21,9 +21,9 @@ MAX_MISSING_RATIO = 0.5
 def table_profile(df: DataFrame) -> DataFrame:
     """One row: ``n_rows, n_cols, null_cells, missing_ratio``."""
     width = len(df.columns)
-    cells = [F.coalesce(F.sum(is_missing(df, c).cast("bigint")), F.lit(0)) for c in df.columns]
-    counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *[c.alias(f"m{i}") for i, c in enumerate(cells)])
-    nulls = sum((F.col(f"m{i}") for i in range(width)), F.lit(0).cast("bigint"))
+    cells = [F.expr(f"count_if({missing_sql(df, c)}) AS m{i}") for i, c in enumerate(df.columns)]
+    counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *cells)
+    nulls = F.expr(" + ".join(f"m{i}" for i in range(width)))
     return counted.select(
         "n_rows",
         F.lit(width).cast("bigint").alias("n_cols"),
@@ -56,7 +56,7 @@ def validate_table(
 
 def features_profile(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """One row: ``n_rows, missing_features, missing_targets``."""
-    cells = sum((is_missing(df, c).cast("bigint") for c in features), F.lit(0).cast("bigint"))
+    cells = F.expr(" + ".join(f"CAST({missing_sql(df, c)} AS BIGINT)" for c in features))
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum(cells), F.lit(0)).alias("missing_features"),
@@ -83,7 +83,7 @@ def check_features(df: DataFrame, features: Sequence[str], label: str) -> dict[s
 
 def missing_report(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """Rows ``column, n_missing, missing_ratio``."""
-    counts = [F.coalesce(F.sum(is_missing(df, c).cast("bigint")), F.lit(0)).alias(f"m{i}") for i, c in enumerate(df.columns)]
+    counts = [F.expr(f"count_if({missing_sql(df, c)}) AS m{i}") for i, c in enumerate(df.columns)]
     one = df.agg(F.count(F.lit(1)).alias("n"), *counts)
     entries = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("n_missing")) for i, c in enumerate(df.columns)]
     rows = one.select("n", F.explode(F.array(*entries)).alias("e"))

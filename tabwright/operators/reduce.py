@@ -10,7 +10,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.columns import is_missing, number, numeric_only, quoted
+from tabwright.functions.columns import any_missing, number, numeric_only, quoted
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +75,7 @@ def fit_components(
         log.warning("%d features for %d components, reduction skipped", len(names), n_components)
         return Components([], [], [], [])
     stats = [F.avg(number(df, c)).alias(f"m{i}") for i, c in enumerate(names)]
-    holes = F.count_if(sum((is_missing(df, c).cast("int") for c in names), F.lit(0)) > 0).alias("holes")
+    holes = F.count_if(any_missing(df, names)).alias("holes")
     row = df.agg(*stats, holes).first()
     if row.holes:
         raise ValueError(f"{row.holes} rows miss a value in the features to reduce")
