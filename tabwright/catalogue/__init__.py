@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.catalogue import cleaning
+from tabwright.catalogue import building, cleaning, evaluation, modelling, sampling
 
-PARTS = (cleaning,)
+PARTS = (cleaning, building, sampling, evaluation, modelling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
