@@ -13,6 +13,7 @@ log = logging.getLogger(__name__)
 
 # Types taken when the caller names no numeric columns.
 AUTO_NUMERIC = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType)
+DATED = (T.DateType, T.TimestampType, T.TimestampNTZType)
 _FLOATING = (T.DoubleType, T.FloatType)
 
 

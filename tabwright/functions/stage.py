@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 _local_folder: dict[str, str] = {}
 
 
@@ -24,6 +27,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder[app]
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Long iterations cut their lineage only when a checkpoint folder is known."""
+    try:
+        shared_folder(spark)
+    except ValueError as e:
+        log.warning("boosting runs without checkpoints: %s", e)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 

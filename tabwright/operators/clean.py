@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.columns import (
+    DATED,
     auto_numeric,
     auto_strings,
     existing,
@@ -31,7 +32,7 @@ def parse_dates(df: DataFrame, columns: Sequence[str], pattern: str = DATE_PATTE
     new = {}
     for c in existing(df, columns, "date"):
         kind = df.schema[c].dataType
-        if isinstance(kind, (T.TimestampType, T.DateType)):
+        if isinstance(kind, DATED):
             new[c] = quoted(c).cast("timestamp")
         else:
             new[c] = F.try_to_timestamp(quoted(c).cast("string"), F.lit(pattern))

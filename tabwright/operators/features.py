@@ -9,9 +9,8 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tabwright.functions.columns import existing, is_missing, is_numeric, number, numeric_only, quoted
+from tabwright.functions.columns import DATED, existing, is_missing, is_numeric, number, numeric_only, quoted
 
 log = logging.getLogger(__name__)
 
@@ -102,7 +101,7 @@ def date_parts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     added = []
     for c in names:
         kind = df.schema[c].dataType
-        when = quoted(c) if isinstance(kind, (T.DateType, T.TimestampType)) else F.try_to_timestamp(quoted(c).cast("string"))
+        when = quoted(c) if isinstance(kind, DATED) else F.try_to_timestamp(quoted(c).cast("string"))
         added += [
             F.year(when).alias(f"{c}_year"),
             F.month(when).alias(f"{c}_month"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tabwright.functions.columns import number_sql, quoted
+from tabwright.functions.stage import ensure_checkpoints
 from tabwright.operators.split import SEED, class_counts
 
 log = logging.getLogger(__name__)
@@ -205,6 +206,7 @@ def fit_model(
         index = F.when(F.col("__label") == F.lit(c), F.lit(float(i))).otherwise(index)
     labelled = df.withColumn("__label", quoted(label))
     keep = ["__label", *([weight] if weight else [])]
+    ensure_checkpoints(df.sparkSession)
     data = assembled(labelled, features, kind.missing, keep).withColumn("__y", index)
     wanted = {"featuresCol": "__x", "labelCol": "__y", **({"weightCol": weight} if weight else {})}
     if not kind.binary or len(classes) == 2:

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from tabwright.functions.columns import number
 
 SKETCH_ACCURACY = 10_000
-GATHER_ROWS = 10_000
+GATHER_ROWS = 20_000
+MARGIN = 4.0 / SKETCH_ACCURACY
+# share of the rows that can lie between the two cuts: the margin on both sides and the sketch's error at both ends
+BETWEEN = 2 * MARGIN + 2.0 / SKETCH_ACCURACY
 
 
 @dataclass
@@ -29,12 +32,23 @@ class _Search:
     inside: int
     low: float = -math.inf
     high: float = math.inf
+    cuts: tuple[float, ...] = ()
     answer: float | None = None
 
     @property
     def span(self) -> tuple[str, float, float]:
         return (self.column, self.low, self.high)
 
+    @property
+    def centre(self) -> float:
+        return (self.rank - self.below + 0.5) / self.inside
+
+
+def _sketch(value: Column, centre: float) -> Column:
+    """Two values that enclose the wanted rank but for the error of the sketch."""
+    ends = [max(0.0, centre - MARGIN), min(1.0, centre + MARGIN)]
+    return F.percentile_approx(value, ends, SKETCH_ACCURACY)
+
 
 def _within(value: Column, low: float, high: float) -> Column:
     kept = value
@@ -55,21 +69,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     if not columns:
         return {}
     values = {c: number(df, c) for c in columns}
-    totals = dict(zip(columns, _one_row(df, [F.count(values[c]) for c in columns])))
+    # the first pass counts and sketches at once
+    first = _one_row(df, [F.count(values[c]) for c in columns] + [_sketch(values[c], p) for c in columns for p in probs])
+    totals, cuts = dict(zip(columns, first)), iter(first[len(columns) :])
 
     searches: dict[tuple[str, int], _Search] = {}
     for c in columns:
         for p in probs:
+            pair = next(cuts)
             if totals[c]:
                 spot = p * (totals[c] - 1)
                 for rank in {math.floor(spot), math.ceil(spot)}:
-                    searches[(c, rank)] = _Search(c, rank, 0, totals[c])
-    while True:
-        open_ = [s for s in searches.values() if s.answer is None]
-        if not open_:
-            break
-        _gather(df, values, [s for s in open_ if s.inside <= GATHER_ROWS])
-        _narrow(df, values, [s for s in open_ if s.inside > GATHER_ROWS])
+                    searches.setdefault((c, rank), _Search(c, rank, 0, totals[c], cuts=tuple(pair)))
+    while open_ := [s for s in searches.values() if s.answer is None]:
+        _propose(df, values, [s for s in open_ if not s.cuts])
+        _narrow(df, values, open_)
 
     out: dict[str, list[float | None]] = {}
     for c in columns:
@@ -85,42 +99,35 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return out
 
 
-def _gather(df: DataFrame, values: dict[str, Column], group: list[_Search]) -> None:
-    spans = sorted({s.span for s in group})
-    if not spans:
-        return
-    found = _one_row(df, [F.sort_array(F.collect_list(_within(values[c], lo, hi))) for c, lo, hi in spans])
-    lists = dict(zip(spans, found))
-    for s in group:
-        s.answer = lists[s.span][s.rank - s.below]
+def _propose(df: DataFrame, values: dict[str, Column], group: list[_Search]) -> None:
+    if group:
+        pairs = _one_row(df, [_sketch(_within(values[s.column], s.low, s.high), s.centre) for s in group])
+        for s, pair in zip(group, pairs):
+            s.cuts = tuple(pair)
 
 
 def _narrow(df: DataFrame, values: dict[str, Column], group: list[_Search]) -> None:
-    if not group:
-        return
-    margin = 4.0 / SKETCH_ACCURACY
-    sketches = []
-    for s in group:
-        centre = (s.rank - s.below + 0.5) / s.inside
-        ends = [max(0.0, centre - margin), min(1.0, centre + margin)]
-        kept = _within(values[s.column], s.low, s.high)
-        sketches.append(F.percentile_approx(kept, ends, SKETCH_ACCURACY))
-    cuts = _one_row(df, sketches)
-    spots = sorted({(s.column, x) for s, pair in zip(group, cuts) for x in pair})
-    counts = _one_row(
+    """Count at the cuts; where the rows between them are few enough by the sketch's bound, gather them as well."""
+    spots = sorted({(s.column, x) for s in group for x in s.cuts})
+    spans = sorted({(s.column, *s.cuts) for s in group if s.inside * BETWEEN <= GATHER_ROWS and s.cuts[0] < s.cuts[1]})
+    row = _one_row(
         df,
-        [F.count_if(values[c] < F.lit(x)) for c, x in spots] + [F.count_if(values[c] <= F.lit(x)) for c, x in spots],
+        [F.count_if(values[c] < F.lit(x)) for c, x in spots]
+        + [F.count_if(values[c] <= F.lit(x)) for c, x in spots]
+        + [F.sort_array(F.collect_list(_within(values[c], a, b))) for c, a, b in spans],
     )
-    less = dict(zip(spots, counts[: len(spots)]))
-    upto = dict(zip(spots, counts[len(spots) :]))
-    for s, (a, b) in zip(group, cuts):
-        for x in (a, b):
+    less = dict(zip(spots, row))
+    upto = dict(zip(spots, row[len(spots) :]))
+    lists = dict(zip(spans, row[2 * len(spots) :]))
+    for s in group:
+        end = s.below + s.inside
+        for x in s.cuts:
             if less[(s.column, x)] <= s.rank < upto[(s.column, x)]:
                 s.answer = x
-            elif s.rank < less[(s.column, x)]:
-                s.high = min(s.high, x)
-            else:
-                s.low = max(s.low, x)
-        first = upto.get((s.column, s.low), s.below)
-        last = less.get((s.column, s.high), s.below + s.inside)
-        s.below, s.inside = first, last - first
+            elif s.rank < less[(s.column, x)] and x < s.high:
+                s.high, end = x, less[(s.column, x)]
+            elif s.rank >= upto[(s.column, x)] and x > s.low:
+                s.low, s.below = x, upto[(s.column, x)]
+        s.inside, s.cuts = end - s.below, ()
+        if s.answer is None and s.span in lists:
+            s.answer = lists[s.span][s.rank - s.below]

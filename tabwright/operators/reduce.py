@@ -6,16 +6,18 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.columns import any_missing, number, numeric_only, quoted
+from tabwright.functions.columns import any_missing, number, number_sql, numeric_only, quoted
 
 log = logging.getLogger(__name__)
 
 # Fixed value.
 VARIANCE_THRESHOLD = 0.95
+SUMMED_FEATURES = 20
 
 
 @dataclass(frozen=True)
@@ -81,14 +83,29 @@ def fit_components(
         raise ValueError(f"{row.holes} rows miss a value in the features to reduce")
     means = [row[f"m{i}"] for i in range(len(names))]
     # centring first keeps the covariance free of cancellation
-    centred = df.select(*[(number(df, c) - F.lit(m)).alias(f"f{i}") for i, (c, m) in enumerate(zip(names, means))])
-    vectors = VectorAssembler(inputCols=centred.columns, outputCol="v").transform(centred).select("v")
-    model = PCA(k=n_components, inputCol="v", outputCol="p").fit(vectors)
-    loadings = []
-    for column in model.pc.toArray().T:
-        lead = max(column, key=abs)
-        loadings.append([float(x) if lead > 0 else -float(x) for x in column])
-    ratios = [float(x) for x in model.explainedVariance.toArray()]
+    centred = df.selectExpr(*[f"{number_sql(df, c)} - {m!r}D AS f{i}" for i, (c, m) in enumerate(zip(names, means))])
+    vectors, ratios = (_by_sums if len(names) <= SUMMED_FEATURES else _by_vectors)(centred, n_components)
+    loadings = [[float(x) if max(v, key=abs) > 0 else -float(x) for x in v] for v in vectors]
     if sum(ratios) < variance_threshold:
         log.warning("components explain %.3f of the variance, below %.2f", sum(ratios), variance_threshold)
     return Components(names, means, loadings, ratios)
+
+
+def _by_sums(centred: DataFrame, k: int) -> tuple[list, list[float]]:
+    """All products in one aggregate; only the small matrix of sums reaches the driver."""
+    d = len(centred.columns)
+    cells = [(i, j) for i in range(d) for j in range(i, d)]
+    sums = centred.agg(*[F.expr(f"sum(f{i} * f{j}) AS s{i}_{j}") for i, j in cells]).first()
+    matrix = np.zeros((d, d))
+    for (i, j), total in zip(cells, sums):
+        matrix[i, j] = matrix[j, i] = total
+    values, vectors = np.linalg.eigh(matrix)
+    order = np.argsort(values)[::-1][:k]
+    return [vectors[:, i] for i in order], [float(values[i] / values.sum()) for i in order]
+
+
+def _by_vectors(centred: DataFrame, k: int) -> tuple[list, list[float]]:
+    """For many features: distributed covariance over vectors."""
+    vectors = VectorAssembler(inputCols=centred.columns, outputCol="v").transform(centred).select("v")
+    model = PCA(k=k, inputCol="v", outputCol="p").fit(vectors)
+    return list(model.pc.toArray().T), [float(x) for x in model.explainedVariance.toArray()]

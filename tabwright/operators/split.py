@@ -49,17 +49,17 @@ class ClassCuts:
     def slice_number(self) -> Column:
         """0 for rows up to the first cut of their class, 1 up to the second, and so on."""
         here = F.struct(key_hash(self.key, self.seed).alias("h"), *[quoted(k).alias(f"k{i}") for i, k in enumerate(self.key)])
-        out = F.lit(None).cast("int")
-        for c, ends in self.cuts.items():
-            passed = F.lit(0)
-            for end in ends:
-                if end is None:
-                    passed = passed + F.lit(1)
-                    continue
-                last = F.struct(F.lit(end[0]).cast("bigint").alias("h"), *[F.lit(v).alias(f"k{i}") for i, v in enumerate(end[1:])])
-                passed = passed + (here > last).cast("int")
-            out = F.when(quoted(self.label) == F.lit(c), passed).otherwise(out)
-        return out
+        passed = F.lit(0)
+        for j in range(max(len(ends) for ends in self.cuts.values())):
+            # one comparison per cut for all classes, so the hash is computed once per cut
+            last = None
+            for c, ends in self.cuts.items():
+                if ends[j] is not None:
+                    row = [F.lit(ends[j][0]).cast("bigint").alias("h"), *[F.lit(v).alias(f"k{i}") for i, v in enumerate(ends[j][1:])]]
+                    mine = quoted(self.label) == F.lit(c)
+                    last = F.when(mine, F.struct(*row)) if last is None else F.when(mine, F.struct(*row)).otherwise(last)
+            passed = passed + (F.lit(1) if last is None else F.coalesce((here > last).cast("int"), F.lit(1)))
+        return passed
 
 
 def fit_cuts(df: DataFrame, label: str, key: Sequence[str], seed: int, quotas: dict) -> ClassCuts:
@@ -105,16 +105,17 @@ def fit_cuts(df: DataFrame, label: str, key: Sequence[str], seed: int, quotas: d
 
 
 def _in_prefixes(spots: dict) -> Column:
+    """Whether the row's class and hash prefix are among the spots, which all have the same number of bits."""
+    bits = next(iter(spots))[2]
     by_class: dict = {}
-    for c, p, bits in spots:
-        by_class.setdefault((c, bits), []).append(p)
-    test = F.lit(False)
-    for (c, bits), prefixes in by_class.items():
-        one = F.col("c") == F.lit(c)
-        if bits:
-            one = one & F.shiftright(F.col("h"), HASH_BITS - bits).isin(prefixes)
-        test = test | one
-    return test
+    for c, p, _ in spots:
+        by_class.setdefault(c, []).append(p)
+    if not bits:
+        return F.col("c").isin(list(by_class))
+    wanted = F.lit(None)
+    for c, prefixes in by_class.items():
+        wanted = F.when(F.col("c") == F.lit(c), F.array(*[F.lit(p).cast("bigint") for p in sorted(prefixes)])).otherwise(wanted)
+    return F.coalesce(F.array_contains(wanted, F.shiftright(F.col("h"), HASH_BITS - bits)), F.lit(False))
 
 
 def train_quotas(counts: dict, test_size: float) -> dict:
