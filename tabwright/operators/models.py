@@ -47,6 +47,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
 UNLIMITED_DEPTH = 15
 DEEPEST = 30
 PARALLEL_FITS = 3
+MISSING_VALUE = -1e300
 
 
 def _lr_params(p: dict, n: int) -> dict:
@@ -104,7 +105,7 @@ def _gbt(classes: int, seed: int, **params) -> GBTClassifier:
 KINDS: dict[str, ModelKind] = {
     "lr": ModelKind(_lr_params, _lr, DEFAULTS["lr"]),
     "rf": ModelKind(_rf_params, _rf, DEFAULTS["rf"]),
-    "xgboost": ModelKind(_gbt_params, _gbt, DEFAULTS["xgboost"], binary=True, missing="keep"),
+    "xgboost": ModelKind(_gbt_params, _gbt, DEFAULTS["xgboost"], binary=True, missing="lowest"),
 }
 
 
@@ -133,11 +134,15 @@ def spark_params(model_type: str, params: dict | None, n: int) -> dict:
 
 
 def assembled(df: DataFrame, features: Sequence[str], missing: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``df`` (or its ``keep`` columns) with the feature vector ``__x``; one projection and one assembler."""
+    """``df`` (or its ``keep`` columns) with the feature vector ``__x``; one projection and one assembler.
+
+    A missing feature is an error, or with ``lowest`` a value below all others, which a tree can split off.
+    """
     names = [f"__f{i}" for i in range(len(features))]
-    numbers = [F.expr(f"{number_sql(df, c)} AS {n}") for c, n in zip(features, names)]
+    fill = f"coalesce({{}}, {MISSING_VALUE!r}D)" if missing == "lowest" else "{}"
+    numbers = [F.expr(f"{fill.format(number_sql(df, c))} AS {n}") for c, n in zip(features, names)]
     wide = df.select(*([quoted(c) for c in keep] or ["*"]), *numbers)
-    vector = VectorAssembler(inputCols=names, outputCol="__x", handleInvalid=missing)
+    vector = VectorAssembler(inputCols=names, outputCol="__x", handleInvalid="error")
     return vector.transform(wide).drop(*names)
 
 

@@ -42,6 +42,7 @@ class Prepared:
 @dataclass
 class TrainingResult:
     data_info: dict[str, Any]
+    test: DataFrame
     models: dict[str, FittedModel] = field(default_factory=dict)
     evaluations: dict[str, Evaluation] = field(default_factory=dict)
     cross_validation: dict[str, Scores] = field(default_factory=dict)
@@ -90,7 +91,8 @@ def train_models(
             "n_features": len(features),
             "target_column": spec.target,
             "imbalance_method": spec.handle_imbalance,
-        }
+        },
+        data.test.drop(LABEL),
     )
     for kind in spec.model_types():
         try:
