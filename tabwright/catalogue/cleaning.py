@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.catalogue.tables import CASES, HOLED_ORDERS, cases, gap, holed_orders, rounded, table
-from tabwright.functions.stage import shared_folder
+from tabwright.functions.stage import scratch_path
 from tabwright.operators.clean import drop_duplicate_rows, duplicate_report, fit_imputer, parse_dates
 from tabwright.operators.encode import fit_label, fit_onehot
 from tabwright.operators.outliers import fit_capper
@@ -44,13 +42,13 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit('say "'), "c_mktsegment", F.lit('", twice')).alias("quoted"),
         (F.col("c_nationkey") % 2 == 0).alias("even"),
     )
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}.csv"
+    path = scratch_path(spark) + ".csv"
     write_csv(customer, path)
     return read_csv(spark, path)
 
 
 def csv_separator(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}.csv"
+    path = scratch_path(spark) + ".csv"
     write_csv(table(spark, folder, "supplier"), path, sep=";")
     return read_csv(spark, path, sep=";")
 

@@ -5,13 +5,11 @@ SQL cannot say these; the tests compare them with brute force on small tables.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.catalogue.tables import PRIORITY_CLASS, cases, rated_documents, rounded
-from tabwright.functions.stage import shared_folder
+from tabwright.functions.stage import scratch_path
 from tabwright.operators.evaluate import roc_auc as auc_table
 from tabwright.operators.evaluate import cumulative_scores, metrics, top_features
 from tabwright.operators.models import fit_model
@@ -133,7 +131,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of a model before saving and after loading agree."""
     data = _labelled(spark, folder)
     model = fit_model(data, FEATURES, "label", "rf", SMALL["rf"])
-    path = save_model(model, spark, f"{shared_folder(spark)}/{uuid.uuid4().hex}")
+    path = save_model(model, spark, scratch_path(spark))
     before = model.predict(data).select("o_orderkey", F.col("prediction").alias("before"))
     after = load_model(spark, path).predict(data).select("o_orderkey", F.col("prediction").alias("after"))
     both = before.join(after, "o_orderkey")
@@ -141,7 +139,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def evaluate_dir(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     data = _labelled(spark, folder)
     for kind in ("lr", "rf"):
         save_model(fit_model(data, FEATURES, "label", kind, SMALL[kind]), spark, f"{path}/models/{kind}", kind)
@@ -170,7 +168,7 @@ RUN_SPEC = PipelineSpec(
 
 def full_run(spark: SparkSession, folder: str) -> DataFrame:
     """Preprocess, build features, train, evaluate; the result is the metrics row of the best model."""
-    done = run(spark, RUN_SPEC, cases(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}")
+    done = run(spark, RUN_SPEC, cases(spark, folder), scratch_path(spark))
     return rounded(done.evaluation.metrics, "accuracy", "f1_macro", "f1_weighted", "precision_macro", "recall_macro", places=4)
 
 

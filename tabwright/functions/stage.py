@@ -35,11 +35,16 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         log.warning("boosting runs without checkpoints: %s", e)
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path; all paths of an application lie in one folder, which may be dropped when the application is over."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and lets each later fit read only its own columns.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

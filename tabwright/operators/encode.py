@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tabwright.functions.columns import existing, long_format, quoted, replaced
 from tabwright.functions.names import clashes
+from tabwright.functions.stage import materialise
 from tabwright.operators.ranks import range_edges, running_totals
 
 log = logging.getLogger(__name__)
@@ -133,4 +134,4 @@ def _large_codes(seen: DataFrame) -> DataFrame:
     # the order column is a key, so __first is distinct per value
     one = seen.withColumn("__one", F.lit(1)).withColumn("__all", F.lit(0))
     ranked = running_totals(one, ["__all"], "__first", ["__one"], range_edges(seen, "__first"))
-    return ranked.select("__value", (F.col("cum___one") - 1).alias("__code"), "n")
+    return materialise(ranked.select("__value", (F.col("cum___one") - 1).alias("__code"), "n"))

@@ -163,9 +163,7 @@ def cumulative_scores(
     scores = class_scores(df, classes, label, probability)
     every = df.select(F.explode(quoted(probability)).alias("score"))
     edges = range_edges(every, "score", rows_per_range)
-    summed = running_totals(scores, ["class"], "score", ["pos", "neg"], edges, descending=True)
-    totals = scores.groupBy("class").agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    return summed.join(F.broadcast(totals), "class")
+    return running_totals(scores, ["class"], "score", ["pos", "neg"], edges, descending=True)
 
 
 def roc_points(cumulative: DataFrame) -> DataFrame:

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from tabwright.functions.stage import materialise
 
 BOX_POINTS = 1000
-MAX_BOXES = 4096
-SAMPLE_PER_BOX = 32
-SAMPLE_VALUES = 4_000_000
+MAX_BOXES = 32_768
+SAMPLE_PER_BOX = 24
+SAMPLE_VALUES = 8_000_000
 BLOCK_POINTS = 4000
 CHUNK_CELLS = 2_000_000
 TOUCH_ROWS = 2000

@@ -48,19 +48,19 @@ def running_totals(
     edges: Sequence[float],
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``cum_<name>`` for every name in ``sums``: the total up to and including the row, per group.
+    """Add, for every name in ``sums``, ``cum_<name>`` (the total up to and including the row) and ``all_<name>``.
 
-    ``df`` must hold one row per (group, order value).
+    Totals are per group; ``df`` must hold one row per (group, order value).
     """
     ranged = with_range(df, order, edges)
     direction = (lambda c: c.desc()) if descending else (lambda c: c.asc())
     totals = ranged.groupBy(*group, "__range").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
     # one row per (group, range): at most MAX_RANGES rows per group, so this window and the broadcast stay small
     earlier = W.partitionBy(*group).orderBy(direction(F.col("__range"))).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        *group, "__range", *[F.coalesce(F.sum(f"__t_{s}").over(earlier), F.lit(0)).alias(f"__o_{s}") for s in sums]
-    )
+    before = [F.coalesce(F.sum(f"__t_{s}").over(earlier), F.lit(0)).alias(f"__o_{s}") for s in sums]
+    whole = [F.sum(f"__t_{s}").over(W.partitionBy(*group)).alias(f"all_{s}") for s in sums]
+    offsets = totals.select(*group, "__range", *before, *whole)
     local = W.partitionBy(*group, "__range").orderBy(direction(F.col(order))).rowsBetween(W.unboundedPreceding, 0)
     joined = ranged.join(F.broadcast(offsets), [*group, "__range"])
-    kept = [c for c in df.columns]
-    return joined.select(*kept, *[(F.sum(s).over(local) + F.col(f"__o_{s}")).alias(f"cum_{s}") for s in sums])
+    running = [(F.sum(s).over(local) + F.col(f"__o_{s}")).alias(f"cum_{s}") for s in sums]
+    return joined.select(*df.columns, *running, *[f"all_{s}" for s in sums])

@@ -10,13 +10,12 @@ import statistics
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from tabwright.functions.stage import materialise
 from tabwright.operators.balance import balanced_weights, smote, with_class_weights
 from tabwright.operators.evaluate import METRICS, metrics
 from tabwright.operators.models import PARALLEL_FITS, FittedModel, fit_model, spark_params
@@ -127,12 +126,14 @@ class Folds:
         self.label, self.features = label, list(features)
         columns = list(dict.fromkeys([*features, label, *key]))
         marked = assign_folds(df.select(*[F.col(f"`{c}`") for c in columns]), label, key, k, seed, "__fold")
-        self.marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
+        # every fit of every candidate reads these tables: written once, they outlive lost executors
+        self.marked = materialise(marked)
         self.folds: list[_Fold] = []
         for i in range(k):
             train = self.marked.where(F.col("__fold") != i).drop("__fold")
             ready, weight = balance.apply(train, features, label)
-            ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+            if balance.method == "smote":
+                ready = materialise(ready)
             test = self.marked.where(F.col("__fold") == i).drop("__fold")
             self.folds.append(_Fold(train, ready, weight, class_counts(ready, label), test))
 
@@ -145,11 +146,6 @@ class Folds:
                 train.append(score_model(model, f.train, self.label, scoring))
         return Scores(dict(params or {}), test, train)
 
-    def close(self) -> None:
-        for f in self.folds:
-            f.fitted_on.unpersist()
-        self.marked.unpersist()
-
 
 def cross_validate(
     df: DataFrame,
@@ -164,11 +160,7 @@ def cross_validate(
     balance: Balance = Balance(),
 ) -> Scores:
     """One score per fold of a stratified, seeded k-fold split."""
-    folds = Folds(df, features, label, key, k, seed, balance)
-    try:
-        return folds.score(model_type, params, seed, scoring, with_train=False)
-    finally:
-        folds.close()
+    return Folds(df, features, label, key, k, seed, balance).score(model_type, params, seed, scoring, with_train=False)
 
 
 def grid_size(space: dict[str, list]) -> int:
@@ -239,18 +231,14 @@ def search(
         candidates = random_choices(space, n_iter, seed)
     else:
         raise ValueError(f"unsupported search method {method!r}, use 'grid' or 'random'")
-    known: dict[str, Any] = {}
     kinds = {json.dumps(spark_params(model_type, c, 1), sort_keys=True): c for c in reversed(candidates)}
     log.info("%d candidates, %d different ones, %d folds", len(candidates), len(kinds), k)
     folds = Folds(df, features, label, key, k, seed, balance)
-    try:
-        run = inheritable_thread_target(df.sparkSession)(
-            lambda c: folds.score(model_type, c, seed, scoring, with_train=True)
-        )
-        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-            known = dict(zip(kinds, pool.map(run, kinds.values())))
-    finally:
-        folds.close()
+    run = inheritable_thread_target(df.sparkSession)(
+        lambda c: folds.score(model_type, c, seed, scoring, with_train=True)
+    )
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        known = dict(zip(kinds, pool.map(run, kinds.values())))
     scores = []
     for c in candidates:
         same = known[json.dumps(spark_params(model_type, c, 1), sort_keys=True)]

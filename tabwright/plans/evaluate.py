@@ -64,7 +64,8 @@ def evaluate_model(
     riding = list(dict.fromkeys([*key, *[c for c in identifiers if c in df.columns], label]))
     predicted = model.predict(df).select(*[quoted(c) for c in riding], "prediction", "probability")
     predicted = materialise(predicted)
-    curves = ev.cumulative_scores(predicted, model.classes, label)
+    # three tables are read off the running totals
+    curves = materialise(ev.cumulative_scores(predicted, model.classes, label))
     return Evaluation(
         name or model.model_type,
         predicted,

@@ -11,7 +11,7 @@ from tabwright.functions.columns import existing
 from tabwright.operators.features import Interactions, add_polynomials, date_parts, fit_interactions
 from tabwright.operators.reduce import Components, fit_components
 from tabwright.operators.select import Selection, fit_selection
-from tabwright.plans.preprocess import ROW_ID
+from tabwright.plans.preprocess import IS_TEST, ROW_ID, fit_rows
 from tabwright.spec import PipelineSpec
 
 
@@ -41,13 +41,13 @@ def fit_features(df: DataFrame, spec: PipelineSpec, categorical: Sequence[str] =
 
     ``categorical`` names the encoded columns that take part in the reduction next to the numeric ones.
     """
-    fixed = [c for c in dict.fromkeys([*spec.untouched, ROW_ID]) if c in df.columns and c != spec.target]
-    interactions = fit_interactions(df, spec.pairs)
+    fixed = [c for c in dict.fromkeys([*spec.untouched, ROW_ID, IS_TEST]) if c in df.columns and c != spec.target]
+    interactions = fit_interactions(fit_rows(df), spec.pairs)
     polynomials = [c for c in spec.role(spec.polynomial_features) if c in df.columns]
     dates = [c for c in spec.role(spec.date_columns) if c in df.columns]
     none = Components([], [], [], [])
     start = FittedFeatures(interactions, polynomials, spec.polynomial_degree, dates, none, None, fixed)
-    built = start.transform(df)
+    built = fit_rows(start.transform(df))
     if not spec.pca_components and not (spec.n_select_features and spec.target in built.columns):
         return start
     components = none

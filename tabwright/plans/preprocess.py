@@ -16,9 +16,24 @@ from tabwright.operators.encode import LabelEncoder, OneHotEncoder, fit_label, f
 from tabwright.operators.outliers import Capper, fit_capper
 from tabwright.operators.profile import clean_column_names
 from tabwright.operators.scale import Scaler, fit_scaler
+from tabwright.operators.split import stratified_split
+from tabwright.operators.target import to_severity
 from tabwright.spec import PipelineSpec
 
 ROW_ID = "row_id"
+IS_TEST = "is_test"
+
+
+def fit_rows(df: DataFrame) -> DataFrame:
+    """The rows that steps may be fitted on: all, or the training part where the split is already marked."""
+    return df.where(~F.col(IS_TEST)) if IS_TEST in df.columns else df
+
+
+def mark_test_rows(df: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """Split before anything is fitted; the mark rides along like an identifier."""
+    cleaned = drop_duplicate_rows(nan_to_null(clean_column_names(df)))
+    labelled = to_severity(cleaned, spec.target, spec.severity_mapping, spec.unmapped_class, "__class")
+    return stratified_split(labelled, "__class", spec.key, spec.test_size, spec.random_state).drop("__class")
 
 
 @dataclass(frozen=True)
@@ -39,7 +54,7 @@ def _read(df: DataFrame, dates: Sequence[str]) -> DataFrame:
 def fit_cleaning(
     df: DataFrame, dates: Sequence[str] = (), numeric: Sequence[str] | None = None, exclude: Sequence[str] = ()
 ) -> FittedCleaning:
-    return FittedCleaning(list(dates), fit_imputer(_read(df, dates), numeric, exclude))
+    return FittedCleaning(list(dates), fit_imputer(fit_rows(_read(df, dates)), numeric, exclude))
 
 
 @dataclass(frozen=True)
@@ -102,8 +117,8 @@ def fit_preprocessing(df: DataFrame, spec: PipelineSpec) -> tuple[FittedPreproce
     outliers = spec.role(spec.handle_outliers_cols)
     capper = Capper({})
     if outliers:
-        capper = fit_capper(cleaned, outliers, spec.outlier_method, spec.outlier_threshold, fixed)
-    capped = capper.transform(cleaned)
+        capper = fit_capper(fit_rows(cleaned), outliers, spec.outlier_method, spec.outlier_threshold, fixed)
+    capped = fit_rows(capper.transform(cleaned))
     numeric = spec.role(spec.numeric_columns)
     scaler = fit_scaler(capped, numeric, spec.scaler_type, fixed) if numeric else Scaler({}, {})
     encoder = None

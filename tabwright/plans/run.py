@@ -11,7 +11,7 @@ from tabwright.operators.encode import OneHotEncoder
 from tabwright.operators.profile import validate_table
 from tabwright.plans.evaluate import Evaluation, evaluate_saved
 from tabwright.plans.featurise import FittedFeatures, fit_features
-from tabwright.plans.preprocess import ROW_ID, FittedPreprocessing, fit_preprocessing
+from tabwright.plans.preprocess import ROW_ID, FittedPreprocessing, fit_preprocessing, mark_test_rows
 from tabwright.plans.train import TrainingResult, train_models
 from tabwright.sources.models import write_report
 from tabwright.sources.tables import read_table, write_table
@@ -40,6 +40,8 @@ def run(spark: SparkSession, spec: PipelineSpec, table: str | DataFrame, output:
     encoded: list[str] = []
     if mode in ("preprocess", "full"):
         validate_table(current, "input table")
+        if spec.fit_on == "train":
+            current = mark_test_rows(current, spec)
         result.preprocessing, done = fit_preprocessing(current, spec)
         if isinstance(result.preprocessing.encoder, OneHotEncoder):
             encoded = result.preprocessing.encoder.names()

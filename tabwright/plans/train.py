@@ -17,6 +17,7 @@ from tabwright.operators.split import class_counts, split_parts
 from tabwright.operators.target import to_severity
 from tabwright.operators.tune import Balance, Scores, SearchResult, cross_validate, search
 from tabwright.plans.evaluate import Evaluation, evaluate_model
+from tabwright.plans.preprocess import IS_TEST, fit_rows
 from tabwright.sources.models import save_model
 from tabwright.spec import PipelineSpec
 
@@ -61,7 +62,10 @@ def prepare(df: DataFrame, spec: PipelineSpec, features: Sequence[str], key: Seq
         raise ValueError(f"missing feature columns: {absent}")
     labelled = to_severity(df, spec.target, spec.severity_mapping, spec.unmapped_class, LABEL)
     check_features(labelled, features, LABEL)
-    train, test = split_parts(labelled, LABEL, key, spec.test_size, spec.random_state)
+    if IS_TEST in labelled.columns:
+        train, test = fit_rows(labelled), labelled.where(IS_TEST)
+    else:
+        train, test = split_parts(labelled, LABEL, key, spec.test_size, spec.random_state)
     train, test = materialise(train), materialise(test)
     balance = Balance(spec.handle_imbalance, tuple(key), spec.random_state)
     ready, weight = balance.apply(train, features, LABEL)
@@ -79,7 +83,7 @@ def train_models(
 ) -> TrainingResult:
     """Train every model type of the spec; one that fails is listed with its error and the others go on."""
     spark = df.sparkSession
-    fixed = {*spec.untouched, *key}
+    fixed = {*spec.untouched, *key, IS_TEST}
     features = list(features) if features else [c for c in df.columns if c not in fixed]
     data = prepare(df, spec, features, key)
     n_train, n_test = sum(data.counts.values()), data.test.count()

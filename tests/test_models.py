@@ -200,6 +200,22 @@ def test_whole_run_from_a_file(spark, cases, tmp_path):
     assert again.evaluation.metrics.first().sample_count == 200
 
 
+def test_fitting_on_the_training_part(spark, cases, tmp_path):
+    spec = PipelineSpec(
+        key_columns=["id"], numeric_columns=FEATURES, handle_outliers_cols=FEATURES[:1], n_select_features=3,
+        model_type="lr", model_params=SMALL, n_splits=0, handle_imbalance="none", fit_on="train",
+    )
+    done = run(spark, spec, cases.drop("label"), str(tmp_path))
+    test = spark.read.parquet(done.paths["test"])
+    train = cases.join(test, "id", "left_anti")
+    assert test.count() == 40 and train.count() == 160
+    means = train.agg(*[F.avg(f).alias(f) for f in FEATURES[1:]]).first()
+    assert all(np.isclose(done.preprocessing.scaler.offsets[f], means[f]) for f in FEATURES[1:])
+    assert done.training.data_info["training_samples"] == 160
+    with pytest.raises(ValueError, match="key_columns"):
+        PipelineSpec(fit_on="train")
+
+
 def test_folder_keeps_errors(spark, cases, tmp_path):
     folder = str(tmp_path / "models")
     save_model(fit_model(cases, FEATURES, "label", "lr", SMALL["lr"]), spark, f"{folder}/good/lr", "good")
