@@ -116,7 +116,10 @@ SELECT r.* EXCLUDE (rk), rk > quota AS is_test FROM r JOIN u ON r.{label} = u.c"
 
 
 def _smote(source: str, key: str, label: str, features: list[str], dist: str, shown: list[str], places: int) -> str:
-    """All pairs inside a class, the five nearest by distance and key, new rows by hash."""
+    """All pairs inside a class, the five nearest by distance and key, new rows by hash.
+
+    Nothing is added when a class to be raised has no more than five rows.
+    """
     moved = ", ".join(f"round(b.{f} + u * (z.{f} - b.{f}), {places}) + 0.0 AS {f}" for f in shown)
     kept = ", ".join(f"round({f}, {places}) + 0.0 AS {f}" for f in shown)
     return f"""
@@ -131,7 +134,7 @@ w AS (SELECT i, copy, {_hash('i', 'copy', '42', "'pick'")} % 5 AS spot,
   {_hash('i', 'copy', '42', "'share'")} / 1152921504606846976.0 AS u FROM s)
 SELECT {kept}, {label}, false AS is_synthetic FROM t
 UNION ALL SELECT {moved}, b.{label}, true FROM w JOIN near ON w.i = near.i AND w.spot = near.spot
-  JOIN b ON b.{key} = w.i JOIN b z ON z.{key} = near.j"""
+  JOIN b ON b.{key} = w.i JOIN b z ON z.{key} = near.j WHERE (SELECT min(k) FROM c, m WHERE k < top) > 5"""
 
 
 _VECTORS = "SELECT vec_id, label, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS v{i}" for i in range(WIDTH)) + " FROM embeddings"

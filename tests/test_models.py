@@ -20,7 +20,7 @@ from tabwright.spec import PipelineSpec
 
 TARGET = "사고유형코드"
 FEATURES = [f"feature_{i}" for i in range(5)]
-SMALL = {"lr": {"max_iter": 30}, "rf": {"n_estimators": 5, "max_depth": 4}, "xgboost": {"n_estimators": 3, "max_depth": 2}}
+SMALL = {"lr": {"max_iter": 8}, "rf": {"n_estimators": 5, "max_depth": 4}, "xgboost": {"n_estimators": 3, "max_depth": 2}}
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +32,7 @@ def cases(spark):
         c = int(rng.choice(3, p=[0.5, 0.3, 0.2]))
         rows.append((i, *[float(x) for x in rng.normal(size=5) + [3 * c, 0, 0, 0, 0]], str([210, 701, 705][c]), c))
     names = ["id bigint", *[f"{f} double" for f in FEATURES], f"`{TARGET}` string", "label int"]
-    return spark.createDataFrame(rows, ", ".join(names)).persist()
+    return spark.createDataFrame(rows, ", ".join(names)).coalesce(2).persist()
 
 
 @pytest.mark.parametrize("kind", ["lr", "rf", "xgboost"])
@@ -101,10 +101,10 @@ def test_search_spaces():
 
 
 def test_cross_validation_is_a_loop_over_folds(spark, cases):
-    scores = cross_validate(cases, FEATURES, "label", ["id"], "lr", SMALL["lr"], k=3)
-    folded = assign_folds(cases, "label", ["id"], 3)
+    scores = cross_validate(cases, FEATURES, "label", ["id"], "lr", SMALL["lr"], k=2)
+    folded = assign_folds(cases, "label", ["id"], 2)
     want = []
-    for i in range(3):
+    for i in range(2):
         model = fit_model(folded.where(F.col("fold") != i), FEATURES, "label", "lr", SMALL["lr"])
         want.append(metrics(model.predict(folded.where(F.col("fold") == i))).first().f1_macro)
     assert np.allclose(scores.test, want, atol=1e-6)
@@ -113,7 +113,7 @@ def test_cross_validation_is_a_loop_over_folds(spark, cases):
 
 
 def test_search_shares_equal_candidates(spark, cases):
-    space = {"C": [0.01, 1.0], "solver": ["lbfgs", "newton-cg"], "max_iter": [20]}
+    space = {"C": [0.01, 1.0], "solver": ["lbfgs", "newton-cg"], "max_iter": [6]}
     found = search(cases, FEATURES, "label", ["id"], "lr", space, k=2, balance=Balance("smote", ("id",)))
     assert len(found.scores) == 4 and found.scores[0].test == found.scores[1].test
     assert found.best_score == max(s.mean for s in found.scores) and found.model.params["C"] == found.best_params["C"]
