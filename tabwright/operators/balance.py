@@ -33,10 +33,11 @@ def balanced_weights(counts: dict) -> dict:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Rows ``label, n, weight``."""
     counts = df.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))
-    return counts.crossJoin(F.broadcast(totals)).select(
-        "label", "n", (F.col("total").cast("double") / (F.col("k") * F.col("n"))).alias("weight")
-    )
+    # one row per class by now, so the classes fit one row
+    whole = counts.agg(F.sum("n").alias("total"), F.collect_list(F.struct("label", "n")).alias("classes"))
+    rows = whole.select("total", F.size("classes").alias("k"), F.explode("classes").alias("c"))
+    weight = F.col("total").cast("double") / (F.col("k") * F.col("c.n"))
+    return rows.select("c.label", "c.n", weight.alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str, weights: dict | None = None, name: str = "weight") -> DataFrame:

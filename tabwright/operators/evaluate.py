@@ -20,6 +20,7 @@ TOP_ROWS = 10
 TOP_FEATURES = 20
 HIGH_CONFIDENCE = 0.8
 MEDIUM_CONFIDENCE = 0.6
+TOP_COLUMNS = ("class", "rank", "class_probability", "predicted_class", "true_class")
 METRICS = ("accuracy", "f1_macro", "f1_weighted", "precision_macro", "recall_macro")
 
 
@@ -216,9 +217,10 @@ def top_predictions(
 ) -> DataFrame:
     """The ``n`` rows most probable for each class, ties in key order, with all probabilities.
 
-    Columns: ``class, rank, class_probability, predicted_class, true_class``, key, identifiers, ``Class_<c>_Prob``.
+    Columns: ``class, rank, class_probability, predicted_class, true_class``, key, identifiers, ``Class_<c>_Prob``;
+    a key or identifier that bears one of the first five names gets ``_id`` appended.
     """
-    riding = list(dict.fromkeys([*key, *[c for c in identifiers if c in df.columns]]))
+    riding = {c: f"{c}_id" if c.lower() in TOP_COLUMNS else c for c in [*key, *[c for c in identifiers if c in df.columns]]}
     entries = F.array(
         *[
             F.struct(F.lit(c).alias("class"), F.element_at(quoted(probability), i + 1).alias("class_probability"))
@@ -229,15 +231,15 @@ def top_predictions(
         F.explode(entries).alias("e"),
         quoted(prediction).alias("predicted_class"),
         quoted(label).alias("true_class"),
-        *[quoted(c) for c in riding],
+        *[quoted(c).alias(name) for c, name in riding.items()],
         quoted(probability).alias("__all"),
-    ).select("e.*", "predicted_class", "true_class", *[quoted(c) for c in riding], "__all")
+    ).select("e.*", "predicted_class", "true_class", *[quoted(c) for c in riding.values()], "__all")
     # the rank limit is applied per task before the shuffle, so a class never travels whole
-    order = W.partitionBy("class").orderBy(F.col("class_probability").desc(), *[quoted(k) for k in key])
+    order = W.partitionBy("class").orderBy(F.col("class_probability").desc(), *[quoted(riding[k]) for k in key])
     ranked = long.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
     others = [F.element_at("__all", i + 1).alias(f"Class_{c}_Prob") for i, c in enumerate(classes)]
     return ranked.select(
-        "class", "rank", "class_probability", "predicted_class", "true_class", *[quoted(c) for c in riding], *others
+        "class", "rank", "class_probability", "predicted_class", "true_class", *[quoted(c) for c in riding.values()], *others
     )
 
 

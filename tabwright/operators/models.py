@@ -172,7 +172,8 @@ class FittedModel:
             yes = [F.element_at(c, 2) for c in columns]
             total = sum(yes[1:], yes[0])
             shares = F.array(*[F.when(total > 0, y / total).otherwise(F.lit(1.0 / len(yes))) for y in yes])
-        scored = out.select(*[quoted(c) for c in df.columns], shares.alias("probability"))
+        kept = [quoted(c) for c in df.columns if c.lower() not in ("prediction", "probability")]
+        scored = out.select(*kept, shares.alias("probability"))
         best = F.array_position("probability", F.array_max("probability"))
         return scored.withColumn("prediction", F.element_at(F.array(*[F.lit(c) for c in self.classes]), best.cast("int")))
 

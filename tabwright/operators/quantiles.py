@@ -30,13 +30,13 @@ class _Search:
     rank: int
     below: int
     inside: int
-    low: float = -math.inf
-    high: float = math.inf
+    low: float | None = None
+    high: float | None = None
     cuts: tuple[float, ...] = ()
     answer: float | None = None
 
     @property
-    def span(self) -> tuple[str, float, float]:
+    def span(self) -> tuple[str, float | None, float | None]:
         return (self.column, self.low, self.high)
 
     @property
@@ -50,11 +50,11 @@ def _sketch(value: Column, centre: float) -> Column:
     return F.percentile_approx(value, ends, SKETCH_ACCURACY)
 
 
-def _within(value: Column, low: float, high: float) -> Column:
+def _within(value: Column, low: float | None, high: float | None) -> Column:
     kept = value
-    if low > -math.inf:
+    if low is not None:
         kept = F.when(value > F.lit(low), kept)
-    if high < math.inf:
+    if high is not None:
         kept = F.when(value < F.lit(high), kept)
     return kept
 
@@ -124,9 +124,9 @@ def _narrow(df: DataFrame, values: dict[str, Column], group: list[_Search]) -> N
         for x in s.cuts:
             if less[(s.column, x)] <= s.rank < upto[(s.column, x)]:
                 s.answer = x
-            elif s.rank < less[(s.column, x)] and x < s.high:
+            elif s.rank < less[(s.column, x)] and (s.high is None or x < s.high):
                 s.high, end = x, less[(s.column, x)]
-            elif s.rank >= upto[(s.column, x)] and x > s.low:
+            elif s.rank >= upto[(s.column, x)] and (s.low is None or x > s.low):
                 s.low, s.below = x, upto[(s.column, x)]
         s.inside, s.cuts = end - s.below, ()
         if s.answer is None and s.span in lists:

@@ -39,7 +39,8 @@ class FittedFeatures:
 def fit_features(df: DataFrame, spec: PipelineSpec, categorical: Sequence[str] = ()) -> FittedFeatures:
     """Interactions, polynomials, date parts, components, selection.
 
-    ``categorical`` names the encoded columns that take part in the reduction next to the numeric ones.
+    ``categorical`` names the encoded columns that take part in the reduction next to the numeric ones; by default
+    those that begin with the name of a categorical column.
     """
     fixed = [c for c in dict.fromkeys([*spec.untouched, ROW_ID, IS_TEST]) if c in df.columns and c != spec.target]
     interactions = fit_interactions(fit_rows(df), spec.pairs)
@@ -52,6 +53,9 @@ def fit_features(df: DataFrame, spec: PipelineSpec, categorical: Sequence[str] =
         return start
     components = none
     if spec.pca_components:
+        if not categorical:
+            stems = tuple(f"{c}_" for c in spec.role(spec.categorical_columns))
+            categorical = [c for c in df.columns if stems and c.startswith(stems)]
         inputs = [c for c in [*spec.role(spec.numeric_columns), *categorical] if c in built.columns and c != spec.target]
         components = fit_components(built, inputs, spec.pca_components)
     selection = None

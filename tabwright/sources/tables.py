@@ -50,7 +50,7 @@ def read_csv(
 
 
 def _known(name: str) -> Column:
-    return F.when(~F.trim(quoted(name)).isin(MISSING_TEXTS), quoted(name))
+    return F.when(~quoted(name).isin(MISSING_TEXTS), quoted(name))
 
 
 def _typed(text: DataFrame) -> DataFrame:

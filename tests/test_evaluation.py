@@ -90,3 +90,10 @@ def test_comparisons(spark):
     assert [r.Model for r in rows] == ["good", "bad"] and rows[0].Speed == "N/A"
     with pytest.raises(ValueError):
         ev.model_comparison({})
+
+
+def test_top_rows_with_clashing_names(spark):
+    df, _ = _scored(spark, 20)
+    named = df.withColumnRenamed("id", "class").withColumn("rank", F.lit("r"))
+    top = ev.top_predictions(named, [0, 1, 2], ["class"], ["rank"], n=2)
+    assert top.columns[5:7] == ["class_id", "rank_id"] and top.count() == 6
