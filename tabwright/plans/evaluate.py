@@ -16,7 +16,7 @@ from tabwright.operators.models import FittedModel
 from tabwright.operators.profile import check_features
 from tabwright.operators.target import SEVERITY, UNMAPPED_CLASS, to_severity
 from tabwright.sources.models import load_model, load_models, rows_of, write_report
-from tabwright.sources.tables import read_table
+from tabwright.sources.tables import read_table, write_csv, write_table
 
 log = logging.getLogger(__name__)
 
@@ -38,6 +38,15 @@ class Evaluation:
     analysis: DataFrame
     features: DataFrame
 
+    def write(self, folder: str) -> None:
+        """Every table below ``folder``: the small ones as CSV, predictions and curves as Parquet."""
+        small = {"metrics": self.metrics, "report": self.report, "confusion": self.confusion, "auc": self.auc, "top": self.top}
+        small |= {"overall": self.overall, "analysis": self.analysis, "feature_importance": self.features}
+        for name, df in small.items():
+            write_csv(df.coalesce(1), f"{folder}/{self.name}_{name}.csv", validate=False)
+        for name, df in {"predictions": self.predictions, "roc": self.roc, "pr": self.pr}.items():
+            write_table(df, f"{folder}/{self.name}_{name}")
+
     def summary(self) -> dict[str, Any]:
         """The bounded results as plain values, for a report."""
         return {
@@ -102,6 +111,7 @@ def evaluate_saved(
     name = name or model_path.rstrip("/").rsplit("/", 1)[-1]
     result = evaluate_model(model, mapped, target, key, name, identifiers)
     if output:
+        result.write(output)
         write_report(spark, result.summary(), output, "single_model_evaluation")
     return result
 
@@ -153,5 +163,9 @@ def evaluate_folder(
             "individual_results": {**{n: e.summary() for n, e in done.items()}, **{n: {"error": t} for n, t in errors.items()}},
             "model_comparison": rows_of(comparison) if comparison is not None else [],
         }
+        for e in done.values():
+            e.write(output)
+        if comparison is not None:
+            write_csv(comparison.coalesce(1), f"{output}/model_comparison.csv", validate=False)
         write_report(spark, results, output, "multiple_models_evaluation")
     return FolderEvaluation(done, errors, comparison, summary)

@@ -6,7 +6,9 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabwright.functions.stage import materialise
 from tabwright.operators.encode import OneHotEncoder
 from tabwright.operators.profile import validate_table
 from tabwright.plans.evaluate import Evaluation, evaluate_saved
@@ -38,8 +40,8 @@ def run(spark: SparkSession, spec: PipelineSpec, table: str | DataFrame, output:
     result = RunResult()
     current = read_table(spark, table) if isinstance(table, str) else table
     encoded: list[str] = []
+    validate_table(current, "input table")
     if mode in ("preprocess", "full"):
-        validate_table(current, "input table")
         if spec.fit_on == "train":
             current = mark_test_rows(current, spec)
         result.preprocessing, done = fit_preprocessing(current, spec)
@@ -50,8 +52,9 @@ def run(spark: SparkSession, spec: PipelineSpec, table: str | DataFrame, output:
         result.features = fit_features(current, spec, encoded)
         current = _written(spark, result.features.transform(current), f"{output}/featured_data", result, "featured")
     key = spec.key or [c for c in [ROW_ID] if c in current.columns]
-    if mode in ("train", "evaluate", "full") and not key:
-        raise ValueError("give key_columns: training and evaluation need a key that identifies each row")
+    if mode in ("train", "evaluate") and not key:
+        # numbers are handed out once, when the table is written
+        current, key = materialise(current.withColumn(ROW_ID, F.monotonically_increasing_id())), [ROW_ID]
     if mode in ("train", "full"):
         result.training = train_models(current, spec, key, output=f"{output}/models")
         write_report(spark, _training_summary(result.training), output, "training_report")

@@ -19,6 +19,7 @@ from tabwright.operators.tune import Balance, Scores, SearchResult, cross_valida
 from tabwright.plans.evaluate import Evaluation, evaluate_model
 from tabwright.plans.preprocess import IS_TEST, fit_rows
 from tabwright.sources.models import save_model
+from tabwright.sources.tables import write_csv
 from tabwright.spec import PipelineSpec
 
 log = logging.getLogger(__name__)
@@ -103,6 +104,7 @@ def train_models(
             _train_one(kind, data, spec, result)
             if output:
                 save_model(result.models[kind], spark, f"{output}/{kind}", kind)
+                result.evaluations[kind].write(f"{output}/{kind}_evaluation")
         except Exception as e:
             log.error("model %s failed: %s", kind, e)
             result.errors[kind] = str(e)
@@ -113,6 +115,8 @@ def train_models(
             save_model(result.models[result.best], spark, f"{output}/best_model", "best_model")
     if len(result.evaluations) > 1:
         result.comparison = model_comparison({k: e.metrics for k, e in result.evaluations.items()})
+        if output:
+            write_csv(result.comparison.coalesce(1), f"{output}/model_comparison.csv", validate=False)
     return result
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field, fields
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 from tabwright.functions.names import clean_list, clean_name
 from tabwright.operators.features import DEGREE, as_pairs
 from tabwright.operators.models import KINDS, MODEL_TYPES
@@ -91,11 +94,18 @@ class PipelineSpec:
         """Settings by name, with ``-`` or ``_``; unknown names are reported and ignored."""
         named = {k.replace("-", "_"): v for k, v in settings.items()}
         known = {f.name for f in fields(PipelineSpec)}
+        if not isinstance(named.get("model_params", {}), dict):
+            log.warning("model parameters without a model type have no effect: %s", named.pop("model_params"))
         extra = sorted(set(named) - known)
         if extra:
             log.warning("settings without effect: %s", extra)
         return PipelineSpec(**{k: v for k, v in named.items() if k in known and v is not None})
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "PipelineSpec":
+        """Settings from a JSON file."""
+        return PipelineSpec.from_dict(json.loads(spark.read.text(path, wholetext=True).first().value))
+
     def model_types(self) -> list[str]:
         wanted = [self.model_type] if isinstance(self.model_type, str) else list(self.model_type)
         if wanted == ["all"]:

@@ -3,12 +3,13 @@ import json
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from tabwright.operators import tune
 from tabwright.operators.evaluate import metrics
 from tabwright.operators.features import add_polynomials, as_pairs, fit_interactions, polynomial_terms
-from tabwright.operators.models import full_params, fit_model, spark_params
+from tabwright.operators.models import KINDS, ModelKind, fit_model, full_params, register_model, spark_params
 from tabwright.operators.reduce import fit_components
 from tabwright.operators.select import anova_scores, fit_selection
 from tabwright.operators.split import assign_folds
@@ -196,6 +197,8 @@ def test_whole_run_from_a_file(spark, cases, tmp_path):
     assert report["sample_count"] == 40 and "report_generated_at" in report["metadata"]
     featured = spark.read.parquet(f"{out}/featured_data")
     assert {"kind_up", "kind_down", "feature_0_feature_1_interaction", "row_id"} <= set(featured.columns)
+    assert spark.read.option("header", True).csv(f"{out}/models/lr_evaluation/lr_confusion.csv").count() == 9
+    assert spark.read.parquet(f"{out}/evaluation/best_model_roc").where("class = 0").count() > 2
     again = run(spark, spec, featured, out, "evaluate")
     assert again.evaluation.metrics.first().sample_count == 200
 
@@ -231,6 +234,30 @@ def test_folder_keeps_errors(spark, cases, tmp_path):
         evaluate_folder(spark, str(tmp_path / "empty"), cases, TARGET, ["id"])
 
 
+def test_a_further_model_type(spark, cases):
+    def tree(classes, seed, **params):
+        return DecisionTreeClassifier(seed=seed, **params)
+
+    register_model("tree", ModelKind(lambda p, n: {"maxDepth": p["max_depth"]}, tree, {"max_depth": 3}))
+    try:
+        model = fit_model(cases, FEATURES, "label", "tree")
+        assert model.predict(cases).where("prediction = label").count() > 150
+        assert PipelineSpec(model_type=["tree"]).model_types() == ["tree"]
+    finally:
+        KINDS.pop("tree")
+
+
+def test_spec_from_a_file(spark, tmp_path):
+    settings = {
+        "input-path": "in.csv", "target-column": TARGET, "mode": "full", "numeric-columns": ["asset", "sales"],
+        "identifier-columns": ["사고번호"], "enable-pca": True, "date-features": True, "pca-components": 10,
+        "model-type": "all", "model-params": ["n_estimators=100"], "interaction-features": ["asset", "sales"],
+    }
+    (tmp_path / "config.json").write_text(json.dumps(settings, ensure_ascii=False, indent=1), encoding="utf-8")
+    spec = PipelineSpec.load(spark, str(tmp_path / "config.json"))
+    assert spec.pairs == [("asset", "sales")] and spec.pca_components == 10 and spec.model_params == {}
+
+
 def test_spec_checks():
     for wrong in ({"test_size": 0}, {"n_splits": -1}, {"polynomial_degree": 0}, {"model_type": "svm"}, {"handle_imbalance": "magic"}):
         with pytest.raises(ValueError):
