@@ -37,7 +37,13 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """All cells over the union of true and predicted classes, zeros included."""
-    cells = confusion_counts(df, label, prediction)
+    return confusion_grid(confusion_counts(df, label, prediction))
+
+
+# The functions on ``cells`` take the counts of ``confusion_counts``, so one pass over the predictions serves them all.
+
+
+def confusion_grid(cells: DataFrame) -> DataFrame:
     # every class appears at least once on either side, so the k classes come from the cells themselves
     grid = (
         cells.agg(F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction"))).alias("all"))
@@ -51,7 +57,10 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
 
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows ``label, precision, recall, f1, support, predicted``; a ratio over zero is 0."""
-    cells = confusion_counts(df, label, prediction)
+    return class_ratios(confusion_counts(df, label, prediction))
+
+
+def class_ratios(cells: DataFrame) -> DataFrame:
     sides = cells.select(
         F.explode(
             F.array(
@@ -86,10 +95,11 @@ def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row: accuracy, macro precision, recall and F1, weighted F1, number of samples."""
-    return _summary(per_class(df, label, prediction))
+    return summary_metrics(confusion_counts(df, label, prediction))
 
 
-def _summary(classes: DataFrame) -> DataFrame:
+def summary_metrics(cells: DataFrame) -> DataFrame:
+    classes = class_ratios(cells)
     total = F.sum("support")
     return classes.agg(
         _ratio(F.sum("hits"), total).alias("accuracy"),
@@ -103,7 +113,11 @@ def _summary(classes: DataFrame) -> DataFrame:
 
 def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows ``name, precision, recall, f1, support``: every class, accuracy, macro and weighted average."""
-    classes = per_class(df, label, prediction)
+    return report_rows(confusion_counts(df, label, prediction))
+
+
+def report_rows(cells: DataFrame) -> DataFrame:
+    classes = class_ratios(cells)
     total = F.sum("support")
 
     def weighted(c: str) -> Column:
@@ -245,8 +259,11 @@ def top_predictions(
 
 def overall_analysis(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row: ``n_samples, accuracy, n_classes`` over the union of true and predicted classes."""
-    classes = per_class(df, label, prediction)
-    return classes.agg(
+    return overall_row(confusion_counts(df, label, prediction))
+
+
+def overall_row(cells: DataFrame) -> DataFrame:
+    return class_ratios(cells).agg(
         F.sum("support").alias("n_samples"),
         _ratio(F.sum("hits"), F.sum("support")).alias("accuracy"),
         F.count(F.lit(1)).alias("n_classes"),
@@ -264,6 +281,11 @@ def prediction_analysis(
 ) -> DataFrame:
     """Per class: true and predicted counts and a profile of its top ``n`` rows; shares are of ``n``."""
     top = top_predictions(df, classes, key, (), n, label, prediction, probability)
+    return class_analysis(confusion_counts(df, label, prediction), top, n)
+
+
+def class_analysis(cells: DataFrame, top: DataFrame, n: int = TOP_ROWS) -> DataFrame:
+    """The analysis from confusion counts and top rows."""
     p = F.col("class_probability")
     profile = top.groupBy("class").agg(
         F.min(p).alias("top_min_probability"),
@@ -274,7 +296,7 @@ def prediction_analysis(
         F.count_if((p >= MEDIUM_CONFIDENCE) & (p < HIGH_CONFIDENCE)).alias("medium_confidence"),
         F.count_if(p < MEDIUM_CONFIDENCE).alias("low_confidence"),
     )
-    counts = per_class(df, label, prediction).select(
+    counts = class_ratios(cells).select(
         F.col("label").alias("class"), F.col("support").alias("true_count"), F.col("predicted").alias("predicted_count")
     )
     return counts.join(F.broadcast(profile), "class", "left").select(

@@ -23,7 +23,7 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class Evaluation:
-    """All result tables of one model; each is lazy and small, except the two curves."""
+    """All result tables of one model; predictions and the two curves may be large, the others are small."""
 
     name: str
     predictions: DataFrame
@@ -75,22 +75,30 @@ def evaluate_model(
     predicted = materialise(predicted)
     # three tables are read off the running totals
     curves = materialise(ev.cumulative_scores(predicted, model.classes, label))
+    # at most classes² counts and top_n rows per class: fetched once, so the tables below cost no further scan
+    cells = _fetched(ev.confusion_counts(predicted, label))
+    top = _fetched(ev.top_predictions(predicted, model.classes, key, identifiers, top_n, label))
     return Evaluation(
         name or model.model_type,
         predicted,
-        ev.metrics(predicted, label),
-        ev.class_report(predicted, label),
-        ev.confusion_matrix(predicted, label),
+        ev.summary_metrics(cells),
+        ev.report_rows(cells),
+        ev.confusion_grid(cells),
         ev.roc_points(curves),
-        ev.roc_auc(curves),
+        _fetched(ev.roc_auc(curves)),
         ev.pr_points(curves),
-        ev.top_predictions(predicted, model.classes, key, identifiers, top_n, label),
-        ev.overall_analysis(predicted, label),
-        ev.prediction_analysis(predicted, model.classes, key, top_n, label),
+        top,
+        ev.overall_row(cells),
+        ev.class_analysis(cells, top, top_n),
         ev.top_features(model.importances(), predicted),
     )
 
 
+def _fetched(df: DataFrame) -> DataFrame:
+    """A table of few rows, held by the driver."""
+    return df.sparkSession.createDataFrame(df.toArrow())
+
+
 def evaluate_saved(
     spark: SparkSession,
     model_path: str,
