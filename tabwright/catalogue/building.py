@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.catalogue.tables import CASES, RATED_DOCUMENTS, cases, gap, rated_documents, rounded, table
+from tabwright.catalogue.tables import CASES, RATED_DOCUMENTS, cases, gap, rounded, table, written_documents
 from tabwright.operators.features import add_polynomials, date_parts, fit_interactions
 from tabwright.operators.reduce import fit_components
 from tabwright.operators.select import fit_selection
@@ -80,7 +80,7 @@ DOCUMENT_NUMBERS = ["chars", "words", "lines"]
 
 
 def mutual_information(spark: SparkSession, folder: str) -> DataFrame:
-    documents = rated_documents(spark, folder)
+    documents = written_documents(spark, folder)
     return rounded(fit_selection(documents, DOCUMENT_NUMBERS, "lang", 2, "mutual_info").score_table(documents), "score", places=5)
 
 

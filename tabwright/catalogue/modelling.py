@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.catalogue.tables import CASES, PRIORITY_CLASS, cases, rated_documents, rounded
+from tabwright.catalogue.tables import CASES, PRIORITY_CLASS, cases, rounded, written_documents
 from tabwright.functions.stage import scratch_path
 from tabwright.operators.evaluate import roc_auc as auc_table
 from tabwright.operators.evaluate import cumulative_scores, metrics, top_features
@@ -73,7 +73,7 @@ DOCUMENTS = ["chars", "words", "lines"]
 
 def document_quality(spark: SparkSession, folder: str) -> DataFrame:
     """A two-class model scored by its area under the curve."""
-    documents = rated_documents(spark, folder)
+    documents = written_documents(spark, folder)
     train, test = split_parts(documents, "quality", ["doc_id"], 0.3)
     model = fit_model(train, DOCUMENTS, "quality", "rf", SMALL["rf"])
     return rounded(auc_table(cumulative_scores(model.predict(test), model.classes, "quality")), "auc", places=4)
@@ -92,7 +92,7 @@ def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def cv_balanced(spark: SparkSession, folder: str) -> DataFrame:
     """Synthetic rows are made inside each fold's training part only."""
-    documents = rated_documents(spark, folder)
+    documents = written_documents(spark, folder)
     scores = cross_validate(documents, DOCUMENTS, "quality", ["doc_id"], "lr", SMALL["lr"], k=3, balance=Balance("smote", ("doc_id",)))
     rows = [(i, s) for i, s in enumerate(scores.test)]
     return rounded(spark.createDataFrame(rows, "fold int, f1_macro double"), "f1_macro", places=4)
@@ -174,7 +174,7 @@ def full_run(spark: SparkSession, folder: str) -> DataFrame:
 
 def balanced_training(spark: SparkSession, folder: str) -> DataFrame:
     """Split, balance the training part with synthetic rows, fit, and score the untouched test part."""
-    documents = rated_documents(spark, folder)
+    documents = written_documents(spark, folder)
     train, test = split_parts(documents, "class", ["doc_id"], 0.3)
     ready, _ = Balance("smote", ("doc_id",)).apply(train, DOCUMENTS, "class")
     model = fit_model(ready, DOCUMENTS, "class", "rf", SMALL["rf"])

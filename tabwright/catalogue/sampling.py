@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.catalogue.tables import PRIORITY_CLASS, RATED_DOCUMENTS, rated_documents, rounded, table
+from tabwright.catalogue.tables import PRIORITY_CLASS, RATED_DOCUMENTS, rated_documents, rounded, table, written_documents
 from tabwright.operators import balance
 from tabwright.operators.split import assign_folds, stratified_split
 from tabwright.operators.target import class_distribution as distribution
@@ -63,7 +63,7 @@ DOCUMENT_FEATURES = ["chars", "words", "lines"]
 
 def smote_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole numbers, so many rows share a place."""
-    made = balance.smote(rated_documents(spark, folder), DOCUMENT_FEATURES, "class", ["doc_id"])
+    made = balance.smote(written_documents(spark, folder), DOCUMENT_FEATURES, "class", ["doc_id"])
     return rounded(made.select(*DOCUMENT_FEATURES, "class", "is_synthetic"), *DOCUMENT_FEATURES)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.functions.stage import materialise
 from tabwright.sources.tables import read_table
 
 
@@ -80,6 +81,11 @@ def rated_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def written_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows, written once: for jobs that read them many times the texts are split only once."""
+    return materialise(rated_documents(spark, folder))
+
+
 RATED_DOCUMENTS = """
 SELECT d.doc_id, lang, source, n_chars::DOUBLE AS chars, len(string_split(text, ' '))::DOUBLE AS words,
   len(string_split(text, chr(10)))::DOUBLE AS lines, quality, toxic, (toxic * 2 + quality)::INTEGER AS class
