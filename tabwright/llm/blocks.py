@@ -15,6 +15,7 @@ import pyarrow as pa
 #: Bytes of text that are worked on at once (one longer document is a block of its own).
 BLOCK_BYTES = 2 << 20
 #: Odd bases of the two polynomials, and a base for sequences of words.
+SIZE_MARK = 0xA0761D6478BD642F
 BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -57,7 +58,7 @@ class Rolling:
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Mixed hash of values[start:end] for each range; ranges of different length differ."""
         raw = (self.sums[ends] - self.sums[starts]) * self.down[starts]
-        return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(SIZE_MARK))
 
     def windows(self, size: int) -> np.ndarray:
         """The same for every range of ``size`` values."""
@@ -65,7 +66,7 @@ class Rolling:
         if n <= 0:
             return np.zeros(0, np.uint64)
         raw = (self.sums[size:] - self.sums[:n]) * self.down[:n]
-        return mix(raw + np.uint64(size) * np.uint64(0xA0761D6478BD642F))
+        return mix(raw + np.uint64(size * SIZE_MARK % (1 << 64)))
 
 
 @dataclass

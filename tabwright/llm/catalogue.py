@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import quality_rules, secrets
+from tabwright.llm import quality_rules, secrets, substring_dedup, suffix_dedup
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_bytes(documents(spark, folder)).drop("kept_bytes")
+
+
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeated_runs(documents(spark, folder)).drop("kept_text")
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, folder))
 
@@ -22,6 +30,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
