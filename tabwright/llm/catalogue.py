@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import quality_rules, secrets, substring_dedup, suffix_dedup
+from tabwright.llm import near_dup, quality_rules, secrets, substring_dedup, suffix_dedup
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeated_runs(documents(spark, folder)).drop("kept_text")
 
 
+def op7_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, folder), size=4)
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, folder))
 
@@ -32,6 +36,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
