@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import near_dup, quality_rules, secrets, substring_dedup, suffix_dedup
+from tabwright.llm import near_dup, packing, pu_quality, quality_rules, secrets, substring_dedup, suffix_dedup
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(documents(spark, folder), path, with_ids=False)
+
+
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeated_bytes(documents(spark, folder)).drop("kept_bytes")
 
@@ -29,15 +39,21 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, folder))
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return pu_quality.classify(documents(spark, folder), labels(spark, folder))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(documents(spark, folder))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_secret_scan": op8_secret_scan,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
