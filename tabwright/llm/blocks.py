@@ -113,14 +113,19 @@ class Words:
     bounds: np.ndarray
 
 
-def words_of(block: Block, data: np.ndarray | None = None) -> Words:
-    """Runs of bytes that are neither a space nor 9 to 13; a word never crosses documents."""
+#: Bytes of plain words: letters and digits, and all bytes of other scripts.
+PLAIN = np.zeros(256, bool)
+PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def words_of(block: Block, data: np.ndarray | None = None, plain: bool = False) -> Words:
+    """Runs of bytes that are neither a space nor 9 to 13 (``plain``: of PLAIN bytes); a word never crosses documents."""
     data = block.data if data is None else data
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(0, np.uint64), np.zeros(len(block.bounds), np.int64))
-    solid = (data != 32) & ((data < 9) | (data > 13))
+    solid = PLAIN[data] if plain else (data != 32) & ((data < 9) | (data > 13))
     begin = solid.copy()
     begin[1:] &= ~solid[:-1]
     heads = block.bounds[:-1]

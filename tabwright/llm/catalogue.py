@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import near_dup, packing, pu_quality, quality_rules, secrets, substring_dedup, suffix_dedup
+from tabwright.llm import decontaminate, lm_scores, near_dup, packing, pu_quality, quality_rules, secrets, substring_dedup, suffix_dedup
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,10 +23,19 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), path, with_ids=False)
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeated_bytes(documents(spark, folder)).drop("kept_bytes")
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = labels(spark, folder).where("quality = 1 and toxic = 0")
+    return lm_scores.cross_entropy_difference(documents(spark, folder), trusted)
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeated_runs(documents(spark, folder)).drop("kept_text")
 
@@ -49,7 +58,9 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_secret_scan": op8_secret_scan,
