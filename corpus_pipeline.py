@@ -1,22 +1,52 @@
-"""The corpus pipeline: STAGES in order, each on all that its predecessor kept."""
+"""The corpus pipeline: STAGES in order, each on all that its predecessor kept.
+
+Texts that the quality classifier rejects go; one text of each group of near-duplicates stays (five-word shingles,
+similarity 0.8); texts that contain a test item go; secrets are replaced by a mark; what is left is packed.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import secrets
+from tabwright.functions.stage import materialise
+from tabwright.llm import decontaminate, near_dup, packing, pu_quality, secrets
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pu_quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.drop_near_duplicates(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact_secrets(docs)
 
 
-STAGES = [("secret scans", secret_scans)]
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("MinHash near-dedup", minhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("packing", packing_stage),
+]
+#: A trained model, signatures and token ids have no SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each stage's rows are written once and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

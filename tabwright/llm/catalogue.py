@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabwright.llm import decontaminate, lm_scores, near_dup, packing, pu_quality, quality_rules, secrets, substring_dedup, suffix_dedup
+from tabwright.llm import decontaminate, licenses, lm_scores, near_dup, packing, pu_quality, quality_rules, secrets, substring_dedup, suffix_dedup
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,6 +37,19 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scores.cross_entropy_difference(documents(spark, folder), trusted)
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.license_notices(documents(spark, folder))
+    place = F.transform("notices", lambda n: F.concat_ws(":", n["family"], n["start"], n["end"]))
+    return found.select(
+        "doc_id",
+        F.size("notices").cast("long").alias("n_notices"),
+        F.concat_ws(",", F.array_sort(F.array_distinct(F.col("notices.family")))).alias("families"),
+        F.concat_ws(",", place).alias("spans"),
+        F.array_max(F.col("notices.probability")).alias("best_probability"),
+        F.array_max(F.col("notices.overlap")).alias("best_overlap"),
+    )
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeated_runs(documents(spark, folder)).drop("kept_text")
 
@@ -61,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_license_scan": op5_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_secret_scan": op8_secret_scan,

@@ -264,3 +264,9 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, and those without an id, with all columns."""
+    kept = near_duplicates(docs, size, percent).where("kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))

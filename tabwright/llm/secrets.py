@@ -221,6 +221,9 @@ def _redact(mark: str):
 def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span found in ``text`` replaced by ``mark``; overlapping spans become one mark.
 
-    All other columns and all rows stay; null and empty texts stay as they are.
+    All rows and columns stay; a column ``n_chars`` is counted anew (null for a null text). Null and empty texts stay.
     """
-    return docs.mapInArrow(_redact(mark), docs.schema)
+    out = docs.mapInArrow(_redact(mark), docs.schema)
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
