@@ -1,0 +1,185 @@
+"""Secrets, licence notices, benchmark leaks."""
+
+import base64
+import hashlib
+import json
+import re
+
+import pytest
+
+from tabwright.llm import decontaminate, licenses, secrets
+
+
+def _der(tag, body):
+    n = len(body)
+    size = bytes([n]) if n < 128 else bytes([0x81, n]) if n < 256 else bytes([0x82, n >> 8, n & 255])
+    return bytes([tag]) + size + body
+
+
+RSA = _der(0x30, b"".join(_der(2, b"\1" * k) for k in (1, 65, 3, 64, 33, 33, 32, 32, 32)).replace(b"\2\1\1", b"\2\1\0", 1))
+PKCS8 = _der(0x30, _der(2, b"\0") + _der(0x30, _der(6, b"\x2b\x65\x70")) + _der(4, _der(4, b"\7" * 32)))
+SSH = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + (1).to_bytes(4, "big") + b"".join(len(x).to_bytes(4, "big") + x for x in (b"public", b"private" * 9))
+
+
+def _b64(x, url=False):
+    return (base64.urlsafe_b64encode(x).rstrip(b"=") if url else base64.b64encode(x)).decode()
+
+
+TOKEN = ".".join(_b64(json.dumps(x).encode(), True) for x in ({"alg": "HS256", "typ": "JWT"}, {"sub": 1})) + "." + _b64(b"s" * 32, True)
+PEM = "-----BEGIN PRIVATE KEY-----\n" + re.sub(".{64}", r"\g<0>\n", _b64(PKCS8)) + "\n-----END PRIVATE KEY-----"
+BROKEN = _b64(RSA[:-5] + b"12345678")
+
+
+def _kinds(text):
+    return [k for _, k, _ in secrets.ordered(secrets.confirmed_spans(text))]
+
+
+def test_structure_confirms():
+    assert _kinds(f"a {_b64(RSA)} b") == ["base64key"] and _kinds(f"a {_b64(SSH)} b") == ["base64key"]
+    assert _kinds(f"key {PKCS8.hex()} end") == ["hexkey"] if len(PKCS8) >= 32 else True
+    assert _kinds(f"x {PEM} y") == ["pem"] and _kinds(f"bearer {TOKEN}") == ["signed"]
+    assert _kinds(f"a {BROKEN} {_b64(b'nothing at all here, only plain words in base64')}") == []
+    assert _kinds("-----BEGIN PRIVATE KEY-----\nhello\n-----END PRIVATE KEY-----") == []
+    assert _kinds(TOKEN[:-43]) == [] and _kinds("eyJhbGciOjF9.eyJhIjoxfQ.abcd") == []
+
+
+def test_base_patterns_are_leftmost_and_do_not_overlap():
+    text = "é secret: token: abcdefghijklmnop PASSWORD = 'abcdefghijkl' AKIAAKIA12345678901 api_key=\"x\" 0123456789abcdef0 toKen=ABCDEFGHIJK ſecret=abcdefghijklmnop"
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    expected = [(m.start(), "assign", m.end()) for m in assign.finditer(text) if len(m[2]) >= 12]
+    expected += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    expected += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    assert sorted(secrets.base_spans(text)) == sorted(expected) and len(expected) == 3
+
+
+def test_scan_and_redaction(spark, no_docs, edge_docs):
+    text = f"é token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\" then {TOKEN} end"
+    docs = spark.createDataFrame([(1, text, 5), (1, text, 5), (None, text, 5), (2, None, None), (3, "", 0)], "doc_id bigint, text string, n_chars bigint")
+    rows = secrets.secret_spans(docs).collect()
+    assert len(rows) == 5
+    one, empty = rows[0], rows[3]
+    a, h, s = text.index("token"), text.index("24be"), text.index("eyJ")
+    base = f"assign:{a}:{h + 40},hex:{h}:{h + 40}"
+    assert (one.n_assign, one.n_access, one.n_hex) == (1, 0, 1) and one.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert one.spans == f"{base},signed:{s}:{s + len(TOKEN)}"
+    assert tuple(empty) == (2, 0, 0, 0, hashlib.sha256(b"").hexdigest(), "")
+    out = secrets.redact_secrets(docs).collect()
+    assert out[0].text == 'é [secret]" then [secret] end' and out[0].n_chars == len(out[0].text)
+    assert (out[3].text, out[3].n_chars, out[4].text) == (None, None, "")
+    assert secrets.secret_spans(no_docs).count() == secrets.redact_secrets(no_docs).count() == 0
+    assert secrets.redact_secrets(edge_docs).columns == edge_docs.columns
+
+
+@pytest.fixture(scope="module")
+def model(prose):
+    return licenses.train([line for t in prose if t for line in t.split("\n") if line.strip()])
+
+
+def _notices(model, text):
+    import pyarrow as pa
+
+    from tabwright.llm.blocks import blocks
+
+    return [x for b in blocks(pa.array([text])) for x in licenses.notices_in(model, b)]
+
+
+def test_families_are_told_apart(model, prose):
+    import random
+
+    rng, right, n = random.Random(99), 0, 0
+    filler = [w for t in prose[:20] for w in (t or "").split()]
+    for family, notices in licenses.TEMPLATES.items():
+        for _ in range(10):
+            found = _notices(model, licenses.variations(rng, rng.choice(notices), filler))
+            right, n = right + ([x[3] for x in found] == [family]), n + 1
+    assert right >= 0.9 * n
+
+
+def test_unknown_and_ordinary(model, prose):
+    assert [x[3] for x in _notices(model, "Licensed under the Zork Public License, version 7.")] == ["unknown"]
+    assert sum(bool(_notices(model, t)) for t in prose if t) == 0
+    text = f"É first\n{licenses.TEMPLATES['MIT'][0]}\nlast"
+    assert [(x[1], x[2], x[3]) for x in _notices(model, text)] == [(8, 8 + len(licenses.TEMPLATES["MIT"][0]), "MIT")]
+
+
+def test_license_scan_of_edge_rows(edge_docs, no_docs):
+    found = licenses.license_notices(edge_docs)
+    assert found.count() == edge_docs.count() and found.where("size(notices) > 0").count() == 0
+    assert licenses.license_notices(no_docs).count() == 0
+
+
+ITEMS = [
+    (1, "What is the tall bafogu hejelo of mu? The answer is pericoso tuvawe xiyo zubace."),
+    (2, "Sosoma lori kata bice muna pelo wexi gufo daje tulu rari soki. Nepa zuzu vava titi lolo?"),
+    (3, "the of and"),
+    (4, None),
+    (5, ""),
+    (6, "the of and a rare zyzzyva occurs here in the middle of it all"),
+]
+
+
+def _leaks(spark, texts):
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, items).collect()}
+
+
+def test_leaks(spark, prose, no_docs):
+    rest = " ".join(t for t in prose[:30] if t)
+    half = ITEMS[1][1].split(". ")
+    texts = [
+        (10, f"{rest} {ITEMS[0][1].upper()} {rest}"),
+        (11, ITEMS[1][1].replace(" ", " - ")),
+        (12, rest),
+        (13, None),
+        (14, ""),
+        (15, f"{rest} {half[0]} {rest}"),  # the question without its answer
+        (16, f"{rest} {half[1]} {rest}"),  # the answer alone
+        (17, " ".join(sorted(ITEMS[1][1].split()))),  # all its words in another order
+        (None, ITEMS[5][1]),
+        (18, "the of and"),
+    ]
+    found = _leaks(spark, texts)
+    assert set(found) == {(10, 1), (11, 2), (15, 2), (None, 6), (18, 3)}
+    assert found[10, 1].score == pytest.approx(1) and found[10, 1].answer_overlap == 1
+    assert found[15, 2].question_overlap == 1 and found[15, 2].answer_overlap == 0
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()) == [12, 13, 14, 16, 17]
+    assert decontaminate.contaminated(no_docs, items).count() == 0
+    none = items.where("item_id < 0")
+    assert decontaminate.contaminated(docs, none).count() == 0 and decontaminate.drop_contaminated(docs, none).count() == len(texts)
+
+
+def test_bounds_lose_no_passage(prose):
+    """The search gives the passages that scoring everything gives."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tabwright.llm.blocks import blocks, lower_ascii, words_of
+
+    index = decontaminate.build_index([(i, t) for i, t in enumerate(prose[:45])])
+    for block in blocks(pa.array(prose, pa.string()), 20_000):
+        words = words_of(block, lower_ascii(block.data), plain=True)
+        for threshold in (0.2, 0.5, 0.9):
+            found = {(d, a, i): s for d, a, _, i, s in decontaminate.search(index, words.ids, words.bounds, threshold)}
+            expected = {}
+            for d in range(len(words.bounds) - 1):
+                a, end = int(words.bounds[d]), int(words.bounds[d + 1])
+                starts = [a] + list(range(a + index.longest, end - index.longest, index.longest)) if end > a else []
+                for s in starts:
+                    score = np.zeros(len(index.items))
+                    for t in np.unique(words.ids[s : min(s + 2 * index.longest, end)]):
+                        k = int(np.searchsorted(index.terms, t))
+                        if k < len(index.terms) and index.terms[k] == t:
+                            part = slice(index.bounds[k], index.bounds[k + 1])
+                            score[index.posting_item[part]] += index.posting_share[part]
+                    expected |= {(d, s, i): score[i] for i in np.flatnonzero(score >= threshold - 1e-9).tolist()}
+            assert found == pytest.approx(expected)
+
+
+def test_several_indexes_find_the_same(spark):
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    one, many = list(decontaminate.indexes(items)), list(decontaminate.indexes(items, 60))
+    assert len(one) == 1 and len(many) > 1
+    assert sorted(i for x in many for i in x.items) == sorted(one[0].items) == [1, 2, 3, 6]
