@@ -7,7 +7,8 @@
 3. A pair is compared signature batch by batch and dropped once the posterior probability that its similarity reaches
    the threshold is below the chosen miss probability. Survivors are confirmed by the overlap of their full sets.
 4. Buckets whose members are not all connected after two rounds of hubs are settled within tasks, in tiles of bounded
-   size: members of their smaller components against all others; only pairs that survive the bounds leave the task.
+   size: members of their smaller components against members of other components, by the same bounds and the same full
+   sets. Only confirmed links leave a task, and of buckets with the same members only one is looked at.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ HASHES = BANDS * ROWS
 #: Hashes that are compared before each check of the posterior.
 BATCH = 32
 #: Members of a bucket that one tile holds on either side.
-TILE = 2048
+TILE = 512
 
 _MULTIPLY = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _ADD = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -85,9 +86,10 @@ def _digest(size: int):
 
 
 def bucket_keys(sig: np.ndarray) -> np.ndarray:
-    """The bucket of each band of each signature."""
-    keys = np.ascontiguousarray(sig).view(np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return mix(keys).view(np.int64)
+    """The bucket of each band of each signature; its last 5 bits are the band."""
+    band = np.arange(BANDS, dtype=np.uint64)
+    keys = np.ascontiguousarray(sig).view(np.uint64) + (band + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mix(keys) & np.uint64(2**64 - BANDS)) | band).view(np.int64)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,23 +149,31 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _tile(least: list[int]):
-    """Pairs of a tile that may be similar: minor members against members of other components."""
+def _tile(least: list[int], size: int, percent: int):
+    """Links of a tile: its minor members against its members of other components."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(-1, HASHES)
+        sets = [x for block in blocks(pa.array(rows["text"])) for x in shingle_sets(block, size)]
+        n = np.array([len(x) for x in sets])
         component = pd.factorize(rows["component"])[0]
-        rep = rows["rep"].to_numpy()
-        band = int(np.flatnonzero(bucket_keys(sig[:1])[0] == rows["bucket"].iloc[0])[0])
-        minor, other = np.flatnonzero(rows["minor"].to_numpy()), np.flatnonzero(rows["any"].to_numpy())
+        rep, minor = rows["rep"].to_numpy(), rows["minor"].to_numpy(bool)
+        band = int(rows["bucket"].iloc[0]) % BANDS
+        other = np.flatnonzero(~minor)
         found = []
-        for i in minor.tolist():
-            j = other[component[other] != component[i]]
+        for i in np.flatnonzero(minor).tolist():
+            j = other[(component[other] != component[i]) & (rep[other] != rep[i])]
             j = j[alive(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j], least)]
-            if len(j):  # a pair is left to the first band that it shares
-                same = (sig[j].reshape(-1, BANDS, ROWS) == sig[i].reshape(BANDS, ROWS)).all(axis=2)
-                j = j[same.argmax(axis=1) == band]
-                found += [(min(rep[i], rep[k]), max(rep[i], rep[k])) for k in j.tolist()]
+            # a pair is left to the first band that it shares
+            same = (sig[j].reshape(-1, BANDS, ROWS) == sig[i].reshape(BANDS, ROWS)).all(axis=2)
+            j = j[same.argmax(axis=1) == band]
+            if not len(j):
+                continue
+            flat = np.concatenate([sets[k] for k in j.tolist()])
+            place = np.minimum(np.searchsorted(sets[i], flat), n[i] - 1)
+            common = np.add.reduceat(sets[i][place] == flat, np.cumsum(n[j]) - n[j])
+            j = j[100 * common >= percent * (n[i] + n[j] - common)]
+            found += [(min(rep[i], rep[k]), max(rep[i], rep[k])) for k in j.tolist()]
         return pd.DataFrame(found, columns=["l", "r"])
 
     return run
@@ -177,51 +187,61 @@ class _Candidates:
         self.kind = texts.schema["doc_id"].dataType.simpleString()
         bands = classes.select("rep", "sig").mapInArrow(_bands, f"bucket long, rep {self.kind}")
         shared = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
+        #: Members of buckets with their hub, the smallest of them.
         self.members = materialise(bands.join(shared.select("bucket", "hub"), "bucket"))
         several = self.members.select("rep").distinct()
         self.sigs = materialise(classes.select("rep", "sig").join(several, "rep"))
         # a document that stands for a class may repeat its id with another text; its class is told by the digest
         self.texts = materialise(texts.join(several, texts["doc_id"] == several["rep"]).select("rep", "text").distinct())
-        self.links: DataFrame | None = None
+        self.nodes: DataFrame | None = None
 
     def confirm(self, pairs: DataFrame) -> None:
-        """Add the pairs (l, r) that are similar to the links."""
+        """Find those of the pairs (l, r) that are similar."""
         sig, text = self.sigs, self.texts
         both = pairs.join(sig.toDF("l", "ls"), "l").join(sig.toDF("r", "rs"), "r").select("l", "r", "ls", "rs")
         alive_pairs = materialise(both.mapInArrow(_prune(self.least), f"l {self.kind}, r {self.kind}"))
         full = alive_pairs.join(text.toDF("l", "lt"), "l").join(text.toDF("r", "rt"), "r").select("l", "r", "lt", "rt")
-        found = materialise(full.mapInArrow(_confirm(self.size, self.percent), f"l {self.kind}, r {self.kind}"))
-        self.links = found if self.links is None else self.links.unionByName(found)
+        self.link(full.mapInArrow(_confirm(self.size, self.percent), f"l {self.kind}, r {self.kind}"))
 
-    def open_buckets(self, nodes: DataFrame) -> DataFrame:
+    def link(self, links: DataFrame) -> None:
+        """Add links and place their nodes in components; the components so far stand for the links that made them."""
+        found = materialise(links)
+        if self.nodes is None:
+            self.nodes = materialise(components(found))
+        elif not found.isEmpty():
+            self.nodes = materialise(components(self.nodes.toDF("l", "r").unionByName(found)))
+
+    def open_buckets(self) -> DataFrame:
         """Members, with components, of the buckets that hold several components."""
-        placed = self.members.join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
+        placed = self.members.join(self.nodes.withColumnRenamed("node", "rep"), "rep", "left")
         placed = placed.select("bucket", "rep", "hub", F.coalesce("component", "rep").alias("component"))
         several = placed.groupBy("bucket").agg((F.min("component") != F.max("component")).alias("open")).where("open")
         return materialise(placed.join(several.select("bucket"), "bucket"))
 
-    def tiles(self, open_rows: DataFrame) -> DataFrame:
-        """Pairs that may be similar, from all pairs of a bucket that lie in different components."""
+    def settle(self, open_rows: DataFrame) -> None:
+        """Find all links between members of a bucket that lie in different components."""
+        one = F.struct(F.pmod("bucket", F.lit(BANDS)).alias("band"), F.col("bucket").alias("bucket"))
+        sums = open_rows.groupBy("bucket").agg(
+            F.count("*").alias("size"), *(F.bit_xor(F.xxhash64(F.lit(k), F.col("rep"))).alias(f"x{k}") for k in range(2))
+        )
+        twins = sums.groupBy("size", "x0", "x1").agg(F.min(one)["bucket"].alias("bucket")).select("bucket", "size")
         by_part = open_rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        largest = by_part.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("size"))
-        rows = open_rows.join(largest, "bucket").join(self.sigs, "rep")
+        largest = by_part.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"))
         minors = F.col("size") - F.col("top.n")
         slices, cuts = (F.ceil(x / TILE).cast("int") for x in (F.col("size"), minors))
         spot = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)).cast("int")
-        rows = rows.select(
-            "bucket", "rep", "component", "sig", (F.col("component") != F.col("top.component")).alias("small"),
-            slices.alias("slices"), cuts.alias("cuts"), spot.alias("spot"),
-        )
-        others = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut")).select(
-            "bucket", "rep", "component", "sig", "cut", (F.col("spot") % F.col("slices")).alias("slice"),
-            F.lit(False).alias("minor"), F.lit(True).alias("any"),
-        )
-        small = rows.where("small").select("*", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")).select(
-            "bucket", "rep", "component", "sig", (F.col("spot") % F.col("cuts")).alias("cut"), "slice",
-            F.lit(True).alias("minor"), F.lit(False).alias("any"),
+        rows = open_rows.join(twins, "bucket").join(largest, "bucket").select(
+            "bucket", "rep", "component", (F.col("component") != F.col("top.component")).alias("small"),
+            (spot % slices).alias("slice"), (spot % cuts).alias("cut"), slices.alias("slices"), cuts.alias("cuts"),
         )
-        both = others.unionByName(small)
-        return both.groupBy("bucket", "cut", "slice").applyInPandas(_tile(self.least), f"l {self.kind}, r {self.kind}").distinct()
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        others = rows.select("bucket", "rep", "component", every("cuts").alias("cut"), "slice", F.lit(False).alias("minor"))
+        small = rows.where("small").select("bucket", "rep", "component", "cut", every("slices").alias("slice"), F.lit(True).alias("minor"))
+        full = others.unionByName(small).join(self.sigs.join(self.texts, "rep"), "rep")
+        found = full.groupBy("bucket", "cut", "slice").applyInPandas(
+            _tile(self.least, self.size, self.percent), f"l {self.kind}, r {self.kind}"
+        )
+        self.link(found.distinct())
 
 
 def near_duplicates(
@@ -241,20 +261,20 @@ def near_duplicates(
     found = _Candidates(texts, classes, size, percent, miss)
     hubs = found.members.where("rep <> hub").select(F.col("hub").alias("l"), F.col("rep").alias("r")).distinct()
     found.confirm(hubs)
-    nodes = components(found.links)
-    rest = found.open_buckets(nodes)
+    rest = found.open_buckets()
     if not rest.isEmpty():
-        # another hub: the first by hash of each component that is not the old hub's
-        order = F.struct(F.xxhash64("rep"), F.col("rep").alias("id"))
-        again = rest.groupBy("bucket").agg(F.min(order)["id"].alias("l"), F.min_by("component", order).alias("c"))
-        pairs = rest.join(again, "bucket").where("component <> c and hub <> l")
+        # another hub: the first by hash of the largest component's members; it is compared with the other components
+        parts = rest.where("rep <> hub").groupBy("bucket", "component").agg(
+            F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep"), F.col("rep").alias("id")))["id"].alias("l")
+        )
+        top = parts.groupBy("bucket").agg(F.max(F.struct("n", "component", "l")).alias("top"))
+        again = top.select("bucket", F.col("top.l").alias("l"), F.col("top.component").alias("c"))
+        pairs = rest.join(again, "bucket").where("component <> c and hub <> l and hub <> rep")
         found.confirm(pairs.select(F.least("l", "rep").alias("l"), F.greatest("l", "rep").alias("r")).distinct())
-        nodes = components(found.links)
-        rest = found.open_buckets(nodes)
+        rest = found.open_buckets()
         if not rest.isEmpty():
-            found.confirm(materialise(found.tiles(rest)))
-            nodes = components(found.links)
-    placed = classes.select("n", "a", "b", "rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
+            found.settle(rest)
+    placed = classes.select("n", "a", "b", "rep").join(found.nodes.withColumnRenamed("node", "rep"), "rep", "left")
     placed = placed.select("n", "a", "b", F.coalesce("component", "rep").alias("component"))
     rows = digests.select("doc_id", "n", "a", "b").join(placed, ["n", "a", "b"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

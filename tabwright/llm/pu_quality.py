@@ -153,17 +153,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(batch.schema.get_field_index("text"))):
+            for block in blocks(batch.column(1)):
                 scores = model.scores(features(block))
-                yield batch.slice(block.first, len(scores)).append_column("_score", pa.array(scores))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, len(scores)), pa.array(scores)], names=["doc_id", "score"])
 
     return run
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with one more column ``_score``: the probability of label 1 from the text alone (null: empty)."""
-    schema = type(docs.schema)([*docs.schema.fields]).add("_score", "double")
-    return docs.mapInArrow(_score(model), schema)
+def _filter(model: Model, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(batch.schema.get_field_index("text"))):
+                keep = model.scores(features(block)) >= threshold
+                yield batch.slice(block.first, len(keep)).filter(pa.array(keep))
+
+    return run
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -176,19 +180,15 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
     model = train(docs, labels, sample)
     kind = texts.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _score(model)(batches):
-            yield batch.select(["doc_id", "_score"])
-
-    rows = texts.mapInArrow(run, f"doc_id {kind}, _score double")
+    rows = texts.mapInArrow(_score(model), f"doc_id {kind}, score double")
     return rows.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= threshold).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, with their columns as they were."""
-    return scored(docs, train(docs, labels, sample)).where(F.col("_score") >= threshold).select(*docs.columns)
+    return docs.mapInArrow(_filter(train(docs, labels, sample), threshold), docs.schema)

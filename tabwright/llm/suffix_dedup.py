@@ -38,7 +38,7 @@ def _settle_shard(length: int):
         owner, shift = owner[inside], shift[inside]
         cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.zeros(0, np.int64)
         shifts = [x.tolist() for x in np.split(shift, cuts[1:])] if len(owner) else []
-        out = shard.iloc[owner[cuts]][["gram", "span", "copies"]].assign(shifts=shifts)
+        out = shard.iloc[owner[cuts]][["gram", "span", "copies"]].assign(shifts=pd.array(shifts, object))
         return out[out["copies"] == 1][["gram", "span", "shifts"]]
 
     return run
