@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,6 +162,36 @@ def encode_label_huge(spark: SparkSession, folder: str) -> DataFrame:
     return fit_label(orders, ["customer"], "o_orderkey", broadcast_levels=10).transform(orders)
 
 
+def _composite(spark: SparkSession, folder: str, broadcast_levels: int) -> DataFrame:
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return fit_label(lines, ["part"], ["l_orderkey", "l_linenumber"], broadcast_levels).transform(lines)
+
+
+def label_composite_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes in a table, by a key of two columns."""
+    return _composite(spark, folder, 10)
+
+
+def label_composite_small(spark: SparkSession, folder: str) -> DataFrame:
+    """The same codes in a list."""
+    return _composite(spark, folder, 10_000_000)
+
+
+def onehot_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """More values than columns are wanted for: one sparse vector."""
+    customer = table(spark, folder, "customer").select("c_custkey", gap("c_custkey", 6, "c_nationkey"))
+    vectors = fit_onehot(customer, ["c_nationkey"], dense_levels=10).transform(customer)
+    dense = vector_to_array("c_nationkey_onehot")
+    return vectors.select("c_custkey", F.size(dense).alias("width"), (F.array_position(dense, 1.0) - 1).alias("place"))
+
+
+def csv_roundtrip_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Long texts with quotes and line breaks."""
+    path = scratch_path(spark) + ".csv"
+    write_csv(table(spark, folder, "documents").select("doc_id", "text", "lang"), path)
+    return read_csv(spark, path)
+
+
 def _raw_cases(spark: SparkSession, folder: str) -> DataFrame:
     """Cases as they come from a file: untidy names, dates as text, gaps and repeated rows."""
     c = cases(spark, folder).select(
@@ -248,12 +279,21 @@ QUERIES = {
     "scale_standard": scale_standard,
     "scale_minmax": scale_minmax,
     "encode_onehot": encode_onehot,
+    "onehot_wide": onehot_wide,
+    "label_composite_key": label_composite_key,
+    "label_composite_small": label_composite_small,
+    "csv_roundtrip_text": csv_roundtrip_text,
     "encode_label": encode_label,
     "encode_label_wide": encode_label_wide,
     "encode_label_huge": encode_label_huge,
     "preprocess_full": preprocess_full,
 }
 
+_COMPOSITE = """
+WITH f AS (SELECT l_partkey, min((l_orderkey, l_linenumber)) AS first FROM (SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem) GROUP BY 1),
+c AS (SELECT l_partkey, row_number() OVER (ORDER BY first, l_partkey::VARCHAR) - 1 AS code FROM f)
+SELECT l_orderkey, l_linenumber, code AS part FROM lineitem JOIN c USING (l_partkey)"""
+
 ORACLES = {
     "validate_profile": f"""
 WITH t AS ({HOLED_ORDERS})
@@ -281,6 +321,15 @@ FROM customer""",
 SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS c_name,
   CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS c_acctbal,
   'say "' || c_mktsegment || '", twice' AS quoted, c_nationkey % 2 = 0 AS even FROM customer""",
+    "onehot_wide": """
+WITH l AS (SELECT DISTINCT c_nationkey AS v FROM customer WHERE c_custkey % 6 <> 0),
+r AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place FROM l)
+SELECT c_custkey, (SELECT count(*) FROM l)::INTEGER AS width,
+  CASE WHEN c_custkey % 6 <> 0 THEN place ELSE -1 END::BIGINT AS place
+FROM customer LEFT JOIN r ON c_nationkey = v""",
+    "label_composite_key": _COMPOSITE,
+    "label_composite_small": _COMPOSITE,
+    "csv_roundtrip_text": "SELECT doc_id, text, lang FROM documents",
     "csv_separator": "SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal FROM supplier",
     "parse_dates": """
 WITH t AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')

@@ -19,7 +19,7 @@ from tabwright.operators.tune import Balance, cross_validate, search
 from tabwright.plans.evaluate import evaluate_folder
 from tabwright.plans.run import run
 from tabwright.plans.train import train_models
-from tabwright.sources.models import load_model, save_model
+from tabwright.sources.models import load_model, load_models, save_model
 from tabwright.spec import PipelineSpec
 
 FEATURES = ["o_totalprice", "c_acctbal", "c_nationkey", "month", "is_open"]
@@ -68,6 +68,63 @@ def gbt_predict(spark: SparkSession, folder: str) -> DataFrame:
     return _predict(spark, folder, "xgboost")
 
 
+def _levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Cases whose only features are levels, so that a saturated model gives the class shares of each level."""
+    named = {c: (F.col("c_mktsegment") == s).cast("int") for c, s in zip("abcd", ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"))}
+    segment = sum(((i + 1) * v for i, v in enumerate(named.values())), F.lit(0))
+    labelled = to_severity(cases(spark, folder), "o_orderpriority", PRIORITY_CLASS, output="label")
+    return labelled.select(
+        "o_orderkey", "label", "c_nationkey", segment.alias("segment"), *[v.alias(c) for c, v in named.items()],
+        (F.col("label") > 0).cast("int").alias("urgent"), F.lit(1).alias("same"),
+    )
+
+
+def _shares(model, data: DataFrame, places: int) -> DataFrame:
+    shares = {f"p{i}": F.col("probability")[i] for i in range(len(model.classes))}
+    found = model.predict(data).select("o_orderkey", "prediction", *[v.alias(n) for n, v in shares.items()])
+    return rounded(found, *shares, places=places)
+
+
+ONE_TREE = {"n_estimators": 1, "max_depth": None, "max_features": None, "bootstrap": False}
+ONE_ROUND = {"n_estimators": 1, "max_depth": 6, "subsample": 1.0, "colsample_bytree": 1.0}
+
+
+def rf_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """One whole tree over one column of levels: the commonest class of each level (Spark merges leaves that agree)."""
+    data = _levels(spark, folder)
+    return fit_model(data, ["c_nationkey"], "label", "rf", ONE_TREE).predict(data).select("o_orderkey", "prediction")
+
+
+def lr_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Logistic regression on dummies with hardly any penalty: the class shares of each level."""
+    data = _levels(spark, folder)
+    return _shares(fit_model(data, ["a", "b", "c", "d"], "label", "lr", {"C": 1e9}), data, 2)
+
+
+def gbt_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """One round of boosting over one column of levels: 1 / (1 + exp(-2 m)) with m the mean of the label as -1 or 1."""
+    data = _levels(spark, folder)
+    return _shares(fit_model(data, ["segment"], "urgent", "xgboost", ONE_ROUND), data, 9)
+
+
+def importance_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """A column without information has no importance, the other has all."""
+    data = _levels(spark, folder)
+    return rounded(top_features(fit_model(data, ["c_nationkey", "same"], "label", "rf", ONE_TREE).importances(), data), "importance")
+
+
+def models_in_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Two models of one name and a bare one: all are found and evaluated, each by its path."""
+    data = _levels(spark, folder)
+    path = scratch_path(spark)
+    tree = fit_model(data, ["c_nationkey"], "label", "rf", ONE_TREE)
+    save_model(tree, spark, f"{path}/first", "tree")
+    save_model(tree, spark, f"{path}/deep/second", "tree")
+    models, errors = load_models(spark, path)
+    out = [(name, m.predict(data).where(F.col("prediction") == F.col("label")).count()) for name, m in models.items()]
+    return spark.createDataFrame(out + [(n, -1) for n in errors], "name string, correct bigint")
+
+
 DOCUMENTS = ["chars", "words", "lines"]
 
 
@@ -183,6 +240,11 @@ def balanced_training(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "rf_levels": rf_levels,
+    "lr_levels": lr_levels,
+    "gbt_levels": gbt_levels,
+    "importance_levels": importance_levels,
+    "models_in_folder": models_in_folder,
     "lr_predict": lr_predict,
     "rf_predict": rf_predict,
     "gbt_predict": gbt_predict,
@@ -198,6 +260,33 @@ QUERIES = {
     "full_run": full_run,
     "balanced_training": balanced_training,
 }
+_LEVELS = f"""
+SELECT o_orderkey, c_nationkey, c_mktsegment, CASE o_orderpriority WHEN '3-MEDIUM' THEN 1 WHEN '2-HIGH' THEN 2
+  WHEN '1-URGENT' THEN 2 ELSE 0 END::INTEGER AS label FROM orders JOIN customer ON o_custkey = c_custkey"""
+
+
+def _level_shares(level: str, places: int) -> str:
+    """Class shares of each level; the prediction is the first of the largest."""
+    return f"""
+WITH t AS ({_LEVELS}), s AS (SELECT {level} AS v, avg((label = 0)::INT) AS s0, avg((label = 1)::INT) AS s1,
+  avg((label = 2)::INT) AS s2 FROM t GROUP BY 1)
+SELECT o_orderkey, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0 WHEN s1 >= s2 THEN 1 ELSE 2 END::INTEGER AS prediction,
+  round(s0, {places}) + 0.0 AS p0, round(s1, {places}) + 0.0 AS p1, round(s2, {places}) + 0.0 AS p2
+FROM t JOIN s ON {level} = v"""
+
+
 ORACLES: dict[str, str] = {
+    "rf_levels": f"SELECT o_orderkey, prediction FROM ({_level_shares('c_nationkey', 9)})",
+    "lr_levels": _level_shares("c_mktsegment", 2),
+    "gbt_levels": f"""
+WITH t AS ({_LEVELS}), s AS (SELECT c_mktsegment AS v, 1 / (1 + exp(-2 * (2 * avg((label > 0)::INT) - 1))) AS y FROM t GROUP BY 1)
+SELECT o_orderkey, (y > 0.5)::INTEGER AS prediction, round(1 - y, 9) + 0.0 AS p0, round(y, 9) + 0.0 AS p1
+FROM t JOIN s ON c_mktsegment = v""",
+    "importance_levels": """
+SELECT * FROM (VALUES (1, 'c_nationkey', 1.0::DOUBLE), (2, 'same', 0.0::DOUBLE)) AS x(rank, feature, importance)""",
+    "models_in_folder": f"""
+WITH t AS ({_LEVELS}), c AS (SELECT c_nationkey, label, count(*) AS n FROM t GROUP BY 1, 2),
+b AS (SELECT sum(m)::BIGINT AS correct FROM (SELECT max(n) AS m FROM c GROUP BY c_nationkey))
+SELECT name, b.correct AS correct FROM b, (VALUES ('first'), ('deep/second')) AS x(name)""",
     "model_roundtrip": f"SELECT true AS same, count(*) AS n FROM ({CASES})",
 }

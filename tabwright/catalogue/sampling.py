@@ -58,6 +58,23 @@ def folds(spark: SparkSession, folder: str) -> DataFrame:
     return assign_folds(_severity(spark, folder), "severity", ["o_orderkey"], 5)
 
 
+def _many(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in up to 700 classes."""
+    return table(spark, folder, "orders").select("o_orderkey", (F.col("o_custkey") % 700).alias("bucket"))
+
+
+def split_many_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return stratified_split(_many(spark, folder), "bucket", ["o_orderkey"])
+
+
+def folds_many_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return assign_folds(_many(spark, folder), "bucket", ["o_orderkey"], 4)
+
+
+def weights_many_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(balance.with_class_weights(_many(spark, folder), "bucket"), "weight", places=9)
+
+
 DOCUMENT_FEATURES = ["chars", "words", "lines"]
 
 
@@ -77,7 +94,7 @@ def smote_vectors(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
     )
     made = balance.smote(vectors, names, "label", ["vec_id"])
-    return rounded(made.select(*names[:8], "label", "is_synthetic"), *names[:8], places=5)
+    return rounded(made.select(*names, "label", "is_synthetic"), *names, places=5)
 
 
 QUERIES = {
@@ -90,6 +107,9 @@ QUERIES = {
     "stratified_split": stratified,
     "stratified_split_rare": stratified_rare,
     "kfold_assign": folds,
+    "split_many_classes": split_many_classes,
+    "folds_many_classes": folds_many_classes,
+    "weights_many_classes": weights_many_classes,
     "smote_balance": smote_documents,
     "smote_vectors": smote_vectors,
 }
@@ -99,6 +119,9 @@ SELECT o_orderkey, o_orderpriority, CASE o_orderpriority WHEN '3-MEDIUM' THEN 1
   ELSE 0 END::INTEGER AS severity FROM orders"""
 
 
+_MANY = "SELECT o_orderkey, o_custkey % 700 AS bucket FROM orders"
+
+
 def _hash(*parts: str) -> str:
     text = " || ':' || ".join(f"({p})::VARCHAR" for p in parts)
     return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
@@ -160,6 +183,14 @@ FROM t JOIN c ON severity = label""",
     "kfold_assign": f"""
 SELECT *, (ntile(5) OVER (PARTITION BY severity ORDER BY {_hash('o_orderkey', '42')}, o_orderkey) - 1)::INTEGER AS fold
 FROM ({_CLASS})""",
+    "split_many_classes": _split(_MANY, "bucket", "o_orderkey", "0.2::DOUBLE", 42),
+    "folds_many_classes": f"""
+SELECT *, (ntile(4) OVER (PARTITION BY bucket ORDER BY {_hash('o_orderkey', '42')}, o_orderkey) - 1)::INTEGER AS fold
+FROM ({_MANY})""",
+    "weights_many_classes": f"""
+WITH t AS ({_MANY}), c AS (SELECT bucket AS label, count(*) AS n FROM t GROUP BY 1)
+SELECT t.*, round((SELECT sum(n) FROM c)::DOUBLE / ((SELECT count(*) FROM c) * n), 9) + 0.0 AS weight
+FROM t JOIN c ON bucket = label""",
     "smote_balance": _smote(
         RATED_DOCUMENTS,
         "doc_id",
@@ -175,7 +206,7 @@ FROM ({_CLASS})""",
         "label",
         [f"v{i}" for i in range(WIDTH)],
         " + ".join(f"(x.v{i} - y.v{i}) ** 2" for i in range(WIDTH)),
-        [f"v{i}" for i in range(8)],
+        [f"v{i}" for i in range(WIDTH)],
         5,
     ),
 }

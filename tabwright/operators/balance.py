@@ -14,7 +14,7 @@ from tabwright.functions.columns import any_missing, number_sql, quoted, ticked
 from tabwright.functions.keys import key_hash, text_hash, unit
 from tabwright.functions.stage import materialise
 from tabwright.operators.neighbours import nearest_points
-from tabwright.operators.split import SEED, class_counts, fit_cuts
+from tabwright.operators.split import SEED, as_quotas, class_counts, fit_cuts
 
 log = logging.getLogger(__name__)
 
@@ -32,20 +32,17 @@ def balanced_weights(counts: dict) -> dict:
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Rows ``label, n, weight``."""
-    counts = df.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    # one row per class by now, so the classes fit one row
-    whole = counts.agg(F.sum("n").alias("total"), F.collect_list(F.struct("label", "n")).alias("classes"))
-    rows = whole.select("total", F.size("classes").alias("k"), F.explode("classes").alias("c"))
-    weight = F.col("total").cast("double") / (F.col("k") * F.col("c.n"))
-    return rows.select("c.label", "c.n", weight.alias("weight"))
+    counts = materialise(df.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n")))
+    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("k")).first()
+    return counts.select("label", "n", (F.lit(float(whole.total)) / (F.lit(whole.k) * F.col("n"))).alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str, weights: dict | None = None, name: str = "weight") -> DataFrame:
     """Add each row's class weight, by default the balanced one."""
     weights = weights if weights is not None else balanced_weights(class_counts(df, label))
-    value = F.lit(1.0)
-    for c, w in weights.items():
-        value = F.when(quoted(label) == F.lit(c), F.lit(float(w))).otherwise(value)
+    classes = F.array(*[F.lit(c) for c in weights]).cast(T.ArrayType(df.schema[label].dataType))
+    place = F.array_position(classes, quoted(label)).cast("int")
+    value = F.coalesce(F.get(F.array(*[F.lit(float(w)) for w in weights.values()]), place - 1), F.lit(1.0))
     return df.select("*", value.alias(name))
 
 
@@ -98,17 +95,17 @@ def smote(
         log.warning("%d rows miss a feature, nothing added", holes)
         return original
 
-    cuts = fit_cuts(df, label, key, seed, {c: [d % counts[c]] for c, d in missing.items()})
+    cuts = fit_cuts(df, label, key, seed, as_quotas(df, label, {c: [d % counts[c]] for c, d in missing.items()}))
     places = [f"x{i}" for i in range(len(features))]
     group, least = F.lit(None).cast("int"), F.lit(0)
     for i, (c, lack) in enumerate(missing.items()):
         group = F.when(quoted(label) == F.lit(c), F.lit(i)).otherwise(group)
         least = F.when(quoted(label) == F.lit(c), F.lit(lack // counts[c])).otherwise(least)
     rows = materialise(
-        df.where(quoted(label).isin(list(missing))).select(
+        cuts.numbered(df.where(quoted(label).isin(list(missing))), "__slice").select(
             group.alias("grp"),
             _row_id(df, key, seed).alias("id"),
-            (least + (cuts.slice_number() == 0).cast("int")).cast("bigint").alias("copies"),
+            (least + (F.col("__slice") == 0).cast("int")).cast("bigint").alias("copies"),
             *[F.expr(f"{number_sql(df, f)} + 0.0D AS {x}") for f, x in zip(features, places)],
         )
     )

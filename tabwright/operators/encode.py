@@ -6,34 +6,41 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.columns import existing, long_format, quoted, replaced
 from tabwright.functions.names import clashes
 from tabwright.functions.stage import materialise
-from tabwright.operators.ranks import range_edges, running_totals
 
 log = logging.getLogger(__name__)
 
-MAX_LEVELS = 1000
+#: A column with more values becomes one sparse vector instead of one 0/1 column per value.
+DENSE_LEVELS = 1000
+#: Values whose list the driver may hold; a column with more of them needs label codes.
+HELD_LEVELS = 5_000_000
 LITERAL_LEVELS = 50
 BROADCAST_LEVELS = 100_000
-HOT_SHARE = 1000
 
 
 @dataclass(frozen=True)
 class OneHotEncoder:
-    """Sorted levels per column; one 0/1 column per level, appended after the other columns."""
+    """Sorted levels per column; one 0/1 column per level, appended after the other columns.
+
+    ``wide`` columns have too many levels for that: each becomes one sparse vector ``<column>_onehot`` over its levels.
+    """
 
     levels: dict[str, list[str]]
+    wide: dict[str, list[str]] = field(default_factory=dict)
 
     def names(self) -> list[str]:
-        return [f"{c}_{v}" for c, values in self.levels.items() for v in values]
+        return [*[f"{c}_{v}" for c, values in self.levels.items() for v in values], *[f"{c}_onehot" for c in self.wide]]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        kept = [c for c in df.columns if c not in self.levels]
+        kept = [c for c in df.columns if c not in self.levels and c not in self.wide]
         doubled = clashes([*kept, *self.names()])
         if doubled:
             raise ValueError(f"encoded column names clash: {doubled}")
@@ -42,32 +49,40 @@ class OneHotEncoder:
             for c, values in self.levels.items()
             for v in values
         ]
-        return df.select(*[quoted(c) for c in kept], *dummies)
+        own = [F.array_compact(F.array(quoted(c).cast("string"))).alias(f"__{c}") for c in self.wide]
+        out = df.select(*[quoted(c) for c in kept], *dummies, *own)
+        for c, values in self.wide.items():
+            vectors = CountVectorizerModel.from_vocabulary(values, inputCol=f"__{c}", outputCol=f"{c}_onehot")
+            out = vectors.setBinary(True).setMinTF(0.0).transform(out).drop(f"__{c}")
+        return out
 
 
-def fit_onehot(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> OneHotEncoder:
-    """Distinct non-null values of every column in one job; too many values is an error that names the column."""
+def fit_onehot(df: DataFrame, columns: Sequence[str], dense_levels: int = DENSE_LEVELS) -> OneHotEncoder:
+    """Distinct non-null values of every column, written in one job; few become columns, many a sparse vector."""
     names = existing(df, columns, "categorical")
     if not names:
         return OneHotEncoder({})
-    distinct = long_format(df, names).where(F.col("value").isNotNull()).distinct()
-    rows = distinct.limit(max_levels * len(names) + 1).collect()
+    distinct = materialise(long_format(df, names).where(F.col("value").isNotNull()).distinct())
+    sizes = {r["column"]: r["count"] for r in distinct.groupBy("column").count().collect()}
+    held = [c for c, n in sizes.items() if n > HELD_LEVELS]
+    if held:
+        raise ValueError(f"{held} have more than {HELD_LEVELS} values; use encoding_method='label' for them")
     found: dict[str, list[str]] = {c: [] for c in names}
-    for r in rows:
+    for r in distinct.collect():  # at most HELD_LEVELS values per column
         found[r["column"]].append(r["value"])
-    wide = [c for c, values in found.items() if len(values) > max_levels]
-    if wide:
-        raise ValueError(f"more than {max_levels} values in {wide}; use label encoding or raise max_levels")
     numeric = {c for c in names if isinstance(df.schema[c].dataType, T.NumericType)}
-    return OneHotEncoder({c: sorted(v, key=float) if c in numeric else sorted(v) for c, v in found.items()})
+    levels = {c: sorted(v, key=float) if c in numeric else sorted(v) for c, v in found.items()}
+    return OneHotEncoder(
+        {c: v for c, v in levels.items() if len(v) <= dense_levels}, {c: v for c, v in levels.items() if len(v) > dense_levels}
+    )
 
 
 @dataclass(frozen=True)
 class LabelEncoder:
-    """Codes by first appearance; a missing value becomes -1.
+    """Codes by first appearance; a missing or unknown value becomes -1.
 
-    ``small`` lists the values of a column by code. ``large`` holds ``(value, code, n)`` tables for columns with more
-    values than may be broadcast.
+    ``small`` lists the values of a column by code. ``large`` holds ``(value, code)`` tables for columns with more
+    values than may be broadcast. Nothing is fitted while transforming.
     """
 
     small: dict[str, list[str]]
@@ -88,21 +103,10 @@ class LabelEncoder:
                 table = spark.createDataFrame(list(zip(values, range(len(values)))), "__value string, __code bigint")
                 out = _coded(out, c, F.broadcast(table))
         for c, table in self.large.items():
-            out = self._coded_large(out, c, table)
+            # one row per value on the right, so adaptive execution can split what hot or missing values fill on the left
+            out = _coded(out, c, table)
         return out
 
-    @staticmethod
-    def _coded_large(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
-        # values that fill a large share of the rows would all land in one shuffle partition: at most
-        # HOT_SHARE of them exist, so they are joined by broadcast and only the others are shuffled
-        rows = table.agg(F.sum("n").alias("n")).first().n or 0
-        hot = table.where(F.col("n") * HOT_SHARE >= rows).select("__value", "__code").limit(HOT_SHARE)
-        hot_values = [r["__value"] for r in hot.select("__value").collect()]
-        is_hot = quoted(column).isNull() | quoted(column).cast("string").isin(hot_values)
-        quick = _coded(df.where(is_hot), column, F.broadcast(hot))
-        slow = _coded(df.where(~is_hot), column, table.select("__value", "__code"))
-        return quick.unionByName(slow)
-
 
 def _coded(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
     joined = df.join(table, quoted(column).cast("string") == F.col("__value"), "left")
@@ -111,27 +115,33 @@ def _coded(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
 
 
 def fit_label(
-    df: DataFrame, columns: Sequence[str], order: str, broadcast_levels: int = BROADCAST_LEVELS
+    df: DataFrame, columns: Sequence[str], order: str | Sequence[str], broadcast_levels: int = BROADCAST_LEVELS
 ) -> LabelEncoder:
-    """0-based codes in the order in which values first appear along the ``order`` column."""
+    """0-based codes in the order in which values first appear along the ``order`` columns, ties by value.
+
+    The codes are the same for every size and partitioning; only where they are kept depends on their number.
+    """
+    keys = [order] if isinstance(order, str) else list(order)
     small: dict[str, list[str]] = {}
     large: dict[str, DataFrame] = {}
     for c in existing(df, columns, "categorical"):
-        seen = (
-            df.where(quoted(c).isNotNull())
-            .groupBy(quoted(c).cast("string").alias("__value"))
-            .agg(F.min(quoted(order)).alias("__first"), F.count(F.lit(1)).alias("n"))
-        )
-        rows = seen.limit(broadcast_levels + 1).collect()
-        if len(rows) <= broadcast_levels:
-            small[c] = [r["__value"] for r in sorted(rows, key=lambda r: (r["__first"], r["__value"]))]
+        first = F.min(F.struct(*[quoted(k).alias(f"k{i}") for i, k in enumerate(keys)]))
+        seen = df.where(quoted(c).isNotNull()).groupBy(quoted(c).cast("string").alias("__value")).agg(first.alias("__first"))
+        table = _codes(seen)
+        if table.count() <= broadcast_levels:
+            small[c] = [r["__value"] for r in table.orderBy("__code").collect()]
         else:
-            large[c] = _large_codes(seen)
+            large[c] = table
     return LabelEncoder(small, large)
 
 
-def _large_codes(seen: DataFrame) -> DataFrame:
-    # the order column is a key, so __first is distinct per value
-    one = seen.withColumn("__one", F.lit(1)).withColumn("__all", F.lit(0))
-    ranked = running_totals(one, ["__all"], "__first", ["__one"], range_edges(seen, "__first"))
-    return materialise(ranked.select("__value", (F.col("cum___one") - 1).alias("__code"), "n"))
+def _codes(seen: DataFrame) -> DataFrame:
+    """Ranks by range: each part of the ordered table is ranked by itself and starts where the parts before it end."""
+    parts = seen.repartitionByRange("__first", "__value").withColumn("__part", F.spark_partition_id())
+    parts = materialise(parts)
+    sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))  # one row per part
+    before = F.sum("n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    starts = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("start"))
+    place = F.row_number().over(W.partitionBy("__part").orderBy("__first", "__value"))
+    ranked = parts.join(F.broadcast(starts), "__part")
+    return materialise(ranked.select("__value", (F.col("start") + place - 1).cast("bigint").alias("__code")))

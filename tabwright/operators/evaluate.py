@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import quoted
+from tabwright.functions.stage import materialise
 from tabwright.operators.ranks import ROWS_PER_RANGE, range_edges, running_totals
 
 # Fixed values.
@@ -175,10 +176,15 @@ def cumulative_scores(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``class, score, pos, neg, cum_pos, cum_neg, all_pos, all_neg``, totals taken from the highest score down."""
-    scores = class_scores(df, classes, label, probability)
+    # written once: points and areas read the totals several times
+    scores = materialise(class_scores(df, classes, label, probability))
     every = df.select(F.explode(quoted(probability)).alias("score"))
     edges = range_edges(every, "score", rows_per_range)
-    return running_totals(scores, ["class"], "score", ["pos", "neg"], edges, descending=True)
+    return materialise(running_totals(scores, ["class"], "score", ["pos", "neg"], edges, descending=True))
+
+
+def _classes(cumulative: DataFrame) -> DataFrame:
+    return cumulative.select("class").distinct()
 
 
 def roc_points(cumulative: DataFrame) -> DataFrame:
@@ -189,7 +195,7 @@ def roc_points(cumulative: DataFrame) -> DataFrame:
         F.when(F.col("all_neg") > 0, F.col("cum_neg").cast("double") / F.col("all_neg")).alias("fpr"),
         F.when(F.col("all_pos") > 0, F.col("cum_pos").cast("double") / F.col("all_pos")).alias("tpr"),
     )
-    start = cumulative.select("class").distinct().select(
+    start = _classes(cumulative).select(
         "class", F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return points.unionByName(start)
@@ -213,7 +219,7 @@ def pr_points(cumulative: DataFrame) -> DataFrame:
         .otherwise(F.lit(1.0))
         .alias("recall"),
     )
-    end = cumulative.select("class").distinct().select(
+    end = _classes(cumulative).select(
         "class", F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
     return points.unionByName(end)

@@ -14,6 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.storagelevel import StorageLevel
 
 from tabwright.functions.columns import number_sql, quoted
@@ -43,8 +44,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
         "min_child_weight": 1,
     },
 }
-# MLlib grows a forest level by level, one pass per level, and stops at 30.
-UNLIMITED_DEPTH = 15
+# MLlib grows a forest level by level, one pass per level, and refuses more levels than this.
 DEEPEST = 30
 PARALLEL_FITS = 3
 MISSING_VALUE = -1e300
@@ -56,7 +56,9 @@ def _lr_params(p: dict, n: int) -> dict:
 
 def _rf_params(p: dict, n: int) -> dict:
     subset = {None: "all", "sqrt": "sqrt", "log2": "log2"}.get(p["max_features"], str(p["max_features"]))
-    depth = UNLIMITED_DEPTH if p["max_depth"] is None else min(int(p["max_depth"]), DEEPEST)
+    depth = DEEPEST if p["max_depth"] is None else int(p["max_depth"])
+    if depth > DEEPEST:
+        raise ValueError(f"max_depth {depth} is more than the {DEEPEST} levels that Spark can grow")
     return {
         "numTrees": int(p["n_estimators"]),
         "maxDepth": depth,
@@ -207,9 +209,8 @@ def fit_model(
     if len(classes) < 2:
         raise ValueError("cannot fit a classifier on fewer than two classes")
     settings = kind.translate(full_params(model_type, params), sum(counts.values()))
-    index = F.lit(None).cast("double")
-    for i, c in enumerate(classes):
-        index = F.when(F.col("__label") == F.lit(c), F.lit(float(i))).otherwise(index)
+    known = F.array(*[F.lit(c) for c in classes]).cast(ArrayType(df.schema[label].dataType))
+    index = (F.array_position(known, F.col("__label")) - 1).cast("double")
     labelled = df.withColumn("__label", quoted(label))
     keep = ["__label", *([weight] if weight else [])]
     ensure_checkpoints(df.sparkSession)

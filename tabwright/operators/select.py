@@ -11,32 +11,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import number, numeric_only, quoted
+from tabwright.functions.stage import materialise
 from tabwright.operators.quantiles import exact_quantiles
 
 log = logging.getLogger(__name__)
 
-MAX_CLASSES = 1000
 BINS = 10
 
 
+def _checked(groups: DataFrame, target: str) -> DataFrame:
+    """Counts per class, written once; rows without a class are an error."""
+    groups = materialise(groups)
+    if not groups.where("__class is null").isEmpty():
+        raise ValueError(f"missing values in target {target!r}")
+    return groups
+
+
 def anova_scores(df: DataFrame, features: Sequence[str], target: str) -> dict[str, float | None]:
     """One-way F statistic per feature, from one grouped aggregate; ``None`` for a constant feature."""
-    aggs = []
+    aggs, entries = [], []
     for i, c in enumerate(features):
         x = number(df, c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-    groups = _bounded(df.groupBy(quoted(target).alias("__class")).agg(*aggs), target)
-    out: dict[str, float | None] = {}
-    for i, c in enumerate(features):
-        parts = [(g[f"n{i}"], g[f"m{i}"], g[f"v{i}"]) for g in groups if g[f"n{i}"]]
-        n, k = sum(p[0] for p in parts), len(parts)
-        if k < 2 or n <= k:
-            out[c] = None
-            continue
-        grand = math.fsum(p[0] * p[1] for p in parts) / n
-        between = math.fsum(p[0] * (p[1] - grand) ** 2 for p in parts)
-        inner = math.fsum(p[0] * p[2] for p in parts)
-        out[c] = (between / (k - 1)) / (inner / (n - k)) if inner > 0 else (math.inf if between > 0 else None)
+        entries.append(F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("v")))
+    groups = _checked(df.groupBy(quoted(target).alias("__class")).agg(*aggs), target)
+    rows = groups.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("n > 0")
+    means = rows.groupBy("i").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"))
+    parts = rows.join(F.broadcast(means), "i").groupBy("i").agg(  # one row per feature
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("k"),
+        F.sum(F.col("n") * F.pow(F.col("m") - F.col("grand"), 2)).alias("between"),
+        F.sum(F.col("n") * F.col("v")).alias("inner"),
+    )
+    out: dict[str, float | None] = dict.fromkeys(features)
+    for r in parts.collect():
+        if r.k >= 2 and r.n > r.k:
+            inner, between = r.inner, r.between
+            out[features[r.i]] = (between / (r.k - 1)) / (inner / (r.n - r.k)) if inner > 0 else (math.inf if between > 0 else None)
     return out
 
 
@@ -44,41 +55,24 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
     """Mutual information (in nats) of each feature, cut at its exact quantiles, with the class."""
     edges = exact_quantiles(df, features, [i / bins for i in range(1, bins)])
     entries = []
-    for c in features:
+    for i, c in enumerate(features):
         x = number(df, c)
         cuts = sorted({e for e in edges[c] if e is not None})
         cell = sum(((x > F.lit(e)).cast("int") for e in cuts), F.lit(0))
-        entries.append(F.struct(F.lit(c).alias("feature"), F.when(x.isNotNull(), cell).alias("bin")))
+        entries.append(F.struct(F.lit(i).alias("i"), F.when(x.isNotNull(), cell).alias("bin")))
     rows = df.select(quoted(target).alias("__class"), F.explode(F.array(*entries)).alias("e"))
-    cells = _bounded(
-        rows.where("e.bin is not null").groupBy("e.feature", "e.bin", "__class").count(), target, len(features) * bins
-    )
-    out: dict[str, float | None] = {}
-    for c in features:
-        mine = [r for r in cells if r["feature"] == c]
-        n = sum(r["count"] for r in mine)
-        by_bin: dict = {}
-        by_class: dict = {}
-        for r in mine:
-            by_bin[r["bin"]] = by_bin.get(r["bin"], 0) + r["count"]
-            by_class[r["__class"]] = by_class.get(r["__class"], 0) + r["count"]
-        out[c] = (
-            math.fsum(
-                r["count"] / n * math.log(r["count"] * n / (by_bin[r["bin"]] * by_class[r["__class"]])) for r in mine
-            )
-            if n
-            else None
-        )
+    cells = _checked(rows.where("e.bin is not null").groupBy("e.i", "e.bin", "__class").agg(F.count(F.lit(1)).alias("n")), target)
+    by_bin = cells.groupBy("i", "bin").agg(F.sum("n").alias("of_bin"))
+    by_class = cells.groupBy("i", "__class").agg(F.sum("n").alias("of_class"))
+    whole = cells.groupBy("i").agg(F.sum("n").alias("of_all"))
+    wide = cells.join(F.broadcast(by_bin), ["i", "bin"]).join(by_class, ["i", "__class"]).join(F.broadcast(whole), "i")
+    ratio = F.col("n") * F.col("of_all") / (F.col("of_bin") * F.col("of_class"))
+    scores = wide.groupBy("i").agg(F.sum(F.col("n") / F.col("of_all") * F.log(ratio)).alias("score"))
+    out: dict[str, float | None] = dict.fromkeys(features)
+    out.update((features[r.i], r.score) for r in scores.collect())
     return out
 
 
-def _bounded(groups: DataFrame, target: str, per_class: int = 1) -> list:
-    rows = groups.limit(MAX_CLASSES * per_class + 1).collect()
-    if len(rows) > MAX_CLASSES * per_class:
-        raise ValueError(f"target {target!r} has more than {MAX_CLASSES} classes")
-    return rows
-
-
 @dataclass(frozen=True)
 class Selection:
     """Scores of all candidates and the chosen names in table order."""

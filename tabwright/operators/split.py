@@ -2,7 +2,8 @@
 
 Rows of a class are ordered by a hash of their key. A split needs only the row at which the quota ends, so the fit
 counts hash prefixes per class, looks into the few prefixes that hold a quota end, and returns those rows. The
-transform compares each row with them: no shuffle, no sort, no window over a class.
+transform joins each row with the ends of its class and compares: no sort and no window over a class. Classes live in
+tables, so their number is not limited.
 """
 
 from __future__ import annotations
@@ -13,127 +14,145 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import quoted
 from tabwright.functions.keys import HASH_BITS, key_hash
+from tabwright.functions.stage import materialise
 
 log = logging.getLogger(__name__)
 
-MAX_CLASSES = 256
 PREFIX_BITS = 10
 GATHER_ROWS = 2000
+#: Class tables of at most so many rows are broadcast, larger ones are shuffled.
+BROADCAST_ROWS = 100_000
 # Fixed defaults.
 SEED = 42
 TEST_SIZE = 0.2
 
 
+def class_table(df: DataFrame, label: str) -> DataFrame:
+    """Rows ``c, n``: every class and its size, written once; a missing class is an error."""
+    table = materialise(df.groupBy(quoted(label).alias("c")).agg(F.count(F.lit(1)).alias("n")))
+    if not table.where("c is null").isEmpty():
+        raise ValueError(f"label {label!r} has missing values")
+    return table
+
+
 def class_counts(df: DataFrame, label: str) -> dict:
-    rows = df.groupBy(quoted(label).alias("c")).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"label {label!r} has more than {MAX_CLASSES} classes")
+    """Class sizes on the driver, for models, which hold a row per class there anyway."""
+    rows = df.groupBy(quoted(label).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()
     if any(r["c"] is None for r in rows):
         raise ValueError(f"label {label!r} has missing values")
-    return {r["c"]: r["count"] for r in sorted(rows, key=lambda r: r["c"])}
+    return {r["c"]: r["n"] for r in sorted(rows, key=lambda r: r["c"])}
+
+
+def _sized(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
 @dataclass(frozen=True)
 class ClassCuts:
-    """Per class, the last row (hash and key values) of each hash-ordered slice."""
+    """Rows ``c, first, ends``: how many cuts precede a class's first row, and the last row before each later cut.
+
+    A row is a struct of its hash and its key values.
+    """
 
     label: str
     key: tuple[str, ...]
     seed: int
-    cuts: dict
-
-    def slice_number(self) -> Column:
-        """0 for rows up to the first cut of their class, 1 up to the second, and so on."""
-        here = F.struct(key_hash(self.key, self.seed).alias("h"), *[quoted(k).alias(f"k{i}") for i, k in enumerate(self.key)])
-        passed = F.lit(0)
-        for j in range(max(len(ends) for ends in self.cuts.values())):
-            # one comparison per cut for all classes, so the hash is computed once per cut
-            last = None
-            for c, ends in self.cuts.items():
-                if ends[j] is not None:
-                    row = [F.lit(ends[j][0]).cast("bigint").alias("h"), *[F.lit(v).alias(f"k{i}") for i, v in enumerate(ends[j][1:])]]
-                    mine = quoted(self.label) == F.lit(c)
-                    last = F.when(mine, F.struct(*row)) if last is None else F.when(mine, F.struct(*row)).otherwise(last)
-            passed = passed + (F.lit(1) if last is None else F.coalesce((here > last).cast("int"), F.lit(1)))
-        return passed
-
-
-def fit_cuts(df: DataFrame, label: str, key: Sequence[str], seed: int, quotas: dict) -> ClassCuts:
-    """``quotas[c]`` lists, for class ``c``, after how many rows of the hash order each cut falls.
-
-    The key must identify a row. A quota of 0 cuts before the first row.
+    ends: DataFrame
+
+    def numbered(self, df: DataFrame, name: str) -> DataFrame:
+        """Add ``name``: 0 for rows up to the first cut of their class, 1 up to the second, and so on."""
+        here = _hashed_row(self.key, self.seed)
+        table = _sized(self.ends.withColumnsRenamed({"c": "__c", "first": "__first", "ends": "__ends"}))
+        joined = df.withColumn("__here", here).join(table, quoted(self.label) == F.col("__c"))
+        passed = F.col("__first") + F.size(F.filter("__ends", lambda e: F.col("__here") > e))
+        return joined.select(*[quoted(c) for c in df.columns], passed.cast("int").alias(name))
+
+
+def _hashed_row(key: Sequence[str], seed: int) -> Column:
+    return F.struct(key_hash(key, seed).alias("h"), *[quoted(k).alias(f"k{i}") for i, k in enumerate(key)])
+
+
+def fit_cuts(df: DataFrame, label: str, key: Sequence[str], seed: int, quotas: DataFrame) -> ClassCuts:
+    """``quotas`` (``c, wanted``) lists for each class after how many rows of the hash order the cuts fall.
+
+    The key must identify a row; two rows with one key at a cut are an error. A quota of 0 cuts before the first row.
     """
     key = tuple(key)
-    hashed = df.select(quoted(label).alias("c"), key_hash(key, seed).alias("h"), *[quoted(k).alias(f"k{i}") for i, k in enumerate(key)])
-    found: dict = {}
-    # (class, prefix, bits) -> quota ends inside it as (class, original quota, rank inside)
-    open_: dict = {}
-    for c, wanted in quotas.items():
-        for q in wanted:
-            if q > 0:
-                open_.setdefault((c, 0, 0), set()).add((q, q))
-    while open_:
-        bits = next(iter(open_))[2] + PREFIX_BITS
-        prefix = F.shiftright(F.col("h"), HASH_BITS - bits)
-        counts = hashed.where(_in_prefixes(open_)).groupBy("c", prefix.alias("p")).count().collect()
-        small, deeper = {}, {}
-        for (c, parent, _), ends in open_.items():
-            inside = sorted((r["p"], r["count"]) for r in counts if r["c"] == c and r["p"] >> PREFIX_BITS == parent)
-            for quota, rank in ends:
-                passed = 0
-                for p, n in inside:
-                    if passed + n >= rank:
-                        tight = n <= GATHER_ROWS or bits + PREFIX_BITS > HASH_BITS
-                        (small if tight else deeper).setdefault((c, p, bits), set()).add((quota, rank - passed))
-                        break
-                    passed += n
-                else:
-                    raise ValueError(f"quota {quota} exceeds the rows of class {c!r}")
-        if small:
-            names = ["h", *[f"k{i}" for i in range(len(key))]]
-            rows = hashed.where(_in_prefixes(small)).select("c", *names).collect()
-            for (c, p, b), ends in small.items():
-                mine = sorted(tuple(r[n] for n in names) for r in rows if r["c"] == c and r["h"] >> (HASH_BITS - b) == p)
-                for quota, rank in ends:
-                    found[(c, quota)] = mine[rank - 1]
-        open_ = deeper
-    return ClassCuts(label, key, seed, {c: [found.get((c, q)) for q in wanted] for c, wanted in quotas.items()})
-
-
-def _in_prefixes(spots: dict) -> Column:
-    """Whether the row's class and hash prefix are among the spots, which all have the same number of bits."""
-    bits = next(iter(spots))[2]
-    by_class: dict = {}
-    for c, p, _ in spots:
-        by_class.setdefault(c, []).append(p)
-    if not bits:
-        return F.col("c").isin(list(by_class))
-    wanted = F.lit(None)
-    for c, prefixes in by_class.items():
-        wanted = F.when(F.col("c") == F.lit(c), F.array(*[F.lit(p).cast("bigint") for p in sorted(prefixes)])).otherwise(wanted)
-    return F.coalesce(F.array_contains(wanted, F.shiftright(F.col("h"), HASH_BITS - bits)), F.lit(False))
-
-
-def train_quotas(counts: dict, test_size: float) -> dict:
-    """Train rows per class: the total is shared by largest remainder, ties to the smaller class."""
-    total = sum(counts.values())
-    n_test = math.ceil(total * test_size)
-    n_train = total - n_test
-    if min(counts.values()) < 2:
+    hashed = df.select(quoted(label).alias("c"), _hashed_row(key, seed).alias("row"))
+    quotas = materialise(quotas)
+    wanted = quotas.select("c", F.explode(F.array_distinct("wanted")).alias("quota")).where("quota > 0")
+    # quota ends that are still looked for: inside prefix p of the hash, at place ``rank``
+    open_ = materialise(wanted.select("c", "quota", F.col("quota").alias("rank"), F.lit(0).cast("bigint").alias("p")))
+    found, bits = None, 0
+    while not open_.isEmpty():
+        inside = _inside(hashed, open_, bits)
+        bits += PREFIX_BITS
+        child = F.shiftright("row.h", HASH_BITS - bits)
+        counts = inside.groupBy("c", "p", child.alias("child")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(W.partitionBy("c", "p").orderBy("child"))  # at most 2**PREFIX_BITS rows
+        placed = open_.join(counts.withColumn("upto", upto), ["c", "p"]).where("rank <= upto and rank > upto - n")
+        placed = materialise(placed.select("c", "quota", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), F.col("child").alias("p"), "n"))
+        if placed.count() < open_.count():
+            raise ValueError(f"a quota exceeds the rows of its class of {label!r}")
+        small = placed.where(F.col("n") <= GATHER_ROWS).drop("n")
+        open_ = placed.where(F.col("n") > GATHER_ROWS).drop("n")
+        if bits + PREFIX_BITS > HASH_BITS and not open_.isEmpty():
+            raise ValueError(f"the key {list(key)} does not identify a row: thousands of rows share one")
+        order = W.partitionBy("c", "p").orderBy("row")
+        ranked = _inside(hashed, small, bits).select(
+            "c", "p", "row", F.row_number().over(order).alias("rank"), F.lead("row").over(order).alias("next")
+        )
+        ends = ranked.join(_sized(small), ["c", "p", "rank"])
+        ends = ends.select("c", "quota", "row", F.col("row").eqNullSafe(F.col("next")).alias("twice"))
+        ends = materialise(ends)
+        if not ends.where("twice").isEmpty():
+            raise ValueError(f"the key {list(key)} does not identify a row")
+        found = ends if found is None else found.unionByName(ends)
+    first = F.size(F.filter("wanted", lambda q: q <= 0)).alias("first")
+    if found is None:
+        kind = hashed.schema["row"].dataType.simpleString()
+        return ClassCuts(label, key, seed, quotas.select("c", first, F.array().cast(f"array<{kind}>").alias("ends")))
+    # a quota that occurs twice cuts twice
+    every = quotas.select("c", F.explode("wanted").alias("quota")).join(found, ["c", "quota"])
+    ends = every.groupBy("c").agg(F.array_sort(F.collect_list("row")).alias("ends"))
+    whole = quotas.select("c", first).join(ends, "c", "left")
+    return ClassCuts(label, key, seed, materialise(whole.withColumn("ends", F.coalesce("ends", F.array().cast(ends.schema["ends"].dataType)))))
+
+
+def _inside(hashed: DataFrame, spots: DataFrame, bits: int) -> DataFrame:
+    """Rows whose class and first ``bits`` of the hash are among the spots, with that prefix as ``p``."""
+    wanted = _sized(spots.select("c", "p").distinct())
+    prefix = F.shiftright("row.h", HASH_BITS - bits) if bits else F.lit(0).cast("bigint")
+    return hashed.withColumn("p", prefix).join(wanted, ["c", "p"])
+
+
+def as_quotas(df: DataFrame, label: str, quotas: dict) -> DataFrame:
+    """Quotas by class as a table."""
+    kind = df.schema[label].dataType.simpleString()
+    return df.sparkSession.createDataFrame(list(quotas.items()), f"c {kind}, wanted array<bigint>")
+
+
+def train_quotas(table: DataFrame, test_size: float) -> DataFrame:
+    """Rows ``c, wanted``: train rows per class. The total is shared by largest remainder, ties to the smaller class."""
+    whole = table.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
+    if not whole.n or whole.least < 2:
         raise ValueError("every class needs at least 2 rows for a stratified split")
-    if n_test < len(counts) or n_train < len(counts):
+    n_test = math.ceil(whole.n * test_size)
+    n_train = whole.n - n_test
+    if n_test < whole.k or n_train < whole.k:
         raise ValueError("test and train part need at least one row per class")
-    # integers only: the fractional parts of n_train * n_c / total compare as remainders
-    quotas = {c: n_train * n // total for c, n in counts.items()}
-    left = n_train - sum(quotas.values())
-    by_remainder = sorted(counts, key=lambda c: (-(n_train * counts[c] % total), c))
-    for c in by_remainder[:left]:
-        quotas[c] += 1
-    return quotas
+    # whole numbers only: the fractional parts of n_train * n / total compare as remainders
+    product = F.col("n").cast("decimal(38,0)") * F.lit(n_train).cast("decimal(19,0)")
+    share = F.expr(f"(CAST(n AS DECIMAL(19,0)) * {n_train}BD) DIV {whole.n}BD").cast("bigint")
+    shared = table.select("c", share.alias("q"), F.pmod(product, F.lit(whole.n).cast("decimal(38,0)")).alias("rest"))
+    left = n_train - shared.agg(F.sum("q")).first()[0]
+    place = F.row_number().over(W.orderBy(F.col("rest").desc(), "c"))  # one row per class
+    return shared.select("c", F.array(F.col("q") + (place <= left).cast("bigint")).alias("wanted"))
 
 
 def stratified_split(
@@ -142,9 +161,8 @@ def stratified_split(
     """Add the boolean ``is_test``; class shares are kept exactly."""
     if not 0 < test_size < 1:
         raise ValueError(f"test size must be between 0 and 1, got {test_size}")
-    quotas = train_quotas(class_counts(df, label), test_size)
-    cuts = fit_cuts(df, label, key, seed, {c: [q] for c, q in quotas.items()})
-    return df.select("*", (cuts.slice_number() == 1).alias("is_test"))
+    cuts = fit_cuts(df, label, key, seed, train_quotas(class_table(df, label), test_size))
+    return cuts.numbered(df, "__slice").select(*[quoted(c) for c in df.columns], (F.col("__slice") == 1).alias("is_test"))
 
 
 def split_parts(df: DataFrame, label: str, key: Sequence[str], test_size: float = TEST_SIZE, seed: int = SEED):
@@ -153,20 +171,16 @@ def split_parts(df: DataFrame, label: str, key: Sequence[str], test_size: float
     return marked.where(~F.col("is_test")).drop("is_test"), marked.where("is_test").drop("is_test")
 
 
-def fold_ends(n: int, k: int) -> list[int]:
-    """Slice ends of ``k`` nearly equal slices of ``n`` rows, the larger ones first."""
-    size, extra = divmod(n, k)
-    return [size * (i + 1) + min(i + 1, extra) for i in range(k - 1)]
-
-
 def assign_folds(df: DataFrame, label: str, key: Sequence[str], k: int, seed: int = SEED, name: str = "fold") -> DataFrame:
-    """Add the fold number 0..k-1; per class the fold sizes differ by at most one."""
+    """Add the fold number 0..k-1; per class the fold sizes differ by at most one, the larger ones come first."""
     if k < 2:
         raise ValueError(f"number of folds must be >= 2, got {k}")
-    counts = class_counts(df, label)
-    if max(counts.values()) < k:
+    table = class_table(df, label)
+    sizes = table.agg(F.min("n").alias("least"), F.max("n").alias("most")).first()
+    if not sizes.most or sizes.most < k:
         raise ValueError(f"{k} folds, but no class has that many rows")
-    if min(counts.values()) < k:
-        log.warning("the smallest class has %d rows for %d folds", min(counts.values()), k)
-    cuts = fit_cuts(df, label, key, seed, {c: fold_ends(n, k) for c, n in counts.items()})
-    return df.select("*", cuts.slice_number().alias(name))
+    if sizes.least < k:
+        log.warning("the smallest class has %d rows for %d folds", sizes.least, k)
+    place = F.sequence(F.lit(1).cast("bigint"), F.lit(k - 1).cast("bigint"))
+    ends = F.transform(place, lambda i: F.expr(f"n DIV {k}") * i + F.least(i, F.col("n") % k))
+    return fit_cuts(df, label, key, seed, table.select("c", ends.alias("wanted"))).numbered(df, name)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import auto_strings, nan_to_null
@@ -33,7 +33,8 @@ def mark_test_rows(df: DataFrame, spec: PipelineSpec) -> DataFrame:
     """Split before anything is fitted; the mark rides along like an identifier."""
     cleaned = drop_duplicate_rows(nan_to_null(clean_column_names(df)))
     labelled = to_severity(cleaned, spec.target, spec.severity_mapping, spec.unmapped_class, "__class")
-    return stratified_split(labelled, "__class", spec.key, spec.test_size, spec.random_state).drop("__class")
+    # written once: every later fit reads it instead of repeating the de-duplication
+    return materialise(stratified_split(labelled, "__class", spec.key, spec.test_size, spec.random_state).drop("__class"))
 
 
 @dataclass(frozen=True)
@@ -74,27 +75,47 @@ class FittedPreprocessing:
         return self.encoder.transform(out) if self.encoder else out
 
     def to_json(self) -> str:
-        """The fitted values as text; encoders with distributed code tables cannot be written this way."""
+        """The fitted values as text; code tables of very wide columns are not part of it (see ``write``)."""
         if isinstance(self.encoder, LabelEncoder) and self.encoder.large:
-            raise ValueError("label codes of very wide columns live in tables, save those instead")
+            raise ValueError("label codes of very wide columns live in tables, use write() for those")
+        return self._text()
+
+    def _text(self) -> str:
+        onehot = self.encoder if isinstance(self.encoder, OneHotEncoder) else None
         return json.dumps(
             {
                 "dates": self.cleaning.dates,
                 "imputer": asdict(self.cleaning.imputer),
                 "bounds": self.capper.bounds,
                 "scaler": asdict(self.scaler),
-                "onehot": self.encoder.levels if isinstance(self.encoder, OneHotEncoder) else None,
+                "onehot": onehot.levels if onehot else None,
+                "wide": onehot.wide if onehot else None,
                 "label": self.encoder.small if isinstance(self.encoder, LabelEncoder) else None,
+                "tables": list(self.encoder.large) if isinstance(self.encoder, LabelEncoder) else [],
             },
             ensure_ascii=False,
         )
 
+    def write(self, spark: SparkSession, folder: str) -> None:
+        """All fitted values and code tables, to be read by ``read`` in another session."""
+        if isinstance(self.encoder, LabelEncoder):
+            for i, table in enumerate(self.encoder.large.values()):
+                table.write.mode("overwrite").parquet(f"{folder}/codes_{i}")
+        spark.createDataFrame([(self._text(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/fitted")
+
+    @staticmethod
+    def read(spark: SparkSession, folder: str) -> "FittedPreprocessing":
+        text = spark.read.text(f"{folder}/fitted").first().value
+        fitted = FittedPreprocessing.from_json(text)
+        tables = {c: spark.read.parquet(f"{folder}/codes_{i}") for i, c in enumerate(json.loads(text).get("tables", []))}
+        return replace(fitted, encoder=LabelEncoder(fitted.encoder.small, tables)) if tables else fitted
+
     @staticmethod
     def from_json(text: str) -> "FittedPreprocessing":
         d = json.loads(text)
         encoder = None
         if d["onehot"] is not None:
-            encoder = OneHotEncoder(d["onehot"])
+            encoder = OneHotEncoder(d["onehot"], d.get("wide") or {})
         elif d["label"] is not None:
             encoder = LabelEncoder(d["label"])
         return FittedPreprocessing(
@@ -126,8 +147,8 @@ def fit_preprocessing(df: DataFrame, spec: PipelineSpec) -> tuple[FittedPreproce
         wanted = spec.role(spec.categorical_columns)
         every = [c for c in cleaned.columns if c in wanted or c in auto_strings(cleaned, fixed)]
         if spec.encoding_method == "onehot":
-            encoder = fit_onehot(cleaned, every)
+            encoder = fit_onehot(fit_rows(cleaned), every)
         elif spec.encoding_method == "label":
-            encoder = fit_label(cleaned, every, (spec.key or [ROW_ID])[0])
+            encoder = fit_label(fit_rows(cleaned), every, spec.key or [ROW_ID])
     fitted = FittedPreprocessing(cleaning, capper, scaler, encoder)
     return fitted, fitted.after_cleaning(cleaned)

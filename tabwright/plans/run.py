@@ -58,6 +58,8 @@ def run(spark: SparkSession, spec: PipelineSpec, table: str | DataFrame, output:
     if mode in ("train", "full"):
         result.training = train_models(current, spec, key, output=f"{output}/models")
         write_report(spark, _training_summary(result.training), output, "training_report")
+        if mode == "full" and result.training.best is None:
+            raise RuntimeError(f"no model could be trained: {result.training.errors}")
         if mode == "full":
             # the evaluation sees only rows that no model was trained on
             current = _written(spark, result.training.test, f"{output}/test_data", result, "test")

@@ -57,16 +57,16 @@ def load_model(
 
 
 def find_models(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Name and path of every saved model below ``folder``, at any depth."""
-    found = (
-        spark.read.schema(META_SCHEMA)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .json(folder)
-        .select("model_name", F.regexp_extract(F.input_file_name(), r"^(.*)/about/[^/]*$", 1).alias("path"))
-        .where("path <> ''")
-    )
-    return {r.model_name: r.path for r in found.orderBy("path").collect()}
+    """Path of every model below ``folder`` at any depth, described or bare, by its path below ``folder``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    about = files.option("pathGlobFilter", "*.json").load(folder).select(F.regexp_extract("path", r"^(.*)/about/[^/]*$", 1).alias("path"))
+    # a bare pipeline is a folder with metadata and stages; those inside a described model belong to it
+    metadata = files.option("pathGlobFilter", "part-*").load(folder).select(F.regexp_extract("path", r"^(.*)/metadata/[^/]*$", 1).alias("path"))
+    described = sorted({r.path for r in about.where("path <> ''").distinct().collect()})
+    others = sorted({r.path for r in metadata.where("path <> ''").distinct().collect()})
+    bare = [p for p in others if not any(p.startswith(f"{d}/") for d in [*described, *(o for o in others if o != p)])]
+    root = folder.split("://")[-1].removeprefix("file:").strip("/")
+    return {p.split(root, 1)[-1].strip("/") or p.rsplit("/", 1)[-1]: p for p in sorted([*described, *bare])}
 
 
 def load_models(spark: SparkSession, folder: str) -> tuple[dict[str, FittedModel], dict[str, str]]:

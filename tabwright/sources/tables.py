@@ -28,12 +28,13 @@ def read_csv(
     encoding: str = "utf-8",
     validate: bool = True,
     sep: str = ",",
-    multiline: bool = False,
+    multiline: bool = True,
     **options,
 ) -> DataFrame:
     """Read a CSV file or folder with a header; types are found by one aggregate over the text columns.
 
-    A quoted field may hold line breaks only with ``multiline``, which keeps each file in one task.
+    A quoted field may hold line breaks, so each file is read by one task; for large files without such fields turn
+    ``multiline`` off.
     """
     if options.pop("check_suffix", True) and not path.rstrip("/").lower().endswith(".csv"):
         raise ValueError(f"not a CSV path: {path}")
@@ -43,7 +44,7 @@ def read_csv(
         reader = reader.option(name, value)
     raw = reader.csv(path)
     if not raw.columns:
-        raise ValueError(f"CSV file is empty or has no valid data: {path}")
+        raise ValueError(f"no header in {path}")
     text = raw.select(*[_known(c).alias(c) for c in raw.columns])
     table = _typed(text)
     return validate_table(table, "loaded CSV data") if validate else table
@@ -79,6 +80,7 @@ def write_csv(df: DataFrame, path: str, description: str = "processed data", val
     if validate:
         validate_table(df, description)
     writer = df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     for name, value in options.items():
         writer = writer.option(name, value)
     writer.csv(path)

@@ -152,8 +152,10 @@ def test_onehot(spark):
     out = fit_onehot(df, ["s", "n"]).transform(df)
     assert out.columns == ["k", "s_a", "s_b", "n_9", "n_10"]
     assert [tuple(r) for r in out.orderBy("k").collect()] == [(1, 0, 1, 0, 1), (2, 1, 0, 1, 0), (3, 0, 0, 0, 1)]
-    with pytest.raises(ValueError, match="'n'"):
-        fit_onehot(spark.range(50).select(F.col("id").alias("n"), F.lit("x").alias("s")), ["n", "s"], 20)
+    many = spark.range(50).select((F.col("id") % 40).alias("n"), F.lit("x").alias("s"))
+    wide = fit_onehot(many, ["n", "s"], 20).transform(many)
+    assert wide.columns == ["s_x", "n_onehot"]
+    assert [list(r.n_onehot.indices) for r in wide.collect()] == [[i % 40] for i in range(50)]
 
 
 def test_label_codes_by_first_appearance(spark):
@@ -164,6 +166,19 @@ def test_label_codes_by_first_appearance(spark):
         assert _column(fit_label(df, ["v"], "k", cap).transform(df), "v") == expected
 
 
+def test_label_codes_of_composite_and_text_keys(spark):
+    rows = [(i // 3, f"t{i % 3}", f"v{(i * 7) % 500}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b string, v string").repartition(7)
+    codes = {}
+    for r in sorted(rows):
+        codes.setdefault(r[2], len(codes))
+    for order in (["a", "b"],):
+        for cap in (10, 10_000):
+            out = fit_label(df, ["v"], order, cap).transform(df)
+            assert {(r.a, r.b): r.v for r in out.collect()} == {(a, b): codes[v] for a, b, v in rows}
+    assert fit_label(df, ["v"], ["b"], 10).large["v"].count() == 500
+
+
 def test_label_codes_with_a_hot_value(spark):
     values = ["hot" if i % 3 else f"v{i}" for i in range(3000)]
     df = spark.createDataFrame(list(enumerate(values)), "k bigint, v string")

@@ -86,7 +86,9 @@ def test_missing_features(spark, cases):
 
 def test_parameter_translation():
     assert spark_params("lr", {"C": 0.5}, 100) == {"maxIter": 1000, "regParam": 0.02}
-    rf = spark_params("rf", {"max_depth": 50, "max_features": None}, 1)
+    with pytest.raises(ValueError, match="max_depth 50"):
+        spark_params("rf", {"max_depth": 50}, 1)
+    rf = spark_params("rf", {"max_depth": None, "max_features": None}, 1)
     assert rf["maxDepth"] == 30 and rf["featureSubsetStrategy"] == "all"
     gbt = spark_params("xgboost", {"colsample_bytree": 1.0, "min_child_weight": 0}, 1)
     assert gbt["featureSubsetStrategy"] == "all" and gbt["minInstancesPerNode"] == 1

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.operators import balance, neighbours, split
+from tabwright.operators import balance, neighbours, ranks, split
 from tabwright.operators.balance import balanced_weights, smote
-from tabwright.operators.ranks import range_edges, running_totals
+from tabwright.operators.ranks import range_edges, running_totals, with_range
 from tabwright.operators.split import assign_folds, split_parts, stratified_split, train_quotas
 from tabwright.operators.target import code_text, to_severity, unmapped_codes
 
@@ -58,14 +58,34 @@ def test_split_errors(spark):
         stratified_split(_classes(spark, {0: 3, 1: 2}), "label", ["id"], 1.0)
 
 
-def test_quotas_sum_up():
+def test_quotas_sum_up(spark):
     for sizes in ({0: 33, 1: 33, 2: 34}, {0: 997, 1: 2, 2: 51}, {0: 5, 1: 5}):
         n = sum(sizes.values())
-        quotas = train_quotas(sizes, 0.2)
+        table = spark.createDataFrame(list(sizes.items()), "c int, n bigint")
+        quotas = {r.c: r.wanted[0] for r in train_quotas(table, 0.2).collect()}
         assert sum(quotas.values()) == n - math.ceil(n * 0.2)
         assert all(abs(quotas[c] - (n - math.ceil(n * 0.2)) * k / n) < 1 for c, k in sizes.items())
 
 
+@pytest.mark.parametrize("broadcast", [100_000, 3])
+def test_many_classes(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(split, "BROADCAST_ROWS", broadcast)
+    df = spark.range(3000).select("id", (F.col("id") % 600).alias("label"))
+    test = Counter(r.label for r in stratified_split(df, "label", ["id"], 0.2).where("is_test").collect())
+    assert test == {c: 1 for c in range(600)}
+    with pytest.raises(ValueError, match="missing values"):
+        stratified_split(df.withColumn("label", F.expr("nullif(label, 5)")), "label", ["id"])
+
+
+def test_a_key_that_repeats_is_an_error(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") % 7).alias("id"), F.lit(1).alias("label"))
+    with pytest.raises(ValueError, match="does not identify"):
+        stratified_split(df, "label", ["id"], 0.2)
+    monkeypatch.setattr(split, "GATHER_ROWS", 10)
+    with pytest.raises(ValueError, match="does not identify"):
+        stratified_split(df, "label", ["id"], 0.2)
+
+
 @pytest.mark.parametrize("gather", [2000, 2])
 def test_folds(spark, monkeypatch, gather):
     monkeypatch.setattr(split, "GATHER_ROWS", gather)
@@ -85,14 +105,20 @@ def test_text_keys_and_text_classes(spark):
     assert Counter(r.c for r in test.collect()) == {"x": 3, "y": 7}
 
 
-def test_running_totals_equal_a_plain_window(spark):
+def test_running_totals_equal_a_plain_window(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = sorted({(int(g), float(v)) for g, v in zip(rng.choice([0, 0, 0, 1, 2], 3000), rng.integers(0, 900, 3000))})
     df = spark.createDataFrame(rows, "g int, v double").withColumn("one", F.lit(1))
     edges = range_edges(df, "v", 100)
     assert len(edges) > 5
+    ranges = {}
+    for size in (64, 4):
+        monkeypatch.setattr(ranks, "TREE_EDGES", size)
+        ranges[size] = [(r.v, r.x) for r in with_range(df, "v", edges, "x").orderBy("v", "g").collect()]
+    assert ranges[64] == ranges[4] == [(v, float(sum(e <= v for e in edges))) for v, _ in ranges[64]]
     for down in (False, True):
-        got = running_totals(df, ["g"], "v", ["one"], edges, down)
+        holed = df.unionByName(df.limit(1).select("g", F.lit(None).cast("double").alias("v"), "one"))
+        got = running_totals(holed.unionByName(df.limit(1).select("g", F.lit(float("nan")).alias("v"), "one")), ["g"], "v", ["one"], edges, down)
         order = F.col("v").desc() if down else F.col("v")
         want = df.withColumn("w", F.row_number().over(W.partitionBy("g").orderBy(order)))
         assert got.join(want, ["g", "v"]).where("cum_one <> w").count() == 0
