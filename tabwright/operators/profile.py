@@ -41,16 +41,14 @@ def validate_table(
     """Return ``df`` unchanged, or raise ``ValueError`` naming the first broken rule."""
     doubled = clashes(df.columns)
     if doubled:
-        raise ValueError(f"{description} has duplicate column names: {doubled}")
+        raise ValueError(f"{description}: names used twice: {doubled}")
     seen = table_profile(df).first()
     if seen.n_rows == 0:
-        raise ValueError(f"{description} is empty")
+        raise ValueError(f"{description}: no rows")
     if seen.n_rows < min_rows:
-        raise ValueError(f"{description} has only {seen.n_rows} rows, minimum {min_rows} required")
+        raise ValueError(f"{description}: rows = {seen.n_rows}, wanted {min_rows} or more")
     if max_missing_ratio is not None and seen.missing_ratio > max_missing_ratio:
-        raise ValueError(
-            f"{description} has {seen.missing_ratio:.1%} missing values, maximum {max_missing_ratio:.1%} allowed"
-        )
+        raise ValueError(f"{description}: share of missing cells = {seen.missing_ratio:.4f}, wanted {max_missing_ratio} or less")
     return df
 
 
@@ -68,14 +66,14 @@ def check_features(df: DataFrame, features: Sequence[str], label: str) -> dict[s
     """Missing features are reported, a missing target or an empty table is an error."""
     absent = [c for c in [*features, label] if c not in df.columns]
     if absent:
-        raise ValueError(f"columns not in the table: {absent}")
+        raise ValueError(f"absent: {absent}")
     if not features:
-        raise ValueError("no feature columns")
+        raise ValueError("a model needs a feature, none was given")
     seen = features_profile(df, features, label).first().asDict()
     if seen["n_rows"] == 0:
-        raise ValueError("feature table is empty")
+        raise ValueError("no rows to learn from")
     if seen["missing_targets"]:
-        raise ValueError(f"{seen['missing_targets']} missing values in target {label!r}")
+        raise ValueError(f"target {label!r} is unknown in {seen['missing_targets']} rows")
     if seen["missing_features"]:
         log.warning("%d missing values in features", seen["missing_features"])
     return seen

@@ -155,12 +155,16 @@ def train_quotas(table: DataFrame, test_size: float) -> DataFrame:
     return shared.select("c", F.array(F.col("q") + (place <= left).cast("bigint")).alias("wanted"))
 
 
+def check_share(test_size: float) -> None:
+    if not 0 < test_size < 1:
+        raise ValueError(f"test_size: {test_size} does not lie between 0 and 1")
+
+
 def stratified_split(
     df: DataFrame, label: str, key: Sequence[str], test_size: float = TEST_SIZE, seed: int = SEED
 ) -> DataFrame:
     """Add the boolean ``is_test``; class shares are kept exactly."""
-    if not 0 < test_size < 1:
-        raise ValueError(f"test size must be between 0 and 1, got {test_size}")
+    check_share(test_size)
     cuts = fit_cuts(df, label, key, seed, train_quotas(class_table(df, label), test_size))
     return cuts.numbered(df, "__slice").select(*[quoted(c) for c in df.columns], (F.col("__slice") == 1).alias("is_test"))
 

@@ -26,6 +26,7 @@ log = logging.getLogger(__name__)
 # Fixed defaults.
 CV_FOLDS = 5
 SEARCH_FOLDS = 3
+SEARCH_METHODS = ("grid", "random")
 SEARCH_ITERATIONS = 50
 SCORING = "f1_macro"
 # The candidate values of each parameter.
@@ -230,7 +231,7 @@ def search(
     elif method.lower() == "random":
         candidates = random_choices(space, n_iter, seed)
     else:
-        raise ValueError(f"unsupported search method {method!r}, use 'grid' or 'random'")
+        raise ValueError(f"search method {method!r} is unsupported, there are {SEARCH_METHODS}")
     kinds = {json.dumps(spark_params(model_type, c, 1), sort_keys=True): c for c in reversed(candidates)}
     log.info("%d candidates, %d different ones, %d folds", len(candidates), len(kinds), k)
     folds = Folds(df, features, label, key, k, seed, balance)
