@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.columns import any_missing, number_sql, quoted, ticked
-from tabwright.functions.keys import key_hash, text_hash, unit
+from tabwright.functions.keys import text_hash, unit
 from tabwright.functions.stage import materialise
 from tabwright.operators.neighbours import nearest_points
 from tabwright.operators.split import SEED, as_quotas, class_counts, fit_cuts
@@ -124,7 +124,8 @@ def smote(
 def _row_id(df: DataFrame, key: Sequence[str], seed: int) -> Column:
     if len(key) == 1 and isinstance(df.schema[key[0]].dataType, T.IntegralType):
         return quoted(key[0]).cast("bigint")
-    return key_hash(key, seed)
+    # 128 bits as text: two rows of even the largest table never share one
+    return F.md5(F.concat_ws(":", *[quoted(k).cast("string") for k in key], F.lit(seed).cast("string")))
 
 
 def _copied(df: DataFrame, count: str, most: int | None, key: Sequence[str]) -> DataFrame:

@@ -24,7 +24,8 @@ SAMPLE_PER_BOX = 24
 SAMPLE_VALUES = 8_000_000
 BLOCK_POINTS = 4000
 CHUNK_CELLS = 2_000_000
-TOUCH_ROWS = 2000
+#: Numbers in the largest array that the search for touched boxes holds: points at once times boxes times features.
+TOUCH_CELLS = 4_000_000
 VISITS_PER_COPY = 16_000
 
 
@@ -94,11 +95,12 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def _nearest(asked: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
     """The ``k`` nearest block points of every asked point, itself left out, ties by identifier."""
-    empty = pd.DataFrame({"point": [], "near": [], "dist": [], "near_ids": [], "near_vector": []})
+    empty = pd.DataFrame({"point": [], "near": [], "dist": []})
     if not len(asked) or not len(block):
         return empty
     q, b = _matrix(asked["vector"]), _matrix(block["vector"])
     ids, base = asked["point"].to_numpy(), block["point"].to_numpy()
+    by_id = np.argsort(np.argsort(base, kind="stable"), kind="stable")  # text ids sort by place, too
     step = max(1, CHUNK_CELLS // len(block))
     rows = []
     for at in range(0, len(q), step):
@@ -106,7 +108,7 @@ def _nearest(asked: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
         dist[ids[at : at + step][:, None] == base[None, :]] = np.inf
         limit = np.partition(dist, k - 1, axis=1)[:, k - 1] if len(b) > k else np.full(len(dist), np.inf)
         who, near = np.nonzero((dist <= limit[:, None]) & np.isfinite(dist))
-        order = np.lexsort((base[near], dist[who, near], who))
+        order = np.lexsort((by_id[near], dist[who, near], who))
         who, near = who[order], near[order]
         first = np.arange(len(who)) - np.searchsorted(who, who) < k
         rows.append((who[first] + at, near[first], dist[who[first], near[first]]))
@@ -116,8 +118,6 @@ def _nearest(asked: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
             "point": ids[who],
             "near": base[near],
             "dist": dist,
-            "near_ids": block["ids"].to_numpy()[near],
-            "near_vector": block["vector"].to_numpy()[near],
         }
     )
 
@@ -126,20 +126,25 @@ def _numbers(count: str) -> Column:
     return F.sequence(F.lit(0).cast("bigint"), F.col(count).cast("bigint") - 1)
 
 
-POINT = "point bigint, vector array<double>"
-FOUND = "point bigint, near bigint, dist double, near_ids array<bigint>, near_vector array<double>"
-
-
 def nearest_points(points: DataFrame, k: int) -> DataFrame:
     """Rows ``point, near, dist, near_ids, near_vector``: the ``k`` nearest other points of the same group, exactly.
 
-    ``points`` has ``grp`` (int), ``point`` (bigint, unique), ``vector`` (array of doubles, distinct in its group),
-    ``ids`` (rows at this place, carried along) and ``asked`` (whether its neighbours are wanted).
+    ``points`` has ``grp`` (int), ``point`` (bigint or text, unique), ``vector`` (array of doubles, distinct in its
+    group), ``ids`` (rows at this place) and ``asked`` (whether its neighbours are wanted). Candidates carry ids and
+    distances only; vectors are joined to the final neighbours.
     """
+    best = _nearest_ids(points, k)
+    beside = points.select(F.col("point").alias("near"), F.col("ids").alias("near_ids"), F.col("vector").alias("near_vector"))
+    return best.join(beside, "near").select("point", "near", "dist", "near_ids", "near_vector")
+
+
+def _nearest_ids(points: DataFrame, k: int) -> DataFrame:
+    kind = points.schema["point"].dataType.simpleString()
+    point_columns, found_columns = f"point {kind}, vector array<double>", f"point {kind}, near {kind}, dist double"
     sizes = points.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).collect()
     if all(g.n <= BLOCK_POINTS for g in sizes):
         # one block holds the whole group
-        return points.groupBy("grp").applyInPandas(lambda pdf: _nearest(pdf[pdf["asked"]], pdf, k), FOUND)
+        return points.select("grp", "point", "vector", "asked").groupBy("grp").applyInPandas(lambda pdf: _nearest(pdf[pdf["asked"]], pdf, k), found_columns)
     trees = {g.grp: _fit_tree(points, g.grp, g.n, g.d) for g in sizes}
 
     def to_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,10 +152,8 @@ def nearest_points(points: DataFrame, k: int) -> DataFrame:
             for grp, part in pdf.groupby("grp"):
                 yield part.assign(box=trees[grp].home(_matrix(part["vector"])))
 
-    columns = f"grp int, {POINT}, ids array<bigint>, asked boolean"
-    housed = materialise(
-        points.select("grp", "point", "vector", "ids", "asked").mapInPandas(to_home, f"{columns}, box bigint")
-    )
+    columns = f"grp int, {point_columns}, asked boolean"
+    housed = materialise(points.select("grp", "point", "vector", "asked").mapInPandas(to_home, f"{columns}, box bigint"))
     blocks = F.broadcast(
         housed.groupBy("grp", "box").agg(F.ceil(F.count(F.lit(1)) / BLOCK_POINTS).cast("int").alias("blocks"))
     )
@@ -164,17 +167,19 @@ def nearest_points(points: DataFrame, k: int) -> DataFrame:
         radius2 = near["max"].where(near["size"] >= k, np.inf)
         return mine[["grp", "point", "vector"]].assign(radius2=mine["point"].map(radius2).fillna(np.inf).astype(float))
 
-    looked = stored.groupBy("grp", "box", "block").applyInPandas(first_look, f"grp int, {POINT}, radius2 double")
+    looked = stored.groupBy("grp", "box", "block").applyInPandas(first_look, f"grp int, {point_columns}, radius2 double")
 
     def to_touched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for grp, mine in pdf.groupby("grp"):
-                for at in range(0, len(mine), TOUCH_ROWS):
-                    part = mine.iloc[at : at + TOUCH_ROWS]
+                width = len(mine["vector"].iloc[0])
+                step = max(1, TOUCH_CELLS // (2 ** trees[grp].depth * max(width, 1)))
+                for at in range(0, len(mine), step):
+                    part = mine.iloc[at : at + step]
                     who, box = trees[grp].touched(_matrix(part["vector"]), part["radius2"].to_numpy())
                     yield part.iloc[who][["grp", "point", "vector"]].assign(box=box)
 
-    sent = looked.mapInPandas(to_touched, f"grp int, {POINT}, box bigint").join(blocks, ["grp", "box"])
+    sent = looked.mapInPandas(to_touched, f"grp int, {point_columns}, box bigint").join(blocks, ["grp", "box"])
     visits = materialise(sent.select("grp", "box", "point", "vector", F.explode(_numbers("blocks")).alias("block")))
 
     # a block asked by very many points is copied, and its visitors are spread over the copies
@@ -188,7 +193,7 @@ def nearest_points(points: DataFrame, k: int) -> DataFrame:
 
     place = [*home, "copy"]
     grouped = left.select("point", "vector", *place).groupBy(*place)
-    found = grouped.cogroup(right.select("point", "vector", "ids", *place).groupBy(*place)).applyInPandas(look, FOUND)
+    found = grouped.cogroup(right.select("point", "vector", *place).groupBy(*place)).applyInPandas(look, found_columns)
     best = W.partitionBy("point").orderBy("dist", "near")
     return found.withColumn("__rn", F.row_number().over(best)).where(F.col("__rn") <= k).drop("__rn")
 
