@@ -82,4 +82,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+ORACLES: dict[str, str] = {
+    "op3_suffix_dedup": """
+WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+p AS (SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS i FROM t WHERE octet_length(b) >= 200),
+h AS (SELECT doc_id, i, md5(b[i:i + 199]) AS s FROM p),
+r AS (SELECT doc_id, i FROM h JOIN (SELECT s FROM h GROUP BY s HAVING count(*) > 1) USING (s)),
+m AS (SELECT doc_id, i, (i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -999) > 200)::INT AS new FROM r),
+q AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM m),
+z AS (SELECT doc_id, min(i) AS a, max(i) + 199 AS e FROM q GROUP BY doc_id, k),
+y AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS f, a - 1 AS l FROM z
+  UNION ALL SELECT doc_id, max(e) + 1, 2000000000 FROM z GROUP BY doc_id),
+x AS (SELECT doc_id, unhex(coalesce(string_agg(hex(b[f:l]), '' ORDER BY f) FILTER (WHERE l >= f), '')) AS kept
+  FROM y JOIN t USING (doc_id) GROUP BY doc_id),
+v AS (SELECT doc_id, sum(e - a + 1)::BIGINT AS gone, count(*) AS spans FROM z GROUP BY doc_id)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(coalesce(kept, b)) AS kept_sha256
+FROM t LEFT JOIN v USING (doc_id) LEFT JOIN x USING (doc_id)""",
+    "op6_substring_dedup": f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w WHERE len(w) >= 35),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM p),
+r AS (SELECT doc_id, i FROM h JOIN (SELECT s FROM h GROUP BY s HAVING count(*) > 1) USING (s)),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+a AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM w),
+k AS (SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS kept, count(*) AS n FROM a ANTI JOIN g USING (doc_id, j) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)""",
+    "op7_minhash_dedup": f"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(CASE WHEN len(w) >= 4 THEN range(1, len(w) - 2) WHEN len(w) > 0 THEN [1] ELSE [] END) AS i FROM w),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.x, r.c FROM r JOIN e ON e.y = r.doc_id)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(c) AS component_id, doc_id = min(c) AS kept
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+}
