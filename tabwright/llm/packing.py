@@ -7,9 +7,9 @@ The totals of the tasks, summed up, give each document's place in the whole. Pas
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,22 +18,68 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import scratch_path
-from tabwright.llm.blocks import Block, blocks, words_of
-
-#: Letters and then punctuation: pieces that the vocabulary's splitting rule never joins with each other.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)\Z")
-#: Distinct words whose ids a worker keeps; beyond it starts anew.
-KEPT_WORDS = 300_000
+from tabwright.llm.blocks import BYTE_BASE, Block, Rolling, blocks, words_of
+
+#: Kinds of bytes: letters, punctuation, and all else; the letters of two bytes that begin with 0xC3 are added in ``units``.
+LETTER, MARK, OTHER = 1, 2, 3
+KIND = np.full(256, OTHER, np.uint8)
+KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+KIND[[*range(33, 48), *range(58, 65), *range(91, 95), 96, *range(123, 127)]] = MARK
+#: Distinct units whose ids a worker keeps; beyond it starts anew.
+KEPT_UNITS = 600_000
 #: Totals of so many tasks may be broadcast (16 bytes each).
 BROADCAST_TASKS = 1_000_000
 
 
+@dataclass
+class Units:
+    """Byte ranges of units in (partly lower-cased) bytes, whether they are plain, their fingerprints, each document's first."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    plain: np.ndarray
+    ids: np.ndarray
+    bounds: np.ndarray
+
+
+def units(block: Block) -> Units:
+    """Words of a block; letters followed by punctuation are two units, both plain, as is either alone.
+
+    Plain units are in lower case. Letters are A to Z and those of U+00C0 to U+00FF; the vocabulary's splitting rule
+    parts letters from punctuation, and nothing in a plain unit changes under its normal form.
+    """
+    words, data = words_of(block), block.data
+    n = len(data)
+    kind = KIND[data]
+    wide = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))  # but the signs of times and division
+    kind[wide] = kind[wide + 1] = LETTER
+    change = np.zeros((2, n + 2), np.int32)
+    change[0, 2 : n + 1] = np.cumsum((kind[:-1] == LETTER) & (kind[1:] == MARK))
+    change[1, 2 : n + 1] = np.cumsum((kind[:-1] == MARK) & (kind[1:] == LETTER))
+    others = np.append(0, np.cumsum(kind == OTHER))
+    s, e = words.starts, words.ends
+    plain = (others[e] == others[s]) & (change[1, e] == change[1, s + 1])
+    cuts = np.flatnonzero((kind[:-1] == LETTER) & (kind[1:] == MARK)) + 1
+    cuts = cuts[plain[np.searchsorted(s, cuts, side="right") - 1]] if len(s) else cuts[:0]
+    edges = np.zeros(n + 1, np.int8)
+    edges[s[plain]] += 1
+    edges[e[plain]] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8) > 0
+    low = data.copy()
+    low[inside & (data >= 65) & (data <= 90)] += 32
+    upper = wide[inside[wide] & (data[wide + 1] <= 0x9E)] + 1
+    low[upper] += 32
+    starts, ends = np.sort(np.append(s, cuts)), np.sort(np.append(e, cuts))
+    owner = np.searchsorted(s, starts, side="right") - 1
+    return Units(low, starts, ends, plain[owner], Rolling(low, BYTE_BASE).ranges(starts, ends), np.searchsorted(starts, block.bounds))
+
+
 class WordTokenizer:
-    """Ids of texts under a vocabulary that drops white space and lower-cases, each distinct word encoded once.
+    """Ids of texts under a vocabulary that drops white space and lower-cases, each distinct unit encoded once.
 
-    The vocabulary splits texts at white space, so the ids of a text are those of its words. A plain word's letters and
-    its trailing punctuation are split, too; letters are looked up in lower case, and many new ones are encoded at once:
-    each ends with a token that is marked as a word's end.
+    The vocabulary splits texts at white space and between letters and punctuation, so the ids of a text are those of its
+    units. Many new plain units are encoded as one text: each ends with a token that is marked as a word's end.
     """
 
     def __init__(self, path: str):
@@ -46,9 +92,8 @@ class WordTokenizer:
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         with open(path) as f:
             rules = json.load(f)
-        #: Whether the file's own rules are those that the short cut relies on.
-        self.splits = rules["model"].get("end_of_word_suffix") == "</w>" and "Lowercase" in json.dumps(rules.get("normalizer"))
-        self.parts: dict[str, np.ndarray] = {}
+        if rules["model"].get("end_of_word_suffix") != "</w>" or "Lowercase" not in json.dumps(rules.get("normalizer")):
+            raise ValueError(f"{path} does not split and lower-case words as this operator relies on")
         self._forget()
 
     def _forget(self) -> None:
@@ -59,61 +104,53 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn_parts(self, new: list[str]) -> None:
-        if len(self.parts) > KEPT_WORDS:
-            self.parts = {}
-        for at in range(0, len(new), 1000):
-            some = new[at : at + 1000]
-            ids = self.encode([" ".join(some)])[0]
-            pieces = np.split(ids, np.flatnonzero(self.last[ids])[:-1] + 1)
-            if len(pieces) != len(some):
-                pieces = self.encode(some)
-            self.parts.update(zip(some, pieces, strict=True))
-
-    def _learn(self, prints: list[int], words: list[str]) -> None:
-        split = [PLAIN.match(w) if self.splits else None for w in words]
-        pairs = [(m[1].lower(), m[2]) if m else None for m in split]
-        wanted = dict.fromkeys(p for pair in pairs if pair for p in pair if p)
-        if len(self.parts) + len(wanted) > KEPT_WORDS:
-            self.parts = {}
-        self._learn_parts([p for p in wanted if p not in self.parts])
-        whole = iter(self.encode([w for w, p in zip(words, pairs, strict=True) if p is None]))
-        for fingerprint, pair in zip(prints, pairs, strict=True):
-            pieces = [next(whole)] if pair is None else [self.parts[p] for p in pair if p]
-            self._store(fingerprint, pieces)
-
-    def _store(self, fingerprint: int, pieces: list[np.ndarray]) -> None:
-        i, size = len(self.known), sum(map(len, pieces))
-        if i >= len(self.offsets):
+    def _learn(self, fingerprints: list[int], texts: list[str], plain: np.ndarray) -> None:
+        order = np.argsort(~plain, kind="stable").tolist()  # plain ones first
+        n = int(plain.sum())
+        for at in range(0, n, 1000):
+            some = order[at : min(at + 1000, n)]
+            ids = self.encode([" ".join([texts[i] for i in some])])[0]
+            stops = np.flatnonzero(self.last[ids]) + 1
+            if len(stops) == len(some):
+                self._store([fingerprints[i] for i in some], ids, np.diff(stops, prepend=0))
+            else:
+                self._store_each([fingerprints[i] for i in some], [texts[i] for i in some])
+        self._store_each([fingerprints[i] for i in order[n:]], [texts[i] for i in order[n:]])
+
+    def _store_each(self, fingerprints: list[int], texts: list[str]) -> None:
+        if texts:
+            pieces = self.encode(texts)
+            self._store(fingerprints, np.concatenate(pieces), np.array([len(p) for p in pieces]))
+
+    def _store(self, fingerprints: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, n = len(self.known), len(fingerprints)
+        while first + n > len(self.offsets):
             self.offsets, self.sizes = (np.append(x, np.zeros(len(x), np.int64)) for x in (self.offsets, self.sizes))
-        while self.used + size > len(self.pool):
+        while self.used + len(ids) > len(self.pool):
             self.pool = np.append(self.pool, np.zeros(len(self.pool), self.kind))
-        self.known[fingerprint] = i
-        self.offsets[i], self.sizes[i] = self.used, size
-        for p in pieces:
-            self.pool[self.used : self.used + len(p)] = p
-            self.used += len(p)
+        self.known.update(zip(fingerprints, range(first, first + n), strict=True))
+        self.offsets[first : first + n], self.sizes[first : first + n] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def ids(self, block: Block, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block, ``end`` after each document, and the number of ids of each document."""
-        words = words_of(block)
-        unique, first, which = np.unique(words.ids, return_index=True, return_inverse=True)
-        if len(self.known) + len(unique) > 2 * KEPT_WORDS:
+        found = units(block)
+        unique, first, which = np.unique(found.ids, return_index=True, return_inverse=True)
+        if len(self.known) + len(unique) > KEPT_UNITS:
             self._forget()
         fingerprints = unique.tolist()
         new = [i for i, f in enumerate(fingerprints) if f not in self.known]
         if new:
-            raw = block.data.tobytes()
-            at = first[new]
-            texts = [raw[s:e].decode() for s, e in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
-            self._learn([fingerprints[i] for i in new], texts)
-        place = np.fromiter((self.known[f] for f in fingerprints), np.int64, len(fingerprints))
+            raw, at = found.data.tobytes(), first[new]
+            texts = [raw[s:e].decode() for s, e in zip(found.starts[at].tolist(), found.ends[at].tolist(), strict=True)]
+            self._learn([fingerprints[i] for i in new], texts, found.plain[at])
+        place = np.fromiter(map(self.known.__getitem__, fingerprints), np.int64, len(fingerprints))
         offsets, sizes = self.offsets[place][which], self.sizes[place][which]
-        of_doc = np.add.reduceat(np.append(sizes, 0), np.minimum(words.bounds[:-1], len(sizes))) * (np.diff(words.bounds) > 0)
-        total = int(sizes.sum())
-        spots = np.repeat(offsets - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
-        ends = np.cumsum(of_doc)
-        return np.insert(self.pool[spots].astype(self.kind), ends, end), of_doc + 1
+        upto = np.append(0, np.cumsum(sizes))
+        ends = upto[found.bounds[1:]]
+        spots = np.repeat(offsets - upto[:-1], sizes) + np.arange(upto[-1])
+        return np.insert(self.pool[spots], ends, end), np.diff(ends, prepend=0) + 1
 
 
 _loaded: dict[str, WordTokenizer] = {}

@@ -38,14 +38,14 @@ def test_round_trip(edge_docs, length):
 
 def test_words_split_as_the_library_splits(spark):
     library = Tokenizer.from_file(PATH)
-    texts = ["It's the dogs' é café! naïve", "<|endoftext|> a<|startoftext|>b", "x" * 500, "ǅ İ ß ﬁ ½ ² a_b", "#!?'s 's t's", "日本 語　x y\x85z", "4-5 a1b2 £5"]
+    texts = ["It's the dogs' é café! naïve", "<|endoftext|> a<|startoftext|>b", "x" * 500, "ǅ İ ß ﬁ ½ ² a_b", "#!?'s 's t's", "ÀÉÞ×÷ß!! É's ÿ... ñandú, Ω; <|ENDOFTEXT|> e\u0301, E\u0301", "日本 語　x y\x85z", "4-5 a1b2 £5"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.pack(docs, PATH, 1 << 20).collect()}
     assert found == {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
 
 
 def test_words_are_forgotten_and_learnt_again(monkeypatch, spark, prose):
-    monkeypatch.setattr(packing, "KEPT_WORDS", 5)
+    monkeypatch.setattr(packing, "KEPT_UNITS", 5)
     words = packing.WordTokenizer(PATH)
     library = Tokenizer.from_file(PATH)
     import pyarrow as pa
