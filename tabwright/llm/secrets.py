@@ -155,8 +155,9 @@ def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
                 out.append((m.start(), "pem", m.end()))
     if "eyJ" in text:
         out += [(m.start(), "signed", m.end()) for m in SIGNED.finditer(text) if is_signed(m[0])]
+    envelopes = [(s, e) for s, k, e in out if k == "pem"]
     for m in BASE64.finditer(text):
-        if is_key(unbase64(m[0])):
+        if not any(s <= m.start() < e for s, e in envelopes) and is_key(unbase64(m[0])):
             out.append((m.start(), "base64key", m.end()))
     for m in HEX_KEY.finditer(text):
         if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
