@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabwright.catalogue.tables import CASES, RATED_DOCUMENTS, cases, gap, rounded, table, written_documents
 from tabwright.operators.features import add_polynomials, date_parts, fit_interactions
 from tabwright.operators.reduce import fit_components
+from tabwright.operators.select import anova_scores as anova
 from tabwright.operators.select import fit_selection
 from tabwright.plans.featurise import fit_features
 from tabwright.spec import PipelineSpec
@@ -112,7 +113,15 @@ def feature_selected(spark: SparkSession, folder: str) -> DataFrame:
     return fit_features(scaled, spec).transform(scaled)
 
 
+def anova_many_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """One F statistic over as many classes as there are customers with orders."""
+    orders = table(spark, folder, "orders").select("o_custkey", "o_totalprice")
+    score = anova(orders, ["o_totalprice"], "o_custkey")["o_totalprice"]
+    return rounded(spark.createDataFrame([("o_totalprice", score)], "feature string, score double"), "score")
+
+
 QUERIES = {
+    "anova_many_classes": anova_many_classes,
     "feat_interaction": feat_interaction,
     "feat_ratio_guard": feat_ratio_guard,
     "feat_polynomial": feat_polynomial,
@@ -180,6 +189,11 @@ _BUILT_NAMES = [
 ]
 
 ORACLES = {
+    "anova_many_classes": """
+WITH g AS (SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS m, var_pop(o_totalprice) AS v FROM orders GROUP BY 1),
+t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS grand FROM g)
+SELECT 'o_totalprice' AS feature, round((sum(g.n * (m - grand) ** 2) / (any_value(k) - 1))
+  / (sum(g.n * v) / (any_value(t.n) - any_value(k))), 6) + 0.0 AS score FROM g, t""",
     "feat_interaction": """
 SELECT l_orderkey, l_extendedprice, l_quantity, l_tax,
   l_extendedprice * l_quantity AS l_extendedprice_l_quantity_interaction,

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.catalogue.tables import CASES, PRIORITY_CLASS, cases, rounded, written_documents
+from tabwright.catalogue.tables import CASES, PRIORITY_CLASS, cases, rounded, table, written_documents
 from tabwright.functions.stage import scratch_path
 from tabwright.operators.evaluate import roc_auc as auc_table
 from tabwright.operators.evaluate import cumulative_scores, metrics, top_features
@@ -17,6 +17,7 @@ from tabwright.operators.split import split_parts
 from tabwright.operators.target import to_severity
 from tabwright.operators.tune import Balance, cross_validate, search
 from tabwright.plans.evaluate import evaluate_folder
+from tabwright.plans.preprocess import FittedPreprocessing, fit_preprocessing
 from tabwright.plans.run import run
 from tabwright.plans.train import train_models
 from tabwright.sources.models import load_model, load_models, save_model
@@ -125,6 +126,26 @@ def models_in_folder(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(out + [(n, -1) for n in errors], "name string, correct bigint")
 
 
+SCORE_SPEC = PipelineSpec(
+    target_column="o_orderpriority",
+    key_columns=KEY,
+    numeric_columns=["o_totalprice"],
+    categorical_columns=["o_orderstatus"],
+    scaler_type="minmax",
+    severity_mapping=PRIORITY_CLASS,
+)
+
+
+def score_new_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Preprocessing fitted on even keys, written, read again and applied to the rows with odd keys."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    path = scratch_path(spark)
+    fitted, _ = fit_preprocessing(orders.where("o_orderkey % 2 = 0"), SCORE_SPEC)
+    fitted.write(spark, path)
+    done = FittedPreprocessing.read(spark, path).transform(orders.where("o_orderkey % 2 = 1"))
+    return rounded(done.withColumnsRenamed({c: c.lower() for c in done.columns}), "o_totalprice", places=9)
+
+
 DOCUMENTS = ["chars", "words", "lines"]
 
 
@@ -245,6 +266,7 @@ QUERIES = {
     "gbt_levels": gbt_levels,
     "importance_levels": importance_levels,
     "models_in_folder": models_in_folder,
+    "score_new_rows": score_new_rows,
     "lr_predict": lr_predict,
     "rf_predict": rf_predict,
     "gbt_predict": gbt_predict,
@@ -288,5 +310,10 @@ SELECT * FROM (VALUES (1, 'c_nationkey', 1.0::DOUBLE), (2, 'same', 0.0::DOUBLE))
 WITH t AS ({_LEVELS}), c AS (SELECT c_nationkey, label, count(*) AS n FROM t GROUP BY 1, 2),
 b AS (SELECT sum(m)::BIGINT AS correct FROM (SELECT max(n) AS m FROM c GROUP BY c_nationkey))
 SELECT name, b.correct AS correct FROM b, (VALUES ('first'), ('deep/second')) AS x(name)""",
+    "score_new_rows": """
+WITH e AS (SELECT min(o_totalprice) AS a, max(o_totalprice) AS b FROM orders WHERE o_orderkey % 2 = 0)
+SELECT o_orderkey, round((o_totalprice - a) / (b - a), 9) + 0.0 AS o_totalprice, o_orderpriority,
+  (o_orderstatus = 'F')::INTEGER AS o_orderstatus_f, (o_orderstatus = 'O')::INTEGER AS o_orderstatus_o,
+  (o_orderstatus = 'P')::INTEGER AS o_orderstatus_p FROM orders, e WHERE o_orderkey % 2 = 1""",
     "model_roundtrip": f"SELECT true AS same, count(*) AS n FROM ({CASES})",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -38,10 +39,9 @@ class Components:
             terms = [
                 (number(df, c) - F.lit(m)) * F.lit(w) for c, m, w in zip(self.features, self.means, weights)
             ]
-            total = terms[0]
-            for t in terms[1:]:
-                total = total + t
-            scores.append(total.alias(f"PC{k + 1}"))
+            while len(terms) > 1:  # in pairs, so that hundreds of features don't make a chain as deep
+                terms = [a if b is None else a + b for a, b in zip_longest(terms[::2], terms[1::2])]
+            scores.append(terms[0].alias(f"PC{k + 1}"))
         return df.select(*[quoted(c) for c in df.columns if c not in self.features], *scores)
 
     def variance_rows(self) -> list[tuple[str, float, float]]:

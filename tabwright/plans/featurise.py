@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tabwright.functions.columns import existing
 from tabwright.operators.features import Interactions, add_polynomials, date_parts, fit_interactions
@@ -29,6 +30,20 @@ class FittedFeatures:
         out = self.components.transform(self._built(df))
         return self.selection.transform(out, existing(out, self.keep, "identifier")) if self.selection else out
 
+    def write(self, spark: SparkSession, folder: str) -> None:
+        """The fitted values as one line of text."""
+        text = json.dumps(asdict(self), ensure_ascii=False)
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(folder)
+
+    @staticmethod
+    def read(spark: SparkSession, folder: str) -> "FittedFeatures":
+        d = json.loads(spark.read.text(folder).first().value)
+        pairs = {k: [tuple(x) if isinstance(x, list) else x for x in v] for k, v in d["interactions"].items()}
+        selection = Selection(**d["selection"]) if d["selection"] else None
+        return FittedFeatures(
+            **{**d, "interactions": Interactions(**pairs), "components": Components(**d["components"]), "selection": selection}
+        )
+
     def _built(self, df: DataFrame) -> DataFrame:
         out = self.interactions.transform(df)
         if self.polynomials:

@@ -15,7 +15,7 @@ from tabwright.plans.evaluate import Evaluation, evaluate_saved
 from tabwright.plans.featurise import FittedFeatures, fit_features
 from tabwright.plans.preprocess import ROW_ID, FittedPreprocessing, fit_preprocessing, mark_test_rows
 from tabwright.plans.train import TrainingResult, train_models
-from tabwright.sources.models import write_report
+from tabwright.sources.models import load_model, write_report
 from tabwright.sources.tables import read_table, write_table
 from tabwright.spec import PipelineSpec
 
@@ -45,11 +45,13 @@ def run(spark: SparkSession, spec: PipelineSpec, table: str | DataFrame, output:
         if spec.fit_on == "train":
             current = mark_test_rows(current, spec)
         result.preprocessing, done = fit_preprocessing(current, spec)
+        result.preprocessing.write(spark, f"{output}/fitted/preprocessing")
         if isinstance(result.preprocessing.encoder, OneHotEncoder):
             encoded = result.preprocessing.encoder.names()
         current = _written(spark, done, f"{output}/preprocessed_data", result, "preprocessed")
     if mode in ("feature", "full"):
         result.features = fit_features(current, spec, encoded)
+        result.features.write(spark, f"{output}/fitted/features")
         current = _written(spark, result.features.transform(current), f"{output}/featured_data", result, "featured")
     key = spec.key or [c for c in [ROW_ID] if c in current.columns]
     if mode in ("train", "evaluate") and not key:
@@ -78,6 +80,14 @@ def run(spark: SparkSession, spec: PipelineSpec, table: str | DataFrame, output:
     return result
 
 
+def score(spark: SparkSession, table: str | DataFrame, output: str) -> DataFrame:
+    """Predictions for a new raw table by what a full run has written: its preprocessing, its features, its best model."""
+    raw = read_table(spark, table) if isinstance(table, str) else table
+    prepared = FittedPreprocessing.read(spark, f"{output}/fitted/preprocessing").transform(raw)
+    featured = FittedFeatures.read(spark, f"{output}/fitted/features").transform(prepared)
+    return load_model(spark, f"{output}/models/best_model").predict(featured)
+
+
 def _written(spark: SparkSession, df: DataFrame, path: str, result: RunResult, name: str) -> DataFrame:
     write_table(df, path)
     result.paths[name] = path

@@ -226,7 +226,7 @@ def test_folder_keeps_errors(spark, cases, tmp_path):
     save_model(fit_model(cases, FEATURES, "label", "lr", SMALL["lr"]), spark, f"{folder}/good/lr", "good")
     save_model(fit_model(cases.withColumn("x", F.lit(1.0)), ["x", *FEATURES], "label", "lr", SMALL["lr"]), spark, f"{folder}/bad", "bad")
     done = evaluate_folder(spark, folder, cases.drop("label"), TARGET, ["id"], str(tmp_path / "reports"))
-    assert set(done.evaluations) == {"good"} and set(done.errors) == {"bad"}
+    assert set(done.evaluations) == {"good/lr"} and set(done.errors) == {"bad"}
     assert done.summary["total_models"] == 2 and done.summary["successful_evaluations"] == 1
     one = evaluate_saved(spark, f"{folder}/good/lr", cases.drop("label"), TARGET, ["id"], identifiers=["feature_4"])
     assert one.top.columns[:5] == ["class", "rank", "class_probability", "predicted_class", "true_class"]
