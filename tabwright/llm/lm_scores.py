@@ -106,7 +106,8 @@ class Models:
 
 def train(docs: DataFrame, trusted: DataFrame) -> Models:
     """Count all texts, and those whose doc_id is in ``trusted``; the driver receives at most ORDER * 2**SLOT_BITS sums."""
-    marked = trusted.select("doc_id", F.lit(True).alias("trusted")).distinct()
+    # texts are always shuffled to their marks: a list of trusted ids has no bound that would let it be broadcast
+    marked = trusted.select("doc_id", F.lit(True).alias("trusted")).distinct().hint("merge")
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(marked, "doc_id", "left").select("trusted", "text")
     counts = rows.mapInArrow(_count, "k int, slot int, target long, background long")
     sums = counts.groupBy("k", "slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toPandas()
