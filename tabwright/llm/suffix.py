@@ -16,12 +16,16 @@ STRETCH = 1 << 15
 
 
 def _grouped(c: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """j by symbol, in the given order within a symbol; the symbols present, their counts, and ranks within a symbol."""
-    order = np.argsort(c, kind="stable")
+    """j by symbol, in the given order within a symbol; the symbols present, where each begins, and their counts."""
+    order = c.argsort(kind="stable")
     c = c[order]
-    first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-    counts = np.diff(np.append(first, len(c)))
-    return j[order], c[first].astype(np.int64), counts, np.arange(len(c)) - np.repeat(first, counts)
+    edges = np.flatnonzero(c[1:] != c[:-1])
+    first = np.zeros(len(edges) + 1, np.int64)
+    np.add(edges, 1, out=first[1:])
+    counts = np.empty_like(first)
+    np.subtract(first[1:], first[:-1], out=counts[:-1])
+    counts[-1] = len(c) - first[-1]
+    return j[order], c[first], first, counts
 
 
 def _induce_larger(s: np.ndarray, small: np.ndarray, heads: np.ndarray, sa: np.ndarray) -> None:
@@ -32,12 +36,13 @@ def _induce_larger(s: np.ndarray, small: np.ndarray, heads: np.ndarray, sa: np.n
         j = j[j > 0] - 1
         j = j[~small[j]]
         if len(j):
-            j, symbols, counts, ranks = _grouped(s[j], j)
-            lowest = int(heads[symbols].min())
-            if lowest < end:
+            c = s[j]
+            lowest = int(heads[c].min())
+            if lowest < end:  # the stretch would put entries into itself: only what is before them is final
                 reach = lowest - at
                 continue
-            sa[np.repeat(heads[symbols], counts) + ranks] = j
+            j, symbols, first, counts = _grouped(c, j)
+            sa[np.repeat(heads[symbols] - first, counts) + np.arange(len(j))] = j
             heads[symbols] += counts
         at, reach = end, min(max(reach, 16) * 2, STRETCH)
 
@@ -50,12 +55,13 @@ def _induce_smaller(s: np.ndarray, small: np.ndarray, tails: np.ndarray, sa: np.
         j = j[j > 0] - 1
         j = j[small[j]]
         if len(j):
-            j, symbols, counts, ranks = _grouped(s[j], j)
-            highest = int(tails[symbols].max())
+            c = s[j]
+            highest = int(tails[c].max())
             if highest >= at:
                 reach = end - highest - 1
                 continue
-            sa[np.repeat(tails[symbols], counts) - ranks] = j
+            j, symbols, first, counts = _grouped(c, j)
+            sa[np.repeat(tails[symbols] + first, counts) - np.arange(len(j))] = j
             tails[symbols] -= counts
         end, reach = at, min(max(reach, 16) * 2, STRETCH)
 
@@ -63,8 +69,8 @@ def _induce_smaller(s: np.ndarray, small: np.ndarray, tails: np.ndarray, sa: np.
 def _induce(s: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """The array induced from LMS positions in the given order within each symbol."""
     sa = np.full(len(s), -1, np.int64)
-    j, symbols, counts, ranks = _grouped(s[lms], lms)
-    slots = np.repeat(ends[symbols] - counts, counts) + ranks
+    j, symbols, first, counts = _grouped(s[lms], lms)
+    slots = np.repeat(ends[symbols] - counts - first, counts) + np.arange(len(j))
     sa[slots] = j
     _induce_larger(s, small, np.append(0, ends[:-1]), sa)
     sa[slots[1:]] = -1  # the end mark stays, the others are induced anew
