@@ -117,7 +117,8 @@ def shared_spans(texts: DataFrame, unit: Unit) -> DataFrame:
         .where("times > 1")
         .select("gram", "mixed")
     )
-    return materialise(spans(texts, unit).join(grams, "gram"))
+    # written, so that the join has a shuffle of its own, whose hot grams adaptive execution can split
+    return materialise(spans(texts, unit).join(materialise(grams), "gram"))
 
 
 def _contents(unit: Unit, windows: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
