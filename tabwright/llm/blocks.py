@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once (one longer document is a block of its own).
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Odd bases of the two polynomials, and a base for sequences of words.
 SIZE_MARK = 0xA0761D6478BD642F
 BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
