@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.blocks import WORD_BASE, Block, Rolling, Words, blocks, lower_ascii, words_of
+from tabwright.llm.sampling import first_by_hash
 
 #: Public notices of the families, as they stand in files and on pages.
 TEMPLATES = {
@@ -259,12 +260,12 @@ def notices_in(model: Classifier, block: Block) -> list[tuple[int, int, int, str
 
 
 def sample_paragraphs(docs: DataFrame, most: int = SAMPLE) -> list[str]:
-    """At most ``most`` lines with a letter, one each of as many texts, both chosen by hash."""
-    texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
-    chosen = texts.select("text", F.xxhash64("text").alias("h")).orderBy("h", F.length("text")).limit(most)
+    """At most ``most`` lines with a letter, one each of as many rows (doc_id, text), both chosen by hash."""
+    texts = docs.where("text is not null").select("text", F.xxhash64("doc_id", "text").alias("h"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike("[A-Za-z]"))
-    one = chosen.select(F.get(lines, F.pmod(F.col("h"), F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("line"))
-    return sorted(r[0][:2000] for r in one.where("line is not null").collect())
+    one = F.get(lines, F.pmod(F.col("h"), F.greatest(F.size(lines), F.lit(1))).cast("int"))
+    chosen = first_by_hash(texts.select("h", one.alias("line")).where("line is not null"), most, docs.count())
+    return sorted(r[0][:2000] for r in chosen.select("line").collect())
 
 
 def _scan(model):

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.blocks import WORD_BASE, Block, Rolling, blocks, mix, words_of
+from tabwright.llm.sampling import first_by_hash
 
 #: Most positives, and most unlabelled texts, that the model is fitted on.
 SAMPLE = 10_000
@@ -136,11 +137,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     n, ones = usable.agg(F.count("*"), F.coalesce(F.sum(F.col("quality").cast("long")), F.lit(0))).first()
     prior = (ones + 1) / (n + 2)
-    trusted = usable.where("quality = 1").select("doc_id").distinct()
-    ids = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
+    trusted = usable.where("quality = 1")
+    ids = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = [
-        frame.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample).select("doc_id", F.lit(seed == 1).alias("trusted"))
-        for seed, frame in ((1, trusted), (2, ids))
+        first_by_hash(frame.select("doc_id", F.xxhash64("doc_id", F.lit(seed)).alias("h")), sample, size).select(
+            "doc_id", F.lit(seed == 1).alias("trusted")
+        )
+        for seed, frame, size in ((1, trusted, ones), (2, ids, docs.count()))
     ]
     pick = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * sample ids
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(pick, "doc_id").select("trusted", "text")
