@@ -1,8 +1,11 @@
 """Cross-entropy difference of two matched n-gram models: one of trusted texts, one of all texts.
 
 Tokens are characters; the shared vocabulary is every character that occurs in any text. Both models count runs of 1 to
-4 characters over all their texts and smooth each order with the one below by the same rule. Counts live in a fixed
-number of hashed slots per order, so the models that are sent to the executors have one size whatever the corpus.
+4 characters over all their texts and smooth each order with the one below by the same rule.
+
+Counts are exact and stay in Spark, in written tables that grow with the corpus. Texts are packed into chunks. A place's
+loss follows from the four characters that end there, so each chunk sends its distinct runs of four, once, and gets their
+losses back; shorter runs are counted from the longer ones.
 """
 
 from __future__ import annotations
@@ -11,17 +14,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions.stage import materialise
 from tabwright.llm.blocks import Block, blocks
 
 ORDER = 4
-#: log2 of the slots of an order.
-SLOT_BITS = 20
 #: Weight of the order below, in counts.
 PULL = 4.0
-_BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+#: Bytes of text in a chunk (one longer document is a chunk of its own).
+CHUNK_BYTES = 4 << 20
+#: Bits of a code point, and of a character's number where a chunk has few enough distinct ones.
+POINT, CODE = 21, 16
 
 
 def characters(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -37,16 +43,6 @@ def characters(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return out, np.stack([starts, starts + np.diff(heads)], axis=1)
 
 
-def slots(points: np.ndarray) -> list[np.ndarray]:
-    """For each order, the slot of the run that ends at each place."""
-    out, run = [], points
-    for k in range(ORDER):
-        if k:
-            run = np.concatenate((points[:1], run[:-1])) * _BASE + points
-        out.append((((run + np.uint64(k + 1)) * _SPREAD) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-    return out
-
-
 def _inside(ranges: np.ndarray, size: int) -> np.ndarray:
     edges = np.zeros(size + 1, np.int8)
     np.add.at(edges, ranges[:, 0], 1)
@@ -54,77 +50,122 @@ def _inside(ranges: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
+def runs(block: Block, code_bits: int = CODE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct runs of four characters, in order, as two pairs of code points; each character's run; each one's document.
+
+    Runs are compared exactly: by the numbers of their characters, or where these are too many, of their pairs.
+    """
+    points, ranges = characters(block)
+    place = np.flatnonzero(_inside(ranges, len(points)))
+    row = np.repeat(np.arange(len(ranges)), ranges[:, 1] - ranges[:, 0])
+    point, code = np.uint64(POINT), np.uint64(code_bits)
+    present = np.zeros(1 << POINT, bool)
+    present[points] = True
+    alphabet = np.flatnonzero(present).astype(np.uint64)
+    if len(alphabet) <= 1 << code_bits:
+        number = (np.cumsum(present) - 1).astype(np.uint64)[points]
+        pair = (number[:-1] << code) | number[1:]
+        key, run = np.unique((pair[place - 3] << (code + code)) | pair[place - 1], return_inverse=True)
+        least = np.uint64((1 << code_bits) - 1)
+        a, b, c, d = (alphabet[(key >> (code * np.uint64(k))) & least] for k in (3, 2, 1, 0))
+        return (a << point) | b, (c << point) | d, run, row
+    pairs, number = np.unique((points[:-1] << point) | points[1:], return_inverse=True)
+    number = number.astype(np.uint64)
+    key, run = np.unique((number[place - 3] << np.uint64(32)) | number[place - 1], return_inverse=True)
+    return pairs[key >> np.uint64(32)], pairs[key & np.uint64(0xFFFFFFFF)], run, row
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk: its number, its rows and how many of them are trusted, and the rows as a compressed stream."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        trusted = batch.column(2).fill_null(False)
+        texts = batch.column(1).fill_null("")
+        rows = pa.RecordBatch.from_arrays([batch.column(0), texts, trusted], names=["doc_id", "text", "trusted"])
+        for block in blocks(texts, CHUNK_BYTES):
+            some = rows.slice(block.first, block.last - block.first)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(some)
+            n = [number, some.num_rows, int(np.count_nonzero(some.column(2).to_numpy(zero_copy_only=False)))]
+            yield pa.RecordBatch.from_arrays([*(pa.array([x]) for x in n), pa.array([sink.getvalue().to_pybytes()])], names=["chunk", "n", "n_trusted", "docs"])
+            number += 1
+
+
+def _unpack(docs: pa.Scalar) -> tuple[pa.RecordBatch, Block]:
+    rows = pa.ipc.open_stream(docs.as_buffer()).read_next_batch()
+    return rows, next(blocks(rows.column(1), 1 << 62))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's texts: a row for each slot in use. Places before a text's first character count as contexts, too."""
-    table = np.zeros((2, ORDER, 1 << SLOT_BITS), np.int64)
+    """A row for each distinct run of a chunk, with its number there and its counts in trusted and in all texts."""
     for batch in batches:
-        trusted = batch.column(0).fill_null(False).to_numpy(zero_copy_only=False)
-        for block in blocks(batch.column(1)):
-            points, ranges = characters(block)
-            wide = ranges - [ORDER - 1, 0]
-            chosen = _inside(wide[trusted[block.first : block.last]], len(points))
-            for k, s in enumerate(slots(points)):
-                table[1, k] += np.bincount(s, minlength=1 << SLOT_BITS)
-                table[0, k] += np.bincount(s[chosen], minlength=1 << SLOT_BITS)
-    for k in range(ORDER):
-        used = np.flatnonzero(table[1, k])
-        for at in range(0, len(used), 50_000):
-            some = used[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), k, np.int32)), pa.array(some.astype(np.int32)), pa.array(table[0, k, some]), pa.array(table[1, k, some])],
-                names=["k", "slot", "target", "background"],
-            )
-
-
-class Models:
-    """Counts of both models by order and slot."""
-
-    def __init__(self, k: np.ndarray, slot: np.ndarray, target: np.ndarray, background: np.ndarray):
-        self.counts = np.zeros((2, ORDER, 1 << SLOT_BITS), np.float32)
-        self.counts[0, k, slot], self.counts[1, k, slot] = target, background
-        self.vocabulary = max(1, int(np.count_nonzero(self.counts[1, 0])))
-        self.totals = self.counts[:, 0].sum(axis=1, dtype=np.float64)
-
-    def losses(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
-        """Mean loss per token under both models, in nats (0 for an empty text), and the number of tokens, per document."""
-        points, ranges = characters(block)
-        place = np.flatnonzero(_inside(ranges, len(points)))
-        n = ranges[:, 1] - ranges[:, 0]
-        row = np.repeat(np.arange(len(n)), n)
-        found = slots(points)
-        out = np.zeros((2, len(n)))
-        for m in range(2):
-            p = np.full(len(place), 1 / self.vocabulary, np.float32)
-            context = np.full(len(place), self.totals[m], np.float32)
-            for k in range(ORDER):
-                seen = self.counts[m, k][found[k]]
-                p = (seen[place] + np.float32(PULL) * p) / (context + np.float32(PULL))
-                context = seen[place - 1]
-            out[m] = np.bincount(row, -np.log(np.minimum(p, 1)), minlength=len(n)) / np.maximum(n, 1)
-        return out, n
-
-
-def train(docs: DataFrame, trusted: DataFrame) -> Models:
-    """Count all texts, and those whose doc_id is in ``trusted``; the driver receives at most ORDER * 2**SLOT_BITS sums."""
-    # texts are always shuffled to their marks: a list of trusted ids has no bound that would let it be broadcast
-    marked = trusted.select("doc_id", F.lit(True).alias("trusted")).distinct().hint("merge")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(marked, "doc_id", "left").select("trusted", "text")
-    counts = rows.mapInArrow(_count, "k int, slot int, target long, background long")
-    sums = counts.groupBy("k", "slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toPandas()
-    return Models(*(sums[c].to_numpy() for c in ("k", "slot", "target", "background")))
+        for chunk, docs in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            rows, block = _unpack(docs)
+            head, tail, run, row = runs(block)
+            chosen = rows.column(2).to_numpy(zero_copy_only=False)[row]
+            target, background = np.bincount(run[chosen], minlength=len(head)), np.bincount(run, minlength=len(head))
+            for at in range(0, len(head), 50_000):
+                cut = slice(at, at + 50_000)
+                n = len(head[cut])
+                out = [np.full(n, chunk), np.arange(at, at + n, dtype=np.int32), head[cut].astype(np.int64), tail[cut].astype(np.int64), target[cut], background[cut]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["chunk", "run", "head", "tail", "t", "b"])
+
+
+def _last(run: Column, n: int) -> Column:
+    """The last n characters of a run of up to three."""
+    return run.bitwiseAND(F.lit((1 << POINT * n) - 1))
+
+
+def _sums(counts: DataFrame, *key: Column) -> DataFrame:
+    return counts.groupBy(*key).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
 
 
-def _score(models):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch.column(1)):
-                (target, background), n = models.value.losses(block)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(block.first, len(n)), pa.array(n), pa.array(target), pa.array(background), pa.array(target - background)],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "difference"],
-                )
+def _above(counts: DataFrame, below: DataFrame, last: Column, first: Column) -> DataFrame:
+    """``counts`` with both models' probability of each run's last character after those before it, smoothed with ``below``."""
+    smooth = below.select(F.col("run").alias("last"), F.col("p_t").alias("q_t"), F.col("p_b").alias("q_b"))
+    context = below.select(F.col("run").alias("first"), F.col("t").alias("c_t"), F.col("b").alias("c_b"))
+    joined = counts.withColumns({"last": last, "first": first}).join(smooth, "last").join(context, "first")
+    p = [((F.col(m) + PULL * F.col(f"q_{m}")) / (F.col(f"c_{m}") + PULL)).alias(f"p_{m}") for m in ("t", "b")]
+    return joined.select(*counts.columns, *p)
 
-    return run
+
+def losses(counts: DataFrame, n_trusted: int, n_docs: int) -> DataFrame:
+    """Loss under both models of the last character of each run of four (head, tail, counts t and b).
+
+    Each text starts after three zeros, which count as contexts: each shorter order has one more of its run of zeros a text.
+    """
+    zeros = counts.sparkSession.range(1).select(F.lit(0).cast("long").alias("run"), F.lit(n_trusted).cast("long").alias("t"), F.lit(n_docs).cast("long").alias("b"))
+
+    def shorter(counts: DataFrame, run: Column) -> DataFrame:
+        return materialise(_sums(counts.select(run.alias("run"), "t", "b").unionByName(zeros), F.col("run")))
+
+    head, tail, run = F.col("head"), F.col("tail"), F.col("run")
+    three = shorter(counts, F.shiftleft(_last(head, 1), 2 * POINT).bitwiseOR(tail))
+    two = shorter(three, _last(run, 2))
+    one = shorter(two, _last(run, 1))
+    whole = one.agg(F.count("*").alias("v"), F.sum("t").alias("t"), F.sum("b").alias("b")).first()
+    p = [((F.col(m) + PULL / whole.v) / (whole[m] + PULL)).alias(f"p_{m}") for m in ("t", "b")]
+    p_two = materialise(_above(two, one.select("*", *p), _last(run, 1), F.shiftright(run, POINT)))
+    p_three = materialise(_above(three, p_two, _last(run, 2), F.shiftright(run, POINT)))
+    last = F.shiftleft(_last(head, 1), 2 * POINT).bitwiseOR(tail)
+    first = F.shiftleft(head, POINT).bitwiseOR(F.shiftright(tail, POINT))
+    p_four = _above(counts, p_three, last, first)
+    return p_four.select("head", "tail", *((-F.log(F.least(F.col(f"p_{m}"), F.lit(1.0)))).alias(f"loss_{m}") for m in ("t", "b")))
+
+
+def _score(chunks: pa.Table, found: pa.Table) -> pa.Table:
+    """Mean loss per token under both models, in nats (0 for an empty text), and the number of tokens, per row of a chunk."""
+    rows, block = _unpack(chunks.column("docs")[0])
+    head, _, run, row = runs(block)
+    n = np.bincount(row, minlength=rows.num_rows)
+    means = []
+    for m in ("loss_t", "loss_b"):
+        loss = np.full(len(head), np.nan)
+        loss[found.column("run").to_numpy()] = found.column(m).to_numpy()
+        means.append(np.bincount(row, loss[run], minlength=len(n)) / np.maximum(n, 1))
+    out = [rows.column(0), pa.array(n), pa.array(means[0]), pa.array(means[1]), pa.array(means[0] - means[1])]
+    return pa.Table.from_arrays(out, names=["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
 
 def cross_entropy_difference(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -134,7 +175,16 @@ def cross_entropy_difference(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     an id are counted and scored each; a null id is never trusted; other columns are not read. Without trusted texts the
     target model is uniform over the vocabulary.
     """
-    models = docs.sparkSession.sparkContext.broadcast(train(docs, trusted))  # 8 bytes for each of ORDER * 2**SLOT_BITS slots
+    # texts are always shuffled to their marks: a list of trusted ids has no bound that would let it be broadcast
+    marked = trusted.select("doc_id", F.lit(True).alias("trusted")).distinct().hint("merge")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(marked, "doc_id", "left").select("doc_id", "text", "trusted")
+    chunks = materialise(rows.mapInArrow(_pack, "chunk long, n long, n_trusted long, docs binary"))
+    size = chunks.agg(F.sum("n").alias("n"), F.sum("n_trusted").alias("n_trusted")).first()
+    found = materialise(chunks.select("chunk", "docs").mapInArrow(_count, "chunk long, run int, head long, tail long, t long, b long"))
+    counts = materialise(_sums(found, F.col("head"), F.col("tail")))
+    # a run has one row per chunk, however often it occurs
+    known = found.select("chunk", "run", "head", "tail").join(materialise(losses(counts, size.n_trusted or 0, size.n or 0)), ["head", "tail"])
+    known = known.select("chunk", "run", "loss_t", "loss_b")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_score(models), f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, difference double")
+    both = chunks.select("chunk", "docs").groupBy("chunk").cogroup(known.groupBy("chunk"))
+    return both.applyInArrow(_score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, difference double")

@@ -159,3 +159,24 @@ def test_difference_tells_trusted_texts(labelled):
     docs, labels = labelled
     found = lm_scores.cross_entropy_difference(docs, labels.where("quality = 1 and doc_id % 2 = 0")).join(labels, "doc_id").where("doc_id % 2 = 1").toPandas()
     assert found[found.quality == 1].difference.max() < found[found.quality == 0].difference.median()
+
+
+def test_losses_are_exact_for_many_characters(spark):
+    rng = random.Random(5)
+    texts = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(2000)) for _ in range(40)] + ["", None, "a\0b", "\0"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    trusted = spark.createDataFrame([(i,) for i in range(0, 44, 3)], "doc_id bigint")
+    found = {r.doc_id: r for r in lm_scores.cross_entropy_difference(docs, trusted).collect()}
+    assert len(found) == len(texts)
+    for i, (a, b) in enumerate(_brute_losses(texts, [i % 3 == 0 for i in range(len(texts))])):
+        assert found[i].target_loss == pytest.approx(a, abs=1e-9) and found[i].background_loss == pytest.approx(b, abs=1e-9)
+
+
+def test_runs_are_the_same_by_characters_and_by_pairs(prose):
+    import pyarrow as pa
+
+    from tabwright.llm.blocks import blocks
+
+    block = next(blocks(pa.array(prose)))
+    one, other = lm_scores.runs(block), lm_scores.runs(block, 2)
+    assert all((a == b).all() for a, b in zip(one, other, strict=True))
