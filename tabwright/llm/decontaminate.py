@@ -64,36 +64,52 @@ class Index:
     largest: np.ndarray
     grams: list[tuple[np.ndarray, np.ndarray, int]]
     longest: int
+    #: Each item's terms and shares, and the questions of items with two parts as entries of their own (items are places).
+    own: list[tuple[np.ndarray, np.ndarray]]
+    questions: Index | None = None
 
 
-def build_index(rows: list[tuple[object, str]]) -> Index | None:
-    """The index of (item_id, text) rows; items without a word are left out. None if there is no item."""
-    rows = [(i, t, ids) for i, t, ids in ((i, t or "", _plain(t or "")) for i, t in rows) if len(ids)]
-    if not rows:
-        return None
-    n = len(rows)
-    length = np.array([len(ids) for _, _, ids in rows])
+def _index(items: list, words: list[np.ndarray], known: np.ndarray, idf: np.ndarray, mean: float, grams: list, longest: int) -> Index:
+    """The index of items of these words; ``idf`` belongs to the terms ``known``."""
+    n = len(words)
+    length = np.array([len(ids) for ids in words])
     item = np.repeat(np.arange(n), length)
-    flat = np.concatenate([ids for _, _, ids in rows])
-    terms, term = np.unique(flat, return_inverse=True)
+    terms, term = np.unique(np.concatenate(words), return_inverse=True)
     pair, tf = np.unique(term.astype(np.int64) * n + item, return_counts=True)
     term, item = pair // n, pair % n
     df = np.bincount(term)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / length.mean()))
+    weight = idf[np.searchsorted(known, terms)][term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / mean))
     share = weight / np.bincount(item, weight, minlength=n)[item]
     of_block = pair // n * (n // ITEM_BLOCK + 1) + item // ITEM_BLOCK
     first = np.flatnonzero(np.concatenate(([True], of_block[1:] != of_block[:-1])))
-    halves = [parts(t) for _, t, _ in rows]
-    small = [min(GRAM, len(ids)) for _, _, ids in rows]
+    by_item = np.argsort(item, kind="stable")
+    cuts = np.cumsum(np.bincount(item, minlength=n))[:-1]
     return Index(
-        [i for i, _, _ in rows], terms, np.append(0, np.cumsum(df)), item, share,
+        items, terms, np.append(0, np.cumsum(df)), item, share,
         np.searchsorted(term[first], np.arange(len(terms) + 1)), item[first] // ITEM_BLOCK, np.maximum.reduceat(share, first),
-        np.maximum.reduceat(share, np.append(0, np.cumsum(df))[:-1]),
-        [(_grams(_plain(q)), _grams(_plain(a)), k) for (q, a), k in zip(halves, small, strict=True)], int(length.max()),
+        np.maximum.reduceat(share, np.append(0, np.cumsum(df))[:-1]), grams, longest,
+        list(zip(np.split(terms[term[by_item]], cuts), np.split(share[by_item], cuts), strict=True)),
     )
 
 
+def build_index(rows: list[tuple[object, str]]) -> Index | None:
+    """The index of (item_id, text) rows; items without a word are left out. None if there is no item."""
+    rows = [(i, t, ids) for i, t, ids in ((i, t or "", _plain(t or "")) for i, t in rows) if len(ids)]
+    if not rows:
+        return None
+    words = [ids for _, _, ids in rows]
+    known, df = np.unique(np.concatenate([np.unique(ids) for ids in words]), return_counts=True)
+    idf = np.log1p((len(rows) - df + 0.5) / (df + 0.5))
+    mean, longest = float(np.mean([len(ids) for ids in words])), max(len(ids) for ids in words)
+    halves = [tuple(_plain(h) for h in parts(t)) for _, t, _ in rows]
+    grams = [(_grams(q), _grams(a), min(GRAM, len(ids))) for (q, a), ids in zip(halves, words, strict=True)]
+    index = _index([i for i, _, _ in rows], words, known, idf, mean, grams, longest)
+    two = [k for k, (_, a) in enumerate(halves) if len(a)]
+    if two:
+        index.questions = _index(two, [halves[k][0] for k in two], known, idf, mean, [grams[k] for k in two], longest)
+    return index
+
+
 def _expand(bounds: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of all entries of the terms, and for each the row of ``term`` that it comes from."""
     size = bounds[term + 1] - bounds[term]
@@ -151,11 +167,24 @@ def _overlap(part: np.ndarray, there: np.ndarray) -> float:
     return float(np.isin(part, there).mean()) if len(part) else 0.0
 
 
+def _candidates(index: Index, ids: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, float]]:
+    """Passages that hold enough of an item, or of its question alone, each with the whole item's score."""
+    found = search(index, ids, bounds)
+    if index.questions is not None:
+        have = {x[:4] for x in found}
+        for doc, a, b, k, _ in search(index.questions, ids, bounds):
+            item = index.questions.items[k]
+            if (doc, a, b, item) not in have:
+                terms, share = index.own[item]
+                found.append((doc, a, b, item, float(share[np.isin(terms, ids[a:b])].sum())))
+    return found
+
+
 def leaks(index: Index, block: Block) -> list[tuple[int, int, float, float, float]]:
     """(document row, item, score, question overlap, answer overlap) of confirmed items, the best passage for each."""
     words = words_of(block, lower_ascii(block.data), plain=True)
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for doc, a, b, item, score in search(index, words.ids, words.bounds):
+    for doc, a, b, item, score in _candidates(index, words.ids, words.bounds):
         question, answer, size = index.grams[item]
         there = Rolling(words.ids[a:b], WORD_BASE).windows(size)
         q, r = _overlap(question, there), _overlap(answer, there)
@@ -199,8 +228,9 @@ def _report(index: Index, kind: pa.DataType):
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text and test item in it: doc_id, item_id, score (of the item's own), question and answer overlap.
 
-    A text contains an item if one of its passages scores ``THRESHOLD`` or more and holds ``OVERLAP`` or more of the
-    5-grams of the item's question, or of question and answer together (letters A-Z in lower case, punctuation aside).
+    A text contains an item if one of its passages scores ``THRESHOLD`` or more, of the item or of its question alone, and
+    holds ``OVERLAP`` or more of the 5-grams of the item's question, or of question and answer together (letters A-Z in
+    lower case, punctuation aside).
     Null and empty texts and items contain nothing; each row is searched on its own, rows without an id included.
     """
     from pyspark.sql.pandas.types import to_arrow_type

@@ -183,3 +183,15 @@ def test_several_indexes_find_the_same(spark):
     one, many = list(decontaminate.indexes(items)), list(decontaminate.indexes(items, 60))
     assert len(one) == 1 and len(many) > 1
     assert sorted(i for x in many for i in x.items) == sorted(one[0].items) == [1, 2, 3, 6]
+
+
+def test_a_short_question_before_a_long_answer_is_found(spark, prose):
+    rest = " ".join(t for t in prose[:30] if t)
+    question = "Where does zyrkon quvalt hexim?"
+    answer = " ".join(f"qx{k}jw" for k in range(30))
+    items = spark.createDataFrame([*ITEMS, (7, f"{question} {answer}.")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"{rest} {question} {rest}"), (2, rest), (3, f"{rest} {question} {answer} {rest}"), (4, f"{rest} {answer[:100]}")], "doc_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, items).collect()}
+    assert set(found) == {(1, 7), (3, 7)}
+    assert found[1, 7].question_overlap == 1 and 0 < found[1, 7].score < decontaminate.THRESHOLD and found[3, 7].score == pytest.approx(1)
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()) == [2, 4]
