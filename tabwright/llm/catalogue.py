@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontaminate, licenses, lm_scores, near_dup, packing, pu_quality, quality_rules, secrets, substring_dedup, suffix_dedup
+from tabwright.llm import (
+    collocations,
+    decontaminate,
+    licenses,
+    lm_scores,
+    manifest,
+    near_dup,
+    packing,
+    pu_quality,
+    quality_rules,
+    secrets,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,6 +84,30 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(documents(spark, folder))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(documents(spark, folder))
+
+
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
+    without_breaks = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    return manifest.manifest(documents(spark, folder), without_breaks, chosen)
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.shuffled(documents(spark, folder), 40)
+    text = F.col("row.text")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        sharding.record_size(text).alias("size"),
+        F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -81,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_collocations": op11_collocations,
+    "op12_manifest": op12_manifest,
+    "op13_sharding": op13_sharding,
 }
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -124,4 +165,60 @@ e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.x, r.c FROM r JOIN e ON e.y = r.doc_id)
 SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(c) AS component_id, doc_id = min(c) AS kept
 FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op11_collocations": r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS g FROM w, (VALUES (1), (2), (3)) AS v(k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS x FROM f WHERE k > 1 AND f >= 10),
+m AS (SELECT lang, g, max(a) AS within FROM (
+  SELECT lang, a, unnest([x[1] || ' ' || x[2], x[2] || ' ' || x[3]]) AS g FROM c WHERE k = 3) GROUP BY 1, 2),
+o AS (SELECT c.* FROM c LEFT JOIN m USING (lang, g) WHERE k = 3 OR within IS NULL OR 100 * within < 50 * a),
+u AS (SELECT lang, g, a, k AS words, x, unnest(range(1, k)) AS cut FROM o),
+s AS (SELECT u.lang, u.g, u.a, cut, l.f AS l, r.f AS r, ((1000000::HUGEINT * u.a * u.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM u JOIN f l ON l.lang = u.lang AND l.g = array_to_string(x[1:cut], ' ')
+  JOIN f r ON r.lang = u.lang AND r.g = array_to_string(x[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+FROM b JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op12_manifest": r"""
+WITH RECURSIVE
+crc AS (SELECT doc_id, list_reduce(list_prepend(4294967295::UBIGINT, flatten([[ascii(x)::UBIGINT, 256, 256, 256, 256, 256, 256, 256, 256]
+    FOR x IN string_split(doc_id::VARCHAR, '')])),
+  lambda h, y: CASE WHEN y < 256 THEN xor(h, y) WHEN h % 2 = 1 THEN xor(h >> 1, 3988292384::UBIGINT) ELSE h >> 1 END) AS h FROM documents),
+d AS (SELECT doc_id, source, lang, n_chars, text, h % 2 = 1 AS chosen FROM documents JOIN crc USING (doc_id)),
+v AS (SELECT *, CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+  || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+  || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+  || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END AS head, replace(text, chr(10), '') AS cut FROM d),
+l AS (SELECT doc_id, source, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+  CASE WHEN chosen THEN sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(cut) || ':' || cut END) END AS new,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM v),
+t(source, level, pos, h) AS (SELECT source, 0, pos, leaf FROM l UNION ALL
+  (SELECT source, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM
+    (SELECT *, count(*) OVER (PARTITION BY source) AS n FROM t) WHERE n > 1 GROUP BY source, level, pos // 3)),
+top AS (SELECT source, max(level) AS height FROM t GROUP BY source),
+sub AS (SELECT t.source, h AS subroot, height, row_number() OVER (ORDER BY t.source NULLS FIRST) - 1 AS place
+  FROM t JOIN top ON top.source IS NOT DISTINCT FROM t.source AND level = height),
+r(level, pos, h) AS (SELECT 0, place, subroot FROM sub UNION ALL
+  (SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER () AS n FROM r) WHERE n > 1 GROUP BY level, pos // 3)),
+root AS (SELECT h AS root FROM r ORDER BY level DESC LIMIT 1),
+sib AS (SELECT a.source, a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS le,
+  coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS ri
+  FROM t a JOIN top ON top.source IS NOT DISTINCT FROM a.source AND a.level < height
+  JOIN t b ON b.source IS NOT DISTINCT FROM a.source AND b.level = a.level AND b.pos // 3 = a.pos // 3 GROUP BY 1, 2, 3),
+rsib AS (SELECT a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS le,
+  coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS ri
+  FROM r a JOIN r b ON b.level = a.level AND b.pos // 3 = a.pos // 3 WHERE a.level < (SELECT max(level) FROM r) GROUP BY 1, 2),
+up(doc_id, source, step, pos, proof, h) AS (SELECT doc_id, source, 0, pos, '', coalesce(new, leaf) FROM l UNION ALL
+  SELECT up.doc_id, up.source, step + 1, up.pos // 3, proof || le || ri, sha256(le || h || ri) FROM up JOIN sib ON sib.source IS NOT DISTINCT FROM up.source
+  AND sib.level = step AND sib.pos = up.pos),
+half AS (SELECT up.*, place, subroot FROM up JOIN sub ON sub.source IS NOT DISTINCT FROM up.source AND step = height),
+top_up(doc_id, step, pos, proof, h) AS (SELECT doc_id, 0, place, proof, h FROM half UNION ALL
+  SELECT doc_id, step + 1, top_up.pos // 3, proof || le || ri, sha256(le || h || ri) FROM top_up JOIN rsib ON level = step AND rsib.pos = top_up.pos)
+SELECT l.doc_id, l.leaf, subroot, root, sha256(p.proof) AS proof_sha256, p.h AS folded_root, p.h = root AS verified
+FROM l JOIN half USING (doc_id) JOIN top_up p ON p.doc_id = l.doc_id AND p.step = (SELECT max(level) FROM r), root""",
 }
