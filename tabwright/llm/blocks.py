@@ -1,7 +1,7 @@
 """Texts of an Arrow batch as bytes, words and rolling fingerprints in numpy, in blocks of bounded size.
 
-All fingerprints are polynomial hashes modulo 2**64 with an odd base, so that the hash of any range follows from two
-prefix sums (Rabin and Karp); what leaves a function is mixed to spread all bits.
+Fingerprints of ranges are polynomial hashes modulo the prime 2**61 - 1, so that the hash of any range follows from two
+prefix sums (Rabin and Karp); words are told apart by their bytes. What leaves a function is mixed to spread all bits.
 """
 
 from __future__ import annotations
@@ -11,29 +11,55 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text that are worked on at once (one longer document is a block of its own).
 BLOCK_BYTES = 1 << 20
-#: Odd bases of the two polynomials, and a base for sequences of words.
 SIZE_MARK = 0xA0761D6478BD642F
-BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: The modulus of range hashes, and a base for bytes and one for sequences of words.
+PRIME = (1 << 61) - 1
+BYTE_BASE, WORD_BASE = 0x1E3779B97F4A7C15, 0x16E8FEB86659FD93
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``base`` and of its inverse modulo 2**64, from 0 to n at least."""
-    have = _powers.get(int(base))
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit values modulo PRIME."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return x - np.uint64(PRIME) * (x >= np.uint64(PRIME))
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME of reduced values, by halves of 31 bits: 2**62 counts as 2 and 2**61 as 1."""
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle = a1 * b0 + a0 * b1
+    top = (a1 * b1 << np.uint64(1)) + (middle >> np.uint64(30))
+    return _reduced(top + ((middle & np.uint64((1 << 30) - 1)) << half) + a0 * b0)
+
+
+def _prefix_sums(x: np.ndarray) -> np.ndarray:
+    """Sums of the first 0, 1, ... values modulo PRIME; halves are summed apart, so nothing overflows."""
+    out = np.zeros(len(x) + 1, np.uint64)
+    high = _reduced(np.cumsum(x >> np.uint64(32), dtype=np.uint64))
+    low = _reduced(np.cumsum(x & np.uint64(0xFFFFFFFF), dtype=np.uint64))
+    out[1:] = _reduced((high >> np.uint64(29)) + ((high & np.uint64((1 << 29) - 1)) << np.uint64(32)) + low)
+    return out
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``base`` and of its inverse modulo PRIME, from 0 to n at least."""
+    have = _powers.get(base)
     if have is None or len(have[0]) <= n:
         size = max(n + 1, 1 << 16)
-        inverse = pow(int(base), -1, 1 << 64)
         out = []
-        for b in (int(base), inverse):
-            p = np.ones(size, np.uint64)
-            p[1:] = np.uint64(b)
-            out.append(np.multiply.accumulate(p))
+        for b in (base, pow(base, PRIME - 2, PRIME)):
+            p = np.ones(1, np.uint64)
+            while len(p) < size:
+                p = np.append(p, _product(p, np.full(1, pow(b, len(p), PRIME), np.uint64)))
+            out.append(p)
         have = (out[0], out[1])
-        _powers[int(base)] = have
+        _powers[base] = have
     return have
 
 
@@ -50,14 +76,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Rolling:
     """Hashes of any ranges of one sequence of numbers."""
 
-    def __init__(self, values: np.ndarray, base: np.uint64):
+    def __init__(self, values: np.ndarray, base: int):
         self.up, self.down = powers(base, len(values))
-        self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * self.up[: len(values)], out=self.sums[1:])
+        numbers = _reduced(values.astype(np.uint64)) + np.uint64(1)
+        self.sums = _prefix_sums(_product(_reduced(numbers), self.up[: len(values)]))
+
+    def _hashes(self, low: np.ndarray, high: np.ndarray, down: np.ndarray) -> np.ndarray:
+        return _product(_reduced(high + np.uint64(PRIME) - low), down)
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Mixed hash of values[start:end] for each range; ranges of different length differ."""
-        raw = (self.sums[ends] - self.sums[starts]) * self.down[starts]
+        raw = self._hashes(self.sums[starts], self.sums[ends], self.down[starts])
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(SIZE_MARK))
 
     def windows(self, size: int) -> np.ndarray:
@@ -65,10 +94,50 @@ class Rolling:
         n = len(self.sums) - size
         if n <= 0:
             return np.zeros(0, np.uint64)
-        raw = (self.sums[size:] - self.sums[:n]) * self.down[:n]
+        raw = self._hashes(self.sums[:n], self.sums[size:], self.down[:n])
         return mix(raw + np.uint64(size * SIZE_MARK % (1 << 64)))
 
 
+#: Base and inverse of ``loose_windows``.
+_LOOSE = 0x9E3779B97F4A7C15
+_loose_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def loose_windows(values: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all ranges of ``size`` values that are equal where the ranges are, and mostly differ where they differ.
+
+    Modulo 2**64, which costs a fraction but lets regular sequences collide: for choosing ranges, never for equality.
+    """
+    n = len(values) + 1 - size
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    if len(_loose_powers[0]) <= len(values):
+        for k, b in enumerate((_LOOSE, pow(_LOOSE, -1, 1 << 64))):
+            p = np.full(max(len(values) + 1, 1 << 16), b, np.uint64)
+            p[0] = 1
+            _loose_powers[k] = np.multiply.accumulate(p)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _loose_powers[0][: len(values)], out=sums[1:])
+    return mix((sums[size:] - sums[:n]) * _loose_powers[1][:n])
+
+
+def content_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit ids of byte ranges: mixed from all their bytes up to 16, XXH3 of longer ones."""
+    sizes = ends - starts
+    padded = np.append(data, np.zeros(16, np.uint8))
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    low = eight[starts] & masks[np.minimum(sizes, 8)]
+    high = eight[np.minimum(starts + 8, len(eight) - 1)] & masks[np.clip(sizes - 8, 0, 8)]
+    ids = mix(mix(low + sizes.astype(np.uint64) * np.uint64(SIZE_MARK)) + mix(high ^ np.uint64(0x5851F42D4C957F2D)))
+    long = np.flatnonzero(sizes > 16)
+    if len(long):
+        raw = data.tobytes()
+        places = zip(starts[long].tolist(), ends[long].tolist(), strict=True)
+        ids[long] = np.fromiter((xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in places), np.uint64, len(long))
+    return ids
+
+
 @dataclass
 class Block:
     """Some whole documents of a batch: rows [first, last), their bytes end to end, and where each starts (and the end)."""
@@ -135,8 +204,7 @@ def words_of(block: Block, data: np.ndarray | None = None, plain: bool = False)
     stop[1:] = solid
     stop[1:n] &= ~solid[1:] | begin[1:]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(stop)
-    ids = Rolling(data, BYTE_BASE).ranges(starts, ends)
-    return Words(starts, ends, ids, np.searchsorted(starts, block.bounds))
+    return Words(starts, ends, content_ids(data, starts, ends), np.searchsorted(starts, block.bounds))
 
 
 def of_doc(bounds: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import scratch_path
-from tabwright.llm.blocks import BYTE_BASE, Block, Rolling, blocks, words_of
+from tabwright.llm.blocks import Block, blocks, content_ids, words_of
 
 #: Kinds of bytes: letters, punctuation, and all else; the letters of two bytes that begin with 0xC3 are added in ``units``.
 LETTER, MARK, OTHER = 1, 2, 3
@@ -72,7 +72,7 @@ def units(block: Block) -> Units:
     low[upper] += 32
     starts, ends = np.sort(np.append(s, cuts)), np.sort(np.append(e, cuts))
     owner = np.searchsorted(s, starts, side="right") - 1
-    return Units(low, starts, ends, plain[owner], Rolling(low, BYTE_BASE).ranges(starts, ends), np.searchsorted(starts, block.bounds))
+    return Units(low, starts, ends, plain[owner], content_ids(low, starts, ends), np.searchsorted(starts, block.bounds))
 
 
 class WordTokenizer:

@@ -11,7 +11,8 @@ shuffled:
    array of the spans that share grams. The caller chooses; both are exact and split by gram or window, not by document;
 4. bring the marks back to each document and merge them there.
 
-Fingerprints that decide equality are pairs of 64-bit hashes (the gram's and the span's or window's).
+Anchors are chosen by hashes of which no more is asked than that equal grams have equal ones. Equality of spans and windows
+is decided by XXH3 of their bytes or by hashes modulo the prime 2**61 - 1 of their words, inside one gram.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import materialise
-from tabwright.llm.blocks import BYTE_BASE, WORD_BASE, Block, Rolling, blocks, sliding_min, words_of
+from tabwright.llm.blocks import BYTE_BASE, WORD_BASE, Block, Rolling, blocks, loose_windows, sliding_min, words_of
 
 #: Bytes of distinct spans that go into one suffix array.
 SHARD_BYTES = 1 << 20
@@ -47,22 +49,30 @@ class Unit:
         return found.ids, found.bounds
 
     @property
-    def base(self) -> np.uint64:
+    def base(self) -> int:
         return WORD_BASE if self.words else BYTE_BASE
 
+    def prints(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Fingerprints of ranges that decide whether they are equal."""
+        if self.words:
+            return Rolling(values, self.base).ranges(starts, ends)
+        raw = values.tobytes()
+        ranges = zip(starts.tolist(), ends.tolist(), strict=True)
+        return np.fromiter((xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in ranges), np.uint64, len(starts))
+
+
+#: What tells rows of one id apart.
+MARK = "struct<a: bigint, b: int, n: int>"
+
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, a fingerprint ``u`` that tells rows of one id apart by their text, and the text (null: empty).
+    """doc_id, ``u`` (two hashes of the text and its length), which tells rows of one id apart, and the text (null: empty).
 
     Rows that repeat id and text share their marks, which are the same for both.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    mask = F.when(F.col(id_col).isNull(), F.lit(-1)).otherwise(F.lit(0xFFFF)).cast("long")
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).bitwiseAND(mask).alias("u"), text.alias("text"))
-
-
-def key_equal(left: DataFrame, right: DataFrame) -> Column:
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["u"] == right["u"])
+    u = F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"), F.octet_length(text).alias("n"))
+    return docs.select(F.col(id_col).alias("doc_id"), u.alias("u"), text.alias("text"))
 
 
 def _runs(unit: Unit, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -70,8 +80,7 @@ def _runs(unit: Unit, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
     none = np.zeros(0, np.int64)
     if len(values) < unit.length:
         return none, none, none, none, none
-    roll = Rolling(values, unit.base)
-    grams = roll.windows(unit.gram)
+    grams = loose_windows(values, unit.gram)
     keys = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     anchor = (sliding_min(keys, unit.length - unit.gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(anchor)]
@@ -83,7 +92,7 @@ def _runs(unit: Unit, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(place)))
     begin = place[first]
-    prints = roll.ranges(begin, begin + count - 1 + unit.length)
+    prints = unit.prints(values, begin, begin + count - 1 + unit.length)
     return grams[owner[first]].view(np.int64), prints.view(np.int64), row[begin], begin - bounds[row[begin]], count
 
 
@@ -105,7 +114,7 @@ def _spans(unit: Unit) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 def spans(texts: DataFrame, unit: Unit) -> DataFrame:
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(_spans(unit), f"gram long, span long, doc_id {kind}, u long, start int, n int")
+    return texts.mapInArrow(_spans(unit), f"gram long, span long, doc_id {kind}, u {MARK}, start int, n int")
 
 
 def shared_spans(texts: DataFrame, unit: Unit) -> DataFrame:

@@ -7,12 +7,14 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm import near_dup, repeats, suffix_dedup
+from tabwright.llm import near_dup, repeats, substring_dedup, suffix_dedup
 from tabwright.llm.components import components
 from tabwright.llm.near_dup import drop_near_duplicates, near_duplicates
 from tabwright.llm.substring_dedup import remove_repeated_runs
 from tabwright.llm.suffix_dedup import remove_repeated_bytes
 
+from .test_texts import thue_morse
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -62,6 +64,54 @@ def test_repeated_bytes(edge_docs, monkeypatch, shard):
     assert _rows(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(expected, key=repr)
 
 
+def _words_expected(rows, length):
+    texts = [WORD.findall(t or "") for _, t in rows]
+    out = []
+    for (i, _), w, gone in zip(rows, texts, _covered(texts, length), strict=True):
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((i, len(w), sum(gone), _sha(kept.encode())))
+    return sorted(out, key=repr)
+
+
+def _bytes_expected(rows):
+    texts = [(t or "").encode() for _, t in rows]
+    out = []
+    for (i, _), b, gone in zip(rows, texts, _covered(texts, 200), strict=True):
+        out.append((i, len(b), sum(gone), _sha(bytes(x for x, g in zip(b, gone, strict=True) if not g))))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("same", ["a", "b", "n"])
+def test_rows_of_one_id_whose_hashes_collide(spark, monkeypatch, same):
+    """Where one of the things that tell rows of an id apart is equal, the others still do."""
+    real = repeats.keyed
+
+    def colliding(docs, id_col, text_col):
+        fixed = F.lit(7).cast("long" if same == "a" else "int")
+        return real(docs, id_col, text_col).withColumn("u", F.col("u").withField(same, fixed))
+
+    for module in (substring_dedup, suffix_dedup):
+        monkeypatch.setattr(module, "keyed", colliding)
+    words = [f"w{i}" for i in range(80)]
+    a, b = " ".join(words), " ".join(reversed(words))
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, "x y z"), (3, a), (4, None), (4, b[:40])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert _rows(remove_repeated_runs(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == _words_expected(rows, 35)
+    assert _rows(remove_repeated_bytes(docs), "doc_id", "n_bytes", "n_removed", "kept_sha256") == _bytes_expected(rows)
+
+
+def test_regular_texts_are_not_taken_for_equal(spark):
+    """Words, runs of words and bytes in the order of Thue and Morse, which hashes modulo a power of two confuse."""
+    x, y = thue_morse(10)
+    p, q = thue_morse(10, "u", "v")
+    rows = [(1, f"{x} " * 36), (2, f"{y} " * 36), (3, x), (4, y), (5, " ".join(p)), (6, " ".join(q)), (7, x + "-" + y), (8, y + "-" + x)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert _rows(remove_repeated_runs(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == _words_expected(rows, 35)
+    assert _rows(remove_repeated_bytes(docs), "doc_id", "n_bytes", "n_removed", "kept_sha256") == _bytes_expected(rows)
+    found = _rows(near_duplicates(docs, 4), "doc_id", "n_shingles", "component_id", "kept")
+    assert found == sorted(_brute(rows, 4), key=repr)
+
+
 def test_nothing_repeats_in_no_rows(no_docs):
     assert remove_repeated_runs(no_docs).count() == 0
     assert remove_repeated_bytes(no_docs).count() == 0

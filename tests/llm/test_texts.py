@@ -8,7 +8,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tabwright.llm.blocks import BYTE_BASE, Rolling, blocks, sliding_min, words_of
+from tabwright.llm.blocks import BYTE_BASE, PRIME, WORD_BASE, Rolling, blocks, content_ids, loose_windows, powers, sliding_min, words_of
 from tabwright.llm.suffix import common_prefixes, repeated_places, suffix_array
 
 
@@ -36,6 +36,45 @@ def test_rolling_hashes_tell_ranges_apart():
     assert (roll.windows(3) == roll.ranges(np.arange(9), np.arange(9) + 3)).all()
 
 
+def thue_morse(n, a="a", b="b"):
+    """2**n symbols and their mirror image: hashes modulo a power of two take the two for equal."""
+    x, swap = a, str.maketrans(a + b, b + a)
+    for _ in range(n):
+        x += x.translate(swap)
+    return x, x.translate(swap)
+
+
+def test_regular_texts_are_told_apart():
+    x, y = thue_morse(11)
+    data = np.frombuffer((x + y).encode(), np.uint8)
+    starts, ends = np.array([0, len(x)]), np.array([len(x), 2 * len(x)])
+    assert len(set(loose_windows(data, len(x))[[0, len(x)]].tolist())) == 1  # why these decide nothing
+    assert len(set(Rolling(data, BYTE_BASE).ranges(starts, ends).tolist())) == 2
+    assert len(set(content_ids(data, starts, ends).tolist())) == 2
+    assert suffix_array(data).tolist() == sorted(range(len(data)), key=lambda i: (x + y)[i:])
+
+
+def test_arithmetic_of_hashes():
+    rng = random.Random(2)
+    values = [rng.randrange(1 << 64) for _ in range(3000)] + [PRIME - 1, PRIME, PRIME + 1, 0, (1 << 64) - 1]
+    roll = Rolling(np.array(values, np.uint64), WORD_BASE)
+    total, sums = 0, [0]
+    for i, v in enumerate(values):
+        total = (total + (v % PRIME + 1) * pow(WORD_BASE, i, PRIME)) % PRIME
+        sums.append(total)
+    assert roll.sums.tolist() == sums
+    up, down = powers(BYTE_BASE, 70_000)
+    assert all(int(up[i]) * int(down[i]) % PRIME == 1 and int(up[i]) == pow(BYTE_BASE, i, PRIME) for i in (0, 1, 2, 65_535, 65_536, 70_000))
+
+
+def test_ids_of_ranges_follow_their_bytes():
+    rng = random.Random(4)
+    parts = [bytes(rng.choices(b"ab\0", k=n)) for n in range(1, 40) for _ in range(6)]
+    data, ends = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([len(p) for p in parts])
+    ids = content_ids(data, ends - [len(p) for p in parts], ends).tolist()
+    assert len(set(zip(ids, parts, strict=True))) == len(set(ids)) == len(set(parts))
+
+
 def test_sliding_minimum():
     x = np.random.default_rng(1).integers(0, 99, 50).astype(np.uint64)
     for w in (1, 2, 7, 24, 50, 51):
