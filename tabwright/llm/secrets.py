@@ -25,8 +25,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # of the runs [0-9a-f]+ those of 16 or more
 #: Texts that contain none of these in lower case have no match of ASSIGN.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----(.+?)-----END \1-----", re.S)
-SIGNED = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: Lines that open and close an envelope, and runs in which a signed token may lie.
+PEM = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*+)-----")
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+)++")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_KEY = re.compile(r"[0-9A-Fa-f]{64,}")
 #: Spans at one place are listed in this order.
@@ -131,9 +132,8 @@ def is_key(data: bytes | None) -> bool:
     return data is not None and len(data) >= 24 and (is_der_key(data) or is_openssh_key(data))
 
 
-def is_signed(token: str) -> bool:
+def is_signed(head: str, body: str, sign: str) -> bool:
     """Header and payload decode to JSON objects and the header names its algorithm; unless that is none, a signature follows."""
-    head, body, sign = token.split(".")
     try:
         header, payload = (json.loads(unbase64(x) or b"") for x in (head, body))
     except (ValueError, RecursionError):
@@ -144,20 +144,58 @@ def is_signed(token: str) -> bool:
     return signature is not None and (bool(signature) or header["alg"].lower() == "none")
 
 
+def envelopes(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, inside) of every END line with the nearest BEGIN line of the same kind of key before it.
+
+    The lines are gone through once; a BEGIN belongs to one envelope at most, and envelopes do not overlap.
+    """
+    begun: dict[str, re.Match] = {}
+    for m in PEM.finditer(text):
+        if not m[2].endswith("PRIVATE KEY"):
+            continue
+        if m[1] == "BEGIN":
+            begun[m[2]] = m
+        elif m[2] in begun:
+            first = begun[m[2]]
+            begun.clear()
+            yield first.start(), m.end(), text[first.end() : m.start()]
+
+
+def signed_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Header, payload and signature of every dotted run, from the first place of a part where a JSON object may begin.
+
+    Each part is decoded at most once in each of the three roles.
+    """
+    for m in DOTTED.finditer(text):
+        if "eyJ" not in m[0]:
+            continue
+        parts, at, free = m[0].split("."), m.start(), 0
+        for i, part in enumerate(parts[:-2]):
+            head = part.find("eyJ")
+            if head >= 0 and i >= free and len(part) - head >= 14 and parts[i + 1] and is_signed(part[head:], parts[i + 1], parts[i + 2]):
+                yield at + head, at + len(part) + len(parts[i + 1]) + len(parts[i + 2]) + 2
+                free = i + 3
+            at += len(part) + 1
+
+
 def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
-    out = []
+    """Spans that decoding and parsing confirm, found in time in proportion to the text."""
+    out, sealed_by = [], []
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            lines = [x for x in m[2].replace("\\n", "\n").splitlines() if ":" not in x]
-            sealed = "ENCRYPTED" in m[2]  # an old envelope that names its cipher holds no readable lengths
+        for start, end, inside in envelopes(text):
+            lines = [x for x in inside.replace("\\n", "\n").splitlines() if ":" not in x]
+            sealed = "ENCRYPTED" in inside  # an old envelope that names its cipher holds no readable lengths
             data = unbase64("".join(lines))
             if data and (is_key(data) or sealed and len(data) % 8 == 0):
-                out.append((m.start(), "pem", m.end()))
+                out.append((start, "pem", end))
+                sealed_by.append((start, end))
     if "eyJ" in text:
-        out += [(m.start(), "signed", m.end()) for m in SIGNED.finditer(text) if is_signed(m[0])]
-    envelopes = [(s, e) for s, k, e in out if k == "pem"]
+        out += [(start, "signed", end) for start, end in signed_tokens(text)]
+    passed = 0
     for m in BASE64.finditer(text):
-        if not any(s <= m.start() < e for s, e in envelopes) and is_key(unbase64(m[0])):
+        while passed < len(sealed_by) and sealed_by[passed][1] <= m.start():
+            passed += 1
+        if not (passed < len(sealed_by) and sealed_by[passed][0] <= m.start()) and is_key(unbase64(m[0])):
             out.append((m.start(), "base64key", m.end()))
     for m in HEX_KEY.finditer(text):
         if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
