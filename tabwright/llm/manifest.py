@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 from tabwright.functions.columns import quoted
 from tabwright.functions.stage import materialise
 
-#: Children of a node, and levels of a block.
+#: Children of a node, and levels of a block (2187 leaves).
 RUN, LEVELS = 3, 7
-BLOCK = RUN**LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 NODE = "tree string, pos long, digest string, n long"
 PATH = "tree string, pos long, lefts array<string>, rights array<string>"
@@ -89,26 +88,26 @@ def folded(node: str, path: Sequence[tuple[str, str]]) -> str:
     return node
 
 
-def rounds(n: int) -> int:
-    """Levels that a block of a tree of n nodes has: up to the root, LEVELS at most."""
+def rounds(n: int, most: int) -> int:
+    """Levels that a block of a tree of n nodes has: up to the root, ``most`` at most."""
     out = 0
-    while n > 1 and out < LEVELS:
+    while n > 1 and out < most:
         n, out = -(-n // RUN), out + 1
     return out
 
 
-def _block(table: pa.Table) -> tuple[list[int], Tree]:
+def _block(table: pa.Table, levels: int) -> tuple[list[int], Tree]:
     """Rows of a block in order of place, and its tree."""
     places = table.column("pos").to_pylist()
     order = sorted(range(len(places)), key=places.__getitem__)
     digests = table.column("digest").to_pylist()
-    return order, Tree.over([digests[i] for i in order], rounds(table.column("n")[0].as_py()))
+    return order, Tree.over([digests[i] for i in order], rounds(table.column("n")[0].as_py(), levels))
 
 
-def _tops(key: tuple, table: pa.Table) -> pa.Table:
-    _, tree = _block(table)
+def _tops(key: tuple, table: pa.Table, levels: int) -> pa.Table:
+    _, tree = _block(table, levels)
     n = table.column("n")[0].as_py()
-    row = [key[0].as_py()], [key[1].as_py()], [tree.top], [-(-n // BLOCK)]
+    row = [key[0].as_py()], [key[1].as_py()], [tree.top], [-(-n // RUN**levels)]
     return pa.table([pa.array(v, t) for v, t in zip(row, (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=["tree", "pos", "digest", "n"])
 
 
@@ -116,9 +115,9 @@ def _upper(above: pa.Table) -> list[tuple[str, str]]:
     return list(zip(above.column("lefts")[0].as_py(), above.column("rights")[0].as_py(), strict=True))
 
 
-def _paths(nodes: pa.Table, above: pa.Table) -> pa.Table:
+def _paths(nodes: pa.Table, above: pa.Table, levels: int) -> pa.Table:
     """The path of each node: inside its block, then that of the block."""
-    order, tree = _block(nodes)
+    order, tree = _block(nodes, levels)
     upper = _upper(above)
     full = [tree.path(i) + upper for i in range(len(order))]
     strings = pa.list_(pa.string())
@@ -129,9 +128,9 @@ def _paths(nodes: pa.Table, above: pa.Table) -> pa.Table:
     )
 
 
-def _verified(nodes: pa.Table, above: pa.Table) -> pa.Table:
+def _verified(nodes: pa.Table, above: pa.Table, levels: int) -> pa.Table:
     """Proof and folded root of every leaf of a block."""
-    order, tree = _block(nodes)
+    order, tree = _block(nodes, levels)
     upper = _upper(above)
     subroot, root = above.column("subroot")[0].as_py(), above.column("root")[0].as_py()
     tampered = nodes.column("tampered").to_pylist()
@@ -151,24 +150,25 @@ def _verified(nodes: pa.Table, above: pa.Table) -> pa.Table:
     )
 
 
-def _in_blocks(nodes: DataFrame):
-    return nodes.withColumn("block", F.expr(f"pos DIV {BLOCK}L")).groupBy("tree", "block")
+def _in_blocks(nodes: DataFrame, levels: int):
+    return nodes.withColumn("block", F.expr(f"pos DIV {RUN**levels}L")).groupBy("tree", "block")
 
 
-def climb(nodes: DataFrame) -> list[DataFrame]:
+def climb(nodes: DataFrame, levels: int) -> list[DataFrame]:
     """The nodes and, for each round of blocks, the tops; in the last table every tree has one node."""
     out = [nodes]
     while len(out) == 1 or (out[-1].agg(F.max("n")).first()[0] or 0) > 1:
-        out.append(materialise(_in_blocks(out[-1]).applyInArrow(_tops, NODE)))
+        tops = lambda key, table: _tops(key, table, levels)
+        out.append(materialise(_in_blocks(out[-1], levels).applyInArrow(tops, NODE)))
     return out
 
 
-def descend(tables: list[DataFrame], top: DataFrame, last: int) -> DataFrame:
+def descend(tables: list[DataFrame], top: DataFrame, last: int, levels: int) -> DataFrame:
     """Paths of the nodes of ``tables[last]``, given those of the trees' roots."""
     above = top
     for nodes in reversed(tables[last:-1]):
-        found = _in_blocks(nodes).cogroup(above.groupBy("tree", "pos")).applyInArrow(_paths, PATH)
-        above = materialise(found)
+        paths = lambda own, upper: _paths(own, upper, levels)
+        above = materialise(_in_blocks(nodes, levels).cogroup(above.groupBy("tree", "pos")).applyInArrow(paths, PATH))
     return above
 
 
@@ -201,12 +201,12 @@ def leaf(fields: Sequence[Column]) -> Column:
 
 def manifest(
     docs: DataFrame, tampered: dict[str, Column] | None = None, where: Column | None = None,
-    fields: Sequence[str] = FIELDS, id_col: str = "doc_id", source_col: str = "source",
+    fields: Sequence[str] = FIELDS, id_col: str = "doc_id", source_col: str = "source", levels: int = LEVELS,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, leaf, subroot, root, proof_sha256, folded_root and verified.
 
     ``tampered`` replaces columns in the rows where ``where`` holds; the root of such a row's version is folded_root, and
-    verified tells whether it is the root. Leaves ascend by id (null first), equal ids by their digest; rows that repeat
+    verified tells whether it is the root. ``levels`` sets the size of blocks, not the result. Leaves ascend by id (null first), equal ids by their digest; rows that repeat
     are leaves of their own. A null source is a source, before all others. Null fields differ from empty ones. Columns
     other than ``fields`` are not read; an empty table gives no rows.
     """
@@ -220,17 +220,18 @@ def manifest(
     below = materialise(placed(materialise(leaves), "tree", "id", "digest"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
-    tables = climb(below.select("tree", "pos", "digest", "n"))
+    tables = climb(below.select("tree", "pos", "digest", "n"), levels)
     name = "CASE WHEN tree <> '-' THEN substr(tree, instr(tree, ':') + 1) END"
     subroots = tables[-1].select("tree", F.expr(name).alias("source"), "digest")
     ranked = materialise(placed(subroots.withColumn("top", F.lit("")), "top", "source"))
-    upper = climb(ranked.select(F.col("top").alias("tree"), "pos", "digest", "n"))
+    upper = climb(ranked.select(F.col("top").alias("tree"), "pos", "digest", "n"), levels)
     none = F.array().cast("array<string>")
-    of_sources = descend(upper, upper[-1].select("tree", "pos", none.alias("lefts"), none.alias("rights")), 0)
+    of_sources = descend(upper, upper[-1].select("tree", "pos", none.alias("lefts"), none.alias("rights")), 0, levels)
     root = upper[-1].select(F.col("digest").alias("root"))  # one row
     tops = ranked.select("pos", F.col("tree"), F.col("digest").alias("subroot"))
     tops = materialise(tops.join(of_sources.drop("tree"), "pos").select("tree", F.lit(0).cast("long").alias("pos"), "lefts", "rights", "subroot"))
-    paths = descend(tables, tops.select("tree", "pos", "lefts", "rights"), 1)
+    paths = descend(tables, tops.select("tree", "pos", "lefts", "rights"), 1, levels)
     first = root.first()
     above = paths.join(tops.select("tree", "subroot"), "tree").withColumn("root", F.lit(first.root if first else None).cast("string"))
-    return _in_blocks(below).cogroup(above.groupBy("tree", "pos")).applyInArrow(_verified, schema)
+    verified = lambda own, upper: _verified(own, upper, levels)
+    return _in_blocks(below, levels).cogroup(above.groupBy("tree", "pos")).applyInArrow(verified, schema)
