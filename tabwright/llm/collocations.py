@@ -1,6 +1,7 @@
 """Phrase collocations: suffix pointers sorted by multikey three-way quicksort, where a partition's size is a count.
 
-1. One pass counts words and, per routing cell, the distinct suffixes of each chunk of text.
+1. One pass counts words and, per routing cell, the distinct suffixes of each chunk of text. Words that are too rare for any
+   phrase end a suffix from here on; a map of bits, by hash, tells them (a rare word that shares a bit stays: no harm).
 2. A second pass cuts every suffix at the greatest depth (three words), adds up equal ones inside a chunk, and sends them by
    their first two words to buckets of bounded size. A cell that holds more than its share (a hot pair of words) is dealt
    by three words instead.
@@ -10,7 +11,7 @@
 4. Counts of a phrase and of its parts meet in joins; what a longer phrase explains is dropped; the best of each language
    are ranked.
 
-Words are told apart by their bytes throughout; hashes only choose buckets.
+Words are told apart by their bytes throughout; hashes only choose buckets and what may be skipped.
 """
 
 from __future__ import annotations
@@ -19,13 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import quoted
 from tabwright.functions.stage import materialise
-from tabwright.llm.blocks import Block, blocks, lower_ascii, mix
+from tabwright.llm.blocks import Block, blocks, content_ids, lower_ascii, mix
 
 #: Words of the longest phrase.
 DEPTH = 3
@@ -33,6 +33,8 @@ DEPTH = 3
 CHUNK_BYTES = 8 << 20
 #: Routing cells for each bucket; a cell with more suffixes than a whole bucket's share is split by the third word.
 CELLS = 16
+#: log2 of the bits of the map of frequent words (2 MB).
+MAP_BITS = 24
 #: What ends a piece, and what parts words inside it.
 BREAKS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
@@ -54,10 +56,9 @@ class Chunk:
         begin[heads] = solid[heads]
         starts = np.flatnonzero(begin)
         n = len(starts)
-        letters = np.append(0, np.cumsum(solid))
-        offsets = np.append(letters[starts], letters[-1]).astype(np.int64)
-        text = data[solid]
-        every = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(text.tobytes())])
+        last = np.append(~solid[1:] | begin[1:], True) & solid if len(data) else solid
+        offsets = np.append(0, np.cumsum(np.flatnonzero(last) + 1 - starts))
+        every = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[solid].tobytes())])
         forms = every.dictionary_encode()
         lang = langs.dictionary_encode()
         doc = np.searchsorted(block.bounds, starts, side="right") - 1
@@ -65,37 +66,50 @@ class Chunk:
         size = max(len(forms.dictionary), 1)
         both = pa.array(of_word * size + forms.indices.to_numpy(zero_copy_only=False)).dictionary_encode()
         keys = both.dictionary.to_numpy(zero_copy_only=False)
-        #: For each distinct word: its language and its text.
+        #: For each distinct word: its language, its text, and a hash of both that is the same in all chunks.
         self.langs = lang.dictionary.take(pa.array(keys // size))
         self.forms = forms.dictionary.take(pa.array(keys % size)).cast(pa.binary()).cast(pa.string())
+        self.marks = mix(_marks(forms.dictionary)[keys % size] + _marks(lang.dictionary.cast(pa.large_binary()))[keys // size] * np.uint64(3))
         self.words = both.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         # the piece that a word belongs to: pieces end at break characters and with the document
-        piece = np.append(0, np.cumsum(kind == 2))[starts] + doc
-        follows = np.append(piece[1:] == piece[:-1], False) if n else np.zeros(0, bool)
-        self.follows = follows
+        piece = np.searchsorted(np.flatnonzero(kind == 2), starts) + doc
+        self.follows = np.append(piece[1:] == piece[:-1], False) if n else np.zeros(0, bool)
 
     def counts(self) -> np.ndarray:
         return np.bincount(self.words, minlength=len(self.forms))
 
-    def suffixes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct suffixes of two words or three (rows of three numbers, the third -1 where there is none), and counts."""
-        first = np.flatnonzero(self.follows)
-        if not len(first):
-            return np.zeros((0, DEPTH), np.int64), np.zeros(0, np.int64)
+    def suffixes(self, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct suffixes of two words or three (rows of three numbers, the third -1 where there is none), and counts.
+
+        With a map of frequent words, a suffix ends before a word that is not in it.
+        """
         w = self.words
-        third = np.where(self.follows[first + 1], w[np.minimum(first + 2, len(w) - 1)], -1)
+        if not len(w):
+            return np.zeros((0, DEPTH), np.int64), np.zeros(0, np.int64)
+        known = np.ones(len(w), bool) if often is None else _is_set(often, self.marks)[w]
+        joined = self.follows & known & np.append(known[1:], False)
+        first = np.flatnonzero(joined)
+        third = np.where(joined[np.minimum(first + 1, len(w) - 1)], w[np.minimum(first + 2, len(w) - 1)], -1)
         size = len(self.forms) + 1
-        pairs = pa.array(w[first] * size + w[first + 1]).dictionary_encode()
+        pairs = pa.array(w[first] * size + w[np.minimum(first + 1, len(w) - 1)]).dictionary_encode()
         triples = pa.array(pairs.indices.to_numpy(zero_copy_only=False).astype(np.int64) * size + third + 1).dictionary_encode()
-        n = np.bincount(triples.indices.to_numpy(zero_copy_only=False))
         keys = triples.dictionary.to_numpy(zero_copy_only=False)
+        n = np.bincount(triples.indices.to_numpy(zero_copy_only=False), minlength=len(keys))
         lead = pairs.dictionary.to_numpy(zero_copy_only=False)[keys // size]
         return np.stack([lead // size, lead % size, keys % size - 1], axis=1), n
 
-    def marks(self) -> np.ndarray:
-        """A hash of each distinct word and its language, equal in all chunks."""
-        pairs = zip(self.langs.to_pylist(), self.forms.to_pylist(), strict=True)
-        return np.array([xxhash.xxh3_64_intdigest(f"{lang}\n{word}") for lang, word in pairs], np.uint64)
+
+def _marks(values: pa.Array) -> np.ndarray:
+    """Hashes of binary values."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    raw = values.buffers()[2] if len(values) else None
+    data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
+    return content_ids(data, offsets[:-1], offsets[1:])
+
+
+def _is_set(bits: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    at = marks >> np.uint64(64 - MAP_BITS)
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
 def _cells(marks: np.ndarray, suffixes: np.ndarray, cells: int) -> np.ndarray:
@@ -113,56 +127,59 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Chunk]:
 
 
 def _count(cells: int, size: int):
-    """Counts of words (cell null) and numbers of distinct suffixes per cell (language and word null)."""
+    """Counts of words with their hash, and numbers of distinct suffixes per cell (language and word null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, size):
             suffixes, _ = chunk.suffixes()
-            held = pa.array(_cells(chunk.marks(), suffixes, cells)).dictionary_encode()
+            held = pa.array(_cells(chunk.marks, suffixes, cells)).dictionary_encode()
             used, some = len(held.dictionary), len(chunk.forms)
             n = np.append(chunk.counts(), np.bincount(held.indices.to_numpy(zero_copy_only=False), minlength=used))
             none = pa.nulls(used, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([chunk.langs, none]), pa.concat_arrays([chunk.forms, none]),
-                 pa.concat_arrays([pa.nulls(some, pa.int64()), held.dictionary]), pa.array(n.astype(np.int64))],
-                names=["lang", "word", "cell", "n"],
+                 pa.array(np.append(chunk.marks.view(np.int64), held.dictionary.to_numpy(zero_copy_only=False))), pa.array(n.astype(np.int64))],
+                names=["lang", "word", "mark", "n"],
             )
 
     return run
 
 
-def _route(cells: int, split: np.ndarray, size: int):
-    """Suffixes of a chunk packed by bucket: the words that they use, and rows of three places among them with a count."""
+def _route(cells: int, split: np.ndarray, often: np.ndarray, size: int):
+    """Suffixes of a chunk packed by bucket and language: the words that they use, and rows of three places among them with a count."""
     buckets = cells // CELLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, size):
-            suffixes, n = chunk.suffixes()
+            suffixes, n = chunk.suffixes(often)
             if not len(n):
                 continue
-            marks = chunk.marks()
-            cell = _cells(marks, suffixes, cells)
-            third = mix(np.append(marks, np.uint64(7))[suffixes[:, 2]] + cell.astype(np.uint64))
+            cell = _cells(chunk.marks, suffixes, cells)
+            third = mix(np.append(chunk.marks, np.uint64(7))[suffixes[:, 2]] + cell.astype(np.uint64))
             partial = np.isin(cell, split)
+            lang = chunk.langs.dictionary_encode()
+            names = len(lang.dictionary)
             bucket = np.where(partial, (third % np.uint64(buckets)).astype(np.int64), cell // CELLS) * 2 + partial
+            bucket = bucket * names + lang.indices.to_numpy(zero_copy_only=False)[suffixes[:, 0]]
             order = np.argsort(bucket, kind="stable")
             suffixes, n, bucket = suffixes[order], n[order], bucket[order]
-            some = len(chunk.forms) + 1
-            used, place = np.unique((bucket[:, None] * some + suffixes + 1).ravel(), return_inverse=True)
             kinds, first = np.unique(bucket, return_index=True)
             bounds = np.append(first, len(bucket))
-            vocabulary = np.searchsorted(used, np.append(kinds * some, (kinds[-1] + 1) * some)).astype(np.int32)
-            place = place.reshape(-1, DEPTH) - vocabulary[np.searchsorted(kinds, bucket)][:, None]
+            some = len(chunk.forms) + 1
+            part = np.repeat(np.arange(len(kinds)), np.diff(bounds))
+            used, place = np.unique((part[:, None] * some + suffixes + 1).ravel(), return_inverse=True)
+            vocabulary = np.searchsorted(used, np.arange(len(kinds) + 1) * some).astype(np.int32)
+            rows = np.empty((len(n), DEPTH + 1), np.int32)
+            rows[:, :DEPTH] = place.reshape(-1, DEPTH) - vocabulary[part][:, None]
+            rows[:, DEPTH] = n
             word = used % some - 1  # -1 stands for no word: a null in the vocabulary
-            take = pa.array(word, mask=word < 0)
-            rows = np.concatenate([place, n[:, None]], axis=1).astype(np.int32)
-            offsets = pa.array(vocabulary)
+            words = pa.ListArray.from_arrays(pa.array(vocabulary), chunk.forms.take(pa.array(word, mask=word < 0)))
+            packed = [rows[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            target = kinds // names
             yield pa.RecordBatch.from_arrays(
-                [pa.array((kinds // 2).astype(np.int64)), pa.array((kinds % 2).astype(bool)),
-                 pa.ListArray.from_arrays(offsets, chunk.langs.take(take)), pa.ListArray.from_arrays(offsets, chunk.forms.take(take)),
-                 pa.array([rows[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())],
-                names=["bucket", "partial", "langs", "words", "rows"],
-            )
+                [pa.array(target // 2), pa.array((target % 2).astype(bool)), lang.dictionary.take(pa.array(kinds % names)), words, pa.array(packed, pa.binary())],
+                names=["bucket", "partial", "lang", "words", "rows"],
+            )
 
     return run
 
@@ -223,14 +240,16 @@ def _sort(least: int):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         partial = key[1].as_py()
-        langs, words = table.column("langs").combine_chunks(), table.column("words").combine_chunks()
-        langs, words = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (langs, words))
-        starts = words.offsets.to_numpy()[:-1].astype(np.int64) - words.offsets[0].as_py()
-        lang, word = langs.flatten().dictionary_encode(), words.flatten().dictionary_encode()
+        words = table.column("words").combine_chunks()
+        langs = table.column("lang").combine_chunks()
+        words, langs = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (words, langs))
+        bounds = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
+        starts = bounds[:-1]
+        lang, word = langs.dictionary_encode(), words.flatten().dictionary_encode()
         none = np.asarray(word.indices.is_null())
         size = max(len(word.dictionary), 1)
-        code = np.asarray(lang.indices.fill_null(0)).astype(np.int64) * size + np.asarray(word.indices.fill_null(0))
-        both = pa.array(code, mask=none).dictionary_encode()
+        of_word = np.repeat(lang.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.diff(bounds))
+        both = pa.array(of_word * size + np.asarray(word.indices.fill_null(0)), mask=none).dictionary_encode()
         number = np.asarray(both.indices.fill_null(-1)).astype(np.int64)
         keys = both.dictionary.to_numpy(zero_copy_only=False)
         rows = [np.frombuffer(r.as_buffer(), np.int32).reshape(-1, DEPTH + 1) for r in table.column("rows").combine_chunks()]
@@ -258,20 +277,30 @@ def _phrase_counts(docs: DataFrame, least: int, lang_col: str, text_col: str, si
     texts = docs.select(F.coalesce(quoted(lang_col).cast("string"), F.lit("und")).alias("lang"), quoted(text_col).cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = CELLS * max(1, -(-total // size))
-    counted = texts.mapInArrow(_count(cells, size), "lang string, word string, cell long, n long")
-    counted = materialise(counted.groupBy("lang", "word", "cell").agg(F.sum("n").alias("n")))
+    counted = texts.mapInArrow(_count(cells, size), "lang string, word string, mark long, n long")
+    counted = materialise(counted.groupBy("lang", "word", "mark").agg(F.sum("n").alias("n")))
+    words = counted.where("word is not null")
     # a cell's share is a sixteenth of a bucket; a bucket's suffixes are fewer than half its bytes
-    crowded = counted.where(F.col("cell").isNotNull() & (F.col("n") > size // 8)).select("cell")
-    split = np.array([r.cell for r in crowded.collect()], np.int64)  # at most four for each bucket
-    packed = texts.mapInArrow(
-        _route(cells, split, size), "bucket long, partial boolean, langs array<string>, words array<string>, rows binary"
-    )
+    crowded = counted.where(F.col("word").isNull() & (F.col("n") > size // 8)).select("mark")
+    split = np.array([r.mark for r in crowded.collect()], np.int64)  # at most four for each bucket
+    routed = _route(cells, split, _map_of(words.where(F.col("n") >= least)), size)
+    packed = texts.mapInArrow(routed, "bucket long, partial boolean, lang string, words array<string>, rows binary")
     found = packed.groupBy("bucket", "partial").applyInArrow(_sort(least), "lang string, w1 string, w2 string, w3 string, n long")
     found = materialise(found)
     pairs = found.where("w3 is null").groupBy("lang", "w1", "w2").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     triples = found.where("w3 is not null")
     phrases = pairs.select("lang", "w1", "w2", F.lit(None).cast("string").alias("w3"), "n").unionByName(triples)
-    return counted.where("cell is null").select("lang", "word", "n"), phrases
+    return words.select("lang", "word", "n"), phrases
+
+
+def _map_of(words: DataFrame) -> np.ndarray:
+    """Bits at the hashes of the given words, in numbers of 64 bits."""
+    at = F.shiftrightunsigned("mark", 64 - MAP_BITS)
+    held = words.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(mark, {64 - MAP_BITS}) & 63 AS INT))")).alias("bits"))
+    out = np.zeros(1 << MAP_BITS - 6, np.int64)
+    rows = held.toArrow()  # at most as many rows as the map has numbers
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return out.view(np.uint64)
 
 
 def collocations(
