@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,8 +180,8 @@ def onehot_wide(spark: SparkSession, folder: str) -> DataFrame:
     """More values than columns are wanted for: one sparse vector."""
     customer = table(spark, folder, "customer").select("c_custkey", gap("c_custkey", 6, "c_nationkey"))
     vectors = fit_onehot(customer, ["c_nationkey"], dense_levels=10).transform(customer)
-    dense = vector_to_array("c_nationkey_onehot")
-    return vectors.select("c_custkey", F.size(dense).alias("width"), (F.array_position(dense, 1.0) - 1).alias("place"))
+    place = F.coalesce(F.get("c_nationkey_onehot.indices", F.lit(0)), F.lit(-1)).cast("long")
+    return vectors.select("c_custkey", F.col("c_nationkey_onehot.size").alias("width"), place.alias("place"))
 
 
 def csv_roundtrip_text(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 from tabwright.functions.columns import any_missing, number_sql, quoted, ticked
 from tabwright.functions.keys import text_hash, unit
 from tabwright.functions.stage import materialise
+from tabwright.functions.vectors import is_sparse
 from tabwright.operators.neighbours import nearest_points
-from tabwright.operators.split import SEED, as_quotas, class_counts, fit_cuts
+from tabwright.operators.split import BROADCAST_ROWS, SEED, Quotas, fit_cuts
 
 log = logging.getLogger(__name__)
 
@@ -38,24 +39,30 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, weights: dict | None = None, name: str = "weight") -> DataFrame:
-    """Add each row's class weight, by default the balanced one."""
-    weights = weights if weights is not None else balanced_weights(class_counts(df, label))
-    classes = F.array(*[F.lit(c) for c in weights]).cast(T.ArrayType(df.schema[label].dataType))
-    place = F.array_position(classes, quoted(label)).cast("int")
-    value = F.coalesce(F.get(F.array(*[F.lit(float(w)) for w in weights.values()]), place - 1), F.lit(1.0))
-    return df.select("*", value.alias(name))
-
-
-def deficits(counts: dict, strategy: str = "auto") -> dict:
-    """Rows each class lacks to the largest class."""
-    top, low = max(counts.values()), min(counts.values())
-    missing = {c: top - n for c, n in counts.items() if n < top}
+    """Add each row's class weight, by default the balanced one; a class without a weight counts 1."""
+    if weights is None:
+        table = class_weights(df, label)
+        n, unknown = table.agg(F.count(F.lit(1)), F.count_if(F.col("label").isNull())).first()
+        if unknown:
+            raise ValueError(f"label {label!r} has missing values")
+    else:
+        kind = df.schema[label].dataType.simpleString()
+        table, n = df.sparkSession.createDataFrame([(c, float(w)) for c, w in weights.items()], f"label {kind}, weight double"), len(weights)
+    table = table.select(F.col("label").alias("__class"), F.col("weight").alias("__weight_of"))
+    joined = df.join(F.broadcast(table) if n <= BROADCAST_ROWS else table, quoted(label) == F.col("__class"), "left")
+    return joined.select(*[quoted(c) for c in df.columns if c != name], F.coalesce("__weight_of", F.lit(1.0)).alias(name))
+
+
+def deficits(counts: DataFrame, strategy: str = "auto") -> DataFrame:
+    """Rows ``c, n, lack``: what each smaller class lacks to the largest one."""
+    ends = counts.agg(F.max("n").alias("top"), F.min("n").alias("low")).first()
+    missing = counts.select("c", "n", (F.lit(ends.top) - F.col("n")).alias("lack")).where("lack > 0")
     if strategy == "minority":
-        smallest = min((c for c, n in counts.items() if n == low), default=None)
-        missing = {c: d for c, d in missing.items() if c == smallest}
-    elif strategy == "not minority":
-        missing = {c: d for c, d in missing.items() if counts[c] != low}
-    elif strategy not in ("auto", "not majority", "all"):
+        smallest = counts.where(F.col("n") == ends.low).agg(F.min("c")).first()[0]
+        return missing.where(F.col("c") == F.lit(smallest))
+    if strategy == "not minority":
+        return missing.where(F.col("n") != ends.low)
+    if strategy not in ("auto", "not majority", "all"):
         raise ValueError(f"unknown sampling strategy {strategy!r}")
     return missing
 
@@ -74,53 +81,68 @@ def smote(
     Result: the features, the label, ``row_key`` (text, unique) and ``is_synthetic``. A new row is
     ``x + u * (y - x)``: ``x`` runs evenly over the rows of the class, ``y`` is one of the nearest rows of ``x`` and
     ``u`` lies in [0, 1); both are picked by hash. When a class has too few rows for the neighbours, or a feature is
-    missing, the original rows come back alone.
+    missing, the original rows come back alone. Classes live in tables, so their number is not limited.
     """
+    wide = [c for c in features if is_sparse(df, c)]
+    if wide:
+        raise ValueError(f"{wide} are sparse vectors, between which no rows are made: use class weights or label codes")
     original = df.select(
         *[F.expr(f"{number_sql(df, c)} AS {ticked(c)}") for c in features],
         quoted(label),
         F.concat_ws(":", *[quoted(k).cast("string") for k in key]).alias("row_key"),
         F.lit(False).alias("is_synthetic"),
     )
-    counts = class_counts(df, label)
-    missing = deficits(counts, strategy)
-    if not missing:
+    counts = materialise(df.groupBy(quoted(label).alias("c")).agg(F.count(F.lit(1)).alias("n")))
+    missing = materialise(deficits(counts, strategy))
+    raised = missing.agg(
+        F.count(F.lit(1)).alias("k"), F.count_if(F.col("c").isNull()).alias("unknown"), F.min("n").alias("least"), F.max(F.expr("lack DIV n")).alias("most")
+    ).first()
+    if raised.unknown or not counts.where("c is null").isEmpty():
+        raise ValueError(f"label {label!r} has missing values")
+    if not raised.k:
         return original
-    small = {c: counts[c] for c in missing if counts[c] <= neighbours}
-    if small:
-        log.warning("classes %s have too few rows for %d neighbours, nothing added", small, neighbours)
+    if raised.least <= neighbours:
+        log.warning("classes with %d rows are too small for %d neighbours, nothing added", raised.least, neighbours)
         return original
     holes = df.agg(F.count_if(any_missing(df, features)).alias("n")).first().n
     if holes:
         log.warning("%d rows miss a feature, nothing added", holes)
         return original
 
-    cuts = fit_cuts(df, label, key, seed, as_quotas(df, label, {c: [d % counts[c]] for c, d in missing.items()}))
+    lacking = F.broadcast(missing) if raised.k <= BROADCAST_ROWS else missing
+    lacking = lacking.select(F.col("c").alias("__class"), F.expr("lack DIV n").alias("__least"))
+    # a class's first rows in hash order get one copy more
+    cuts = fit_cuts(
+        df.join(lacking.select("__class"), quoted(label) == F.col("__class"), "left_semi"), label, key, seed,
+        Quotas(lambda found: _extra(missing, found), lambda table: missing.select("c", F.array(F.col("lack") % F.col("n")).alias("wanted"))),
+    )
     places = [f"x{i}" for i in range(len(features))]
-    group, least = F.lit(None).cast("int"), F.lit(0)
-    for i, (c, lack) in enumerate(missing.items()):
-        group = F.when(quoted(label) == F.lit(c), F.lit(i)).otherwise(group)
-        least = F.when(quoted(label) == F.lit(c), F.lit(lack // counts[c])).otherwise(least)
+    numbered = cuts.numbered(df, "__slice")
     rows = materialise(
-        cuts.numbered(df.where(quoted(label).isin(list(missing))), "__slice").select(
-            group.alias("grp"),
+        numbered.join(lacking, quoted(label) == F.col("__class")).select(
+            quoted(label).alias("grp"),
             _row_id(df, key, seed).alias("id"),
-            (least + (F.col("__slice") == 0).cast("int")).cast("bigint").alias("copies"),
+            (F.col("__least") + (F.col("__slice") == 0).cast("int")).cast("bigint").alias("copies"),
             *[F.expr(f"{number_sql(df, f)} + 0.0D AS {x}") for f, x in zip(features, places)],
         )
     )
-    most = max(lack // counts[c] + 1 for c, lack in missing.items())
+    most = raised.most + 1
     made = _beside_copies(rows, places, neighbours).unionByName(_between_points(rows, places, neighbours, seed, most))
     back = F.element_at(F.array(*[F.lit(c) for c in missing]), F.col("grp") + 1).cast(df.schema[label].dataType)
     new = made.select(
         *[F.expr(f"vector[{i}] AS {ticked(f)}") for i, f in enumerate(features)],
-        back.alias(label),
+        F.col("grp").alias(label),
         F.concat_ws(":", F.lit("new"), "grp", "origin").alias("row_key"),
         F.lit(True).alias("is_synthetic"),
     )
     return original.unionByName(new)
 
 
+def _extra(missing: DataFrame, found: dict) -> dict[object, list[int]]:
+    """Quotas of the classes that the driver has counted anyway."""
+    return {r.c: [r.lack % r.n] for r in missing.collect() if r.c in found}
+
+
 def _row_id(df: DataFrame, key: Sequence[str], seed: int) -> Column:
     if len(key) == 1 and isinstance(df.schema[key[0]].dataType, T.IntegralType):
         return quoted(key[0]).cast("bigint")

@@ -6,7 +6,6 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,13 +14,12 @@ from pyspark.sql import types as T
 from tabwright.functions.columns import existing, long_format, quoted, replaced
 from tabwright.functions.names import clashes
 from tabwright.functions.stage import materialise
+from tabwright.functions.vectors import one_of
 
 log = logging.getLogger(__name__)
 
 #: A column with more values becomes one sparse vector instead of one 0/1 column per value.
 DENSE_LEVELS = 1000
-#: Values whose list the driver may hold; a column with more of them needs label codes.
-HELD_LEVELS = 5_000_000
 LITERAL_LEVELS = 50
 BROADCAST_LEVELS = 100_000
 
@@ -30,11 +28,13 @@ BROADCAST_LEVELS = 100_000
 class OneHotEncoder:
     """Sorted levels per column; one 0/1 column per level, appended after the other columns.
 
-    ``wide`` columns have too many levels for that: each becomes one sparse vector ``<column>_onehot`` over its levels.
+    ``wide`` columns have too many levels for that: each becomes one sparse vector ``<column>_onehot`` over its levels,
+    whose codes are looked up in a table ``(__value, __code)`` of any length; ``sizes`` has their numbers of levels.
     """
 
     levels: dict[str, list[str]]
-    wide: dict[str, list[str]] = field(default_factory=dict)
+    wide: dict[str, DataFrame] = field(default_factory=dict)
+    sizes: dict[str, int] = field(default_factory=dict)
 
     def names(self) -> list[str]:
         return [*[f"{c}_{v}" for c, values in self.levels.items() for v in values], *[f"{c}_onehot" for c in self.wide]]
@@ -49,32 +49,37 @@ class OneHotEncoder:
             for c, values in self.levels.items()
             for v in values
         ]
-        own = [F.array_compact(F.array(quoted(c).cast("string"))).alias(f"__{c}") for c in self.wide]
-        out = df.select(*[quoted(c) for c in kept], *dummies, *own)
-        for c, values in self.wide.items():
-            vectors = CountVectorizerModel.from_vocabulary(values, inputCol=f"__{c}", outputCol=f"{c}_onehot")
-            out = vectors.setBinary(True).setMinTF(0.0).transform(out).drop(f"__{c}")
+        out = df.select(*[quoted(c) for c in [*kept, *self.wide]], *dummies)
+        for c, table in self.wide.items():
+            codes = F.broadcast(table) if self.sizes[c] <= BROADCAST_LEVELS else table
+            coded = out.join(codes, quoted(c).cast("string") == F.col("__value"), "left")
+            vector = one_of(F.col("__code"), self.sizes[c]).alias(f"{c}_onehot")
+            out = coded.select(*[quoted(x) for x in out.columns if x != c], vector)
         return out
 
 
 def fit_onehot(df: DataFrame, columns: Sequence[str], dense_levels: int = DENSE_LEVELS) -> OneHotEncoder:
-    """Distinct non-null values of every column, written in one job; few become columns, many a sparse vector."""
+    """Distinct non-null values of every column, written in one job; few become columns, many a sparse vector.
+
+    Only the values of columns with at most ``dense_levels`` of them reach the driver.
+    """
     names = existing(df, columns, "categorical")
     if not names:
         return OneHotEncoder({})
     distinct = materialise(long_format(df, names).where(F.col("value").isNotNull()).distinct())
     sizes = {r["column"]: r["count"] for r in distinct.groupBy("column").count().collect()}
-    held = [c for c, n in sizes.items() if n > HELD_LEVELS]
-    if held:
-        raise ValueError(f"{held} have more than {HELD_LEVELS} values; use encoding_method='label' for them")
-    found: dict[str, list[str]] = {c: [] for c in names}
-    for r in distinct.collect():  # at most HELD_LEVELS values per column
+    wide = [c for c in names if sizes.get(c, 0) > dense_levels]
+    found: dict[str, list[str]] = {c: [] for c in names if c not in wide}
+    for r in distinct.where(~F.col("column").isin(wide)).collect():
         found[r["column"]].append(r["value"])
     numeric = {c for c in names if isinstance(df.schema[c].dataType, T.NumericType)}
     levels = {c: sorted(v, key=float) if c in numeric else sorted(v) for c, v in found.items()}
-    return OneHotEncoder(
-        {c: v for c, v in levels.items() if len(v) <= dense_levels}, {c: v for c, v in levels.items() if len(v) > dense_levels}
-    )
+    tables = {}
+    for c in wide:
+        values = distinct.where(F.col("column") == c).select(F.col("value").alias("__value"))
+        first = F.col("__value").cast("double" if c in numeric else "string")
+        tables[c] = _codes(values.withColumn("__first", first))
+    return OneHotEncoder(levels, tables, {c: sizes[c] for c in wide})
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -19,6 +20,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tabwright.functions.columns import number_sql, quoted
 from tabwright.functions.stage import ensure_checkpoints
+from tabwright.functions.vectors import as_vectors, gathered, is_sparse, widths
 from tabwright.operators.split import SEED, class_counts
 
 log = logging.getLogger(__name__)
@@ -138,8 +140,13 @@ def spark_params(model_type: str, params: dict | None, n: int) -> dict:
 def assembled(df: DataFrame, features: Sequence[str], missing: str, keep: Sequence[str] = ()) -> DataFrame:
     """``df`` (or its ``keep`` columns) with the feature vector ``__x``; one projection and one assembler.
 
-    A missing feature is an error, or with ``lowest`` a value below all others, which a tree can split off.
+    A missing feature is an error, or with ``lowest`` a value below all others, which a tree can split off. With sparse
+    columns among the features the vector is sparse, too, and the table is written once.
     """
+    if any(is_sparse(df, c) for c in features):
+        instead = f"{MISSING_VALUE!r}D" if missing == "lowest" else "CAST(raise_error('a feature is missing') AS DOUBLE)"
+        rows = df.select(*([quoted(c) for c in keep] or ["*"]), gathered(df, features, instead).alias("__x"))
+        return as_vectors(rows, ["__x"])
     names = [f"__f{i}" for i in range(len(features))]
     fill = f"coalesce({{}}, {MISSING_VALUE!r}D)" if missing == "lowest" else "{}"
     numbers = [F.expr(f"{fill.format(number_sql(df, c))} AS {n}") for c, n in zip(features, names)]
@@ -158,6 +165,8 @@ class FittedModel:
     params: dict
     seed: int
     parts: list = field(repr=False)
+    #: Places of each feature in the vector, where some have more than one.
+    widths: list[int] | None = None
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``prediction`` (a class) and ``probability`` (an array in the order of ``classes``)."""
@@ -180,15 +189,18 @@ class FittedModel:
         return scored.withColumn("prediction", F.element_at(F.array(*[F.lit(c) for c in self.classes]), best.cast("int")))
 
     def importances(self) -> dict[str, float]:
-        """Tree importances (mean over the parts), or absolute coefficients of the first class."""
+        """Tree importances (mean over the parts), or absolute coefficients of the first class; a sparse column's are added up."""
         first = self.parts[0]
         if hasattr(first, "coefficientMatrix"):
             values = [abs(float(x)) for x in first.coefficientMatrix.toArray()[0]]
         elif hasattr(first, "featureImportances"):
             rows = [p.featureImportances.toArray() for p in self.parts]
-            values = [float(sum(r[j] for r in rows) / len(rows)) for j in range(len(self.features))]
+            values = [float(sum(r[j] for r in rows) / len(rows)) for j in range(len(rows[0]))]
         else:
             return {}
+        if self.widths:
+            ends = list(itertools.accumulate(self.widths))
+            values = [sum(values[e - w : e]) for e, w in zip(ends, self.widths)]
         return dict(zip(self.features, values))
 
 
@@ -224,7 +236,10 @@ def fit_model(
             parts = _one_vs_rest(kind, data, len(classes), seed, wanted, settings)
         finally:
             data.unpersist()
-    return FittedModel(model_type, list(features), classes, full_params(model_type, params), seed, parts)
+    sizes = widths(df, features)
+    return FittedModel(
+        model_type, list(features), classes, full_params(model_type, params), seed, parts, sizes if max(sizes) > 1 else None
+    )
 
 
 def _one_vs_rest(kind: ModelKind, data: DataFrame, k: int, seed: int, wanted: dict, settings: dict) -> list:

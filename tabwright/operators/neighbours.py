@@ -1,8 +1,9 @@
 """Exact nearest neighbours inside each class, without comparing all pairs.
 
-Space is cut into boxes by a tree fitted on a bounded sample. Every point is first searched against its own box, which
-gives a radius that its true neighbours cannot exceed; it is then sent only to the other boxes that this radius
-touches. Boxes with many points are cut into blocks, so no task holds more than one block of points.
+Small classes are compared whole, many of them in one task. In a large one, space is cut into boxes by a tree fitted on a
+bounded sample. Every point is searched in waves: first against its own box, which gives a radius that its true neighbours
+cannot exceed; then against the few nearest boxes, which shrinks the radius; then only against the rest of the boxes that
+the radius still touches. Boxes with many points are cut into blocks, so no task holds more than one block of points.
 """
 
 from __future__ import annotations
@@ -20,6 +21,12 @@ from tabwright.functions.stage import materialise
 
 BOX_POINTS = 1000
 MAX_BOXES = 32_768
+#: Boxes of all classes together; beyond it they are made larger. Their trees travel with each task (16 bytes a box).
+ALL_BOXES = 2_000_000
+#: Nearest boxes that are searched before the rest.
+NEAR_BOXES = 4
+#: Points of small classes that one task compares.
+PACKED_POINTS = 50_000
 SAMPLE_PER_BOX = 24
 SAMPLE_VALUES = 8_000_000
 BLOCK_POINTS = 4000
@@ -27,6 +34,8 @@ CHUNK_CELLS = 2_000_000
 #: Numbers in the largest array that the search for touched boxes holds: points at once times boxes times features.
 TOUCH_CELLS = 4_000_000
 VISITS_PER_COPY = 16_000
+#: Sizes of so many boxes may be broadcast.
+BROADCAST_BOXES = 100_000
 
 
 @dataclass(frozen=True)
@@ -59,11 +68,11 @@ class BoxTree:
             node = 2 * node + right
         return node - 2**self.depth
 
-    def touched(self, points: np.ndarray, radius2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (point, box) where the box comes within the point's squared radius."""
+    def touched(self, points: np.ndarray, radius2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Triples (point, box, squared distance of the box) where the box comes within the point's squared radius."""
         who = np.arange(len(points))
         node = np.ones(len(points), dtype=np.int64)
-        gaps = np.zeros_like(points)
+        gaps, away = np.zeros_like(points), np.zeros(len(points))
         for _ in range(self.depth):
             dim, cut = self.dims[node], self.cuts[node]
             diff = points[who, dim] - cut
@@ -71,14 +80,16 @@ class BoxTree:
             far = gaps.copy()
             rows = np.arange(len(who))
             far[rows, dim] = np.maximum(far[rows, dim], np.abs(diff))
+            beyond = (far**2).sum(axis=1)
             # a hair of slack: rounding here must never lose a box
-            reach = (far**2).sum(axis=1) <= radius2[who] * (1 + 1e-9)
-            node, who, gaps = (
+            reach = beyond <= radius2[who] * (1 + 1e-9)
+            node, who, gaps, away = (
                 np.concatenate([2 * node + right, (2 * node + ~right)[reach]]),
                 np.concatenate([who, who[reach]]),
                 np.concatenate([gaps, far[reach]]),
+                np.concatenate([away, beyond[reach]]),
             )
-        return who, node - 2**self.depth
+        return who, node - 2**self.depth, away
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -129,7 +140,7 @@ def _numbers(count: str) -> Column:
 def nearest_points(points: DataFrame, k: int) -> DataFrame:
     """Rows ``point, near, dist, near_ids, near_vector``: the ``k`` nearest other points of the same group, exactly.
 
-    ``points`` has ``grp`` (int), ``point`` (bigint or text, unique), ``vector`` (array of doubles, distinct in its
+    ``points`` has ``grp`` (of any type), ``point`` (bigint or text, unique), ``vector`` (array of doubles, distinct in its
     group), ``ids`` (rows at this place) and ``asked`` (whether its neighbours are wanted). Candidates carry ids and
     distances only; vectors are joined to the final neighbours.
     """
@@ -139,70 +150,135 @@ def nearest_points(points: DataFrame, k: int) -> DataFrame:
 
 
 def _nearest_ids(points: DataFrame, k: int) -> DataFrame:
+    sizes = points.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d"))
+    large = sizes.where(F.col("n") > BLOCK_POINTS)
+    counted = sizes.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > BLOCK_POINTS).alias("large"), F.sum(F.when(F.col("n") > BLOCK_POINTS, F.col("n"))).alias("in_large")).first()
+    if not counted.large:
+        return _in_packs(points, counted.n or 0, k)
+    large = materialise(large)  # a row for each BLOCK_POINTS points at most
+    found = _in_waves(points.join(large.select("grp"), "grp"), large, counted.in_large, k)
+    if counted.in_large == counted.n:
+        return found
+    return found.unionByName(_in_packs(points.join(large.select("grp"), "grp", "left_anti"), counted.n - counted.in_large, k))
+
+
+def _in_packs(points: DataFrame, n: int, k: int) -> DataFrame:
+    """Classes that fit in a block, many in one task."""
     kind = points.schema["point"].dataType.simpleString()
+    packs = max(1, -(-n // PACKED_POINTS))
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([_nearest(own[own["asked"]], own, k) for _, own in pdf.groupby("grp", dropna=False)])
+
+    packed = points.select("grp", "point", "vector", "asked", F.pmod(F.xxhash64("grp"), F.lit(packs)).alias("pack"))
+    return packed.groupBy("pack").applyInPandas(whole, f"point {kind}, near {kind}, dist double")
+
+
+def _in_waves(points: DataFrame, sizes: DataFrame, n: int, k: int) -> DataFrame:
+    """Classes of any size, by boxes."""
+    kind, group = (points.schema[c].dataType.simpleString() for c in ("point", "grp"))
     point_columns, found_columns = f"point {kind}, vector array<double>", f"point {kind}, near {kind}, dist double"
-    sizes = points.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).collect()
-    if all(g.n <= BLOCK_POINTS for g in sizes):
-        # one block holds the whole group
-        return points.select("grp", "point", "vector", "asked").groupBy("grp").applyInPandas(lambda pdf: _nearest(pdf[pdf["asked"]], pdf, k), found_columns)
-    trees = {g.grp: _fit_tree(points, g.grp, g.n, g.d) for g in sizes}
+    trees = _fit_trees(points, sizes, n)
 
     def to_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for grp, part in pdf.groupby("grp"):
                 yield part.assign(box=trees[grp].home(_matrix(part["vector"])))
 
-    columns = f"grp int, {point_columns}, asked boolean"
-    housed = materialise(points.select("grp", "point", "vector", "asked").mapInPandas(to_home, f"{columns}, box bigint"))
-    blocks = F.broadcast(
-        housed.groupBy("grp", "box").agg(F.ceil(F.count(F.lit(1)) / BLOCK_POINTS).cast("int").alias("blocks"))
-    )
+    columns = f"grp {group}, {point_columns}"
+    housed = materialise(points.select("grp", "point", "vector", "asked").mapInPandas(to_home, f"{columns}, asked boolean, box bigint"))
+    held = materialise(housed.groupBy("grp", "box").agg(F.ceil(F.count(F.lit(1)) / BLOCK_POINTS).cast("int").alias("blocks")))
+    blocks = F.broadcast(held) if held.count() <= BROADCAST_BOXES else held
     stored = housed.join(blocks, ["grp", "box"]).withColumn(
         "block", F.pmod(F.xxhash64("point"), F.col("blocks").cast("bigint"))
     )
 
     def first_look(pdf: pd.DataFrame) -> pd.DataFrame:
-        mine = pdf[pdf["asked"]]
-        near = _nearest(mine, pdf, k).groupby("point")["dist"].agg(["max", "size"])
-        radius2 = near["max"].where(near["size"] >= k, np.inf)
-        return mine[["grp", "point", "vector"]].assign(radius2=mine["point"].map(radius2).fillna(np.inf).astype(float))
-
-    looked = stored.groupBy("grp", "box", "block").applyInPandas(first_look, f"grp int, {point_columns}, radius2 double")
+        return _nearest(pdf[pdf["asked"]], pdf, k)
+
+    def search(visits: DataFrame) -> DataFrame:
+        """The nearest points in the visited boxes (grp, box, point, vector); of the own box the own block is known."""
+        every = visits.join(blocks, ["grp", "box"]).withColumn("block", F.explode(_numbers("blocks")))
+        new = ~F.col("own") | (F.col("block") != F.pmod(F.xxhash64("point"), F.col("blocks").cast("bigint")))
+        sent = materialise(every.where(new).select("grp", "box", "point", "vector", "block"))
+        # a block asked by very many points is copied, and its visitors are spread over the copies
+        home = ["grp", "box", "block"]
+        copies = sent.groupBy(*home).agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_COPY).cast("bigint").alias("copies"))
+        left = sent.join(copies, home).withColumn("copy", F.pmod(F.xxhash64("point"), "copies"))
+        right = stored.join(copies, home).withColumn("copy", F.explode(_numbers("copies")))
+
+        def look(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+            return _nearest(asked, block, k)
+
+        place = [*home, "copy"]
+        grouped = left.select("point", "vector", *place).groupBy(*place)
+        return grouped.cogroup(right.select("point", "vector", *place).groupBy(*place)).applyInPandas(look, found_columns)
+
+    def with_radius(found: DataFrame) -> DataFrame:
+        """Asked points with the squared radius that k found points give (null: fewer)."""
+        radius = found.groupBy("point").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("radius2"))
+        return housed.where("asked").join(radius, "point", "left").select("grp", "point", "vector", "radius2")
+
+    def to_boxes(near: int | None):
+        """Visits of the ``near`` nearest boxes, the own one left out, or of all others touched but those already seen."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for grp, mine in pdf.groupby("grp"):
+                    width = len(mine["vector"].iloc[0])
+                    step = max(1, TOUCH_CELLS // (2 ** trees[grp].depth * max(width, 1)))
+                    for at in range(0, len(mine), step):
+                        part = mine.iloc[at : at + step]
+                        vectors = _matrix(part["vector"])
+                        wide = part["first2"].fillna(np.inf).to_numpy(dtype=float)
+                        who, box, away = trees[grp].touched(vectors, wide)
+                        order = np.lexsort((box, away, who))
+                        who, box, away = who[order], box[order], away[order]
+                        other = box != trees[grp].home(vectors)[who]
+                        who, box, away = who[other], box[other], away[other]
+                        nth = np.arange(len(who)) - np.searchsorted(who, who)
+                        if near is not None:
+                            chosen = nth < near
+                        else:
+                            radius2 = part["radius2"].fillna(np.inf).to_numpy(dtype=float)
+                            chosen = (nth >= NEAR_BOXES) & (away <= radius2[who] * (1 + 1e-9))
+                        yield part.iloc[who[chosen]][["grp", "point", "vector"]].assign(box=box[chosen], own=False)
+
+        return run
 
-    def to_touched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for grp, mine in pdf.groupby("grp"):
-                width = len(mine["vector"].iloc[0])
-                step = max(1, TOUCH_CELLS // (2 ** trees[grp].depth * max(width, 1)))
-                for at in range(0, len(mine), step):
-                    part = mine.iloc[at : at + step]
-                    who, box = trees[grp].touched(_matrix(part["vector"]), part["radius2"].to_numpy())
-                    yield part.iloc[who][["grp", "point", "vector"]].assign(box=box)
-
-    sent = looked.mapInPandas(to_touched, f"grp int, {point_columns}, box bigint").join(blocks, ["grp", "box"])
-    visits = materialise(sent.select("grp", "box", "point", "vector", F.explode(_numbers("blocks")).alias("block")))
-
-    # a block asked by very many points is copied, and its visitors are spread over the copies
-    home = ["grp", "box", "block"]
-    copies = visits.groupBy(*home).agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_COPY).cast("bigint").alias("copies"))
-    left = visits.join(copies, home).withColumn("copy", F.pmod(F.xxhash64("point"), "copies"))
-    right = stored.join(copies, home).withColumn("copy", F.explode(_numbers("copies")))
-
-    def look(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(asked, block, k)
-
-    place = [*home, "copy"]
-    grouped = left.select("point", "vector", *place).groupBy(*place)
-    found = grouped.cogroup(right.select("point", "vector", *place).groupBy(*place)).applyInPandas(look, found_columns)
     best = W.partitionBy("point").orderBy("dist", "near")
-    return found.withColumn("__rn", F.row_number().over(best)).where(F.col("__rn") <= k).drop("__rn")
-
 
-def _fit_tree(points: DataFrame, grp: int, n: int, width: int) -> BoxTree:
-    boxes = int(min(MAX_BOXES, n // BOX_POINTS, SAMPLE_VALUES // (SAMPLE_PER_BOX * width)))
-    if boxes <= 1:
-        return BoxTree.fit(np.zeros((0, width)), 1)
+    def nearest(found: DataFrame) -> DataFrame:
+        return materialise(found.withColumn("__rn", F.row_number().over(best)).where(F.col("__rn") <= k).drop("__rn"))
+
+    own = nearest(stored.groupBy("grp", "box", "block").applyInPandas(first_look, found_columns))
+    first = with_radius(own).withColumn("first2", F.col("radius2"))
+    crowded = held.where("blocks > 1").select("grp", "box")
+    beside = housed.where("asked").join(crowded, ["grp", "box"]).select("grp", "point", "vector", "box", F.lit(True).alias("own"))
+    visits = first.mapInPandas(to_boxes(NEAR_BOXES), f"{columns}, box bigint, own boolean").unionByName(beside)
+    second = search(visits)
+    both = nearest(own.unionByName(second))
+    shrunk = with_radius(both).join(first.select("point", "first2"), "point")
+    third = search(shrunk.mapInPandas(to_boxes(None), f"{columns}, box bigint, own boolean"))
+    return nearest(both.unionByName(third))
+
+
+def _fit_trees(points: DataFrame, sizes: DataFrame, n: int) -> dict:
+    """A tree for each class, each fitted in a task on a bounded sample; together they have at most ALL_BOXES boxes."""
+    shrink = max(1.0, n / BOX_POINTS / ALL_BOXES)
+    wanted = F.least(F.lit(MAX_BOXES), (F.col("n") / (BOX_POINTS * shrink)).cast("int"), (F.lit(SAMPLE_VALUES) / (SAMPLE_PER_BOX * F.greatest("d", F.lit(1)))).cast("int"))
+    plan = sizes.select("grp", F.greatest(wanted, F.lit(1)).alias("boxes"), "n")
     # the hash picks the same bounded sample on every retry; it places the boxes and decides no result
-    every = max(1, n // (boxes * SAMPLE_PER_BOX))
-    picked = points.where((F.col("grp") == grp) & (F.pmod(F.xxhash64("point"), F.lit(every)) == 0)).select("vector")
-    return BoxTree.fit(_matrix(picked.toPandas()["vector"]), boxes)
+    every = F.greatest(F.lit(1), F.expr(f"n DIV (boxes * {SAMPLE_PER_BOX})"))
+    picked = points.select("grp", "point", "vector").join(plan, "grp").where(F.pmod(F.xxhash64("point"), every) == 0)
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = BoxTree.fit(_matrix(pdf["vector"]), int(pdf["boxes"].iloc[0]))
+        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]], "dims": [tree.dims.tobytes()], "cuts": [tree.cuts.tobytes()], "depth": [tree.depth]})
+
+    group = points.schema["grp"].dataType.simpleString()
+    fitted = picked.select("grp", "vector", "boxes").groupBy("grp").applyInPandas(fit, f"grp {group}, dims binary, cuts binary, depth int")
+    trees = {r.grp: BoxTree(np.frombuffer(r.dims, np.int64), np.frombuffer(r.cuts), r.depth) for r in fitted.collect()}
+    for r in sizes.select("grp").collect():
+        trees.setdefault(r.grp, BoxTree.fit(np.zeros((0, 1)), 1))
+    return trees

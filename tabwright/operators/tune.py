@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import materialise
-from tabwright.operators.balance import balanced_weights, smote, with_class_weights
+from tabwright.operators.balance import smote, with_class_weights
 from tabwright.operators.evaluate import METRICS, metrics
 from tabwright.operators.models import PARALLEL_FITS, FittedModel, fit_model, spark_params
 from tabwright.operators.split import SEED, assign_folds, class_counts
@@ -74,7 +74,7 @@ class Balance:
         if self.method == "smote":
             return smote(df, features, label, self.key, self.seed), None
         if self.method == "class_weight":
-            return with_class_weights(df, label, balanced_weights(class_counts(df, label)), "__weight"), "__weight"
+            return with_class_weights(df, label, name="__weight"), "__weight"
         return df, None
 
 

@@ -74,10 +74,16 @@ class FittedPreprocessing:
         out = self.scaler.transform(self.capper.transform(df))
         return self.encoder.transform(out) if self.encoder else out
 
+    def tables(self) -> dict[str, DataFrame]:
+        """Code tables of very wide columns."""
+        if isinstance(self.encoder, OneHotEncoder):
+            return self.encoder.wide
+        return self.encoder.large if self.encoder else {}
+
     def to_json(self) -> str:
         """The fitted values as text; code tables of very wide columns are not part of it (see ``write``)."""
-        if isinstance(self.encoder, LabelEncoder) and self.encoder.large:
-            raise ValueError("label codes of very wide columns live in tables, use write() for those")
+        if self.tables():
+            raise ValueError("codes of very wide columns live in tables, use write() for those")
         return self._text()
 
     def _text(self) -> str:
@@ -89,18 +95,17 @@ class FittedPreprocessing:
                 "bounds": self.capper.bounds,
                 "scaler": asdict(self.scaler),
                 "onehot": onehot.levels if onehot else None,
-                "wide": onehot.wide if onehot else None,
+                "sizes": onehot.sizes if onehot else None,
                 "label": self.encoder.small if isinstance(self.encoder, LabelEncoder) else None,
-                "tables": list(self.encoder.large) if isinstance(self.encoder, LabelEncoder) else [],
+                "tables": list(self.tables()),
             },
             ensure_ascii=False,
         )
 
     def write(self, spark: SparkSession, folder: str) -> None:
         """All fitted values and code tables, to be read by ``read`` in another session."""
-        if isinstance(self.encoder, LabelEncoder):
-            for i, table in enumerate(self.encoder.large.values()):
-                table.write.mode("overwrite").parquet(f"{folder}/codes_{i}")
+        for i, table in enumerate(self.tables().values()):
+            table.write.mode("overwrite").parquet(f"{folder}/codes_{i}")
         spark.createDataFrame([(self._text(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/fitted")
 
     @staticmethod
@@ -108,14 +113,18 @@ class FittedPreprocessing:
         text = spark.read.text(f"{folder}/fitted").first().value
         fitted = FittedPreprocessing.from_json(text)
         tables = {c: spark.read.parquet(f"{folder}/codes_{i}") for i, c in enumerate(json.loads(text).get("tables", []))}
-        return replace(fitted, encoder=LabelEncoder(fitted.encoder.small, tables)) if tables else fitted
+        if not tables:
+            return fitted
+        if isinstance(fitted.encoder, OneHotEncoder):
+            return replace(fitted, encoder=replace(fitted.encoder, wide=tables))
+        return replace(fitted, encoder=LabelEncoder(fitted.encoder.small, tables))
 
     @staticmethod
     def from_json(text: str) -> "FittedPreprocessing":
         d = json.loads(text)
         encoder = None
         if d["onehot"] is not None:
-            encoder = OneHotEncoder(d["onehot"], d.get("wide") or {})
+            encoder = OneHotEncoder(d["onehot"], {}, d.get("sizes") or {})
         elif d["label"] is not None:
             encoder = LabelEncoder(d["label"])
         return FittedPreprocessing(

@@ -15,7 +15,7 @@ from tabwright.operators.models import FittedModel
 
 log = logging.getLogger(__name__)
 
-META_SCHEMA = "model_name string, model_type string, features array<string>, classes string, params string, seed int, parts int"
+META_SCHEMA = "model_name string, model_type string, features array<string>, classes string, params string, seed int, parts int, widths array<int>"
 
 
 def save_model(model: FittedModel, spark: SparkSession, path: str, name: str | None = None) -> str:
@@ -32,6 +32,7 @@ def save_model(model: FittedModel, spark: SparkSession, path: str, name: str | N
         json.dumps(model.params),
         model.seed,
         len(model.parts),
+        model.widths,
     )
     spark.createDataFrame([row], META_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/about")
     return path
@@ -52,7 +53,7 @@ def load_model(
         return FittedModel("bare", list(features), classes or list(range(bare.numClasses)), {}, 0, [bare])
     parts = [PipelineModel.load(f"{path}/part_{i}").stages[0] for i in range(about.parts)]
     return FittedModel(
-        about.model_type, list(about.features), json.loads(about.classes), json.loads(about.params), about.seed, parts
+        about.model_type, list(about.features), json.loads(about.classes), json.loads(about.params), about.seed, parts, about.widths
     )
 
 

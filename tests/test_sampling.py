@@ -34,9 +34,10 @@ def test_codes(spark):
     assert [r.code for r in to_severity(numbers, "code").collect()] == [0, 1, 0, 0]
 
 
-@pytest.mark.parametrize("gather,bits", [(2000, 10), (3, 2)])
-def test_split_is_exact_and_stable(spark, monkeypatch, gather, bits):
+@pytest.mark.parametrize("gather,bits,cells", [(2000, 10, 100_000), (3, 2, 100_000), (2000, 10, 0), (3, 2, 0)])
+def test_split_is_exact_and_stable(spark, monkeypatch, gather, bits, cells):
     monkeypatch.setattr(split, "GATHER_ROWS", gather)
+    monkeypatch.setattr(split, "HELD_CELLS", cells)
     monkeypatch.setattr(split, "PREFIX_BITS", bits)
     df = _classes(spark, {0: 61, 1: 28, 2: 11})
     train, test = split_parts(df, "label", ["id"], 0.2)
@@ -67,9 +68,11 @@ def test_quotas_sum_up(spark):
         assert all(abs(quotas[c] - (n - math.ceil(n * 0.2)) * k / n) < 1 for c, k in sizes.items())
 
 
-@pytest.mark.parametrize("broadcast", [100_000, 3])
-def test_many_classes(spark, monkeypatch, broadcast):
+@pytest.mark.parametrize("broadcast,cells", [(100_000, 100_000), (100_000, 50), (3, 50)])
+def test_many_classes(spark, monkeypatch, broadcast, cells):
+    """Ends looked for by the driver, and in tables that are broadcast or not."""
     monkeypatch.setattr(split, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(split, "HELD_CELLS", cells)
     df = spark.range(3000).select("id", (F.col("id") % 600).alias("label"))
     test = Counter(r.label for r in stratified_split(df, "label", ["id"], 0.2).where("is_test").collect())
     assert test == {c: 1 for c in range(600)}
@@ -77,7 +80,23 @@ def test_many_classes(spark, monkeypatch, broadcast):
         stratified_split(df.withColumn("label", F.expr("nullif(label, 5)")), "label", ["id"])
 
 
-def test_a_key_that_repeats_is_an_error(spark, monkeypatch):
+def test_driver_and_tables_split_alike(spark, monkeypatch):
+    df = spark.range(4000).select("id", (F.col("id") % 37 % 11).cast("string").alias("label"))
+    made = []
+    for cells in (100_000, 0):
+        monkeypatch.setattr(split, "HELD_CELLS", cells)
+        made.append((stratified_split(df, "label", ["id"], 0.27).where("is_test").select("id"), assign_folds(df, "label", ["id"], 6)))
+    (one, folds), (two, other) = made
+    assert {r.id for r in one.collect()} == {r.id for r in two.collect()}
+    assert {tuple(r) for r in folds.collect()} == {tuple(r) for r in other.collect()}
+    sizes = {f"{c}": sum(i % 37 % 11 == c for i in range(4000)) for c in range(11)}
+    wanted = {r.c: list(r.wanted) for r in train_quotas(spark.createDataFrame(list(sizes.items()), "c string, n bigint"), 0.27).collect()}
+    assert split.shared_quotas(sizes, 0.27) == wanted
+
+
+@pytest.mark.parametrize("cells", [100_000, 0])
+def test_a_key_that_repeats_is_an_error(spark, monkeypatch, cells):
+    monkeypatch.setattr(split, "HELD_CELLS", cells)
     df = spark.range(5000).select((F.col("id") % 7).alias("id"), F.lit(1).alias("label"))
     with pytest.raises(ValueError, match="does not identify"):
         stratified_split(df, "label", ["id"], 0.2)
@@ -218,6 +237,34 @@ def test_smote_does_not_depend_on_partitions(spark):
     assert one == many
 
 
+def test_smote_of_many_classes(spark, monkeypatch):
+    """Classes as a table: named by text, some large enough for boxes, packed into several tasks."""
+    monkeypatch.setattr(neighbours, "BLOCK_POINTS", 60)
+    monkeypatch.setattr(neighbours, "BOX_POINTS", 20)
+    monkeypatch.setattr(neighbours, "PACKED_POINTS", 500)
+    df = spark.range(6000).select("id", F.when(F.col("id") < 300, F.lit("largest")).when(F.col("id") < 500, F.lit("large")).otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("label"))
+    for i, c in enumerate("ab"):
+        df = df.withColumn(c, (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(100_000)) / 7).cast("double"))
+    made = smote(df, ["a", "b"], "label", ["id"])
+    sizes = {r.label: r["count"] for r in made.groupBy("label").count().collect()}
+    assert len(sizes) == 502 and set(sizes.values()) == {300}
+    assert made.where("not is_synthetic").count() == 6000 and made.select("row_key").distinct().count() == 502 * 300
+    one = made.where("label = 'c77' and is_synthetic").collect()
+    real = np.array([[r.a, r.b] for r in df.where("label = 'c77'").collect()])
+    assert all(_between_two(np.array([r.a, r.b]), real) for r in one)
+
+
+def test_weights_of_many_classes(spark, monkeypatch):
+    df = spark.range(9000).select("id", (F.col("id") % 4000).alias("label"))
+    for rows in (100_000, 10):
+        monkeypatch.setattr(balance, "BROADCAST_ROWS", rows)
+        out = balance.with_class_weights(df, "label")
+        assert out.columns == ["id", "label", "weight"]
+        assert {round(r.weight, 9) for r in out.collect()} == {round(9000 / 4000 / n, 9) for n in (2, 3)}
+    given = balance.with_class_weights(df, "label", {1: 5.0, 2: 0.5})
+    assert {r.label: r.weight for r in given.where("label < 4").collect()} == {0: 1.0, 1: 5.0, 2: 0.5, 3: 1.0}
+
+
 def test_smote_falls_back(spark):
     for df in (_classes(spark, {0: 80, 1: 15, 2: 5}), _classes(spark, {0: 20, 1: 20})):
         assert not smote(df, ["a", "b", "c"], "label", ["id"]).where("is_synthetic").count()
