@@ -1,6 +1,6 @@
 """Phrase collocations: suffix pointers sorted by multikey three-way quicksort, where a partition's size is a count.
 
-1. One pass counts words and, per routing cell, the distinct suffixes of each chunk of text. Words that are too rare for any
+1. One pass counts words and, per routing cell, suffixes. Words that are too rare for any
    phrase end a suffix from here on; a map of bits, by hash, tells them (a rare word that shares a bit stays: no harm).
 2. A second pass cuts every suffix at the greatest depth (three words), adds up equal ones inside a chunk, and sends them by
    their first two words to buckets of bounded size. A cell that holds more than its share (a hot pair of words) is dealt
@@ -30,7 +30,9 @@ from tabwright.llm.blocks import Block, blocks, content_ids, lower_ascii, mix
 #: Words of the longest phrase.
 DEPTH = 3
 #: Bytes of text that are counted at once, and whose suffixes a bucket holds on average.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES, BUCKET_BYTES = 3 << 20, 8 << 20
+#: Rows of counted words that a task adds up before it hands them on.
+HELD_WORDS = 1_000_000
 #: Routing cells for each bucket; a cell with more suffixes than a whole bucket's share is split by the third word.
 CELLS = 16
 #: log2 of the bits of the map of frequent words (2 MB).
@@ -78,6 +80,11 @@ class Chunk:
     def counts(self) -> np.ndarray:
         return np.bincount(self.words, minlength=len(self.forms))
 
+    def cells(self, cells: int) -> np.ndarray:
+        """The routing cell of every suffix of two words or more."""
+        first = np.flatnonzero(self.follows)
+        return _cells(self.marks, np.stack([self.words[first], self.words[np.minimum(first + 1, max(len(self.words) - 1, 0))]], axis=1), cells)
+
     def suffixes(self, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Distinct suffixes of two words or three (rows of three numbers, the third -1 where there is none), and counts.
 
@@ -127,24 +134,31 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Chunk]:
 
 
 def _count(cells: int, size: int):
-    """Counts of words with their hash, and numbers of distinct suffixes per cell (language and word null)."""
+    """Counts of words with their hash, and numbers of suffixes per cell (language and word null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for chunk in _chunks(batches, size):
-            suffixes, _ = chunk.suffixes()
-            held = pa.array(_cells(chunk.marks, suffixes, cells)).dictionary_encode()
-            used, some = len(held.dictionary), len(chunk.forms)
-            n = np.append(chunk.counts(), np.bincount(held.indices.to_numpy(zero_copy_only=False), minlength=used))
-            none = pa.nulls(used, pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([chunk.langs, none]), pa.concat_arrays([chunk.forms, none]),
-                 pa.array(np.append(chunk.marks.view(np.int64), held.dictionary.to_numpy(zero_copy_only=False))), pa.array(n.astype(np.int64))],
-                names=["lang", "word", "mark", "n"],
-            )
+            held.append(pa.table([chunk.langs, chunk.forms, pa.array(chunk.marks.view(np.int64)), pa.array(chunk.counts())], names=["lang", "word", "mark", "n"]))
+            rows += len(chunk.forms)
+            cell = pa.array(chunk.cells(cells)).dictionary_encode()
+            used, n = cell.dictionary, np.bincount(cell.indices.to_numpy(zero_copy_only=False), minlength=len(cell.dictionary))
+            none = pa.nulls(len(used), pa.string())
+            yield pa.RecordBatch.from_arrays([none, none, used, pa.array(n.astype(np.int64))], names=["lang", "word", "mark", "n"])
+            if rows > HELD_WORDS:
+                yield from _added_up(held)
+                held, rows = [], 0
+        if held:
+            yield from _added_up(held)
 
     return run
 
 
+def _added_up(tables: list[pa.Table]) -> list[pa.RecordBatch]:
+    sums = pa.concat_tables(tables).group_by(["lang", "word", "mark"], use_threads=False).aggregate([("n", "sum")])
+    return sums.rename_columns(["lang", "word", "mark", "n"]).to_batches(max_chunksize=100_000)
+
+
 def _route(cells: int, split: np.ndarray, often: np.ndarray, size: int):
     """Suffixes of a chunk packed by bucket and language: the words that they use, and rows of three places among them with a count."""
     buckets = cells // CELLS
@@ -167,10 +181,12 @@ def _route(cells: int, split: np.ndarray, often: np.ndarray, size: int):
             bounds = np.append(first, len(bucket))
             some = len(chunk.forms) + 1
             part = np.repeat(np.arange(len(kinds)), np.diff(bounds))
-            used, place = np.unique((part[:, None] * some + suffixes + 1).ravel(), return_inverse=True)
-            vocabulary = np.searchsorted(used, np.arange(len(kinds) + 1) * some).astype(np.int32)
+            # in order of first use, so the words of each bucket lie together
+            codes = pa.array((part[:, None] * some + suffixes + 1).ravel()).dictionary_encode()
+            used = codes.dictionary.to_numpy(zero_copy_only=False)
+            vocabulary = np.searchsorted(used // some, np.arange(len(kinds) + 1)).astype(np.int32)
             rows = np.empty((len(n), DEPTH + 1), np.int32)
-            rows[:, :DEPTH] = place.reshape(-1, DEPTH) - vocabulary[part][:, None]
+            rows[:, :DEPTH] = codes.indices.to_numpy(zero_copy_only=False).reshape(-1, DEPTH) - vocabulary[part][:, None]
             rows[:, DEPTH] = n
             word = used % some - 1  # -1 stands for no word: a null in the vocabulary
             words = pa.ListArray.from_arrays(pa.array(vocabulary), chunk.forms.take(pa.array(word, mask=word < 0)))
@@ -270,20 +286,16 @@ def _sort(least: int):
 
 def phrase_counts(docs: DataFrame, least: int = 10, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Words (lang, word, n), all of them, and phrases (lang, w1, w2, w3, n) of two or three words with ``least`` or more."""
-    return _phrase_counts(docs, least, lang_col, text_col, CHUNK_BYTES)
-
-
-def _phrase_counts(docs: DataFrame, least: int, lang_col: str, text_col: str, size: int) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(F.coalesce(quoted(lang_col).cast("string"), F.lit("und")).alias("lang"), quoted(text_col).cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cells = CELLS * max(1, -(-total // size))
-    counted = texts.mapInArrow(_count(cells, size), "lang string, word string, mark long, n long")
+    cells = CELLS * max(1, -(-total // BUCKET_BYTES))
+    counted = texts.mapInArrow(_count(cells, CHUNK_BYTES), "lang string, word string, mark long, n long")
     counted = materialise(counted.groupBy("lang", "word", "mark").agg(F.sum("n").alias("n")))
     words = counted.where("word is not null")
     # a cell's share is a sixteenth of a bucket; a bucket's suffixes are fewer than half its bytes
-    crowded = counted.where(F.col("word").isNull() & (F.col("n") > size // 8)).select("mark")
+    crowded = counted.where(F.col("word").isNull() & (F.col("n") > BUCKET_BYTES // 8)).select("mark")
     split = np.array([r.mark for r in crowded.collect()], np.int64)  # at most four for each bucket
-    routed = _route(cells, split, _map_of(words.where(F.col("n") >= least)), size)
+    routed = _route(cells, split, _map_of(words.where(F.col("n") >= least)), CHUNK_BYTES)
     packed = texts.mapInArrow(routed, "bucket long, partial boolean, lang string, words array<string>, rows binary")
     found = packed.groupBy("bucket", "partial").applyInArrow(_sort(least), "lang string, w1 string, w2 string, w3 string, n long")
     found = materialise(found)

@@ -44,6 +44,7 @@ def _found(docs, **settings):
 def test_same_as_counting(spark, edge_docs, monkeypatch, size, least, top):
     """One bucket and many, on small chunks, with hot pairs that are dealt by three words."""
     monkeypatch.setattr(c, "CHUNK_BYTES", size)
+    monkeypatch.setattr(c, "BUCKET_BYTES", size)
     rng = random.Random(8)
     names = [f"w{i}" for i in range(40)]
     more = [(i, " ".join(rng.choices(names, k=50)) + rng.choice([".", "! ", "\n", ""]) + f" Hot  PAIR\tx{i} hot pair y{i % 3}, the; end", rng.choice(["en", "de", None])) for i in range(150)]
