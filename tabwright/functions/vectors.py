@@ -19,10 +19,10 @@ from tabwright.functions.stage import scratch_path
 #: Kind of vector (0: sparse), number of places, and the places that are not zero with their values.
 SPARSE = T.StructType(
     [
-        T.StructField("type", T.ByteType(), False),
+        T.StructField("type", T.ByteType()),
         T.StructField("size", T.IntegerType()),
-        T.StructField("indices", T.ArrayType(T.IntegerType(), False)),
-        T.StructField("values", T.ArrayType(T.DoubleType(), False)),
+        T.StructField("indices", T.ArrayType(T.IntegerType())),
+        T.StructField("values", T.ArrayType(T.DoubleType())),
     ]
 )
 

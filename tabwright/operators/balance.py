@@ -22,6 +22,7 @@ log = logging.getLogger(__name__)
 # Fixed values.
 NEIGHBOURS = 5
 METHODS = ("smote", "class_weight", "none")
+STRATEGIES = ("auto", "minority", "not minority", "not majority", "all")
 COPIES_PER_STEP = 100_000
 
 
@@ -48,8 +49,8 @@ def with_class_weights(df: DataFrame, label: str, weights: dict | None = None, n
     else:
         kind = df.schema[label].dataType.simpleString()
         table, n = df.sparkSession.createDataFrame([(c, float(w)) for c, w in weights.items()], f"label {kind}, weight double"), len(weights)
-    table = table.select(F.col("label").alias("__class"), F.col("weight").alias("__weight_of"))
-    joined = df.join(F.broadcast(table) if n <= BROADCAST_ROWS else table, quoted(label) == F.col("__class"), "left")
+    table = table.select(F.col("label").alias("__of_class"), F.col("weight").alias("__weight_of"))
+    joined = df.join(F.broadcast(table) if n <= BROADCAST_ROWS else table, quoted(label) == F.col("__of_class"), "left")
     return joined.select(*[quoted(c) for c in df.columns if c != name], F.coalesce("__weight_of", F.lit(1.0)).alias(name))
 
 
@@ -62,7 +63,7 @@ def deficits(counts: DataFrame, strategy: str = "auto") -> DataFrame:
         return missing.where(F.col("c") == F.lit(smallest))
     if strategy == "not minority":
         return missing.where(F.col("n") != ends.low)
-    if strategy not in ("auto", "not majority", "all"):
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown sampling strategy {strategy!r}")
     return missing
 
@@ -110,16 +111,16 @@ def smote(
         return original
 
     lacking = F.broadcast(missing) if raised.k <= BROADCAST_ROWS else missing
-    lacking = lacking.select(F.col("c").alias("__class"), F.expr("lack DIV n").alias("__least"))
+    lacking = lacking.select(F.col("c").alias("__of_class"), F.expr("lack DIV n").alias("__least"))
     # a class's first rows in hash order get one copy more
     cuts = fit_cuts(
-        df.join(lacking.select("__class"), quoted(label) == F.col("__class"), "left_semi"), label, key, seed,
+        df.join(lacking.select("__of_class"), quoted(label) == F.col("__of_class"), "left_semi"), label, key, seed,
         Quotas(lambda found: _extra(missing, found), lambda table: missing.select("c", F.array(F.col("lack") % F.col("n")).alias("wanted"))),
     )
     places = [f"x{i}" for i in range(len(features))]
     numbered = cuts.numbered(df, "__slice")
     rows = materialise(
-        numbered.join(lacking, quoted(label) == F.col("__class")).select(
+        numbered.join(lacking, quoted(label) == F.col("__of_class")).select(
             quoted(label).alias("grp"),
             _row_id(df, key, seed).alias("id"),
             (F.col("__least") + (F.col("__slice") == 0).cast("int")).cast("bigint").alias("copies"),

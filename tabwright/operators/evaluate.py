@@ -61,8 +61,10 @@ def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction
     return class_ratios(confusion_counts(df, label, prediction))
 
 
-def class_ratios(cells: DataFrame) -> DataFrame:
+def class_ratios(cells: DataFrame, *groups: str) -> DataFrame:
+    """The same from counts; with ``groups`` for each of the groups that these columns of the counts tell apart."""
     sides = cells.select(
+        *groups,
         F.explode(
             F.array(
                 F.struct(
@@ -79,11 +81,12 @@ def class_ratios(cells: DataFrame) -> DataFrame:
                 ),
             )
         ).alias("s")
-    ).select("s.*")
-    sums = sides.groupBy("label").agg(
+    ).select(*groups, "s.*")
+    sums = sides.groupBy(*groups, "label").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hits").alias("hits")
     )
     return sums.select(
+        *groups,
         "label",
         _ratio(F.col("hits"), F.col("predicted")).alias("precision"),
         _ratio(F.col("hits"), F.col("support")).alias("recall"),
@@ -99,10 +102,10 @@ def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction")
     return summary_metrics(confusion_counts(df, label, prediction))
 
 
-def summary_metrics(cells: DataFrame) -> DataFrame:
-    classes = class_ratios(cells)
+def summary_metrics(cells: DataFrame, *groups: str) -> DataFrame:
+    classes = class_ratios(cells, *groups)
     total = F.sum("support")
-    return classes.agg(
+    return classes.groupBy(*groups).agg(
         _ratio(F.sum("hits"), total).alias("accuracy"),
         F.avg("f1").alias("f1_macro"),
         _ratio(F.sum(F.col("f1") * F.col("support")), total).alias("f1_weighted"),

@@ -13,7 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 from pyspark.storagelevel import StorageLevel
@@ -168,25 +168,39 @@ class FittedModel:
     #: Places of each feature in the vector, where some have more than one.
     widths: list[int] | None = None
 
+    @property
+    def missing(self) -> str:
+        return KINDS[self.model_type].missing if self.model_type in KINDS else "error"
+
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``prediction`` (a class) and ``probability`` (an array in the order of ``classes``)."""
-        missing = KINDS[self.model_type].missing if self.model_type in KINDS else "error"
-        out = assembled(df, self.features, missing)
+        kept = [quoted(c) for c in df.columns if c.lower() not in ("prediction", "probability")]
+        shares, out = self._shares(assembled(df, self.features, self.missing))
+        scored = out.select(*kept, shares.alias("probability"))
+        return scored.withColumn("prediction", self._best("probability"))
+
+    def decided(self, vectors: DataFrame, name: str) -> DataFrame:
+        """Add the predicted class to a table that has the feature vector ``__x``, and nothing else."""
+        shares, out = self._shares(vectors)
+        scored = out.select(*[quoted(c) for c in vectors.columns], shares.alias("__shares"))
+        return scored.select(*[quoted(c) for c in vectors.columns], self._best("__shares").alias(name))
+
+    def _best(self, shares: str) -> Column:
+        best = F.array_position(shares, F.array_max(shares))
+        return F.element_at(F.array(*[F.lit(c) for c in self.classes]), best.cast("int"))
+
+    def _shares(self, out: DataFrame) -> tuple[Column, DataFrame]:
+        """Class probabilities over the columns that the parts add to a table with ``__x``."""
         columns = []
         for i, part in enumerate(self.parts):
             part.setFeaturesCol("__x").setPredictionCol(f"__p{i}").setProbabilityCol(f"__q{i}").setRawPredictionCol(f"__r{i}")
             out = part.transform(out)
             columns.append(vector_to_array(F.col(f"__q{i}")))
         if len(columns) == 1:
-            shares = columns[0]
-        else:
-            yes = [F.element_at(c, 2) for c in columns]
-            total = sum(yes[1:], yes[0])
-            shares = F.array(*[F.when(total > 0, y / total).otherwise(F.lit(1.0 / len(yes))) for y in yes])
-        kept = [quoted(c) for c in df.columns if c.lower() not in ("prediction", "probability")]
-        scored = out.select(*kept, shares.alias("probability"))
-        best = F.array_position("probability", F.array_max("probability"))
-        return scored.withColumn("prediction", F.element_at(F.array(*[F.lit(c) for c in self.classes]), best.cast("int")))
+            return columns[0], out
+        yes = [F.element_at(c, 2) for c in columns]
+        total = sum(yes[1:], yes[0])
+        return F.array(*[F.when(total > 0, y / total).otherwise(F.lit(1.0 / len(yes))) for y in yes]), out
 
     def importances(self) -> dict[str, float]:
         """Tree importances (mean over the parts), or absolute coefficients of the first class; a sparse column's are added up."""

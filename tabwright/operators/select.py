@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import number, numeric_only, quoted
 from tabwright.functions.stage import materialise
+from tabwright.functions.vectors import is_sparse
 from tabwright.operators.quantiles import exact_quantiles
 
 log = logging.getLogger(__name__)
@@ -75,7 +76,7 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
 
 @dataclass(frozen=True)
 class Selection:
-    """Scores of all candidates and the chosen names in table order."""
+    """Scores of all candidates and the chosen names in table order; sparse vectors have no score and stay."""
 
     target: str
     scores: dict[str, float | None]
@@ -87,7 +88,8 @@ class Selection:
             return df
         tail = [self.target] if self.target in df.columns else []
         front = [c for c in keep if c not in self.chosen and c not in tail]
-        return df.select(*[quoted(c) for c in [*front, *self.chosen, *tail]])
+        wide = [c for c in df.columns if is_sparse(df, c) and c not in front]
+        return df.select(*[quoted(c) for c in [*front, *self.chosen, *wide, *tail]])
 
     def score_table(self, df: DataFrame) -> DataFrame:
         """Rows ``feature, score, selected``, best first."""

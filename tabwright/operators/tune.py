@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import materialise
-from tabwright.operators.balance import smote, with_class_weights
-from tabwright.operators.evaluate import METRICS, metrics
-from tabwright.operators.models import PARALLEL_FITS, FittedModel, fit_model, spark_params
+from tabwright.operators.balance import NEIGHBOURS, smote, with_class_weights
+from tabwright.operators.evaluate import METRICS, summary_metrics
+from tabwright.operators.models import PARALLEL_FITS, FittedModel, assembled, fit_model, model_kind, spark_params
 from tabwright.operators.split import SEED, assign_folds, class_counts
 
 log = logging.getLogger(__name__)
@@ -29,6 +29,8 @@ SEARCH_FOLDS = 3
 SEARCH_METHODS = ("grid", "random")
 SEARCH_ITERATIONS = 50
 SCORING = "f1_macro"
+#: Models that one scan of the folds scores.
+SCORED_AT_ONCE = 12
 # The candidate values of each parameter.
 SEARCH_SPACES: dict[str, dict[str, list]] = {
     "lr": {
@@ -64,6 +66,8 @@ class Balance:
     method: str = "none"
     key: tuple[str, ...] = ()
     seed: int = SEED
+    strategy: str = "auto"
+    neighbours: int = NEIGHBOURS
 
     def __post_init__(self):
         if self.method not in ("smote", "class_weight", "none"):
@@ -72,7 +76,7 @@ class Balance:
     def apply(self, df: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, str | None]:
         """The balanced table and the name of its weight column, if any."""
         if self.method == "smote":
-            return smote(df, features, label, self.key, self.seed), None
+            return smote(df, features, label, self.key, self.seed, self.strategy, self.neighbours), None
         if self.method == "class_weight":
             return with_class_weights(df, label, name="__weight"), "__weight"
         return df, None
@@ -105,19 +109,11 @@ class Scores:
 SCORE_SCHEMA = "params string, mean_test double, std_test double, mean_train double, std_train double"
 
 
-def score_model(model: FittedModel, df: DataFrame, label: str, scoring: str = SCORING) -> float:
-    if scoring not in METRICS:
-        raise ValueError(f"unknown scoring {scoring!r}, available: {METRICS}")
-    return metrics(model.predict(df), label).select(scoring).first()[0]
-
-
 @dataclass
 class _Fold:
-    train: DataFrame
     fitted_on: DataFrame
     weight: str | None
     counts: dict
-    test: DataFrame
 
 
 class Folds:
@@ -135,17 +131,43 @@ class Folds:
             ready, weight = balance.apply(train, features, label)
             if balance.method == "smote":
                 ready = materialise(ready)
-            test = self.marked.where(F.col("__fold") == i).drop("__fold")
-            self.folds.append(_Fold(train, ready, weight, class_counts(ready, label), test))
-
-    def score(self, model_type: str, params: dict | None, seed: int, scoring: str, with_train: bool) -> Scores:
-        test, train = [], []
-        for f in self.folds:
-            model = fit_model(f.fitted_on, self.features, self.label, model_type, params, seed, f.weight, f.counts)
-            test.append(score_model(model, f.test, self.label, scoring))
-            if with_train:
-                train.append(score_model(model, f.train, self.label, scoring))
-        return Scores(dict(params or {}), test, train)
+            self.folds.append(_Fold(ready, weight, class_counts(ready, label)))
+
+    def score_all(self, model_type: str, candidates: Sequence[dict | None], seed: int, scoring: str, with_train: bool) -> list[Scores]:
+        """Scores of every candidate; models are fitted side by side and scored together, SCORED_AT_ONCE per scan."""
+        if scoring not in METRICS:
+            raise ValueError(f"unknown scoring {scoring!r}, available: {METRICS}")
+
+        def fit(job: tuple[int, int]) -> FittedModel:
+            f = self.folds[job[1]]
+            return fit_model(f.fitted_on, self.features, self.label, model_type, candidates[job[0]], seed, f.weight, f.counts)
+
+        jobs = [(c, i) for c in range(len(candidates)) for i in range(len(self.folds))]
+        run = inheritable_thread_target(self.marked.sparkSession)(fit)
+        found: dict[tuple, float] = {}
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            for at in range(0, len(jobs), SCORED_AT_ONCE):
+                some = jobs[at : at + SCORED_AT_ONCE]
+                found |= self._scored(model_type, dict(zip(some, pool.map(run, some))), scoring, with_train)
+        out = []
+        for c, params in enumerate(candidates):
+            test = [found[c, i, True] for i in range(len(self.folds))]
+            out.append(Scores(dict(params or {}), test, [found[c, i, False] for i in range(len(self.folds))] if with_train else []))
+        return out
+
+    def _scored(self, model_type: str, models: dict[tuple[int, int], FittedModel], scoring: str, with_train: bool) -> dict[tuple, float]:
+        """The score of each model on its test part (and on its training part), from one scan and one count."""
+        vectors = assembled(self.marked, self.features, model_kind(model_type).missing, ["__fold", self.label])
+        votes = []
+        for n, ((c, i), model) in enumerate(models.items()):
+            vectors = model.decided(vectors, f"__m{n}")
+            mine = F.col("__fold") == i
+            vote = F.struct(F.lit(c).alias("candidate"), F.lit(i).alias("fold"), mine.alias("test"), F.col(f"__m{n}").alias("prediction"))
+            votes.append(vote if with_train else F.when(mine, vote))
+        rows = vectors.select(F.col(f"`{self.label}`").alias("label"), F.explode(F.array_compact(F.array(*votes))).alias("v"))
+        cells = rows.groupBy("v.candidate", "v.fold", "v.test", "label", "v.prediction").agg(F.count(F.lit(1)).alias("n"))
+        scores = summary_metrics(cells, "candidate", "fold", "test").select("candidate", "fold", "test", scoring)
+        return {(r.candidate, r.fold, r.test): r[scoring] for r in scores.collect()}
 
 
 def cross_validate(
@@ -159,9 +181,11 @@ def cross_validate(
     scoring: str = SCORING,
     seed: int = SEED,
     balance: Balance = Balance(),
+    folds: Folds | None = None,
 ) -> Scores:
-    """One score per fold of a stratified, seeded k-fold split."""
-    return Folds(df, features, label, key, k, seed, balance).score(model_type, params, seed, scoring, with_train=False)
+    """One score per fold of a stratified, seeded k-fold split, or of folds that have been made already."""
+    folds = folds or Folds(df, features, label, key, k, seed, balance)
+    return folds.score_all(model_type, [params], seed, scoring, with_train=False)[0]
 
 
 def grid_size(space: dict[str, list]) -> int:
@@ -218,6 +242,7 @@ def search(
     seed: int = SEED,
     balance: Balance = Balance(),
     refit: bool = True,
+    folds: Folds | None = None,
 ) -> SearchResult:
     """Score every candidate over the same folds and refit the best on the whole balanced table.
 
@@ -234,12 +259,8 @@ def search(
         raise ValueError(f"search method {method!r} is unsupported, there are {SEARCH_METHODS}")
     kinds = {json.dumps(spark_params(model_type, c, 1), sort_keys=True): c for c in reversed(candidates)}
     log.info("%d candidates, %d different ones, %d folds", len(candidates), len(kinds), k)
-    folds = Folds(df, features, label, key, k, seed, balance)
-    run = inheritable_thread_target(df.sparkSession)(
-        lambda c: folds.score(model_type, c, seed, scoring, with_train=True)
-    )
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        known = dict(zip(kinds, pool.map(run, kinds.values())))
+    folds = folds or Folds(df, features, label, key, k, seed, balance)
+    known = dict(zip(kinds, folds.score_all(model_type, list(kinds.values()), seed, scoring, with_train=True)))
     scores = []
     for c in candidates:
         same = known[json.dumps(spark_params(model_type, c, 1), sort_keys=True)]

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwright.functions.columns import existing
+from tabwright.functions.vectors import is_sparse
 from tabwright.operators.features import Interactions, add_polynomials, date_parts, fit_interactions
 from tabwright.operators.reduce import Components, fit_components
 from tabwright.operators.select import Selection, fit_selection
 from tabwright.plans.preprocess import IS_TEST, ROW_ID, fit_rows
 from tabwright.spec import PipelineSpec
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class FittedFeatures:
@@ -72,6 +76,10 @@ def fit_features(df: DataFrame, spec: PipelineSpec, categorical: Sequence[str] =
             stems = tuple(f"{c}_" for c in spec.role(spec.categorical_columns))
             categorical = [c for c in df.columns if stems and c.startswith(stems)]
         inputs = [c for c in [*spec.role(spec.numeric_columns), *categorical] if c in built.columns and c != spec.target]
+        wide = [c for c in inputs if is_sparse(built, c)]
+        if wide:
+            log.warning("%s are sparse vectors and stay out of the components", wide)
+        inputs = [c for c in inputs if c not in wide]
         components = fit_components(built, inputs, spec.pca_components)
     selection = None
     if spec.n_select_features and spec.target in built.columns:

@@ -38,7 +38,7 @@ def run(spark: SparkSession, spec: PipelineSpec, table: str | DataFrame, output:
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, available: {MODES}")
     result = RunResult()
-    current = read_table(spark, table) if isinstance(table, str) else table
+    current = read_table(spark, table, **spec.csv) if isinstance(table, str) else table
     encoded: list[str] = []
     validate_table(current, "input table")
     if mode in ("preprocess", "full"):
@@ -80,9 +80,9 @@ def run(spark: SparkSession, spec: PipelineSpec, table: str | DataFrame, output:
     return result
 
 
-def score(spark: SparkSession, table: str | DataFrame, output: str) -> DataFrame:
+def score(spark: SparkSession, table: str | DataFrame, output: str, **csv) -> DataFrame:
     """Predictions for a new raw table by what a full run has written: its preprocessing, its features, its best model."""
-    raw = read_table(spark, table) if isinstance(table, str) else table
+    raw = read_table(spark, table, **csv) if isinstance(table, str) else table
     prepared = FittedPreprocessing.read(spark, f"{output}/fitted/preprocessing").transform(raw)
     featured = FittedFeatures.read(spark, f"{output}/fitted/features").transform(prepared)
     return load_model(spark, f"{output}/models/best_model").predict(featured)

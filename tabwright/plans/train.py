@@ -15,7 +15,7 @@ from tabwright.operators.models import FittedModel, fit_model
 from tabwright.operators.profile import check_features
 from tabwright.operators.split import class_counts, split_parts
 from tabwright.operators.target import to_severity
-from tabwright.operators.tune import Balance, Scores, SearchResult, cross_validate, search
+from tabwright.operators.tune import Balance, Folds, Scores, SearchResult, cross_validate, search
 from tabwright.plans.evaluate import Evaluation, evaluate_model
 from tabwright.plans.preprocess import IS_TEST, fit_rows
 from tabwright.sources.models import save_model
@@ -39,6 +39,14 @@ class Prepared:
     features: list[str]
     key: list[str]
     balance: Balance
+    made: dict[tuple, Folds] = field(default_factory=dict)
+
+    def folds(self, k: int, seed: int, balanced: bool = False) -> Folds:
+        """Folds of the training rows (``balanced``: of the balanced ones), made once for all model types."""
+        if (k, seed, balanced) not in self.made:
+            table, key, balance = (self.ready, ["row_key"], Balance()) if balanced else (self.train, self.key, self.balance)
+            self.made[k, seed, balanced] = Folds(table, self.features, LABEL, key, k, seed, balance)
+        return self.made[k, seed, balanced]
 
 
 @dataclass
@@ -68,7 +76,7 @@ def prepare(df: DataFrame, spec: PipelineSpec, features: Sequence[str], key: Seq
     else:
         train, test = split_parts(labelled, LABEL, key, spec.test_size, spec.random_state)
     train, test = materialise(train), materialise(test)
-    balance = Balance(spec.handle_imbalance, tuple(key), spec.random_state)
+    balance = Balance(spec.handle_imbalance, tuple(key), spec.random_state, spec.smote_strategy, spec.smote_neighbours)
     ready, weight = balance.apply(train, features, LABEL)
     if spec.handle_imbalance == "smote":
         ready = materialise(ready)
@@ -105,6 +113,8 @@ def train_models(
             if output:
                 save_model(result.models[kind], spark, f"{output}/{kind}", kind)
                 result.evaluations[kind].write(f"{output}/{kind}_evaluation")
+                if kind in result.searches:
+                    write_csv(result.searches[kind].table(df).coalesce(1), f"{output}/{kind}_search.csv", validate=False)
         except Exception as e:
             log.error("model %s failed: %s", kind, e)
             result.errors[kind] = str(e)
@@ -137,17 +147,17 @@ def _train_one(kind: str, data: Prepared, spec: PipelineSpec, result: TrainingRe
             seed=seed,
             balance=data.balance,
             refit=False,
+            folds=data.folds(spec.search_cv, seed),
         )
         result.searches[kind] = found
         params = found.best_params
     model = fit_model(data.ready, data.features, LABEL, kind, params, seed, data.weight, data.counts)
     if spec.n_splits >= 2:
-        table, folds_key, balance = data.train, data.key, data.balance
-        if spec.balance_before_cv and spec.handle_imbalance == "smote":
-            table, folds_key, balance = data.ready, ["row_key"], Balance()
+        balanced = spec.balance_before_cv and spec.handle_imbalance == "smote"
         result.cross_validation[kind] = cross_validate(
-            table, data.features, LABEL, folds_key, kind, params, spec.n_splits, seed=seed, balance=balance
-        )
+            data.train, data.features, LABEL, data.key, kind, params, spec.n_splits, seed=seed,
+            folds=data.folds(spec.n_splits, seed, balanced),
+        )
     identifiers = [c for c in spec.untouched if c in data.test.columns]
     result.models[kind] = model
     result.evaluations[kind] = evaluate_model(model, data.test, LABEL, data.key, kind, identifiers)

@@ -86,10 +86,10 @@ def write_csv(df: DataFrame, path: str, description: str = "processed data", val
     writer.csv(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """CSV by suffix, else Parquet; NaN becomes NULL."""
+def read_table(spark: SparkSession, path: str, **csv) -> DataFrame:
+    """CSV by suffix (``csv``: options of ``read_csv``), else Parquet; NaN becomes NULL."""
     if path.rstrip("/").lower().endswith(".csv"):
-        return read_csv(spark, path, validate=False)
+        return read_csv(spark, path, validate=False, **csv)
     return nan_to_null(spark.read.parquet(path))
 
 

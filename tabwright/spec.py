@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import SparkSession
 
 from tabwright.functions.names import clean_list, clean_name
-from tabwright.operators.balance import METHODS
+from tabwright.operators.balance import METHODS, NEIGHBOURS, STRATEGIES
 from tabwright.operators.features import DEGREE, as_pairs
 from tabwright.operators.models import KINDS, MODEL_TYPES
 from tabwright.operators.outliers import THRESHOLD
@@ -22,10 +22,11 @@ from tabwright.operators.tune import CV_FOLDS, SEARCH_FOLDS, SEARCH_ITERATIONS,
 log = logging.getLogger(__name__)
 
 # Settings with a list of values, and settings with a smallest value and when that counts.
-CHOICES = {"fit_on": ("all", "train"), "handle_imbalance": METHODS, "search_method": SEARCH_METHODS, "encoding_method": ("onehot", "label", "none")}
+CHOICES = {"fit_on": ("all", "train"), "handle_imbalance": METHODS, "search_method": SEARCH_METHODS, "encoding_method": ("onehot", "label", "none"), "smote_strategy": STRATEGIES}
 LEAST = {
     "n_splits": (0, lambda s: True),
     "polynomial_degree": (1, lambda s: True),
+    "smote_neighbours": (1, lambda s: True),
     "search_cv": (2, lambda s: s.optimize_hyperparameters),
     "search_n_iter": (1, lambda s: s.optimize_hyperparameters and s.search_method == "random"),
 }
@@ -43,6 +44,9 @@ class PipelineSpec:
 
     target_column: str = TARGET
     key_columns: Sequence[str] = ()
+    csv_separator: str = ","
+    csv_encoding: str = "utf-8"
+    csv_multiline: bool = True
     numeric_columns: Sequence[str] = ()
     categorical_columns: Sequence[str] = ()
     date_columns: Sequence[str] = ()
@@ -66,6 +70,8 @@ class PipelineSpec:
     model_type: str | Sequence[str] = "all"
     model_params: dict[str, dict[str, Any]] = field(default_factory=dict)
     handle_imbalance: str = "smote"
+    smote_strategy: str = "auto"
+    smote_neighbours: int = NEIGHBOURS
     balance_before_cv: bool = False
     test_size: float = TEST_SIZE
     random_state: int = SEED
@@ -131,6 +137,11 @@ class PipelineSpec:
     def role(self, names: Sequence[str]) -> list[str]:
         return [n for n in clean_list(names) if n not in self.untouched]
 
+    @property
+    def csv(self) -> dict[str, Any]:
+        """How CSV files are read."""
+        return {"sep": self.csv_separator, "encoding": self.csv_encoding, "multiline": self.csv_multiline}
+
     @property
     def pairs(self) -> list[tuple[str, str]]:
         out = set(self.untouched)

@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -7,6 +8,8 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from tabwright.operators import tune
+from tabwright.functions.vectors import as_vectors, gathered
+from tabwright.operators.encode import fit_onehot
 from tabwright.operators.evaluate import metrics
 from tabwright.operators.features import add_polynomials, as_pairs, fit_interactions, polynomial_terms
 from tabwright.operators.models import KINDS, ModelKind, fit_model, full_params, register_model, spark_params
@@ -15,7 +18,7 @@ from tabwright.operators.select import anova_scores, fit_selection
 from tabwright.operators.split import assign_folds
 from tabwright.operators.tune import Balance, cross_validate, grid_size, random_choices, search
 from tabwright.plans.evaluate import evaluate_folder, evaluate_saved
-from tabwright.plans.run import run
+from tabwright.plans.run import run, score
 from tabwright.sources.models import load_model, save_model
 from tabwright.spec import PipelineSpec
 
@@ -52,6 +55,56 @@ def test_fit_predict_save_load(spark, cases, tmp_path, kind):
     assert [r.prediction for r in back.predict(cases).orderBy("id").collect()] == [r.prediction for r in out.orderBy("id").collect()]
 
 
+@pytest.fixture(scope="module")
+def wide(spark):
+    """Rows whose class follows a text column of 1300 values."""
+    rows = [(i, f"note {i % 1300}", float(i % 7), str([210, 701, 705][i % 1300 % 3]), i % 1300 % 3) for i in range(5200)]
+    return spark.createDataFrame(rows, f"id bigint, note string, amount double, `{TARGET}` string, label int").coalesce(2).persist()
+
+
+@pytest.mark.parametrize("kind", ["lr", "rf", "xgboost"])
+def test_a_column_of_many_values_reaches_a_model(spark, wide, tmp_path, kind):
+    encoder = fit_onehot(wide, ["note"])
+    assert encoder.levels == {} and encoder.sizes == {"note": 1300}
+    coded = encoder.transform(wide)
+    assert coded.columns == ["id", "amount", TARGET, "label", "note_onehot"]
+    assert coded.select(F.sum(F.size("note_onehot.indices"))).first()[0] == 5200
+    model = fit_model(coded, ["note_onehot", "amount"], "label", kind, {**SMALL[kind], "max_iter": 60, "C": 1e4} if kind == "lr" else SMALL[kind])
+    found = model.predict(coded)
+    assert found.count() == 5200 and list(model.importances()) == ["note_onehot", "amount"]
+    if kind == "lr":
+        assert found.where("prediction = label").count() == 5200
+        assert model.importances()["note_onehot"] > model.importances()["amount"]
+    back = load_model(spark, save_model(model, spark, str(tmp_path / kind)))
+    assert back.widths == [1300, 1]
+    new = spark.createDataFrame([(1, "unseen", 1.0, "210", 0), (2, None, 1.0, "210", 0)], wide.schema)
+    assert [len(r.probability) for r in back.predict(encoder.transform(new)).collect()] == [3, 3]
+
+
+def test_sparse_vectors_hold_what_the_columns_hold(spark):
+    df = spark.createDataFrame([("a", 1.5, True), ("b", None, False), (None, -2.0, None)], "s string, x double, y boolean")
+    coded = fit_onehot(df, ["s"], dense_levels=1).transform(df)
+    full = as_vectors(coded.select(gathered(coded, ["x", "s_onehot", "y"], "-9D").alias("v")), ["v"])
+    rows = sorted(r.v.toArray().tolist() for r in full.collect())
+    assert rows == [[-9.0, 0.0, 1.0, 0.0], [-2.0, 0.0, 0.0, -9.0], [1.5, 1.0, 0.0, 1.0]]
+    with pytest.raises(Exception, match="missing"):
+        fit_model(coded.withColumn("c", F.col("x").isNull().cast("int")), ["x", "s_onehot"], "c", "lr", SMALL["lr"])
+
+
+def test_whole_run_with_a_column_of_many_values(spark, wide, tmp_path):
+    spec = PipelineSpec(
+        key_columns=["id"], numeric_columns=["amount"], categorical_columns=["note"], n_select_features=1, model_type=["lr", "rf"],
+        model_params={"lr": {"max_iter": 60, "C": 1e4}, "rf": SMALL["rf"]}, n_splits=2, handle_imbalance="class_weight", pca_components=1,
+    )
+    table = wide.drop("label")
+    done = run(spark, spec, table, str(tmp_path / "out"))
+    assert not done.training.errors and len(done.training.cross_validation["lr"].test) == 2
+    assert done.evaluation.metrics.first().accuracy > 0.95
+    assert score(spark, table, str(tmp_path / "out")).where("prediction is not null").count() == 5200
+    with pytest.raises(ValueError, match="note_onehot.*sparse"):
+        run(spark, replace(spec, handle_imbalance="smote"), table.where("id % 3 > 0 or id > 2000"), str(tmp_path / "smote"))
+
+
 def test_two_classes_and_odd_class_names(spark, cases):
     named = cases.withColumn("answer", F.when(F.col("label") == 0, -1).otherwise(7))
     for kind in ("lr", "xgboost"):
