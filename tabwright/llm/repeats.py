@@ -31,6 +31,8 @@ from tabwright.llm.blocks import BYTE_BASE, WORD_BASE, Block, Rolling, blocks, l
 
 #: Bytes of distinct spans that go into one suffix array.
 SHARD_BYTES = 1 << 20
+#: So many ids that repeat may be broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -66,13 +68,20 @@ MARK = "struct<a: bigint, b: int, n: int>"
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, ``u`` (two hashes of the text and its length), which tells rows of one id apart, and the text (null: empty).
+    """doc_id, ``u``, which tells rows of one id apart (null where an id has one row), and the text (null: empty).
 
-    Rows that repeat id and text share their marks, which are the same for both.
+    ``u`` holds two hashes of the text and its length. Rows that repeat id and text share their marks, which are the same
+    for both.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    u = F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"), F.octet_length(text).alias("n"))
-    return docs.select(F.col(id_col).alias("doc_id"), u.alias("u"), text.alias("text"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    again = materialise(texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again"), F.lit(True).alias("is")))
+    n = again.count()
+    if not n:
+        return texts.select("doc_id", F.lit(None).cast(MARK).alias("u"), "text")
+    mark = F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b"), F.octet_length("text").alias("n"))
+    joined = texts.join(F.broadcast(again) if n <= BROADCAST_IDS else again, F.col("doc_id").eqNullSafe(F.col("again")), "left")
+    return joined.select("doc_id", F.when(F.col("is"), mark).alias("u"), "text")
 
 
 def _runs(unit: Unit, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -163,7 +172,7 @@ def contents(kinds: DataFrame, texts: DataFrame, unit: Unit, windows: bool) -> D
     wanted = kinds.groupBy(F.col("one.doc_id").alias("w_id"), F.col("one.u").alias("w_u")).agg(
         F.collect_list(F.struct("gram", "span", "copies", F.col("one.start"), F.col("one.n"))).alias("wanted")
     )
-    joined = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("u") == F.col("w_u"))).select("text", "wanted")
+    joined = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & F.col("u").eqNullSafe(F.col("w_u"))).select("text", "wanted")
     tail = "shift int, window long" if windows else "data binary"
     return joined.mapInArrow(_contents(unit, windows), f"gram long, span long, copies long, {tail}")
 
@@ -207,7 +216,7 @@ def covered(size: int, marks, length: int) -> np.ndarray:
 def with_marks(texts: DataFrame, marks: DataFrame) -> DataFrame:
     """All texts with their marks (null: none)."""
     marks = marks.withColumnsRenamed({"doc_id": "m_id", "u": "m_u"})
-    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("u") == F.col("m_u"))
+    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("u").eqNullSafe(F.col("m_u"))
     return texts.join(marks, same, "left").select("doc_id", "text", "marks")
 
 

@@ -88,7 +88,7 @@ def test_rows_of_one_id_whose_hashes_collide(spark, monkeypatch, same):
 
     def colliding(docs, id_col, text_col):
         fixed = F.lit(7).cast("long" if same == "a" else "int")
-        return real(docs, id_col, text_col).withColumn("u", F.col("u").withField(same, fixed))
+        return real(docs, id_col, text_col).withColumn("u", F.when(F.col("u").isNotNull(), F.col("u").withField(same, fixed)))
 
     for module in (substring_dedup, suffix_dedup):
         monkeypatch.setattr(module, "keyed", colliding)
