@@ -1,13 +1,14 @@
 """Quality rules whose limits come from the data: quantile sketches per language and source, joined back as fences.
 
-Only DataFrame functions: arrays of words inside each row give the measures, KLL sketches the quantiles.
+A sketch counts values in bins that grow by a hundredth; sketches of groups are merged by adding their counts, and every run
+gives the same ones. Only DataFrame functions: arrays of words inside each row give the measures.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import materialise
@@ -19,23 +20,29 @@ WINDOW, LEAST_WORDS, MOST_REPEATED = 8, 20, 30
 
 @dataclass(frozen=True)
 class Fence:
-    """A measure in thousandths is out of bounds above q75 + ``reach`` * max(q75 - q25, ``step``), or as far below q25.
+    """A measure in thousandths is out of bounds above its group's HIGH quantile + ``reach`` * (HIGH - median) + ``slack``.
 
-    ``step`` keeps a group in which most documents have the same value (say, no symbols at all) from failing the rest.
+    ``below``: also as far below the LOW quantile. ``slack`` is what a document may have where nearly all others have
+    nothing; ``most`` keeps the limit of a share below the whole.
     """
 
     name: str
     reach: float
-    step: int
+    slack: int
     below: bool = False
+    most: int | None = None
 
 
+#: Quantiles of a group's own sketch; up to a twelfth of a source may be junk without moving its limits.
+LOW, MIDDLE, HIGH = 0.08, 0.5, 0.92
 FENCES = (
-    Fence("symbols_per_word", 4.0, 50),
-    Fence("shouts_per_word", 4.0, 50),
-    Fence("dup_line_share", 4.0, 150),
-    Fence("chars_per_word", 6.0, 500, below=True),
+    Fence("symbols_per_word", 2.0, 20),
+    Fence("shouts_per_word", 2.0, 20),
+    Fence("dup_line_share", 2.0, 300, most=950),
+    Fence("chars_per_word", 2.0, 100, below=True),
 )
+#: Growth of the bins of a sketch.
+GROWTH = 1.01
 #: Groups with fewer documents use the merged sketch of their language, and if that has fewer too, the one of all.
 LEAST_GROUP = 200
 
@@ -81,9 +88,13 @@ def _covered(windows: Column) -> Column:
 
 
 def _windows(hashes: Column) -> Column:
-    """Hash of each run of eight words."""
-    places = F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1))
-    return let(hashes, lambda h: F.transform(places, lambda i: F.xxhash64(F.slice(h, i, WINDOW))))
+    """Hash of each run of eight words: of two runs of four, each of two pairs."""
+
+    def doubled(h: Column, step: int) -> Column:
+        n = F.size(h) - step
+        return F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(step + 1), n), lambda a, b: F.xxhash64(a, b))
+
+    return let(let(let(hashes, lambda h: doubled(h, 1)), lambda h: doubled(h, 2)), lambda h: doubled(h, 4))
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,41 +139,57 @@ def _with_ratios(counts: DataFrame) -> DataFrame:
     )
 
 
+def _bin(value: Column) -> Column:
+    return F.when(value <= 0, F.lit(0)).otherwise(F.ceil(F.log(value) / F.log(F.lit(GROWTH))) + 1).cast("int")
+
+
+def _top(bin_: Column) -> Column:
+    """The largest whole number of a bin."""
+    return F.when(bin_ <= 0, F.lit(0.0)).otherwise(F.floor(F.pow(F.lit(GROWTH), bin_ - 1) + 1e-9).cast("double"))
+
+
 def sketches(measured: DataFrame) -> DataFrame:
-    """One mergeable KLL sketch of each measure per language and source."""
-    return measured.groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *(F.kll_sketch_agg_bigint(f.name).alias(f.name) for f in FENCES)
-    )
+    """One mergeable sketch of each measure per language and source: rows (lang, source, measure, bin, n)."""
+    values = F.explode(F.array(*[F.struct(F.lit(f.name).alias("measure"), _bin(F.col(f.name)).alias("bin")) for f in FENCES]))
+    return measured.select("lang", "source", values.alias("v")).groupBy("lang", "source", "v.measure", "v.bin").agg(F.count("*").alias("n"))
 
 
-def fences(by_group: DataFrame) -> DataFrame:
-    """Limits per language and source: small groups take the merged sketch of their language or of all."""
+def _quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
+    """Rows (keys, measure, n, low, middle, high) of the sketches merged by the keys."""
+    merged = sketch.groupBy(*keys, "measure", "bin").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy(*keys, "measure")  # about a thousand bins
+    upto, total = F.sum("n").over(own.orderBy("bin")), F.sum("n").over(own)
+    ranked = merged.select(*keys, "measure", "bin", upto.alias("upto"), total.alias("total"))
+    at = [F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("bin"))) for q in (LOW, MIDDLE, HIGH)]
+    return ranked.groupBy(*keys, "measure").agg(F.max("total").alias("n"), *[_top(b).alias(c) for b, c in zip(at, ("low", "middle", "high"), strict=True)])
 
-    def merged(*keys: str) -> DataFrame:
-        return by_group.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_bigint(f.name).alias(f.name) for f in FENCES))
 
-    whole = merged().first()  # one row of some kilobytes
-    wide = by_group.alias("g").join(merged("lang").alias("l"), F.col("g.lang").eqNullSafe(F.col("l.lang")))
-    out = [F.col("g.lang").alias("lang"), F.col("g.source").alias("source")]
+def fences(sketch: DataFrame) -> DataFrame:
+    """Limits per language and source: small groups take the merged sketch of their language or of all."""
+    group, lang, every = (_quantiles(sketch, *keys).alias(a) for a, keys in (("g", ("lang", "source")), ("l", ("lang",)), ("e", ())))
+    same = (F.col("g.measure") == F.col("l.measure")) & F.col("g.lang").eqNullSafe(F.col("l.lang"))
+    wide = group.join(lang, same).join(F.broadcast(every), F.col("g.measure") == F.col("e.measure"))  # one row per measure
+    large = [F.col(f"{a}.n") >= LEAST_GROUP for a in "gl"]
+    of = lambda c: F.when(large[0], F.col(f"g.{c}")).when(large[1], F.col(f"l.{c}")).otherwise(F.col(f"e.{c}")).alias(c)
+    chosen = wide.select(F.col("g.lang").alias("lang"), F.col("g.source").alias("source"), F.col("g.measure").alias("measure"), *map(of, ("low", "middle", "high")))
+    out = []
     for f in FENCES:
-        sketch = (
-            F.when(F.col("g.n") >= LEAST_GROUP, F.col(f"g.{f.name}"))
-            .when(F.col("l.n") >= LEAST_GROUP, F.col(f"l.{f.name}"))
-            .otherwise(F.lit(bytes(whole[f.name] or b"")))
-        )
-        low, high = (F.kll_sketch_get_quantile_bigint(sketch, F.lit(q)) for q in (0.25, 0.75))
-        spread = F.greatest(high - low, F.lit(f.step)) * f.reach
-        out.append((high + spread).alias(f"{f.name}_most"))
+        mine = F.col("measure") == f.name
+        most = F.col("high") + f.reach * (F.col("high") - F.col("middle")) + f.slack
+        if f.most is not None:
+            most = F.least(most, F.lit(float(f.most)))
+        out.append(F.max(F.when(mine, most)).alias(f"{f.name}_most"))
         if f.below:
-            out.append((low - spread).alias(f"{f.name}_least"))
-    return wide.select(*out)
+            out.append(F.max(F.when(mine, F.col("low") - f.reach * (F.col("middle") - F.col("low")) - f.slack)).alias(f"{f.name}_least"))
+    return chosen.groupBy("lang", "source").agg(*out)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: counts, ``base_failed``, and ``kept``: base passed and every measure within its fence.
 
     A null or empty text has counts 0 and fails the base rule. A null language or source is a group of its own; repeated
-    rows are judged each; other columns are not read. Counts are written once, so texts are read once.
+    rows are judged each; other columns are not read. Counts are written once, so texts are read once. Every run and every
+    partitioning gives the same rows.
     """
     measured = materialise(_with_ratios(measures(docs, id_col, text_col)))
     limits = fences(materialise(sketches(measured))).withColumnsRenamed({"lang": "g_lang", "source": "g_source"})

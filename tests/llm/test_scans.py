@@ -127,6 +127,57 @@ def test_unknown_and_ordinary(model, prose):
     assert [(x[1], x[2], x[3]) for x in _notices(model, text)] == [(8, 8 + len(licenses.TEMPLATES["MIT"][0]), "MIT")]
 
 
+WRAPPED = {
+    "MIT": "MIT License\n\nCopyright (c) 2020 Foo Bar\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+}
+
+
+@pytest.mark.parametrize("family", WRAPPED)
+def test_notices_broken_into_lines(model, prose, family):
+    """A paragraph is known as a whole, alone, indented, among others, and after a line of another text."""
+    text = WRAPPED[family]
+    for around in ("{}", "{}\n\nmore text follows here\n", "ba ce di fo\n\n{}", " * {}", "é ba ce di\n{}\nfo gu ha"):
+        assert [x[3] for x in _notices(model, around.format(text))] == [family]
+
+
+def test_a_notice_inside_a_long_line(model, prose):
+    rest = " ".join(t.replace("\n", " ") for t in prose[:20] if t)[:6000]
+    for family, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            text = f"é {rest} {notice} {rest}"
+            found = _notices(model, text)
+            assert [x[3] for x in found] == [family], notice
+            at = text.index(notice)
+            # four fifths of a template confirm it, so a window may end that early
+            assert at - 12 <= found[0][1] and found[0][2] <= at + len(notice) + 12 and found[0][2] - found[0][1] >= 0.75 * len(notice)
+
+
+def test_a_text_of_several_segments(model, monkeypatch, prose):
+    rest = " ".join(t.replace("\n", " ") for t in prose[:30] if t)
+    text = f"{rest} {licenses.TEMPLATES['MIT'][0]} {rest}\n\n{licenses.TEMPLATES['CC-BY-4.0'][1]}\n{rest}"
+    whole = _notices(model, text)
+    monkeypatch.setattr(licenses, "SEGMENT", 500)
+    assert [x[:4] for x in _notices(model, text)] == [x[:4] for x in whole] and [x[3] for x in whole] == ["MIT", "CC-BY-4.0"]
+
+
+def test_units_cover_whole_texts(prose):
+    import numpy as np
+    import pyarrow as pa
+
+    from tabwright.llm.blocks import blocks, lower_ascii, words_of
+
+    for block in blocks(pa.array([*prose, "a b\n \nc d\ne", "w " * 1000], pa.string())):
+        words = words_of(block, lower_ascii(block.data), plain=True)
+        ranges = licenses.units(words, block)
+        seen = np.zeros(len(words.starts), bool)
+        for a, b in ranges.tolist():
+            seen[a:b] = True
+            assert a < b and np.searchsorted(block.bounds, words.starts[a], side="right") == np.searchsorted(block.bounds, words.starts[b - 1], side="right")
+        assert seen.all()
+
+
 def test_license_scan_of_edge_rows(edge_docs, no_docs):
     found = licenses.license_notices(edge_docs)
     assert found.count() == edge_docs.count() and found.where("size(notices) > 0").count() == 0
