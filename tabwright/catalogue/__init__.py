@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.catalogue import building, cleaning, evaluation, modelling, sampling
+from tabwright.catalogue import building, cleaning, evaluation, jobs, modelling, sampling
 
-PARTS = (cleaning, building, sampling, evaluation, modelling)
+PARTS = (cleaning, building, sampling, evaluation, modelling, jobs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

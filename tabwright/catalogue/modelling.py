@@ -105,7 +105,15 @@ def lr_levels(spark: SparkSession, folder: str) -> DataFrame:
 def gbt_levels(spark: SparkSession, folder: str) -> DataFrame:
     """One round of boosting over one column of levels: 1 / (1 + exp(-2 m)) with m the mean of the label as -1 or 1."""
     data = _levels(spark, folder)
-    return _shares(fit_model(data, ["segment"], "urgent", "xgboost", ONE_ROUND), data, 9)
+    return _shares(fit_model(data, ["segment"], "urgent", "gbt", ONE_ROUND), data, 9)
+
+
+def boost_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """One round of second-order boosting for three classes: the softmax of -T(G) / (H + lambda) of each level."""
+    noisy = F.when(F.col("o_orderkey") % 5 == 0, F.col("label")).otherwise(F.col("segment") % 3).cast("int")
+    data = _levels(spark, folder).withColumn("label", noisy)
+    settings = {**ONE_ROUND, "learning_rate": 0.3, "reg_lambda": 1.0, "reg_alpha": 0.5}
+    return _shares(fit_model(data, ["segment"], "label", "xgboost", settings), data, 6)
 
 
 def importance_levels(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,12 +145,12 @@ SCORE_SPEC = PipelineSpec(
 
 
 def score_new_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Preprocessing fitted on even keys, written, read again and applied to the rows with odd keys."""
+    """Preprocessing fitted on all orders, written, read again and applied to them."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
     path = scratch_path(spark)
-    fitted, _ = fit_preprocessing(orders.where("o_orderkey % 2 = 0"), SCORE_SPEC)
+    fitted, _ = fit_preprocessing(orders, SCORE_SPEC)
     fitted.write(spark, path)
-    done = FittedPreprocessing.read(spark, path).transform(orders.where("o_orderkey % 2 = 1"))
+    done = FittedPreprocessing.read(spark, path).transform(orders)
     return rounded(done.withColumnsRenamed({c: c.lower() for c in done.columns}), "o_totalprice", places=9)
 
 
@@ -264,6 +272,7 @@ QUERIES = {
     "rf_levels": rf_levels,
     "lr_levels": lr_levels,
     "gbt_levels": gbt_levels,
+    "boost_levels": boost_levels,
     "importance_levels": importance_levels,
     "models_in_folder": models_in_folder,
     "score_new_rows": score_new_rows,
@@ -304,6 +313,16 @@ ORACLES: dict[str, str] = {
 WITH t AS ({_LEVELS}), s AS (SELECT c_mktsegment AS v, 1 / (1 + exp(-2 * (2 * avg((label > 0)::INT) - 1))) AS y FROM t GROUP BY 1)
 SELECT o_orderkey, (y > 0.5)::INTEGER AS prediction, round(1 - y, 9) + 0.0 AS p0, round(y, 9) + 0.0 AS p1
 FROM t JOIN s ON c_mktsegment = v""",
+    "boost_levels": f"""
+WITH t AS (SELECT o_orderkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'FURNITURE' THEN 3
+    WHEN 'HOUSEHOLD' THEN 4 ELSE 0 END AS v, label FROM ({_LEVELS})),
+n AS (SELECT o_orderkey, v, CASE WHEN o_orderkey % 5 = 0 THEN label ELSE v % 3 END AS y FROM t),
+g AS (SELECT v, c, count(*) / 3.0::DOUBLE - sum((y = c)::INT) AS g, count(*) * 2 / 9.0::DOUBLE AS h FROM n, (VALUES (0), (1), (2)) AS k(c) GROUP BY 1, 2),
+m AS (SELECT v, c, -sign(g) * greatest(abs(g) - 0.5, 0) / (h + 1) * 0.3 AS m FROM g),
+s AS (SELECT v, max(exp(m)) FILTER (WHERE c = 0) AS e0, max(exp(m)) FILTER (WHERE c = 1) AS e1, max(exp(m)) FILTER (WHERE c = 2) AS e2 FROM m GROUP BY v)
+SELECT o_orderkey, CASE WHEN e0 >= e1 AND e0 >= e2 THEN 0 WHEN e1 >= e2 THEN 1 ELSE 2 END::INTEGER AS prediction,
+  round(e0 / (e0 + e1 + e2), 6) + 0.0 AS p0, round(e1 / (e0 + e1 + e2), 6) + 0.0 AS p1, round(e2 / (e0 + e1 + e2), 6) + 0.0 AS p2
+FROM n JOIN s USING (v)""",
     "importance_levels": """
 SELECT * FROM (VALUES (1, 'c_nationkey', 1.0::DOUBLE), (2, 'same', 0.0::DOUBLE)) AS x(rank, feature, importance)""",
     "models_in_folder": f"""
@@ -311,9 +330,9 @@ WITH t AS ({_LEVELS}), c AS (SELECT c_nationkey, label, count(*) AS n FROM t GRO
 b AS (SELECT sum(m)::BIGINT AS correct FROM (SELECT max(n) AS m FROM c GROUP BY c_nationkey))
 SELECT name, b.correct AS correct FROM b, (VALUES ('first'), ('deep/second')) AS x(name)""",
     "score_new_rows": """
-WITH e AS (SELECT min(o_totalprice) AS a, max(o_totalprice) AS b FROM orders WHERE o_orderkey % 2 = 0)
+WITH e AS (SELECT min(o_totalprice) AS a, max(o_totalprice) AS b FROM orders)
 SELECT o_orderkey, round((o_totalprice - a) / (b - a), 9) + 0.0 AS o_totalprice, o_orderpriority,
   (o_orderstatus = 'F')::INTEGER AS o_orderstatus_f, (o_orderstatus = 'O')::INTEGER AS o_orderstatus_o,
-  (o_orderstatus = 'P')::INTEGER AS o_orderstatus_p FROM orders, e WHERE o_orderkey % 2 = 1""",
+  (o_orderstatus = 'P')::INTEGER AS o_orderstatus_p FROM orders, e""",
     "model_roundtrip": f"SELECT true AS same, count(*) AS n FROM ({CASES})",
 }

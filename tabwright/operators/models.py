@@ -1,4 +1,4 @@
-"""Classifiers on MLlib: multinomial logistic regression, random forest and boosted trees."""
+"""Classifiers: multinomial logistic regression and random forest on MLlib, boosted trees grown here."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import itertools
 import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -21,6 +21,7 @@ from pyspark.storagelevel import StorageLevel
 from tabwright.functions.columns import number_sql, quoted
 from tabwright.functions.stage import ensure_checkpoints
 from tabwright.functions.vectors import as_vectors, gathered, is_sparse, widths
+from tabwright.operators.boost import BoostedTrees, fit_boosted
 from tabwright.operators.split import SEED, class_counts
 
 log = logging.getLogger(__name__)
@@ -44,8 +45,12 @@ DEFAULTS: dict[str, dict[str, Any]] = {
         "subsample": 0.8,
         "colsample_bytree": 0.8,
         "min_child_weight": 1,
+        "reg_alpha": 0.0,
+        "reg_lambda": 1.0,
     },
 }
+# MLlib's boosting on first-order residuals, for two classes, one model per class beyond.
+DEFAULTS["gbt"] = {k: v for k, v in DEFAULTS["xgboost"].items() if not k.startswith("reg_")}
 # MLlib grows a forest level by level, one pass per level, and refuses more levels than this.
 DEEPEST = 30
 PARALLEL_FITS = 3
@@ -82,15 +87,23 @@ def _gbt_params(p: dict, n: int) -> dict:
     }
 
 
+def _boost_params(p: dict, n: int) -> dict:
+    return {k: float(p[k]) for k in DEFAULTS["xgboost"]}
+
+
 @dataclass(frozen=True)
 class ModelKind:
-    """How a model type is built: parameter translation, estimator, and whether it knows two classes only."""
+    """How a model type is built: parameter translation, estimator, and whether it knows two classes only.
+
+    ``stand_in`` names the kind that takes over where a feature is a sparse vector; a kind without an estimator is grown here.
+    """
 
     translate: Callable[[dict, int], dict]
-    estimator: Callable[..., Any]
+    estimator: Callable[..., Any] | None
     defaults: dict[str, Any]
     binary: bool = False
     missing: str = "error"
+    stand_in: str | None = None
 
 
 def _lr(classes: int, seed: int, **params) -> LogisticRegression:
@@ -109,7 +122,8 @@ def _gbt(classes: int, seed: int, **params) -> GBTClassifier:
 KINDS: dict[str, ModelKind] = {
     "lr": ModelKind(_lr_params, _lr, DEFAULTS["lr"]),
     "rf": ModelKind(_rf_params, _rf, DEFAULTS["rf"]),
-    "xgboost": ModelKind(_gbt_params, _gbt, DEFAULTS["xgboost"], binary=True, missing="lowest"),
+    "xgboost": ModelKind(_boost_params, None, DEFAULTS["xgboost"], missing="lowest", stand_in="gbt"),
+    "gbt": ModelKind(_gbt_params, _gbt, DEFAULTS["gbt"], binary=True, missing="lowest"),
 }
 
 
@@ -191,6 +205,8 @@ class FittedModel:
 
     def _shares(self, out: DataFrame) -> tuple[Column, DataFrame]:
         """Class probabilities over the columns that the parts add to a table with ``__x``."""
+        if isinstance(self.parts[0], BoostedTrees):
+            return self.parts[0].shares(F.col("__x")), out
         columns = []
         for i, part in enumerate(self.parts):
             part.setFeaturesCol("__x").setPredictionCol(f"__p{i}").setProbabilityCol(f"__q{i}").setRawPredictionCol(f"__r{i}")
@@ -205,7 +221,9 @@ class FittedModel:
     def importances(self) -> dict[str, float]:
         """Tree importances (mean over the parts), or absolute coefficients of the first class; a sparse column's are added up."""
         first = self.parts[0]
-        if hasattr(first, "coefficientMatrix"):
+        if isinstance(first, BoostedTrees):
+            values = first.importances()
+        elif hasattr(first, "coefficientMatrix"):
             values = [abs(float(x)) for x in first.coefficientMatrix.toArray()[0]]
         elif hasattr(first, "featureImportances"):
             rows = [p.featureImportances.toArray() for p in self.parts]
@@ -230,6 +248,12 @@ def fit_model(
 ) -> FittedModel:
     """Fit one classifier; ``weight`` names a column of row weights, ``counts`` the known class sizes."""
     kind = model_kind(model_type)
+    wide = any(is_sparse(df, c) for c in features)
+    if kind.stand_in and wide:
+        log.warning("%s does not grow on sparse vectors, %s does", model_type, kind.stand_in)
+        known = model_kind(kind.stand_in).defaults
+        fitted = fit_model(df, features, label, kind.stand_in, {k: v for k, v in (params or {}).items() if k in known}, seed, weight, counts)
+        return replace(fitted, model_type=model_type, params=full_params(model_type, params))
     counts = counts or class_counts(df, label)
     classes = list(counts)
     if len(classes) < 2:
@@ -242,7 +266,9 @@ def fit_model(
     ensure_checkpoints(df.sparkSession)
     data = assembled(labelled, features, kind.missing, keep).withColumn("__y", index)
     wanted = {"featuresCol": "__x", "labelCol": "__y", **({"weightCol": weight} if weight else {})}
-    if not kind.binary or len(classes) == 2:
+    if kind.estimator is None:
+        parts = [fit_boosted(data, len(classes), settings, seed, weight)]
+    elif not kind.binary or len(classes) == 2:
         parts = [kind.estimator(len(classes), seed, **wanted, **settings).fit(data)]
     else:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)

@@ -11,18 +11,23 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.operators.boost import BoostedTrees
 from tabwright.operators.models import FittedModel
 
 log = logging.getLogger(__name__)
 
-META_SCHEMA = "model_name string, model_type string, features array<string>, classes string, params string, seed int, parts int, widths array<int>"
+META_SCHEMA = "model_name string, model_type string, features array<string>, classes string, params string, seed int, parts int, widths array<int>, grown boolean"
 
 
 def save_model(model: FittedModel, spark: SparkSession, path: str, name: str | None = None) -> str:
     """Write the MLlib models and one JSON row that describes them."""
     if not model.parts:
         raise ValueError("cannot save a model that is not fitted")
+    grown = isinstance(model.parts[0], BoostedTrees)
     for i, part in enumerate(model.parts):
+        if grown:
+            spark.createDataFrame([(part.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/part_{i}")
+            continue
         PipelineModel([part]).write().overwrite().save(f"{path}/part_{i}")
     row = (
         name or model.model_type,
@@ -33,6 +38,7 @@ def save_model(model: FittedModel, spark: SparkSession, path: str, name: str | N
         model.seed,
         len(model.parts),
         model.widths,
+        grown,
     )
     spark.createDataFrame([row], META_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/about")
     return path
@@ -51,7 +57,10 @@ def load_model(
             raise FileNotFoundError(f"no model description under {path}; give the feature names of a bare model")
         bare = PipelineModel.load(path).stages[-1]
         return FittedModel("bare", list(features), classes or list(range(bare.numClasses)), {}, 0, [bare])
-    parts = [PipelineModel.load(f"{path}/part_{i}").stages[0] for i in range(about.parts)]
+    if about.grown:
+        parts = [BoostedTrees.from_json(spark.read.text(f"{path}/part_{i}").first().value) for i in range(about.parts)]
+    else:
+        parts = [PipelineModel.load(f"{path}/part_{i}").stages[0] for i in range(about.parts)]
     return FittedModel(
         about.model_type, list(about.features), json.loads(about.classes), json.loads(about.params), about.seed, parts, about.widths
     )

@@ -7,7 +7,8 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
-from tabwright.operators import tune
+from tabwright.operators import boost, tune
+from tabwright.operators.boost import shares_of
 from tabwright.functions.vectors import as_vectors, gathered
 from tabwright.operators.encode import fit_onehot
 from tabwright.operators.evaluate import metrics
@@ -105,6 +106,71 @@ def test_whole_run_with_a_column_of_many_values(spark, wide, tmp_path):
         run(spark, replace(spec, handle_imbalance="smote"), table.where("id % 3 > 0 or id > 2000"), str(tmp_path / "smote"))
 
 
+def _plain_boosting(x, y, k, rounds, depth, rate, l1, l2, least):
+    """The same trees by plain loops over all thresholds."""
+    margins = np.zeros((len(x), 1 if k == 2 else k))
+    worth = lambda g, h: max(abs(g) - l1, 0) ** 2 / (h + l2)
+
+    def grow(rows, g, h, level, out):
+        total = g[rows].sum(), h[rows].sum()
+        out[rows] = -np.sign(total[0]) * max(abs(total[0]) - l1, 0) / (total[1] + l2) * rate
+        if level == depth:
+            return
+        best = (1e-9, None, None)
+        for j in range(x.shape[1]):
+            for v in np.unique(x[rows, j])[:-1]:
+                left = x[rows, j] <= v
+                a, b = (g[rows][left].sum(), h[rows][left].sum()), (g[rows][~left].sum(), h[rows][~left].sum())
+                gain = worth(*a) + worth(*b) - worth(*total)
+                if min(a[1], b[1]) >= least and gain > best[0] + 1e-9:
+                    best = (gain, j, v)
+        if best[1] is not None:
+            left = x[rows, best[1]] <= best[2]
+            grow(rows[left], g, h, level + 1, out)
+            grow(rows[~left], g, h, level + 1, out)
+
+    for _ in range(rounds):
+        p = shares_of(margins)
+        step = np.zeros_like(margins)
+        for m in range(margins.shape[1]):
+            q, goal = (p[:, 1], y == 1) if k == 2 else (p[:, m], y == m)
+            grow(np.arange(len(x)), q - goal, q * (1 - q), 0, step[:, m])
+        margins += step
+    return shares_of(margins)
+
+
+@pytest.mark.parametrize("k,l1,l2,least", [(3, 0.0, 1.0, 1.0), (3, 0.7, 0.0, 0.0), (2, 0.2, 3.0, 2.0)])
+def test_boosting_equals_plain_loops(spark, monkeypatch, k, l1, l2, least):
+    monkeypatch.setattr(boost, "KEPT_ROUNDS", 2)
+    rng = np.random.default_rng(k)
+    x = rng.integers(0, 9, size=(240, 3)).astype(float)
+    y = ((x[:, 0] + 2 * x[:, 1] + rng.integers(0, 5, 240)) // 9).astype(int) % k
+    df = spark.createDataFrame([(*map(float, r), int(c)) for r, c in zip(x, y)], "a double, b double, c double, label int").repartition(3)
+    params = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.4, "subsample": 1.0, "colsample_bytree": 1.0, "min_child_weight": least, "reg_alpha": l1, "reg_lambda": l2}
+    found = fit_model(df, ["a", "b", "c"], "label", "xgboost", params).predict(df).collect()
+    rows = np.array([[r.a, r.b, r.c] for r in found])
+    want = _plain_boosting(rows, np.array([r.label for r in found]), k, 5, 3, 0.4, l1, l2, least)
+    assert np.allclose(np.array([r.probability for r in found]), want, atol=1e-6)
+
+
+def test_boosting_draws_rows_and_columns(spark, cases):
+    params = {**SMALL["xgboost"], "subsample": 0.6, "colsample_bytree": 0.4}
+    one, two = (fit_model(cases, FEATURES, "label", "xgboost", params).parts[0] for _ in range(2))
+    assert one.to_json() == two.to_json()
+    other = fit_model(cases, FEATURES, "label", "xgboost", params, seed=5).parts[0]
+    assert other.to_json() != one.to_json()
+    models = [fit_model(cases, FEATURES, "label", "xgboost", {**SMALL["xgboost"], "reg_alpha": a, "reg_lambda": b}).parts[0].to_json() for a in (0, 0.5) for b in (0, 1.0)]
+    assert len(set(models)) == 4
+
+
+def test_boosting_sends_missing_values_where_they_gain(spark):
+    rows = [(float(i % 10) if i % 4 else None, int(i % 4 == 0 or i % 10 > 6)) for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, label int")
+    for kind in ({"max_depth": 2}, {"max_depth": 3}):
+        model = fit_model(df, ["x"], "label", "xgboost", {**SMALL["xgboost"], **kind, "n_estimators": 8, "learning_rate": 1.0})
+        assert model.predict(df).where("prediction = label").count() == 400
+
+
 def test_two_classes_and_odd_class_names(spark, cases):
     named = cases.withColumn("answer", F.when(F.col("label") == 0, -1).otherwise(7))
     for kind in ("lr", "xgboost"):
@@ -143,9 +209,10 @@ def test_parameter_translation():
         spark_params("rf", {"max_depth": 50}, 1)
     rf = spark_params("rf", {"max_depth": None, "max_features": None}, 1)
     assert rf["maxDepth"] == 30 and rf["featureSubsetStrategy"] == "all"
-    gbt = spark_params("xgboost", {"colsample_bytree": 1.0, "min_child_weight": 0}, 1)
+    gbt = spark_params("gbt", {"colsample_bytree": 1.0, "min_child_weight": 0}, 1)
     assert gbt["featureSubsetStrategy"] == "all" and gbt["minInstancesPerNode"] == 1
     assert full_params("rf", {"n_estimators": 7})["n_estimators"] == 7
+    assert spark_params("xgboost", {"reg_alpha": 0.5}, 1) != spark_params("xgboost", {"reg_alpha": 1.0}, 1)
 
 
 def test_search_spaces():
