@@ -7,11 +7,13 @@ prefix sums (Rabin and Karp); words are told apart by their bytes. What leaves a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import SparkSession
 
 #: Bytes of text that are worked on at once (one longer document is a block of its own).
 BLOCK_BYTES = 1 << 20
@@ -166,6 +168,18 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
         first = last
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that are run inside hand so many rows at once to Python; texts are long, and so are thousands of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     out = data.copy()
     out[(out >= 65) & (out <= 90)] += 32

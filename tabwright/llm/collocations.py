@@ -25,12 +25,14 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import quoted
 from tabwright.functions.stage import materialise
-from tabwright.llm.blocks import Block, blocks, content_ids, lower_ascii, mix
+from tabwright.llm.blocks import Block, batches_of, blocks, content_ids, lower_ascii, mix
 
 #: Words of the longest phrase.
 DEPTH = 3
 #: Bytes of text that are counted at once, and whose suffixes a bucket holds on average.
-CHUNK_BYTES, BUCKET_BYTES = 3 << 20, 8 << 20
+CHUNK_BYTES, BUCKET_BYTES = 3 << 20, 6 << 20
+#: Rows of texts that Spark hands over at once.
+BATCH_ROWS = 1000
 #: Rows of counted words that a task adds up before it hands them on.
 HELD_WORDS = 1_000_000
 #: Routing cells for each bucket; a cell with more suffixes than a whole bucket's share is split by the third word.
@@ -185,12 +187,10 @@ def _route(cells: int, split: np.ndarray, often: np.ndarray, size: int):
             codes = pa.array((part[:, None] * some + suffixes + 1).ravel()).dictionary_encode()
             used = codes.dictionary.to_numpy(zero_copy_only=False)
             vocabulary = np.searchsorted(used // some, np.arange(len(kinds) + 1)).astype(np.int32)
-            rows = np.empty((len(n), DEPTH + 1), np.int32)
-            rows[:, :DEPTH] = codes.indices.to_numpy(zero_copy_only=False).reshape(-1, DEPTH) - vocabulary[part][:, None]
-            rows[:, DEPTH] = n
+            rows = codes.indices.to_numpy(zero_copy_only=False).reshape(-1, DEPTH) - vocabulary[part][:, None]
             word = used % some - 1  # -1 stands for no word: a null in the vocabulary
             words = pa.ListArray.from_arrays(pa.array(vocabulary), chunk.forms.take(pa.array(word, mask=word < 0)))
-            packed = [rows[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            packed = [_packed(rows[a:b], n[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             target = kinds // names
             yield pa.RecordBatch.from_arrays(
                 [pa.array(target // 2), pa.array((target % 2).astype(bool)), lang.dictionary.take(pa.array(kinds % names)), words, pa.array(packed, pa.binary())],
@@ -200,6 +200,19 @@ def _route(cells: int, split: np.ndarray, often: np.ndarray, size: int):
     return run
 
 
+def _packed(places: np.ndarray, n: np.ndarray) -> bytes:
+    """Places column by column, then counts, each in as few bytes as the largest needs; their widths come first."""
+    kinds = [np.min_scalar_type(int(x.max())) for x in (places, n)]
+    return bytes(k.itemsize for k in kinds) + places.T.astype(kinds[0]).tobytes() + n.astype(kinds[1]).tobytes()
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    wide, narrow = raw[0], raw[1]
+    size = (len(raw) - 2) // (DEPTH * wide + narrow)
+    places = np.frombuffer(raw, f"<u{wide}", DEPTH * size, 2).reshape(DEPTH, size).T
+    return places.astype(np.int64), np.frombuffer(raw, f"<u{narrow}", size, 2 + DEPTH * wide * size).astype(np.int64)
+
+
 def frequent(symbols: np.ndarray, weight: np.ndarray, least: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Multikey quicksort of all suffixes at once: for each length from two words, a suffix of each kept phrase and its count.
 
@@ -268,9 +281,10 @@ def _sort(least: int):
         both = pa.array(of_word * size + np.asarray(word.indices.fill_null(0)), mask=none).dictionary_encode()
         number = np.asarray(both.indices.fill_null(-1)).astype(np.int64)
         keys = both.dictionary.to_numpy(zero_copy_only=False)
-        rows = [np.frombuffer(r.as_buffer(), np.int32).reshape(-1, DEPTH + 1) for r in table.column("rows").combine_chunks()]
-        symbols = np.concatenate([number[r[:, :DEPTH] + s] for r, s in zip(rows, starts.tolist(), strict=True)])
-        weight = np.concatenate([r[:, DEPTH] for r in rows])
+        rows = [_unpacked(r.as_py()) for r in table.column("rows")]
+        symbols = np.concatenate([number[r + s] for (r, _), s in zip(rows, starts.tolist(), strict=True)])
+        weight = np.concatenate([n for _, n in rows])
+        del rows
         floors = (1, 1, least) if partial else (least,) * DEPTH
         columns: list[list] = [[] for _ in range(DEPTH + 2)]
         for length, (one, n) in enumerate(frequent(symbols, weight, floors), start=2):
@@ -290,7 +304,8 @@ def phrase_counts(docs: DataFrame, least: int = 10, lang_col: str = "lang", text
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = CELLS * max(1, -(-total // BUCKET_BYTES))
     counted = texts.mapInArrow(_count(cells, CHUNK_BYTES), "lang string, word string, mark long, n long")
-    counted = materialise(counted.groupBy("lang", "word", "mark").agg(F.sum("n").alias("n")))
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        counted = materialise(counted.groupBy("lang", "word", "mark").agg(F.sum("n").alias("n")))
     words = counted.where("word is not null")
     # a cell's share is a sixteenth of a bucket; a bucket's suffixes are fewer than half its bytes
     crowded = counted.where(F.col("word").isNull() & (F.col("n") > BUCKET_BYTES // 8)).select("mark")
@@ -298,7 +313,8 @@ def phrase_counts(docs: DataFrame, least: int = 10, lang_col: str = "lang", text
     routed = _route(cells, split, _map_of(words.where(F.col("n") >= least)), CHUNK_BYTES)
     packed = texts.mapInArrow(routed, "bucket long, partial boolean, lang string, words array<string>, rows binary")
     found = packed.groupBy("bucket", "partial").applyInArrow(_sort(least), "lang string, w1 string, w2 string, w3 string, n long")
-    found = materialise(found)
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        found = materialise(found)
     pairs = found.where("w3 is null").groupBy("lang", "w1", "w2").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     triples = found.where("w3 is not null")
     phrases = pairs.select("lang", "w1", "w2", F.lit(None).cast("string").alias("w3"), "n").unionByName(triples)
