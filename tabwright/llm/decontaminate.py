@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions.stage import materialise
 from tabwright.llm.blocks import WORD_BASE, Block, Rolling, blocks, lower_ascii, words_of
 
 K1, B = 1.2, 0.75
@@ -26,6 +27,8 @@ THRESHOLD, OVERLAP, GRAM = 0.5, 0.8, 5
 ITEM_BLOCK = 16
 #: Bytes of items in one index, which is sent to every executor; more items are searched in several passes.
 INDEX_BYTES = 32 << 20
+#: Cells of the largest matrix of passages by blocks of items.
+MATRIX_CELLS = 4_000_000
 
 
 def parts(text: str) -> tuple[str, str]:
@@ -92,15 +95,35 @@ def _index(items: list, words: list[np.ndarray], known: np.ndarray, idf: np.ndar
     )
 
 
-def build_index(rows: list[tuple[object, str]]) -> Index | None:
-    """The index of (item_id, text) rows; items without a word are left out. None if there is no item."""
+@dataclass(frozen=True)
+class Statistics:
+    """Of a whole benchmark: items with a word, their mean and greatest number of words, and items by term."""
+
+    items: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
+def statistics_of(words: list[np.ndarray]) -> Statistics:
+    terms, df = np.unique(np.concatenate([np.unique(ids) for ids in words]), return_counts=True)
+    sizes = [len(ids) for ids in words]
+    return Statistics(len(words), float(np.mean(sizes)), max(sizes), terms, df)
+
+
+def build_index(rows: list[tuple[object, str]], whole: Statistics | None = None) -> Index | None:
+    """The index of (item_id, text) rows; items without a word are left out. None if there is no item.
+
+    ``whole`` describes the benchmark that the rows are a part of, and knows all their terms; by default they are all of it.
+    """
     rows = [(i, t, ids) for i, t, ids in ((i, t or "", _plain(t or "")) for i, t in rows) if len(ids)]
     if not rows:
         return None
     words = [ids for _, _, ids in rows]
-    known, df = np.unique(np.concatenate([np.unique(ids) for ids in words]), return_counts=True)
-    idf = np.log1p((len(rows) - df + 0.5) / (df + 0.5))
-    mean, longest = float(np.mean([len(ids) for ids in words])), max(len(ids) for ids in words)
+    whole = whole or statistics_of(words)
+    known, mean, longest = whole.terms, whole.mean, whole.longest
+    idf = np.log1p((whole.items - whole.df + 0.5) / (whole.df + 0.5))
     halves = [tuple(_plain(h) for h in parts(t)) for _, t, _ in rows]
     grams = [(_grams(q), _grams(a), min(GRAM, len(ids))) for (q, a), ids in zip(halves, words, strict=True)]
     index = _index([i for i, _, _ in rows], words, known, idf, mean, grams, longest)
@@ -147,8 +170,20 @@ def search(index: Index, ids: np.ndarray, bounds: np.ndarray, threshold: float =
         return []
     names, row = np.unique(row, return_inverse=True)  # passages that are left
     n_blocks = len(index.items) // ITEM_BLOCK + 1
+    found = []
+    at_once = max(1, MATRIX_CELLS // n_blocks)
+    for first in range(0, len(names), at_once):
+        lo, hi = np.searchsorted(row, (first, first + at_once))
+        for passage, item, score in _best_items(index, row[lo:hi] - first, term[lo:hi], min(at_once, len(names) - first), n_blocks, slack):
+            at = names[first + passage]
+            found.append((int(doc[at]), int(begin[at]), int(end[at]), item, score))
+    return found
+
+
+def _best_items(index: Index, row: np.ndarray, term: np.ndarray, rows: int, n_blocks: int, slack: float) -> Iterator[tuple[int, int, float]]:
+    """(passage, item, score) at or above the threshold; only blocks of items whose bound reaches it are scored."""
     at, of = _expand(index.block_bounds, term)
-    bound = np.bincount(row[of] * n_blocks + index.block_id[at], index.block_share[at], minlength=len(names) * n_blocks)
+    bound = np.bincount(row[of] * n_blocks + index.block_id[at], index.block_share[at], minlength=rows * n_blocks)
     opened = bound >= slack
     some = opened.reshape(-1, n_blocks).any(axis=1)[row]
     row, term = row[some], term[some]
@@ -158,9 +193,7 @@ def search(index: Index, ids: np.ndarray, bounds: np.ndarray, threshold: float =
     key, where = np.unique(row[of][inside] * len(index.items) + item[inside], return_inverse=True)
     score = np.bincount(where, index.posting_share[at][inside], minlength=len(key))
     best = np.flatnonzero(score >= slack)
-    passage = names[key[best] // len(index.items)]
-    found = zip(doc[passage], begin[passage], end[passage], key[best] % len(index.items), score[best], strict=True)
-    return [(int(d), int(a), int(b), int(i), float(s)) for d, a, b, i, s in found]
+    yield from zip((key[best] // len(index.items)).tolist(), (key[best] % len(index.items)).tolist(), score[best].tolist(), strict=True)
 
 
 def _overlap(part: np.ndarray, there: np.ndarray) -> float:
@@ -194,19 +227,42 @@ def leaks(index: Index, block: Block) -> list[tuple[int, int, float, float, floa
     return [(d, i, *found) for (d, i), found in sorted(best.items())]
 
 
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each item with a word, its number of words and its distinct terms."""
+    for batch in batches:
+        ids = [_plain(t or "") for t in batch.column(0).to_pylist()]
+        ids = [x for x in ids if len(x)]
+        terms = pa.array([np.unique(x).view(np.int64) for x in ids], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array([len(x) for x in ids], pa.int64()), terms], names=["n", "terms"])
+
+
 def indexes(benchmark: DataFrame, limit: int = INDEX_BYTES) -> Iterator[Index]:
     """Indexes of at most about ``limit`` bytes of items each; items are dealt by a hash of their id and text.
 
-    Items with a null id or text are passed over.
+    Weights follow from the whole benchmark, so the number of indexes changes no score. Items with a null id or text are
+    passed over.
     """
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-size // limit))
-    for g in range(groups):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g)
-        index = build_index([tuple(r) for r in mine.distinct().orderBy("item_id", "text").collect()])  # bounded by ``limit``
+    if groups == 1:
+        index = build_index([tuple(r) for r in items.orderBy("item_id", "text").collect()])  # bounded by ``limit``
         if index is not None:
             yield index
+        return
+    described = materialise(items.select("text").mapInArrow(_described, "n bigint, terms array<bigint>"))
+    whole = described.agg(F.count("*").alias("items"), F.avg("n").alias("mean"), F.max("n").alias("longest")).first()
+    terms = materialise(described.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")))
+    for g in range(groups):
+        mine = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).orderBy("item_id", "text").collect()]
+        used = [ids for ids in (_plain(t) for _, t in mine) if len(ids)]
+        if not used:
+            continue
+        here = items.sparkSession.createDataFrame([(int(x),) for x in np.unique(np.concatenate(used)).view(np.int64)], "term bigint")
+        known = terms.join(here, "term").toArrow()  # the terms of ``limit`` bytes of items
+        term, df = known.column("term").to_numpy().view(np.uint64), known.column("df").to_numpy()
+        order = np.argsort(term)
+        yield build_index(mine, Statistics(whole["items"], whole["mean"], whole["longest"], term[order], df[order]))
 
 
 def _report(index: Index, kind: pa.DataType):
@@ -225,13 +281,16 @@ def _report(index: Index, kind: pa.DataType):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", index_bytes: int = INDEX_BYTES
+) -> DataFrame:
     """One row per text and test item in it: doc_id, item_id, score (of the item's own), question and answer overlap.
 
     A text contains an item if one of its passages scores ``THRESHOLD`` or more, of the item or of its question alone, and
     holds ``OVERLAP`` or more of the 5-grams of the item's question, or of question and answer together (letters A-Z in
     lower case, punctuation aside).
-    Null and empty texts and items contain nothing; each row is searched on its own, rows without an id included.
+    Null and empty texts and items contain nothing; each row is searched on its own, rows without an id included. More
+    than ``index_bytes`` of items are searched in several passes, with the same result.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -239,7 +298,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = f"doc_id {kind}, item_id {item.simpleString()}, score double, question_overlap double, answer_overlap double"
     out = None
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, index_bytes):
         found = texts.mapInArrow(_report(index, to_arrow_type(item)), schema)
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
@@ -257,7 +316,7 @@ def _without(index: Index):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that contain no test item, with their columns as they were."""
+    """The rows of ``docs`` that contain no test item, with their columns as they were; null and empty texts stay."""
     for index in indexes(benchmark):
         docs = docs.mapInArrow(_without(index), docs.schema)
     return docs

@@ -254,11 +254,21 @@ def test_bounds_lose_no_passage(prose):
             assert found == pytest.approx(expected)
 
 
-def test_several_indexes_find_the_same(spark):
+def test_several_indexes_find_the_same(spark, prose, monkeypatch):
+    """Rows and scores, whole and partial matches, do not depend on the number of indexes or of passages at once."""
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     one, many = list(decontaminate.indexes(items)), list(decontaminate.indexes(items, 60))
     assert len(one) == 1 and len(many) > 1
     assert sorted(i for x in many for i in x.items) == sorted(one[0].items) == [1, 2, 3, 6]
+    rest = " ".join(t for t in prose[:30] if t)
+    texts = [(i, f"{rest} {t or ''} {rest}") for i, t in ITEMS] + [(20, ITEMS[1][1].split(". ")[0]), (21, " ".join(ITEMS[0][1].split()[:9]) + " " + rest), (22, None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = []
+    for size, cells in ((1 << 20, 4_000_000), (60, 4_000_000), (1 << 20, 1)):
+        monkeypatch.setattr(decontaminate, "MATRIX_CELLS", cells)
+        rows = decontaminate.contaminated(docs, items, index_bytes=size).collect()
+        found.append({(r.doc_id, r.item_id): tuple(round(x, 9) for x in r[2:]) for r in rows})
+    assert found[0] == found[1] == found[2] and len(found[0]) >= 5
 
 
 def test_a_short_question_before_a_long_answer_is_found(spark, prose):
