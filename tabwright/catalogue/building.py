@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.catalogue.tables import CASES, RATED_DOCUMENTS, cases, gap, rounded, table, written_documents
+from tabwright.functions.stage import scratch_path
 from tabwright.operators.features import add_polynomials, date_parts, fit_interactions
 from tabwright.operators.reduce import fit_components
 from tabwright.operators.select import anova_scores as anova
 from tabwright.operators.select import fit_selection
-from tabwright.plans.featurise import fit_features
+from tabwright.plans.featurise import FittedFeatures, fit_features
 from tabwright.spec import PipelineSpec
 
 
@@ -96,7 +97,7 @@ FEATURE_SPEC = PipelineSpec(
 )
 
 
-def feature_full(spark: SparkSession, folder: str) -> DataFrame:
+def feature_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Ratio, polynomials, date parts and the six best by F score; the score order is fixed by the data."""
     c = cases(spark, folder).drop("o_orderstatus", "c_mktsegment")
     scaled = c.withColumn("o_totalprice", F.col("o_totalprice") / 1e5).withColumn("c_acctbal", F.col("c_acctbal") / 1e3)
@@ -105,7 +106,7 @@ def feature_full(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(table_, "score", places=4)
 
 
-def feature_selected(spark: SparkSession, folder: str) -> DataFrame:
+def feature_full(spark: SparkSession, folder: str) -> DataFrame:
     """The transformed table of the same job without selection and reduction."""
     c = cases(spark, folder).select("o_orderkey", "o_totalprice", "c_acctbal", "o_orderdate", "o_orderpriority")
     scaled = c.withColumn("o_totalprice", F.col("o_totalprice") / 1e5).withColumn("c_acctbal", F.col("c_acctbal") / 1e3)
@@ -113,6 +114,20 @@ def feature_selected(spark: SparkSession, folder: str) -> DataFrame:
     return fit_features(scaled, spec).transform(scaled)
 
 
+def feature_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole job: built features, one component of the two amounts, and the five best by F score, fitted, written, read
+    and applied; a row for each key and chosen feature."""
+    c = cases(spark, folder).select("o_orderkey", "o_totalprice", "c_acctbal", "o_orderdate", "o_orderpriority")
+    scaled = c.withColumn("o_totalprice", F.col("o_totalprice") / 1e5).withColumn("c_acctbal", F.col("c_acctbal") / 1e3)
+    settings = {"numeric_columns": ["o_totalprice", "c_acctbal"], "pca_components": 1, "n_select_features": 5}
+    path = scratch_path(spark)
+    fit_features(scaled, PipelineSpec(**{**FEATURE_SPEC.__dict__, **settings})).write(spark, path)
+    done = FittedFeatures.read(spark, path).transform(scaled)
+    names = [n for n in done.columns if n not in ("o_orderkey", "o_orderpriority")]
+    long = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").cast("double").alias("value")) for n in names]))
+    return rounded(done.select("o_orderkey", long.alias("f")).select("o_orderkey", "f.feature", "f.value"), "value", places=6)
+
+
 def anova_many_classes(spark: SparkSession, folder: str) -> DataFrame:
     """One F statistic over as many classes as there are customers with orders."""
     orders = table(spark, folder, "orders").select("o_custkey", "o_totalprice")
@@ -131,8 +146,9 @@ QUERIES = {
     "anova_scores": anova_scores,
     "select_k_best": select_k_best,
     "mutual_information": mutual_information,
-    "feature_scores": feature_full,
-    "feature_full": feature_selected,
+    "feature_scores": feature_scores,
+    "feature_full": feature_full,
+    "feature_job": feature_job,
 }
 
 # Two features have a closed form: the larger eigenvalue and its vector, signed so its larger entry is positive.
@@ -188,6 +204,20 @@ _BUILT_NAMES = [
     "o_orderdate_is_weekend",
 ]
 
+_PC1 = f"""
+WITH t AS ({_BUILT}),
+m AS (SELECT avg(o_totalprice) AS mx, avg(c_acctbal) AS my, var_samp(o_totalprice) AS sxx, var_samp(c_acctbal) AS syy,
+  covar_samp(o_totalprice, c_acctbal) AS sxy FROM t),
+e AS (SELECT *, ((sxx + syy) + sqrt((sxx - syy) ** 2 + 4 * sxy * sxy)) / 2 AS l1 FROM m),
+v AS (SELECT *, CASE WHEN sxx >= syy THEN l1 - syy ELSE sxy END AS vx, CASE WHEN sxx >= syy THEN sxy ELSE l1 - sxx END AS vy FROM e),
+u AS (SELECT *, sqrt(vx * vx + vy * vy) * CASE WHEN abs(vx) >= abs(vy) THEN sign(vx) ELSE sign(vy) END AS n FROM v)
+SELECT t.*, (o_totalprice - mx) * vx / n + (c_acctbal - my) * vy / n AS "PC1" FROM t, u"""
+_JOB_NAMES = [*[n for n in _BUILT_NAMES if n not in ("c_nationkey", "o_totalprice", "c_acctbal")], "PC1"]
+_JOB_LONG = " UNION ALL ".join(f"SELECT o_orderkey, '{c}' AS feature, (\"{c}\")::DOUBLE AS value FROM ({_PC1})" for c in _JOB_NAMES)
+_JOB_SQL = f"""
+SELECT o_orderkey, feature, round(value, 6) + 0.0 AS value FROM ({_JOB_LONG})
+WHERE feature IN (SELECT feature FROM ({_anova(_PC1, 'o_orderkey', _JOB_NAMES, 5, 'o_orderpriority', 9)}) WHERE selected)"""
+
 ORACLES = {
     "anova_many_classes": """
 WITH g AS (SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS m, var_pop(o_totalprice) AS v FROM orders GROUP BY 1),
@@ -227,4 +257,5 @@ SELECT l_orderkey, ascii(l_returnflag) + l_discount AS near, ascii(l_returnflag)
     "mutual_information": MUTUAL_SQL,
     "feature_scores": _anova(_BUILT, "o_orderkey", _BUILT_NAMES, 6, "o_orderpriority", 4),
     "feature_full": f"SELECT * EXCLUDE (c_nationkey) FROM ({_BUILT})",
+    "feature_job": _JOB_SQL,
 }
