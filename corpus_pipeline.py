@@ -14,22 +14,27 @@ from tabwright.llm import decontaminate, near_dup, packing, pu_quality, secrets
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts that the classifier takes for good; null and empty texts are scored like any other."""
     return pu_quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One text of each group; null and empty texts, and rows without an id, belong to no group and stay."""
     return near_dup.drop_near_duplicates(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts that contain no test item; null and empty texts contain none."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with a mark in place of each secret; null texts stay null."""
     return secrets.redact_secrets(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences; a null or empty text is its end mark alone."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
