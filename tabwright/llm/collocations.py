@@ -11,16 +11,18 @@
 4. Counts of a phrase and of its parts meet in joins; what a longer phrase explains is dropped; the best of each language
    are ranked.
 
-Words are told apart by their bytes throughout; hashes only choose buckets and what may be skipped.
+Suffixes travel as short hashes of their words. These name words exactly: the first pass knows all words, and those whose
+hash is also that of a frequent word get numbers of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import quoted
@@ -33,12 +35,18 @@ DEPTH = 3
 CHUNK_BYTES, BUCKET_BYTES = 3 << 20, 6 << 20
 #: Rows of texts that Spark hands over at once.
 BATCH_ROWS = 1000
+#: More buckets than this share partitions, one after the other.
+MOST_PARTITIONS = 20_000
 #: Rows of counted words that a task adds up before it hands them on.
 HELD_WORDS = 1_000_000
 #: Routing cells for each bucket; a cell with more suffixes than a whole bucket's share is split by the third word.
 CELLS = 16
 #: log2 of the bits of the map of frequent words (2 MB).
 MAP_BITS = 24
+#: Bytes of a word in a suffix, the first of which is above 127 in numbers that stand for no hash, and the wide form for
+#: vocabularies in which too many short hashes would meet.
+NARROW, WIDE = 6, 8
+MOST_CLASHES = 10_000
 #: What ends a piece, and what parts words inside it.
 BREAKS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
@@ -161,8 +169,50 @@ def _added_up(tables: list[pa.Table]) -> list[pa.RecordBatch]:
     return sums.rename_columns(["lang", "word", "mark", "n"]).to_batches(max_chunksize=100_000)
 
 
-def _route(cells: int, split: np.ndarray, often: np.ndarray, size: int):
-    """Suffixes of a chunk packed by bucket and language: the words that they use, and rows of three places among them with a count."""
+@dataclass(frozen=True)
+class Names:
+    """How words are named in suffixes: the first bits of their hash, or a number where that is not theirs alone."""
+
+    width: int
+    own: dict[tuple[str, str], int]
+    clashing: np.ndarray
+
+    def of(self, chunk: Chunk) -> np.ndarray:
+        out = chunk.marks >> np.uint64(65 - 8 * self.width)
+        for i in np.flatnonzero(np.isin(out, self.clashing)).tolist() if len(self.clashing) else ():
+            number = self.own.get((chunk.langs[i].as_py(), chunk.forms[i].as_py()))
+            out[i] = out[i] if number is None else number
+        return out
+
+    @property
+    def column(self) -> Column:
+        """The same of a table with a column ``mark``, but for words with a number."""
+        return F.shiftrightunsigned("mark", 65 - 8 * self.width)
+
+    def numbered(self, nth: int) -> int:
+        return (1 << 8 * self.width - 1) + nth
+
+
+def _names(words: DataFrame, least: int) -> tuple[Names, DataFrame]:
+    """Names of all words, and a table (name, lang, word) of the frequent ones."""
+    often = words.where(F.col("n") >= least)
+    size = words.agg(F.count("*"), F.count_if(F.col("n") >= least)).first()
+    names = Names(NARROW if size[0] * size[1] < MOST_CLASHES << 8 * NARROW - 1 else WIDE, {}, np.zeros(0, np.uint64))
+    every = words.withColumn("name", names.column)
+    shared = every.groupBy("name").agg(F.count("*").alias("k"), F.max("n").alias("most")).where((F.col("k") > 1) & (F.col("most") >= least))
+    clashes = every.join(shared.select("name"), "name").select("lang", "word", "name").collect()  # about MOST_CLASHES at most
+    own = {(r.lang, r.word): names.numbered(i) for i, r in enumerate(sorted(clashes))}
+    names = Names(names.width, own, np.unique(np.array([r.name for r in clashes], np.int64)).view(np.uint64))
+    table = often.select(names.column.alias("name"), "lang", "word")
+    if own:
+        kind = "lang string, word string, number long"
+        numbers = words.sparkSession.createDataFrame([(*w, n - (1 << 64) if n >> 63 else n) for w, n in own.items()], kind)
+        table = table.join(numbers, ["lang", "word"], "left").select(F.coalesce("number", "name").alias("name"), "lang", "word")
+    return names, materialise(table)
+
+
+def _route(cells: int, split: np.ndarray, often: np.ndarray, names: Names, size: int):
+    """Suffixes of a chunk packed by bucket."""
     buckets = cells // CELLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,44 +223,34 @@ def _route(cells: int, split: np.ndarray, often: np.ndarray, size: int):
             cell = _cells(chunk.marks, suffixes, cells)
             third = mix(np.append(chunk.marks, np.uint64(7))[suffixes[:, 2]] + cell.astype(np.uint64))
             partial = np.isin(cell, split)
-            lang = chunk.langs.dictionary_encode()
-            names = len(lang.dictionary)
             bucket = np.where(partial, (third % np.uint64(buckets)).astype(np.int64), cell // CELLS) * 2 + partial
-            bucket = bucket * names + lang.indices.to_numpy(zero_copy_only=False)[suffixes[:, 0]]
-            order = np.argsort(bucket, kind="stable")
-            suffixes, n, bucket = suffixes[order], n[order], bucket[order]
+            order = np.lexsort((suffixes[:, 1], suffixes[:, 0], bucket))  # equal words side by side, which compresses
+            words = np.append(names.of(chunk), np.uint64((1 << 8 * names.width) - 1))[suffixes[order]]
+            n, bucket = n[order], bucket[order]
             kinds, first = np.unique(bucket, return_index=True)
             bounds = np.append(first, len(bucket))
-            some = len(chunk.forms) + 1
-            part = np.repeat(np.arange(len(kinds)), np.diff(bounds))
-            # in order of first use, so the words of each bucket lie together
-            codes = pa.array((part[:, None] * some + suffixes + 1).ravel()).dictionary_encode()
-            used = codes.dictionary.to_numpy(zero_copy_only=False)
-            vocabulary = np.searchsorted(used // some, np.arange(len(kinds) + 1)).astype(np.int32)
-            rows = codes.indices.to_numpy(zero_copy_only=False).reshape(-1, DEPTH) - vocabulary[part][:, None]
-            word = used % some - 1  # -1 stands for no word: a null in the vocabulary
-            words = pa.ListArray.from_arrays(pa.array(vocabulary), chunk.forms.take(pa.array(word, mask=word < 0)))
-            packed = [_packed(rows[a:b], n[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            target = kinds // names
+            packed = [_packed(words[a:b], n[a:b], names.width) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(target // 2), pa.array((target % 2).astype(bool)), lang.dictionary.take(pa.array(kinds % names)), words, pa.array(packed, pa.binary())],
-                names=["bucket", "partial", "lang", "words", "rows"],
+                [pa.array(kinds // 2), pa.array((kinds % 2).astype(bool)), pa.array(packed, pa.binary())], names=["bucket", "partial", "rows"]
             )
 
     return run
 
 
-def _packed(places: np.ndarray, n: np.ndarray) -> bytes:
-    """Places column by column, then counts, each in as few bytes as the largest needs; their widths come first."""
-    kinds = [np.min_scalar_type(int(x.max())) for x in (places, n)]
-    return bytes(k.itemsize for k in kinds) + places.T.astype(kinds[0]).tobytes() + n.astype(kinds[1]).tobytes()
+def _packed(words: np.ndarray, n: np.ndarray, width: int) -> bytes:
+    """Names column by column in ``width`` bytes, then counts in as few bytes as the largest needs; that number comes first."""
+    kind = np.min_scalar_type(int(n.max()))
+    names = np.ascontiguousarray(words.T, "<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([kind.itemsize]) + names.tobytes() + n.astype(kind).tobytes()
 
 
-def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    wide, narrow = raw[0], raw[1]
-    size = (len(raw) - 2) // (DEPTH * wide + narrow)
-    places = np.frombuffer(raw, f"<u{wide}", DEPTH * size, 2).reshape(DEPTH, size).T
-    return places.astype(np.int64), np.frombuffer(raw, f"<u{narrow}", size, 2 + DEPTH * wide * size).astype(np.int64)
+def _unpacked(raw: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    size = (len(raw) - 1) // (DEPTH * width + raw[0])
+    names = np.zeros((DEPTH * size, 8), np.uint8)
+    names[:, :width] = np.frombuffer(raw, np.uint8, DEPTH * width * size, 1).reshape(-1, width)
+    words = names.view("<u8").reshape(DEPTH, size).T.astype(np.uint64)
+    words[words == np.uint64((1 << 8 * width) - 1)] = np.uint64((1 << 64) - 1)  # none: -1 as a signed number
+    return words.view(np.int64), np.frombuffer(raw, f"<u{raw[0]}", size, 1 + DEPTH * width * size).astype(np.int64)
 
 
 def frequent(symbols: np.ndarray, weight: np.ndarray, least: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -264,36 +304,26 @@ def frequent(symbols: np.ndarray, weight: np.ndarray, least: tuple[int, ...]) ->
     return out
 
 
-def _sort(least: int):
-    """Frequent phrases of a bucket; of a partial one all pairs, whose counts are added up later."""
+def _sort(least: int, width: int):
+    """Frequent phrases of a bucket, by the names of their words; of a partial one all pairs, whose counts are added up later."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        partial = key[1].as_py()
-        words = table.column("words").combine_chunks()
-        langs = table.column("lang").combine_chunks()
-        words, langs = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (words, langs))
-        bounds = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
-        starts = bounds[:-1]
-        lang, word = langs.dictionary_encode(), words.flatten().dictionary_encode()
-        none = np.asarray(word.indices.is_null())
-        size = max(len(word.dictionary), 1)
-        of_word = np.repeat(lang.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.diff(bounds))
-        both = pa.array(of_word * size + np.asarray(word.indices.fill_null(0)), mask=none).dictionary_encode()
-        number = np.asarray(both.indices.fill_null(-1)).astype(np.int64)
-        keys = both.dictionary.to_numpy(zero_copy_only=False)
-        rows = [_unpacked(r.as_py()) for r in table.column("rows")]
-        symbols = np.concatenate([number[r + s] for (r, _), s in zip(rows, starts.tolist(), strict=True)])
-        weight = np.concatenate([n for _, n in rows])
+        rows = [_unpacked(r.as_py(), width) for r in table.column("rows")]
+        symbols, weight = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
         del rows
-        floors = (1, 1, least) if partial else (least,) * DEPTH
-        columns: list[list] = [[] for _ in range(DEPTH + 2)]
-        for length, (one, n) in enumerate(frequent(symbols, weight, floors), start=2):
-            chosen = symbols[one]
-            columns[0].append(lang.dictionary.take(pa.array(keys[chosen[:, 0]] // size)))
+        # equal numbers for equal names, and -1 for none
+        codes = pa.array(symbols.ravel()).dictionary_encode()
+        known = codes.dictionary.to_numpy(zero_copy_only=False)
+        number = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, DEPTH)
+        number[symbols == -1] = -1
+        floors = (1, 1, least) if key[1].as_py() else (least,) * DEPTH
+        columns: list[list] = [[] for _ in range(DEPTH + 1)]
+        for length, (one, n) in enumerate(frequent(number, weight, floors), start=2):
+            chosen = number[one]
             for i in range(DEPTH):
-                columns[i + 1].append(word.dictionary.take(pa.array(keys[chosen[:, i]] % size)) if i < length else pa.nulls(len(one), pa.string()))
+                columns[i].append(pa.array(known[chosen[:, i]]) if i < length else pa.nulls(len(one), pa.int64()))
             columns[-1].append(pa.array(n))
-        return pa.table([pa.chunked_array(c) for c in columns], names=["lang", "w1", "w2", "w3", "n"])
+        return pa.table([pa.chunked_array(c, pa.int64()) for c in columns], names=["m1", "m2", "m3", "n"])
 
     return run
 
@@ -310,14 +340,17 @@ def phrase_counts(docs: DataFrame, least: int = 10, lang_col: str = "lang", text
     # a cell's share is a sixteenth of a bucket; a bucket's suffixes are fewer than half its bytes
     crowded = counted.where(F.col("word").isNull() & (F.col("n") > BUCKET_BYTES // 8)).select("mark")
     split = np.array([r.mark for r in crowded.collect()], np.int64)  # at most four for each bucket
-    routed = _route(cells, split, _map_of(words.where(F.col("n") >= least)), CHUNK_BYTES)
-    packed = texts.mapInArrow(routed, "bucket long, partial boolean, lang string, words array<string>, rows binary")
-    found = packed.groupBy("bucket", "partial").applyInArrow(_sort(least), "lang string, w1 string, w2 string, w3 string, n long")
+    names, table = _names(words, least)
+    routed = _route(cells, split, _map_of(words.where(F.col("n") >= least)), names, CHUNK_BYTES)
+    packed = texts.mapInArrow(routed, "bucket long, partial boolean, rows binary")
+    packed = packed.repartition(min(cells // CELLS, MOST_PARTITIONS), "bucket", "partial")
+    found = packed.groupBy("bucket", "partial").applyInArrow(_sort(least, names.width), "m1 long, m2 long, m3 long, n long")
     with batches_of(docs.sparkSession, BATCH_ROWS):
         found = materialise(found)
-    pairs = found.where("w3 is null").groupBy("lang", "w1", "w2").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    triples = found.where("w3 is not null")
-    phrases = pairs.select("lang", "w1", "w2", F.lit(None).cast("string").alias("w3"), "n").unionByName(triples)
+    pairs = found.where("m3 is null").groupBy("m1", "m2").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    every = pairs.select("m1", "m2", F.lit(None).cast("long").alias("m3"), "n").unionByName(found.where("m3 is not null"))
+    word = lambda i: table.select(F.col("name").alias(f"m{i}"), F.col("word").alias(f"w{i}"), *(["lang"] if i == 1 else []))
+    phrases = every.join(word(1), "m1").join(word(2), "m2").join(word(3), "m3", "left").select("lang", "w1", "w2", "w3", "n")
     return words.select("lang", "word", "n"), phrases
 
 

@@ -54,6 +54,35 @@ def test_same_as_counting(spark, edge_docs, monkeypatch, size, least, top):
     assert len(expected) > 10 and _found(docs, least=least, top=top) == expected
 
 
+@pytest.mark.parametrize("narrow,clashes", [(1, 10**12), (2, 10**12), (6, 0)])
+def test_words_whose_hashes_meet(spark, edge_docs, monkeypatch, narrow, clashes):
+    """Names of one byte and of two, in which most words meet others, and names of eight."""
+    monkeypatch.setattr(c, "NARROW", narrow)
+    monkeypatch.setattr(c, "MOST_CLASHES", clashes)
+    monkeypatch.setattr(c, "CHUNK_BYTES", 4000)
+    docs = edge_docs.where("length(text) < 1500")
+    rows = [tuple(r) for r in docs.select("lang", "text").collect()]
+    # one byte names 127 words at most: fewer words then
+    if narrow == 1:
+        rng = random.Random(1)
+        rows = [(rng.choice(["en", None]), " ".join(rng.choices([f"w{i}" for i in range(40)], k=300))) for _ in range(6)]
+        docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, text string")
+    expected = _brute(rows, 3, 2000)
+    assert len(expected) > 10 and _found(docs, least=3) == expected
+
+
+def test_packing_of_suffixes():
+    rng = np.random.default_rng(0)
+    for width in (2, 6, 8):
+        words = rng.integers(0, 1 << 63, (50, 3), dtype=np.uint64) >> np.uint64(65 - 8 * width)
+        words[::7, 2] = (1 << 8 * width) - 1
+        for n in (np.ones(50, np.int64), rng.integers(1, 1 << 40, 50)):
+            back, count = c._unpacked(c._packed(words, n, width), width)
+            expected = words.copy()
+            expected[::7, 2] = (1 << 64) - 1
+            assert (back.view(np.uint64) == expected).all() and (count == n).all()
+
+
 def test_no_rows_and_no_words(spark, no_docs):
     assert _found(no_docs) == []
     docs = spark.createDataFrame([(1, None, None), (2, "", "en"), (3, " .,\n\t ", "en"), (4, "one", "en")], "doc_id bigint, text string, lang string")
