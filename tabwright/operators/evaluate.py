@@ -51,7 +51,7 @@ def confusion_grid(cells: DataFrame) -> DataFrame:
         .select(F.explode("all").alias("label"), "all")
         .select("label", F.explode("all").alias("prediction"))
     )
-    return grid.join(F.broadcast(cells), ["label", "prediction"], "left").select(
+    return grid.join(cells, ["label", "prediction"], "left").select(
         "label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
     )
 
@@ -308,7 +308,7 @@ def class_analysis(cells: DataFrame, top: DataFrame, n: int = TOP_ROWS) -> DataF
     counts = class_ratios(cells).select(
         F.col("label").alias("class"), F.col("support").alias("true_count"), F.col("predicted").alias("predicted_count")
     )
-    return counts.join(F.broadcast(profile), "class", "left").select(
+    return counts.join(profile, "class", "left").select(
         "*",
         (F.col("top_correct") / F.lit(float(n))).alias("top_correct_share"),
         (F.col("top_actual") / F.lit(float(n))).alias("top_actual_share"),

@@ -71,12 +71,13 @@ def running_totals(
     ranged = with_range(df, order, edges)
     direction = (lambda c: c.desc()) if descending else (lambda c: c.asc())
     totals = ranged.groupBy(*group, "__range").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
-    # one row per (group, range): at most MAX_RANGES rows per group, so this window and the broadcast stay small
+    # one row per (group, range): at most MAX_RANGES rows in a window; with many groups the join below goes by the same
+    # keys as the window after it, so it needs no further shuffle, and adaptive execution broadcasts what is small
     earlier = W.partitionBy(*group).orderBy(direction(F.col("__range"))).rowsBetween(W.unboundedPreceding, -1)
     before = [F.coalesce(F.sum(f"__t_{s}").over(earlier), F.lit(0)).alias(f"__o_{s}") for s in sums]
     whole = [F.sum(f"__t_{s}").over(W.partitionBy(*group)).alias(f"all_{s}") for s in sums]
     offsets = totals.select(*group, "__range", *before, *whole)
     local = W.partitionBy(*group, "__range").orderBy(direction(F.col(order))).rowsBetween(W.unboundedPreceding, 0)
-    joined = ranged.join(F.broadcast(offsets), [*group, "__range"])
+    joined = ranged.join(offsets, [*group, "__range"])
     running = [(F.sum(s).over(local) + F.col(f"__o_{s}")).alias(f"cum_{s}") for s in sums]
     return joined.select(*df.columns, *running, *[f"all_{s}" for s in sums])

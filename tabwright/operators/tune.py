@@ -15,7 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.stage import materialise
+from tabwright.functions.stage import materialise, scratch_scope
 from tabwright.operators.balance import NEIGHBOURS, smote, with_class_weights
 from tabwright.operators.evaluate import METRICS, summary_metrics
 from tabwright.operators.models import PARALLEL_FITS, FittedModel, assembled, fit_model, model_kind, spark_params
@@ -128,9 +128,10 @@ class Folds:
         self.folds: list[_Fold] = []
         for i in range(k):
             train = self.marked.where(F.col("__fold") != i).drop("__fold")
-            ready, weight = balance.apply(train, features, label)
-            if balance.method == "smote":
-                ready = materialise(ready)
+            with scratch_scope(df.sparkSession):
+                ready, weight = balance.apply(train, features, label)
+                if balance.method != "none":
+                    ready = materialise(ready, outlast=True)
             self.folds.append(_Fold(ready, weight, class_counts(ready, label)))
 
     def score_all(self, model_type: str, candidates: Sequence[dict | None], seed: int, scoring: str, with_train: bool) -> list[Scores]:

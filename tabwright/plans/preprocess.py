@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import auto_strings, nan_to_null
+from tabwright.functions.keys import with_content_key
 from tabwright.functions.stage import materialise
 from tabwright.operators.clean import Imputer, drop_duplicate_rows, fit_imputer, parse_dates
 from tabwright.operators.encode import LabelEncoder, OneHotEncoder, fit_label, fit_onehot
@@ -140,7 +141,7 @@ def fit_preprocessing(df: DataFrame, spec: PipelineSpec) -> tuple[FittedPreproce
     cleaning = fit_cleaning(df, spec.role(spec.date_columns), spec.role(spec.numeric_columns), spec.untouched)
     cleaned = cleaning.transform(df)
     if not spec.key:
-        cleaned = cleaned.withColumn(ROW_ID, F.monotonically_increasing_id())
+        cleaned = with_content_key(cleaned, ROW_ID, distinct=True)
     # every later fit reads the cleaned rows: write them once instead of repeating the de-duplication
     cleaned = materialise(cleaned)
     fixed = [*spec.untouched, ROW_ID]

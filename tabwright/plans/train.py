@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from tabwright.functions.stage import materialise
+from tabwright.functions.stage import materialise, scratch_scope
 from tabwright.operators.evaluate import model_comparison
 from tabwright.operators.models import FittedModel, fit_model
 from tabwright.operators.profile import check_features
@@ -77,9 +77,10 @@ def prepare(df: DataFrame, spec: PipelineSpec, features: Sequence[str], key: Seq
         train, test = split_parts(labelled, LABEL, key, spec.test_size, spec.random_state)
     train, test = materialise(train), materialise(test)
     balance = Balance(spec.handle_imbalance, tuple(key), spec.random_state, spec.smote_strategy, spec.smote_neighbours)
-    ready, weight = balance.apply(train, features, LABEL)
-    if spec.handle_imbalance == "smote":
-        ready = materialise(ready)
+    with scratch_scope(df.sparkSession):
+        ready, weight = balance.apply(train, features, LABEL)
+        if spec.handle_imbalance != "none":
+            ready = materialise(ready, outlast=True)
     return Prepared(train, test, ready, weight, class_counts(ready, LABEL), list(features), list(key), balance)
 
 
@@ -134,6 +135,7 @@ def _train_one(kind: str, data: Prepared, spec: PipelineSpec, result: TrainingRe
     params = spec.model_params.get(kind)
     seed = spec.random_state
     if spec.optimize_hyperparameters:
+        folds = data.folds(spec.search_cv, seed)
         found = search(
             data.train,
             data.features,
@@ -147,7 +149,7 @@ def _train_one(kind: str, data: Prepared, spec: PipelineSpec, result: TrainingRe
             seed=seed,
             balance=data.balance,
             refit=False,
-            folds=data.folds(spec.search_cv, seed),
+            folds=folds,
         )
         result.searches[kind] = found
         params = found.best_params

@@ -1,4 +1,5 @@
 import json
+import os
 from dataclasses import replace
 
 import numpy as np
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tabwright.operators import boost, tune
 from tabwright.operators.boost import shares_of
+from tabwright.functions.keys import with_content_key
+from tabwright.functions.stage import materialise, scratch_scope
 from tabwright.functions.vectors import as_vectors, gathered
 from tabwright.operators.encode import fit_onehot
 from tabwright.operators.evaluate import metrics
@@ -16,9 +19,11 @@ from tabwright.operators.features import add_polynomials, as_pairs, fit_interact
 from tabwright.operators.models import KINDS, ModelKind, fit_model, full_params, register_model, spark_params
 from tabwright.operators.reduce import fit_components
 from tabwright.operators.select import anova_scores, fit_selection
-from tabwright.operators.split import assign_folds
+from tabwright.operators.split import assign_folds, stratified_split
 from tabwright.operators.tune import Balance, cross_validate, grid_size, random_choices, search
 from tabwright.plans.evaluate import evaluate_folder, evaluate_saved
+from tabwright.plans import run as run_plan
+from tabwright.plans.preprocess import ROW_ID, fit_preprocessing
 from tabwright.plans.run import run, score
 from tabwright.sources.models import load_model, save_model
 from tabwright.spec import PipelineSpec
@@ -325,6 +330,58 @@ def test_whole_run_from_a_file(spark, cases, tmp_path):
     assert again.evaluation.metrics.first().sample_count == 200
 
 
+def test_keys_from_contents(spark, cases):
+    """Without a key, rows are told apart by their values: splits do not depend on partitions, repeated rows are numbered."""
+    plain = cases.drop("id", "label")
+    spec = PipelineSpec(numeric_columns=FEATURES, handle_imbalance="none")
+    parts = []
+    for n in (1, 13):
+        _, done = fit_preprocessing(plain.repartition(n), spec)
+        assert done.select(ROW_ID).distinct().count() == done.count() == 200
+        split = stratified_split(done, TARGET, [ROW_ID], 0.2).where("is_test")
+        parts.append({tuple(round(r[f], 9) for f in FEATURES) for r in split.collect()})
+    assert parts[0] == parts[1] and len(parts[0]) == 40
+    rows = spark.createDataFrame([("a", None), ("a", None), ("a", ""), ("", "a"), ("a", None)], "x string, y string")
+    keyed = with_content_key(rows, "k", distinct=False)
+    assert keyed.select("k").distinct().count() == 5
+    assert with_content_key(rows, "k", distinct=True).select("k").distinct().count() == 3
+
+
+def test_a_run_goes_on_where_it_was_broken_off(spark, cases, tmp_path, monkeypatch):
+    out, table = str(tmp_path / "out"), cases.drop("label")
+    spec = PipelineSpec(key_columns=["id"], numeric_columns=FEATURES, model_type=["lr"], model_params=SMALL, n_splits=0, handle_imbalance="class_weight")
+
+    def broken(*args, **names):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(run_plan, "evaluate_saved", broken)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, spec, table, out, resume=True)
+    with monkeypatch.context() as m:
+        for stage in ("fit_preprocessing", "fit_features", "train_models"):
+            m.setattr(run_plan, stage, broken)
+        done = run(spark, spec, table.repartition(5), out, resume=True)
+        assert done.training.best == "lr" and set(done.training.models) == {"lr"}
+        assert done.evaluation.metrics.first().sample_count == 40
+        with pytest.raises(KeyboardInterrupt):  # other settings, other rows, or a run that doesn't resume start anew
+            run(spark, replace(spec, random_state=7), table, out, resume=True)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, spec, table.where("id <> 3"), out, resume=True)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, spec, table, out)
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    with scratch_scope(spark) as folder:
+        inner, outer = materialise(spark.range(5)), materialise(spark.range(7), outlast=True)
+        assert inner.count() == 5 and os.path.isdir(folder.replace("file:", ""))
+        with scratch_scope(spark):
+            kept = materialise(spark.range(3), outlast=True)
+        assert kept.count() == 3
+    assert outer.count() == 7 and not os.path.exists(folder.replace("file:", ""))
+
+
 def test_fitting_on_the_training_part(spark, cases, tmp_path):
     spec = PipelineSpec(
         key_columns=["id"], numeric_columns=FEATURES, handle_outliers_cols=FEATURES[:1], n_select_features=3,
