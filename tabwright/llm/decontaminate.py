@@ -217,9 +217,13 @@ def leaks(index: Index, block: Block) -> list[tuple[int, int, float, float, floa
     """(document row, item, score, question overlap, answer overlap) of confirmed items, the best passage for each."""
     words = words_of(block, lower_ascii(block.data), plain=True)
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
+    roll = Rolling(words.ids, WORD_BASE)
+    windows: dict[int, np.ndarray] = {}
     for doc, a, b, item, score in _candidates(index, words.ids, words.bounds):
         question, answer, size = index.grams[item]
-        there = Rolling(words.ids[a:b], WORD_BASE).windows(size)
+        if size not in windows:
+            windows[size] = roll.windows(size)
+        there = windows[size][a : max(a, b - size + 1)]
         q, r = _overlap(question, there), _overlap(answer, there)
         whole = (q * len(question) + r * len(answer)) / (len(question) + len(answer))
         if max(q, whole) >= OVERLAP:
