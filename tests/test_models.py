@@ -3,6 +3,7 @@ import os
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -444,3 +445,17 @@ def test_spec_checks():
     spec = PipelineSpec(numeric_columns=["A b", "사고번호"], identifier_columns=["사고번호"], interaction_features=["A b", "C", "D"])
     assert spec.role(spec.numeric_columns) == ["a_b"] and spec.pairs == [("a_b", "c")]
     assert spec.model_types() == ["lr", "rf", "xgboost"]
+
+
+def test_boosting_moves_blocks_not_rows(monkeypatch):
+    monkeypatch.setattr(boost, "BLOCK_BYTES", 60)
+    x = [[float(i % 7), float(i % 3)] for i in range(100)]
+    edges = [[1.0, 3.0], [0.5]]
+    batch = pa.RecordBatch.from_arrays([pa.array(x), pa.array([i % 2 for i in range(100)], pa.int32()), pa.array([0.5] * 100), pa.array([i / 100 for i in range(100)])], names=["x", "y", "w", "draw"])
+    packed = list(boost._as_bins(edges)(iter([batch])))
+    assert [b.num_rows for b in packed] == [4]
+    back = list(boost._arrays(packed[0], 2, [], 2))
+    assert [len(b[0]) for b in back] == [30, 30, 30, 10]
+    bins, y, w, draw, margins = (np.concatenate(c) for c in zip(*back))
+    assert (bins == boost.binned(np.array(x), edges)).all() and y.tolist() == [i % 2 for i in range(100)]
+    assert (w == 0.5).all() and draw.tolist() == [i / 100 for i in range(100)] and not margins.any()
