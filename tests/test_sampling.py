@@ -272,3 +272,24 @@ def test_smote_falls_back(spark):
     assert smote(holed, ["a", "b"], "label", ["id"]).count() == 40
     with pytest.raises(ValueError, match="strategy"):
         smote(_classes(spark, {0: 30, 1: 10}), ["a"], "label", ["id"], strategy="none such")
+
+
+@pytest.mark.parametrize("width", [2, 12])
+def test_only_copied_rows_ask_and_rough_distances_change_nothing(spark, monkeypatch, width):
+    """Two classes, the smaller of which lacks two rows: two places ask, whether or not a matrix product picks candidates."""
+    rng = np.random.default_rng(width)
+    rows = [(i, int(i >= 20), *map(float, 1e6 + np.round(rng.normal(size=width), 2))) for i in range(38)]
+    names = [f"x{j}" for j in range(width)]
+    df = spark.createDataFrame(rows, "id bigint, label int, " + ", ".join(f"{n} double" for n in names))
+    asked, found = [], []
+    real = balance.nearest_points
+
+    def seen(points, k):
+        asked.append(points.where("asked").count())
+        return real(points, k)
+
+    monkeypatch.setattr(balance, "nearest_points", seen)
+    for limit in (1, 1000):
+        monkeypatch.setattr(neighbours, "ROUGH_FEATURES", limit)
+        found.append(sorted(tuple(r) for r in balance.smote(df, names, "label", ["id"]).where("is_synthetic").collect()))
+    assert asked == [2, 2] and found[0] == found[1] and len(found[0]) == 2
