@@ -13,7 +13,7 @@ from tabwright.functions.stage import materialise, scratch_scope
 from tabwright.operators.evaluate import model_comparison
 from tabwright.operators.models import FittedModel, fit_model
 from tabwright.operators.profile import check_features
-from tabwright.operators.split import class_counts, split_parts
+from tabwright.operators.split import class_counts, written_parts
 from tabwright.operators.target import to_severity
 from tabwright.operators.tune import Balance, Folds, Scores, SearchResult, cross_validate, search
 from tabwright.plans.evaluate import Evaluation, evaluate_model
@@ -72,10 +72,9 @@ def prepare(df: DataFrame, spec: PipelineSpec, features: Sequence[str], key: Seq
     labelled = to_severity(df, spec.target, spec.severity_mapping, spec.unmapped_class, LABEL)
     check_features(labelled, features, LABEL)
     if IS_TEST in labelled.columns:
-        train, test = fit_rows(labelled), labelled.where(IS_TEST)
+        train, test = materialise(fit_rows(labelled)), materialise(labelled.where(IS_TEST))
     else:
-        train, test = split_parts(labelled, LABEL, key, spec.test_size, spec.random_state)
-    train, test = materialise(train), materialise(test)
+        train, test = written_parts(labelled, LABEL, key, spec.test_size, spec.random_state)
     balance = Balance(spec.handle_imbalance, tuple(key), spec.random_state, spec.smote_strategy, spec.smote_neighbours)
     with scratch_scope(df.sparkSession):
         ready, weight = balance.apply(train, features, LABEL)

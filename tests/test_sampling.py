@@ -293,3 +293,17 @@ def test_only_copied_rows_ask_and_rough_distances_change_nothing(spark, monkeypa
         monkeypatch.setattr(neighbours, "ROUGH_FEATURES", limit)
         found.append(sorted(tuple(r) for r in balance.smote(df, names, "label", ["id"]).where("is_synthetic").collect()))
     assert asked == [2, 2] and found[0] == found[1] and len(found[0]) == 2
+
+
+def test_parts_are_written_in_one_pass(spark, monkeypatch):
+    df = spark.range(60).select(F.col("id"), (F.col("id") % 3).cast("int").alias("label"))
+    want = [sorted(r.id for r in part.collect()) for part in split_parts(df, "label", ["id"])]
+    written = []
+    real = split.materialise
+    monkeypatch.setattr(split, "materialise", lambda t, **how: written.append(t.columns) or real(t, **how))
+    train, test = split.written_parts(df, "label", ["id"])
+    assert [sorted(r.id for r in part.collect()) for part in (train, test)] == want
+    assert train.dtypes == test.dtypes == df.dtypes
+    # the table of hashes and one table of both parts, of which each is read alone
+    assert written == [["c", "row"], ["id", "label", "is_test"]]
+    assert all("/is_test=" in f for f in train.inputFiles())
