@@ -149,6 +149,8 @@ def evaluate_folder(
         raise ValueError(f"no models found below {folder}")
     df = read_table(spark, table) if isinstance(table, str) else table
     mapped = to_severity(df, target, mapping, default)
+    if len(models) > 1:
+        mapped = materialise(mapped)  # each model reads it twice
     done: dict[str, Evaluation] = {}
     for name, model in models.items():
         try:
