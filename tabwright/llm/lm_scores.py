@@ -11,6 +11,7 @@ losses back; shorter runs are counted from the longer ones.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ PULL = 4.0
 CHUNK_BYTES = 4 << 20
 #: Bits of a code point, and of a character's number where a chunk has few enough distinct ones.
 POINT, CODE = 21, 16
+#: Characters whose positions are held at once; a chunk holds its keys only.
+PIECE = 1 << 18
 
 
 def characters(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -36,9 +39,9 @@ def characters(block: Block) -> tuple[np.ndarray, np.ndarray]:
     Returns the sequence and a (rows, 2) array of ranges in it.
     """
     points = np.frombuffer(block.data.tobytes().decode().encode("utf-32-le"), np.uint32)
-    heads = np.append(0, np.cumsum((block.data & 0xC0) != 0x80))[block.bounds]
+    heads = np.append(0, np.cumsum((block.data & 0xC0) != 0x80, dtype=np.int32))[block.bounds]
     rows = len(heads) - 1
-    out = np.insert(points.astype(np.uint64), np.repeat(heads[:-1], ORDER - 1), 0)
+    out = np.insert(points, np.repeat(heads[:-1], ORDER - 1), 0)
     starts = heads[:-1] + (ORDER - 1) * np.arange(1, rows + 1)
     return out, np.stack([starts, starts + np.diff(heads)], axis=1)
 
@@ -47,32 +50,71 @@ def _inside(ranges: np.ndarray, size: int) -> np.ndarray:
     edges = np.zeros(size + 1, np.int8)
     np.add.at(edges, ranges[:, 0], 1)
     np.add.at(edges, ranges[:, 1], -1)
-    return np.cumsum(edges[:-1]) > 0
+    return np.cumsum(edges[:-1], dtype=np.int8) > 0
 
 
-def runs(block: Block, code_bits: int = CODE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct runs of four characters, in order, as two pairs of code points; each character's run; each one's document.
+def _places(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Where each value is in the sorted ``known``, in pieces: positions take eight bytes each."""
+    out = np.empty(len(values), np.int32)
+    for at in range(0, len(values), PIECE):
+        out[at : at + PIECE] = np.searchsorted(known, values[at : at + PIECE])
+    return out
+
+
+@dataclass
+class Keys:
+    """The run of four that ends at each character of a block, as a number that orders and tells runs apart in the block.
 
-    Runs are compared exactly: by the numbers of their characters, or where these are too many, of their pairs.
+    ``symbols`` are the code points (or pairs of them) that ``bits`` bits of a key stand for; ``sizes`` the characters of each row.
     """
+
+    keys: np.ndarray
+    symbols: np.ndarray
+    bits: int
+    sizes: np.ndarray
+
+    def ends(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys as two pairs of code points."""
+        code, least = np.uint64(self.bits), np.uint64((1 << self.bits) - 1)
+        if self.bits == 32:
+            return self.symbols[distinct >> code], self.symbols[distinct & least]
+        a, b, c, d = (self.symbols[(distinct >> (code * np.uint64(k))) & least] for k in (3, 2, 1, 0))
+        return (a << np.uint64(POINT)) | b, (c << np.uint64(POINT)) | d
+
+    def rows(self) -> np.ndarray:
+        """The row of each character."""
+        return np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+
+
+def keys_of(block: Block, code_bits: int = CODE) -> Keys:
+    """Runs are compared exactly: by the numbers of their characters, or where these are too many, of their pairs."""
     points, ranges = characters(block)
-    place = np.flatnonzero(_inside(ranges, len(points)))
-    row = np.repeat(np.arange(len(ranges)), ranges[:, 1] - ranges[:, 0])
-    point, code = np.uint64(POINT), np.uint64(code_bits)
+    inside, sizes = _inside(ranges, len(points))[ORDER - 1 :], ranges[:, 1] - ranges[:, 0]
     present = np.zeros(1 << POINT, bool)
     present[points] = True
     alphabet = np.flatnonzero(present).astype(np.uint64)
     if len(alphabet) <= 1 << code_bits:
-        number = (np.cumsum(present) - 1).astype(np.uint64)[points]
-        pair = (number[:-1] << code) | number[1:]
-        key, run = np.unique((pair[place - 3] << (code + code)) | pair[place - 1], return_inverse=True)
-        least = np.uint64((1 << code_bits) - 1)
-        a, b, c, d = (alphabet[(key >> (code * np.uint64(k))) & least] for k in (3, 2, 1, 0))
-        return (a << point) | b, (c << point) | d, run, row
-    pairs, number = np.unique((points[:-1] << point) | points[1:], return_inverse=True)
-    number = number.astype(np.uint64)
-    key, run = np.unique((number[place - 3] << np.uint64(32)) | number[place - 1], return_inverse=True)
-    return pairs[key >> np.uint64(32)], pairs[key & np.uint64(0xFFFFFFFF)], run, row
+        points = (np.cumsum(present, dtype=np.int32) - 1).astype(np.uint16)[points]
+        keys = points[: len(inside)].astype(np.uint64)
+        for k in range(1, ORDER):
+            keys <<= np.uint64(code_bits)
+            keys |= points[k : k + len(inside)]
+        return Keys(keys[inside], alphabet, code_bits, sizes)
+    both = points[:-1].astype(np.uint64) << np.uint64(POINT)
+    both |= points[1:]
+    pairs = np.unique(both)
+    number = _places(pairs, both)
+    del both
+    keys = number[: len(inside)].astype(np.uint64) << np.uint64(32)
+    keys |= number[2 : 2 + len(inside)].astype(np.uint64)
+    return Keys(keys[inside], pairs, 32, sizes)
+
+
+def runs(block: Block, code_bits: int = CODE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct runs of four characters, in order, as two pairs of code points; each character's run; each one's document."""
+    found = keys_of(block, code_bits)
+    distinct = np.unique(found.keys)
+    return *found.ends(distinct), _places(distinct, found.keys), found.rows()
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,9 +144,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk, docs in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             rows, block = _unpack(docs)
-            head, tail, run, row = runs(block)
-            chosen = rows.column(2).to_numpy(zero_copy_only=False)[row]
-            target, background = np.bincount(run[chosen], minlength=len(head)), np.bincount(run, minlength=len(head))
+            run = keys_of(block)
+            chosen = np.repeat(rows.column(2).to_numpy(zero_copy_only=False), run.sizes)
+            some, n_some = np.unique(run.keys[chosen], return_counts=True)
+            distinct, background = np.unique(run.keys, return_counts=True)
+            target = np.zeros(len(distinct), np.int64)
+            target[np.searchsorted(distinct, some)] = n_some
+            head, tail = run.ends(distinct)
             for at in range(0, len(head), 50_000):
                 cut = slice(at, at + 50_000)
                 n = len(head[cut])
@@ -157,13 +203,16 @@ def losses(counts: DataFrame, n_trusted: int, n_docs: int) -> DataFrame:
 def _score(chunks: pa.Table, found: pa.Table) -> pa.Table:
     """Mean loss per token under both models, in nats (0 for an empty text), and the number of tokens, per row of a chunk."""
     rows, block = _unpack(chunks.column("docs")[0])
-    head, _, run, row = runs(block)
-    n = np.bincount(row, minlength=rows.num_rows)
-    means = []
-    for m in ("loss_t", "loss_b"):
-        loss = np.full(len(head), np.nan)
-        loss[found.column("run").to_numpy()] = found.column(m).to_numpy()
-        means.append(np.bincount(row, loss[run], minlength=len(n)) / np.maximum(n, 1))
+    run = keys_of(block)
+    n, row, distinct = run.sizes, run.rows(), np.unique(run.keys)
+    losses = np.full((2, len(distinct)), np.nan)
+    losses[:, found.column("run").to_numpy()] = [found.column(m).to_numpy() for m in ("loss_t", "loss_b")]
+    sums = np.zeros((2, rows.num_rows))
+    for at in range(0, len(row), PIECE):
+        place = np.searchsorted(distinct, run.keys[at : at + PIECE])
+        for total, loss in zip(sums, losses, strict=True):
+            np.add.at(total, row[at : at + PIECE], loss[place])
+    means = sums / np.maximum(n, 1)
     out = [rows.column(0), pa.array(n), pa.array(means[0]), pa.array(means[1]), pa.array(means[0] - means[1])]
     return pa.Table.from_arrays(out, names=["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 

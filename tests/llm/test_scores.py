@@ -215,3 +215,27 @@ def test_runs_are_the_same_by_characters_and_by_pairs(prose):
     block = next(blocks(pa.array(prose)))
     one, other = lm_scores.runs(block), lm_scores.runs(block, 2)
     assert all((a == b).all() for a, b in zip(one, other, strict=True))
+
+
+def test_a_chunk_takes_little_memory_beyond_its_keys(prose):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [f"{t} {i}" for i in range(40) for t in prose if t]
+    size = sum(map(len, texts))
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array([i % 3 == 0 for i in range(len(texts))])], names=["doc_id", "text", "trusted"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_batch(rows)
+    chunk = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([sink.getvalue().to_pybytes()])], names=["chunk", "docs"])
+    tracemalloc.start()
+    try:
+        counted = pa.Table.from_batches(list(lm_scores._count(iter([chunk]))))
+        loss = pa.array([1.0 + i % 2 for i in range(len(counted))])
+        scored = lm_scores._score(pa.Table.from_batches([chunk]), pa.table({"run": counted["run"], "loss_t": loss, "loss_b": loss}))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(counted["b"].to_pylist()) == sum(scored["n_tokens"].to_pylist()) == size
+    assert peak < 45 * size  # keys, a sorted copy and the places of pieces; positions of all characters took over 80
