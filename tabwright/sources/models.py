@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabwright.operators.boost import BoostedTrees
 from tabwright.operators.models import FittedModel
+from tabwright.operators.sparse_trees import SparseTrees
 
 log = logging.getLogger(__name__)
 
@@ -23,7 +24,7 @@ def save_model(model: FittedModel, spark: SparkSession, path: str, name: str | N
     """Write the MLlib models and one JSON row that describes them."""
     if not model.parts:
         raise ValueError("cannot save a model that is not fitted")
-    grown = isinstance(model.parts[0], BoostedTrees)
+    grown = isinstance(model.parts[0], (BoostedTrees, SparseTrees))
     for i, part in enumerate(model.parts):
         if grown:
             spark.createDataFrame([(part.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/part_{i}")
@@ -58,7 +59,8 @@ def load_model(
         bare = PipelineModel.load(path).stages[-1]
         return FittedModel("bare", list(features), classes or list(range(bare.numClasses)), {}, 0, [bare])
     if about.grown:
-        parts = [BoostedTrees.from_json(spark.read.text(f"{path}/part_{i}").first().value) for i in range(about.parts)]
+        texts = [spark.read.text(f"{path}/part_{i}").first().value for i in range(about.parts)]
+        parts = [(SparseTrees if json.loads(text).get("sparse") else BoostedTrees).from_json(text) for text in texts]
     else:
         parts = [PipelineModel.load(f"{path}/part_{i}").stages[0] for i in range(about.parts)]
     return FittedModel(

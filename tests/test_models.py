@@ -9,11 +9,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
-from tabwright.operators import boost, tune
+from tabwright.operators import boost, sparse_trees, tune
 from tabwright.operators.boost import shares_of
 from tabwright.functions.keys import with_content_key
 from tabwright.functions.stage import materialise, scratch_scope
-from tabwright.functions.vectors import as_vectors, gathered
+from tabwright.functions.vectors import as_vectors, gathered, one_of
 from tabwright.operators.encode import fit_onehot
 from tabwright.operators.evaluate import metrics
 from tabwright.operators.features import add_polynomials, as_pairs, fit_interactions, polynomial_terms
@@ -459,3 +459,69 @@ def test_boosting_moves_blocks_not_rows(monkeypatch):
     bins, y, w, draw, margins = (np.concatenate(c) for c in zip(*back))
     assert (bins == boost.binned(np.array(x), edges)).all() and y.tolist() == [i % 2 for i in range(100)]
     assert (w == 0.5).all() and draw.tolist() == [i / 100 for i in range(100)] and not margins.any()
+
+
+@pytest.fixture(scope="module")
+def dense_and_sparse(spark):
+    """Numbers and dummies of a column, each number and dummy by itself and in one sparse column, with classes and weights."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(600):
+        level, x, z = int(rng.integers(12)), float(rng.normal()), float(rng.integers(-2, 3))
+        score = (level % 3) + (x > 0.4) + 0.5 * (z < 0) + rng.normal() * 0.4
+        rows.append((i, str(level), x, z, int(score > 1.5) + int(score > 2.5), int(score > 1.5), 0.5 + i % 3))
+    df = spark.createDataFrame(rows, "id bigint, level string, x double, z double, three int, label int, w double").repartition(3, "id")
+    coded = fit_onehot(df, ["level"], dense_levels=5).transform(df)
+    dummies = [F.when(F.element_at("level_onehot.indices", 1) == k, 1.0).otherwise(0.0).alias(f"d{k}") for k in range(12)]
+    return materialise(coded.select("*", *dummies)), [f"d{k}" for k in range(12)]
+
+
+def _shares_of(model, df):
+    return np.array([list(r.probability) for r in model.predict(df).orderBy("id").collect()])
+
+
+@pytest.mark.parametrize("label", ["label", "three"])
+def test_trees_on_sparse_vectors_are_those_on_columns(spark, dense_and_sparse, tmp_path, label, monkeypatch):
+    monkeypatch.setattr(sparse_trees, "KEPT_ROUNDS", 2)
+    df, dummies = dense_and_sparse
+    plain, gathered_ = ["x", *dummies, "z"], ["x", "level_onehot", "z"]
+    params = {"n_estimators": 1, "max_depth": 4, "min_samples_leaf": 5, "max_features": None, "bootstrap": False}
+    steps = df.withColumn("x", F.floor(F.least(F.greatest(F.col("x"), F.lit(-1.5)), F.lit(1.5)) * 3).cast("double"))  # each value is a bin
+    two = [fit_model(steps, f, label, "rf", params, weight="w") for f in (plain, gathered_)]
+    assert isinstance(two[1].parts[0], sparse_trees.SparseTrees)
+    assert np.abs(_shares_of(two[0], steps) - _shares_of(two[1], steps)).max() < 1e-6
+    assert two[1].importances()["level_onehot"] == pytest.approx(sum(two[0].importances()[d] for d in dummies), abs=1e-6)
+    # before, boosting on sparse vectors was another kind, without reg_alpha and reg_lambda
+    params = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0, "reg_alpha": 0.2, "reg_lambda": 2.0}
+    two = [fit_model(steps, f, label, "xgboost", params) for f in (plain, gathered_)]
+    shares = _shares_of(two[1], steps)
+    assert np.abs(_shares_of(two[0], steps) - shares).max() < 1e-6
+    back = load_model(spark, save_model(two[1], spark, str(tmp_path / "model")))
+    assert np.array_equal(_shares_of(back, steps), shares) and back.importances() == two[1].importances()
+
+
+def test_a_forest_on_sparse_vectors_learns_from_drawn_rows_and_places(spark, dense_and_sparse):
+    df, dummies = dense_and_sparse
+    params = {"n_estimators": 30, "max_depth": 8}
+    right = [fit_model(df, f, "label", "rf", params).predict(df).where("prediction = label").count() for f in (["x", *dummies, "z"], ["x", "level_onehot", "z"])]
+    assert right[1] > 0.95 * right[0]
+    again = [_shares_of(fit_model(df, ["x", "level_onehot", "z"], "label", "rf", {"n_estimators": 3}), df) for _ in range(2)]
+    assert np.array_equal(*again) and np.allclose(again[0].sum(axis=1), 1)
+
+
+def test_missing_numbers_beside_a_sparse_column_are_below_all_others(spark, dense_and_sparse):
+    df, _ = dense_and_sparse
+    holes = df.withColumn("x", F.when(F.col("id") % 4 > 0, -1 - F.abs("x"))).withColumn("label", F.col("x").isNull().cast("int"))
+    model = fit_model(holes, ["x", "level_onehot"], "label", "xgboost", {"n_estimators": 5, "subsample": 1.0, "colsample_bytree": 1.0})
+    assert model.predict(holes).where("prediction = label").count() == 600
+
+
+def test_cells_of_sparse_trees_follow_the_places_that_are_not_zero(spark):
+    """A million places: a number for each row and place would be 8 GB, the cells are one a row."""
+    df = spark.range(0, 2000, numPartitions=2).select("id", (F.col("id") % 2).cast("int").alias("label"))
+    code = (F.col("id") % 500 * 1999).cast("int")
+    coded = df.select("id", "label", one_of(code, 1_000_000).alias("v"))
+    for kind, params in {"rf": {"n_estimators": 2, "max_depth": 3, "max_features": None, "bootstrap": False}, "xgboost": {"n_estimators": 2, "max_depth": 2}}.items():
+        model = fit_model(coded, ["v"], "label", kind, params)
+        assert model.predict(coded).where("prediction IN (0, 1)").count() == 2000
+        assert all(len(t.place) <= 15 and t.place.max() < 1_000_000 for t in model.parts[0].rounds[0])
