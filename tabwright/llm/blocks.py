@@ -17,6 +17,9 @@ from pyspark.sql import SparkSession
 
 #: Bytes of text that are worked on at once (one longer document is a block of its own).
 BLOCK_BYTES = 1 << 20
+#: The same, and rows handed over at once, in steps of a chain: numpy holds some hundred bytes for each of the text, and
+#: a worker that goes on to the next step keeps most of what it ever took.
+LEAN_BYTES, LEAN_ROWS = 1 << 18, 1000
 SIZE_MARK = 0xA0761D6478BD642F
 #: The modulus of range hashes, and a base for bytes and one for sequences of words.
 PRIME = (1 << 61) - 1

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import materialise
-from tabwright.llm.blocks import WORD_BASE, Block, Rolling, blocks, lower_ascii, words_of
+from tabwright.llm.blocks import LEAN_BYTES, WORD_BASE, Block, Rolling, blocks, lower_ascii, words_of
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score from which a passage is looked at, and share of its 5-grams that confirms it.
@@ -272,7 +272,7 @@ def indexes(benchmark: DataFrame, limit: int = INDEX_BYTES) -> Iterator[Index]:
 def _report(index: Index, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), LEAN_BYTES):
                 found = leaks(index, block)
                 if found:
                     d, i, s, q, a = zip(*found, strict=True)
@@ -312,7 +312,7 @@ def _without(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            for block in blocks(batch.column(batch.schema.get_field_index("text"))):
+            for block in blocks(batch.column(batch.schema.get_field_index("text")), LEAN_BYTES):
                 keep[[block.first + d for d, *_ in leaks(index, block)]] = False
             yield batch.filter(pa.array(keep))
 

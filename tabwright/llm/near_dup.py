@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import materialise
-from tabwright.llm.blocks import WORD_BASE, Block, Rolling, blocks, lower_ascii, mix, words_of
+from tabwright.llm.blocks import LEAN_BYTES, LEAN_ROWS, WORD_BASE, Block, Rolling, batches_of, blocks, lower_ascii, mix, words_of
 from tabwright.llm.components import components
 
 #: 128 hashes in 32 bands of 4: two sets of similarity 0.8 share no band with probability 5e-8.
@@ -65,7 +65,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 def _digest(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), LEAN_BYTES):
                 sets = shingle_sets(block, size)
                 n = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(n)
@@ -139,7 +139,7 @@ def _confirm(size: int, percent: int):
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                sides = [[s for block in blocks(batch.column(c)) for s in shingle_sets(block, size)] for c in (2, 3)]
+                sides = [[s for block in blocks(batch.column(c), LEAN_BYTES) for s in shingle_sets(block, size)] for c in (2, 3)]
                 keep = []
                 for x, y in zip(*sides, strict=True):
                     common = len(np.intersect1d(x, y, assume_unique=True))
@@ -154,7 +154,7 @@ def _tile(least: list[int], size: int, percent: int):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(-1, HASHES)
-        sets = [x for block in blocks(pa.array(rows["text"])) for x in shingle_sets(block, size)]
+        sets = [x for block in blocks(pa.array(rows["text"]), LEAN_BYTES) for x in shingle_sets(block, size)]
         n = np.array([len(x) for x in sets])
         component = pd.factorize(rows["component"])[0]
         rep, minor = rows["rep"].to_numpy(), rows["minor"].to_numpy(bool)
@@ -255,25 +255,26 @@ def near_duplicates(
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    digests = materialise(texts.mapInArrow(_digest(size), f"doc_id {kind}, n long, a long, b long, sig binary"))
-    known = digests.where("n > 0 and doc_id is not null")
-    classes = materialise(known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")))
-    found = _Candidates(texts, classes, size, percent, miss)
-    hubs = found.members.where("rep <> hub").select(F.col("hub").alias("l"), F.col("rep").alias("r")).distinct()
-    found.confirm(hubs)
-    rest = found.open_buckets()
-    if not rest.isEmpty():
-        # another hub: the first by hash of the largest component's members; it is compared with the other components
-        parts = rest.where("rep <> hub").groupBy("bucket", "component").agg(
-            F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep"), F.col("rep").alias("id")))["id"].alias("l")
-        )
-        top = parts.groupBy("bucket").agg(F.max(F.struct("n", "component", "l")).alias("top"))
-        again = top.select("bucket", F.col("top.l").alias("l"), F.col("top.component").alias("c"))
-        pairs = rest.join(again, "bucket").where("component <> c and hub <> l and hub <> rep")
-        found.confirm(pairs.select(F.least("l", "rep").alias("l"), F.greatest("l", "rep").alias("r")).distinct())
+    with batches_of(docs.sparkSession, LEAN_ROWS):
+        digests = materialise(texts.mapInArrow(_digest(size), f"doc_id {kind}, n long, a long, b long, sig binary"))
+        known = digests.where("n > 0 and doc_id is not null")
+        classes = materialise(known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")))
+        found = _Candidates(texts, classes, size, percent, miss)
+        hubs = found.members.where("rep <> hub").select(F.col("hub").alias("l"), F.col("rep").alias("r")).distinct()
+        found.confirm(hubs)
         rest = found.open_buckets()
         if not rest.isEmpty():
-            found.settle(rest)
+            # another hub: the first by hash of the largest component's members; it is compared with the other components
+            parts = rest.where("rep <> hub").groupBy("bucket", "component").agg(
+                F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep"), F.col("rep").alias("id")))["id"].alias("l")
+            )
+            top = parts.groupBy("bucket").agg(F.max(F.struct("n", "component", "l")).alias("top"))
+            again = top.select("bucket", F.col("top.l").alias("l"), F.col("top.component").alias("c"))
+            pairs = rest.join(again, "bucket").where("component <> c and hub <> l and hub <> rep")
+            found.confirm(pairs.select(F.least("l", "rep").alias("l"), F.greatest("l", "rep").alias("r")).distinct())
+            rest = found.open_buckets()
+            if not rest.isEmpty():
+                found.settle(rest)
     placed = classes.select("n", "a", "b", "rep").join(found.nodes.withColumnRenamed("node", "rep"), "rep", "left")
     placed = placed.select("n", "a", "b", F.coalesce("component", "rep").alias("component"))
     rows = digests.select("doc_id", "n", "a", "b").join(placed, ["n", "a", "b"], "left")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.stage import scratch_path
-from tabwright.llm.blocks import Block, blocks, content_ids, words_of
+from tabwright.llm.blocks import LEAN_ROWS, Block, blocks, content_ids, words_of
 
 #: Kinds of bytes: letters, punctuation, and all else; the letters of two bytes that begin with 0xC3 are added in ``units``.
 LETTER, MARK, OTHER = 1, 2, 3
@@ -184,7 +184,7 @@ def _tokenize(path: str, end: int):
 def _cut(length: int, width: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.uint16 if width == 2 else np.uint32
-        for batch in batches:
+        for batch in (whole.slice(at, LEAN_ROWS) for whole in batches for at in range(0, whole.num_rows, LEAN_ROWS)):
             begin, n = (batch.column(i).to_numpy() for i in (1, 2))
             pieces = (begin + n - 1) // length - begin // length + 1
             row = np.repeat(np.arange(len(n)), pieces)

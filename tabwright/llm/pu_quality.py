@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.blocks import WORD_BASE, Block, Rolling, blocks, mix, words_of
+from tabwright.llm.blocks import LEAN_BYTES, LEAN_ROWS, WORD_BASE, Block, Rolling, batches_of, blocks, mix, words_of
 from tabwright.llm.sampling import first_by_hash
 
 #: Most positives, and most unlabelled texts, that the model is fitted on.
@@ -121,7 +121,7 @@ def held_out(column):
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in blocks(batch.column(1)):
+        for block in blocks(batch.column(1), LEAN_BYTES):
             x = features(block)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(block.first, len(x)), pa.array([r.tobytes() for r in x], pa.binary())], names=["trusted", "x"]
@@ -147,7 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ]
     pick = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * sample ids
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(pick, "doc_id").select("trusted", "text")
-    table = rows.mapInArrow(_features, "trusted boolean, x binary").toPandas()
+    with batches_of(docs.sparkSession, LEAN_ROWS):
+        table = rows.mapInArrow(_features, "trusted boolean, x binary").toPandas()
     x = np.frombuffer(b"".join(table["x"]), np.float32).reshape(-1, N_FEATURES)
     mine = table["trusted"].to_numpy(bool)
     return fit(x[mine], x[~mine], prior)
@@ -156,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), LEAN_BYTES):
                 scores = model.scores(features(block))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, len(scores)), pa.array(scores)], names=["doc_id", "score"])
 
@@ -166,7 +167,7 @@ def _score(model: Model):
 def _filter(model: Model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(batch.schema.get_field_index("text"))):
+            for block in blocks(batch.column(batch.schema.get_field_index("text")), LEAN_BYTES):
                 keep = model.scores(features(block)) >= threshold
                 yield batch.slice(block.first, len(keep)).filter(pa.array(keep))
 

@@ -193,3 +193,16 @@ def test_components(spark):
     assert {r.node: r.component for r in found.collect()} == expected
     assert components(spark.createDataFrame([], "l bigint, r bigint")).count() == 0
     assert found.select(F.countDistinct("node") == F.count("*")).first()[0]
+
+
+def test_near_duplicates_hand_over_few_rows(spark, monkeypatch):
+    """Jobs of this step hand Python few texts at once, and the session's own setting holds again after them."""
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    write = near_dup.materialise
+    monkeypatch.setattr(near_dup, "materialise", lambda df: (seen.append(int(spark.conf.get(name))), write(df))[1])
+    before = spark.conf.get(name)
+    words = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:39], "x"])), (3, "other words")], "doc_id long, text string")
+    assert _rows(near_duplicates(docs), "doc_id", "component_id") == [(1, 1), (2, 1), (3, 3)]
+    assert seen and max(seen) <= near_dup.LEAN_ROWS
+    assert spark.conf.get(name) == before

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -61,3 +62,21 @@ def test_words_are_forgotten_and_learnt_again(monkeypatch, spark, prose):
 
 def test_no_rows(no_docs):
     assert packing.pack(no_docs, PATH).count() == 0
+
+
+def test_cut_takes_few_rows_at_once():
+    """Batches of any size are cut in slices; the pieces are those of the batch as a whole."""
+    n = 2 * packing.LEAN_ROWS + 1
+    ids = np.arange(3, dtype=np.uint16).tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(0, 3 * n, 3)), pa.array([3] * n), pa.array([ids] * n, pa.binary())], names=["doc_id", "begin", "n", "ids"])
+    found = list(packing._cut(2, 2, True)(iter([batch])))
+    assert len(found) == 3
+    pieces = [tuple(r.values()) for out in found for r in out.select(["doc_id", "start", "length", "sequence_id", "offset"]).to_pylist()]
+    expected = []
+    for d in range(n):
+        at = 3 * d
+        while at < 3 * d + 3:
+            size = min(2 - at % 2, 3 * d + 3 - at)
+            expected.append((d, at - 3 * d, size, at // 2, at % 2))
+            at += size
+    assert pieces == expected

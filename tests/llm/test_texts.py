@@ -2,12 +2,15 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tabwright.llm import decontaminate, near_dup, pu_quality
 from tabwright.llm.blocks import BYTE_BASE, PRIME, WORD_BASE, Rolling, blocks, content_ids, loose_windows, powers, sliding_min, words_of
 from tabwright.llm.suffix import common_prefixes, repeated_places, suffix_array
 
@@ -106,3 +109,31 @@ def test_suffix_array_and_prefixes():
             assert (before[i], common[i]) == (j, k)
         windows = [tuple(x[i : i + 4]) for i in range(len(x) - 3)]
         assert np.flatnonzero(repeated_places(text, 4)).tolist() == [i for i, w in enumerate(windows) if windows.count(w) > 1]
+
+
+def _steps():
+    none = np.zeros((0, pu_quality.N_FEATURES))
+    index = decontaminate.build_index([(1, "what is the name of the largest river of them all? It is the long one.")])
+    return {
+        "filter": pu_quality._filter(pu_quality.fit(none, none, 0.5), 0.3),
+        "digest": near_dup._digest(5),
+        "without": decontaminate._without(index),
+    }
+
+
+@pytest.mark.parametrize("step", ["filter", "digest", "without"])
+def test_memory_of_a_step(step):
+    """A worker that walks through 2 MB of texts holds a few MB beside them."""
+    texts = [" ".join(f"w{(i * 7919 + k * k) % 5003}" for k in range(600)) for i in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600)), pa.array(texts)], names=["doc_id", "text"])
+    run = _steps()[step]
+    for _ in run(iter([batch.slice(0, 10)])):
+        pass
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert rows == 600
+    assert peak < 15, peak
