@@ -6,10 +6,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
-from tabwright.operators import boost, sparse_trees, tune
+from tabwright.operators import boost, models, sparse_logistic, sparse_trees, tune
 from tabwright.operators.boost import shares_of
 from tabwright.functions.keys import with_content_key
 from tabwright.functions.stage import materialise, scratch_scope
@@ -525,3 +525,50 @@ def test_cells_of_sparse_trees_follow_the_places_that_are_not_zero(spark):
         model = fit_model(coded, ["v"], "label", kind, params)
         assert model.predict(coded).where("prediction IN (0, 1)").count() == 2000
         assert all(len(t.place) <= 15 and t.place.max() < 1_000_000 for t in model.parts[0].rounds[0])
+
+
+@pytest.mark.parametrize("label", ["label", "three"])
+def test_regression_on_many_places_takes_the_steps_of_mllib(spark, dense_and_sparse, tmp_path, label, monkeypatch):
+    df = dense_and_sparse[0].withColumn("same", F.lit(7.0))
+    features, params = ["x", "level_onehot", "same", "z"], {"C": 100.0, "max_iter": 8}
+    plain = fit_model(df, features, label, "lr", params, weight="w")
+    monkeypatch.setattr(models, "MLLIB_COEFFICIENTS", 0)
+    monkeypatch.setattr(sparse_logistic, "BLOCK", 8)
+    monkeypatch.setattr(sparse_logistic, "SLICE", 16)
+    # before, MLlib's driver held some thirty vectors of all places at once
+    monkeypatch.setattr(LogisticRegression, "fit", lambda *a: pytest.fail("fitted on the driver"))
+    model = fit_model(df, features, label, "lr", params, weight="w")
+    two = [m.parts[0].coefficientMatrix.toArray() for m in (plain, model)]
+    assert two[0].shape == two[1].shape and np.abs(two[0] - two[1]).max() < 1e-9
+    shares = _shares_of(model, df)
+    assert np.abs(_shares_of(plain, df) - shares).max() < 1e-9
+    back = load_model(spark, save_model(model, spark, str(tmp_path / "model")))
+    assert np.array_equal(_shares_of(back, df), shares) and back.importances() == model.importances()
+    with pytest.raises(Exception, match="Weights MUST NOT be"):
+        fit_model(df.withColumn("w", F.when(F.col("id") > 0, F.col("w"))), features, label, "lr", params, weight="w")
+
+
+def test_large_models_are_fitted_and_scored_one_at_a_time(spark, dense_and_sparse, monkeypatch):
+    df, scans = dense_and_sparse[0], []
+    scored = tune.Folds._scored
+    monkeypatch.setattr(tune.Folds, "_scored", lambda self, kind, models, *more: scans.append(len(models)) or scored(self, kind, models, *more))
+    found = []
+    for held in (1 << 22, 1):
+        monkeypatch.setattr(tune, "HELD_COEFFICIENTS", held)
+        found.append(cross_validate(df, ["x", "level_onehot"], "label", ["id"], "lr", {"max_iter": 3}, k=2).test)
+    assert scans == [2, 1, 1] and found[0] == pytest.approx(found[1], abs=1e-12)
+
+
+def test_steps_are_searched_along_a_bent_valley():
+    """Rosenbrock's function needs shortened and lengthened steps."""
+    calls = []
+
+    def evaluate(at, gradient):
+        x, y = at.read(0, 2)
+        gradient.write(0, np.array([-400 * x * (y - x * x) - 2 * (1 - x), 200 * (y - x * x)]))
+        calls.append((x, y))
+        return float(100 * (y - x * x) ** 2 + (1 - x) ** 2)
+
+    start = sparse_logistic.Vector(2)
+    start.write(0, np.array([-1.2, 1.0]))
+    assert np.abs(sparse_logistic.minimise(evaluate, start, 200).read(0, 2) - 1).max() < 1e-3 and len(calls) < 100
